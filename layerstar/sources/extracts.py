@@ -68,16 +68,18 @@ def _aw(k: Column) -> Column:
 
 
 def _ymd(c: Column) -> Column:
-    return F.date_format(c, "yyyyMMdd")
+    """Date as 'yyyyMMdd' text (years 1000-9999), from integer parts."""
+    return (F.year(c) * 10000 + F.month(c) * 100 + F.dayofmonth(c)).cast("string")
 
 
 def _iso(c: Column) -> Column:
-    return F.date_format(c, "yyyy-MM-dd")
+    """Date as 'yyyy-MM-dd' text."""
+    return F.to_date(c).cast("string")
 
 
 def _money_text(cents: Column) -> Column:
     """Whole cents (>= 0) as '123.45'."""
-    return F.concat((cents.cast("long") / 100).cast("long").cast("string"), F.lit("."),
+    return F.concat(F.floor(cents / 100).cast("string"), F.lit("."),
                     F.lpad((cents % 100).cast("string"), 2, "0"))
 
 
@@ -149,17 +151,25 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
                          "l_extendedprice", "l_shipdate")
     od = orders.select("o_orderkey", "o_custkey", "o_orderdate")
     j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
-    ok, pk = F.col("l_orderkey"), F.col("l_partkey")
+    # first the shared parts, once per row (later CASE branches only pick them)
     qty = F.col("l_quantity").cast("int")
-    cents = F.round(F.col("l_extendedprice") * 100).cast("long")
-    price_cents = (cents / qty).cast("long")
-    price = _money_text(price_cents)
-    sales = F.when(_m(ok, *SLS_RAW_SALES), _money_text(cents)) \
-             .otherwise(_money_text(price_cents * qty))
-    key = F.when(_m(ok, *SLS_UNKNOWN_PRODUCT), F.concat(F.lit("ZZ-"), pk.cast("string"))) \
-           .otherwise(F.concat(F.lit("PK-"), pk.cast("string")))
-    odt = _ymd(F.col("o_orderdate"))
-    return j.select(
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("long")
+    parts = j.select(
+        "l_orderkey", "l_partkey", "l_linenumber", "o_custkey", "l_shipdate",
+        qty.alias("qty"), cents.alias("cents"),
+        (cents / qty).cast("long").alias("pc"),
+        _ymd(F.col("o_orderdate")).alias("odt"),
+        _ymd(F.date_add(F.to_date("o_orderdate"), 30)).alias("due"))
+    ok, pk, qty = F.col("l_orderkey"), F.col("l_partkey"), F.col("qty")
+    key = F.concat(F.when(_m(ok, *SLS_UNKNOWN_PRODUCT), F.lit("ZZ-")).otherwise(F.lit("PK-")),
+                   pk.cast("string"))
+    parts = parts.select(
+        "*", key.alias("key"), _money_text(F.col("pc")).alias("price"),
+        F.when(_m(ok, *SLS_RAW_SALES), _money_text(F.col("cents")))
+         .otherwise(_money_text(F.col("pc") * qty)).alias("sales"))
+    key, price, sales = F.col("key"), F.col("price"), F.col("sales")
+    odt = F.col("odt")
+    return parts.select(
         F.concat(F.lit("SO"), ok.cast("string")).alias("sls_ord_num"),
         F.when(((ok + F.col("l_linenumber")) % SLS_SPACED_KEY[0]) == SLS_SPACED_KEY[1],
                F.concat(F.lit(" "), key, F.lit(" "))).otherwise(key).alias("sls_prd_key"),
@@ -171,7 +181,7 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
          .when(_m(ok, SLS_SHORT_DATE), F.substr(odt, F.lit(1), F.lit(7)))
          .otherwise(odt).alias("sls_order_dt"),
         _ymd(F.col("l_shipdate")).alias("sls_ship_dt"),
-        _ymd(F.date_add(F.to_date("o_orderdate"), 30)).alias("sls_due_dt"),
+        F.col("due").alias("sls_due_dt"),
         F.when(_m(ok, SLS_NULL_SALES), None).when(_m(ok, SLS_ZERO_SALES), F.lit("0"))
          .when(_m(ok, SLS_NEG_SALES), F.concat(F.lit("-"), sales)).otherwise(sales)
          .alias("sls_sales"),

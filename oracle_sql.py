@@ -147,8 +147,8 @@ FROM (SELECT *,
         CASE WHEN ok % 3 = 1 THEN {_money_text('cents')} ELSE {_money_text('pc * qty')} END AS sales
       FROM (SELECT l.l_orderkey AS ok, l.l_linenumber AS ln, l.l_partkey, l.l_shipdate,
               o.o_custkey, o.o_orderdate, CAST(l.l_quantity AS INTEGER) AS qty,
-              CAST(round(l.l_extendedprice * 100) AS BIGINT) AS cents,
-              CAST(round(l.l_extendedprice * 100) AS BIGINT) // CAST(l.l_quantity AS INTEGER) AS pc
+              CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) AS cents,
+              CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) // CAST(l.l_quantity AS INTEGER) AS pc
             FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey))""")
 
 cte("b_az12", [], f"""
