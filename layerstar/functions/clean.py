@@ -159,6 +159,9 @@ def load_categories(df: DataFrame) -> DataFrame:
 
 
 def with_load_time(df: DataFrame, now: _dt.datetime | None = None) -> DataFrame:
-    """Stamp every row with the load time (``dwh_create_dt``)."""
-    ts = F.lit(now).cast("timestamp") if now is not None else F.current_timestamp()
+    """Stamp every row with the load time (``dwh_create_dt``).
+
+    A wall-clock time without zone, like the warehouse's DATETIME, so the value
+    does not move with the session time zone."""
+    ts = F.lit(now).cast("timestamp_ntz") if now is not None else F.localtimestamp()
     return df.withColumn("dwh_create_dt", ts)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 S, D, L, I = T.StringType(), T.DateType(), T.LongType(), T.IntegerType()
 MONEY = T.DecimalType(18, 2)
-TS = T.TimestampType()
+TS = T.TimestampNTZType()
 
 
 def _schema(*cols) -> T.StructType:

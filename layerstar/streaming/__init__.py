@@ -1,0 +1,5 @@
+"""Streaming: nothing here on purpose.
+
+The warehouse refreshes its layers as full batches (truncate and reload); it has
+no incremental, windowed or stateful stream processing to rebuild.
+"""
