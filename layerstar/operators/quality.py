@@ -282,11 +282,15 @@ class Check:
 
 
 def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
-    """One row per check: its metadata and the number of rows it found, and
-    whether the expectation holds (``report`` checks always pass)."""
+    """One row per check: its metadata, the number of rows it found, and whether
+    the expectation holds.  ``equal_counts`` checks compare the row counts they
+    list (``found`` is then the number of distinct counts); ``report`` checks
+    always pass."""
     rows = None
     for ch in checks:
-        r = ch.violations.agg(F.count(F.lit(1)).alias("found")).select(
+        v = ch.violations
+        found = (F.countDistinct("row_num") if ch.kind == "equal_counts" else F.count(F.lit(1)))
+        r = v.agg(found.alias("found")).select(
             F.lit(ch.name).alias("check"), F.lit(",".join(ch.layers)).alias("layers"),
             F.lit(ch.table).alias("table"), F.lit(ch.kind).alias("kind"),
             F.lit(ch.expectation).alias("expectation"), "found")
@@ -294,8 +298,7 @@ def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
     if rows is None:
         return spark.createDataFrame([], "check string, layers string, table string, kind string, "
                                          "expectation string, found long, passed boolean")
-    passed = (F.when(F.col("kind") == "no_rows", F.col("found") == 0)
-               .when(F.col("kind") == "allowed_values", F.col("found") == 0)
-               .when(F.col("kind") == "one_row", F.col("found") == 1)
+    passed = (F.when(F.col("kind").isin("no_rows", "allowed_values"), F.col("found") == 0)
+               .when(F.col("kind").isin("one_row", "equal_counts"), F.col("found") == 1)
                .otherwise(F.lit(True)))
     return rows.withColumn("passed", passed)

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from layerstar.functions.dates import month_diff
 from layerstar.functions.fmt import month_abbr
 from layerstar.functions.num import MONEY_SUM, PLACES, mean, money_sum, ratio
-from layerstar.operators.rows import with_grand_total
 
 # Trend marks.
 UP, DOWN, FLAT = "\U0001F7E2", "\U0001F534", "\U0001F7E1"
@@ -106,7 +105,9 @@ def category_share(f: DataFrame, p: DataFrame) -> DataFrame:
     j = f.select("product_key", "sales_amount").join(d, F.col("product_key") == F.col("__pk"),
                                                      "left")
     g = j.groupBy("category").agg(money_sum("sales_amount").alias("total_sales"))
-    g = with_grand_total(g, "total_sales", "grand_total")
+    # the left join on the unique product key keeps every fact row once, so the
+    # total over categories is one global sum over the fact (no second join)
+    g = g.withColumn("grand_total", f.agg(money_sum("sales_amount")).scalar())
     return g.select("category", "total_sales", F.col("grand_total").cast(MONEY_SUM),
                     ratio(F.col("total_sales") * 100, "grand_total", 2).alias("sales_percentage"))
 

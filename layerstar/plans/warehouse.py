@@ -59,10 +59,14 @@ class Warehouse:
         return {n: self._t(layer, n) for n in names}
 
 
-def write_extracts(spark: SparkSession, sf_dir: str, layers: Layers, run_id: str) -> None:
-    """The source systems' files, as CSV (what the bronze load reads)."""
-    for name, df in build_extracts(spark, sf_dir).items():
-        write_csv(df, layers.run_path("source", run_id, name))
+def write_extracts(spark: SparkSession, sf_dir: str, layers: Layers, run_id: str,
+                   parallel: int = 4) -> None:
+    """The source systems' files, as CSV (what the bronze load reads); the six
+    files are independent and written by concurrent jobs."""
+    from concurrent.futures import ThreadPoolExecutor
+    ex = build_extracts(spark, sf_dir)
+    with ThreadPoolExecutor(max_workers=parallel) as pool:
+        list(pool.map(lambda n: write_csv(ex[n], layers.run_path("source", run_id, n)), ex))
 
 
 def load_bronze(wh: Warehouse) -> str:
@@ -96,7 +100,8 @@ def load_gold(wh: Warehouse) -> str:
             s["crm_sales_details"], lay.table(sp, "gold", "dim_customers", run_id),
             lay.table(sp, "gold", "dim_products", run_id)),
     }
-    run_id, audit = load_tables(sp, lay, "gold", steps, run_id=run_id)
+    run_id, audit = load_tables(sp, lay, "gold", steps, run_id=run_id,
+                                groups=[["dim_customers", "dim_products"], ["fact_sales"]])
     wh.audits.append(audit)
     wh.runs["gold"] = run_id
     return run_id
@@ -129,3 +134,29 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) ->
             wh = build_warehouse(spark, sf_dir, as_of)
             _CACHE[key] = wh
         return wh
+
+
+def register_views(wh: Warehouse, as_of: _dt.date | None = None) -> list[str]:
+    """Gold tables and both reports as temporary views (gold_dim_customers,
+    gold_dim_products, gold_fact_sales, gold_report_customers,
+    gold_report_products)."""
+    from layerstar.plans import reports as R
+    from layerstar.sources.io import register_views as _register
+    f, c, p = wh.gold("fact_sales"), wh.gold("dim_customers"), wh.gold("dim_products")
+    as_of = as_of or wh.as_of
+    frames = {"dim_customers": c, "dim_products": p, "fact_sales": f,
+              "report_customers": R.report_customers(f, c, as_of),
+              "report_products": R.report_products(f, p, as_of)}
+    _register(wh.spark, frames, prefix="gold_")
+    return ["gold_" + n for n in frames]
+
+
+def describe(wh: Warehouse, table: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """S9 over the warehouse: (tables, columns) listings for all three layers."""
+    from layerstar.sources.io import describe_columns, describe_tables
+    layered = {lay: wh.layer(lay) for lay in ("bronze", "silver", "gold")}
+    cols = None
+    for lay, frames in layered.items():
+        d = describe_columns(wh.spark, frames, table, lay)
+        cols = d if cols is None else cols.unionByName(d)
+    return describe_tables(wh.spark, layered), cols

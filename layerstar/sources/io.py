@@ -106,34 +106,53 @@ def new_run_id() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
+def _write_one(spark, layers, layer, run_id, table, build):
+    started, s0 = _dt.datetime.now(), time.perf_counter()
+    try:
+        obs = Observation(f"rows_{layer}_{table}_{uuid.uuid4().hex[:6]}")
+        df = build().observe(obs, F.count(F.lit(1)).alias("rows"))
+        write_full(df, layers.run_path(layer, run_id, table))
+        rows = int(obs.get.get("rows", 0))
+        return (run_id, layer, table, rows, started, _dt.datetime.now(),
+                time.perf_counter() - s0, "ok", None), None
+    except Exception as exc:  # noqa: BLE001 - recorded, then raised again
+        return (run_id, layer, table, None, started, _dt.datetime.now(),
+                time.perf_counter() - s0, "failed", str(exc)[:2000]), exc
+
+
 def load_tables(spark: SparkSession, layers: Layers, layer: str,
                 steps: Mapping[str, Callable[[], DataFrame]], run_id: str | None = None,
-                raise_errors: bool = True) -> tuple[str, DataFrame]:
+                raise_errors: bool = True, groups: list[list[str]] | None = None,
+                parallel: int = 4) -> tuple[str, DataFrame]:
     """Run one load: for every table build its DataFrame, write it (S2) and time
     it; then publish the run (S3) and append the audit rows (S4).
 
-    Rows are counted by an observation on the write itself, no extra scan.  On
-    an error the audit row is written first, then the error is raised again;
-    nothing of the failed run is published.
+    ``groups`` orders the tables: the groups run one after another, the tables
+    of a group are independent and are written by up to ``parallel`` concurrent
+    Spark jobs (small tables then share the cluster with a big one instead of
+    waiting for it).  By default all tables form one group.  Rows are counted by
+    an observation on the write itself, no extra scan.  On an error the audit
+    rows are written first, then the error is raised again; nothing of the
+    failed run is published.
     """
+    from concurrent.futures import ThreadPoolExecutor
+
     run_id = run_id or new_run_id()
+    groups = groups or [list(steps)]
     audit: list[tuple] = []
     batch_start = _dt.datetime.now()
     t0 = time.perf_counter()
     error: BaseException | None = None
-    for table, build in steps.items():
-        started, s0 = _dt.datetime.now(), time.perf_counter()
-        try:
-            obs = Observation(f"rows_{layer}_{table}_{uuid.uuid4().hex[:6]}")
-            df = build().observe(obs, F.count(F.lit(1)).alias("rows"))
-            write_full(df, layers.run_path(layer, run_id, table))
-            rows = int(obs.get.get("rows", 0))
-            audit.append((run_id, layer, table, rows, started, _dt.datetime.now(),
-                          time.perf_counter() - s0, "ok", None))
-        except Exception as exc:  # noqa: BLE001 - recorded, then raised again
-            audit.append((run_id, layer, table, None, started, _dt.datetime.now(),
-                          time.perf_counter() - s0, "failed", str(exc)[:2000]))
-            error = exc
+    for group in groups:
+        workers = max(1, min(parallel, len(group)))
+        with ThreadPoolExecutor(max_workers=workers) as pool:
+            done = list(pool.map(lambda t: _write_one(spark, layers, layer, run_id, t, steps[t]),
+                                 group))
+        for row, exc in done:
+            audit.append(row)
+            if exc is not None and error is None:
+                error = exc
+        if error is not None:
             break
     status = "ok" if error is None else "failed"
     audit.append((run_id, layer, "*", sum(a[3] or 0 for a in audit), batch_start,
