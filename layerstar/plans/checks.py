@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from layerstar.functions import clean as C
 from layerstar.operators import quality as Q
-from layerstar.plans.gold import customers_joined  # noqa: F401  (documented join of Q23)
 from layerstar.plans.silver import CUST_TEXT
 from layerstar.sources.schemas import BRONZE, MAX_LENGTH, SILVER
 

@@ -229,10 +229,10 @@ FROM (SELECT date_diff('day', sls_order_dt, sls_ship_dt) AS d FROM ss1)""")
 
 cte("ss2", ["ss1", "ss_avg"], """
 SELECT sls_ord_num, sls_prd_key, sls_cust_id,
-  coalesce(sls_order_dt, CAST(sls_ship_dt - avg_days AS DATE)) AS sls_order_dt,
+  coalesce(sls_order_dt, CAST(sls_ship_dt - (SELECT avg_days FROM ss_avg) AS DATE)) AS sls_order_dt,
   sls_order_dt AS parsed_order_dt, sls_ship_dt, sls_due_dt,
   NULLIF(sls_sales, 0) AS s, NULLIF(sls_quantity, 0) AS q, NULLIF(sls_price, 0) AS p
-FROM ss1 CROSS JOIN ss_avg""")
+FROM ss1""")
 
 REPAIR_SALES = "CAST(CASE WHEN s IS NULL OR s != q * p THEN q * p ELSE s END AS DECIMAL(18,2))"
 REPAIR_PRICE = ("CAST(CASE WHEN p IS NULL THEN "
@@ -549,7 +549,7 @@ SELECT product_key, product_name, category, subcategory, cost, last_sale_date,
        ELSE {xratio('total_sales', 'lifespan')} END AS avg_monthly_revenue,
   CASE WHEN t = 0 THEN CAST(0 AS DECIMAL(38,6))
        ELSE {xratio('total_sales', 't', 2, 2, 6)} END AS revenue_contribution
-FROM r2_agg CROSS JOIN (SELECT CAST(sum(total_sales) AS DECIMAL(38,2)) AS t FROM r2_agg)""",
+FROM (SELECT *, (SELECT CAST(sum(total_sales) AS DECIMAL(38,2)) FROM r2_agg) AS t FROM r2_agg)""",
               ["r2_agg"])
 
 # ---------------------------------------------------------------- Q
