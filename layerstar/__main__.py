@@ -2,7 +2,7 @@
 
     python -m layerstar refresh  --sf /root/testdata/sf0.01
     python -m layerstar checks   --sf /root/testdata/sf0.01 --layer silver
-    python -m layerstar query R1 --sf /root/testdata/sf0.01 [--rows 20]
+    python -m layerstar query A7 --sf /root/testdata/sf0.01 [--rows 20] [--display]
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ def main(argv=None) -> None:
     ap.add_argument("--layer", choices=["bronze", "silver", "gold"])
     ap.add_argument("--rows", type=int, default=20)
     ap.add_argument("--master", default=None)
+    ap.add_argument("--display", action="store_true", help="money and percent as text")
     a = ap.parse_args(argv)
 
     from layerstar.session import get_session
@@ -33,7 +34,9 @@ def main(argv=None) -> None:
         run_layer_checks(wh, a.layer).show(200, truncate=False)
     else:
         from layerstar.plans.catalog import queries
-        queries()[a.name](spark, a.sf).show(a.rows, truncate=False)
+        from layerstar.plans.display import display
+        df = queries()[a.name](spark, a.sf)
+        (display(a.name, df) if a.display else df).show(a.rows, truncate=False)
 
 
 if __name__ == "__main__":

@@ -54,6 +54,13 @@ def _fcp(wh):
     return wh.gold("fact_sales"), wh.gold("dim_customers"), wh.gold("dim_products")
 
 
+# ---------------------------------------------------------------- S
+@query("S8")
+def s8(wh):
+    from layerstar.sources.io import preview
+    return preview(wh.gold("dim_customers"), 10, order_by="customer_key")
+
+
 # ---------------------------------------------------------------- T steps
 @query("T1")
 def t1(wh):

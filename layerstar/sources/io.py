@@ -174,8 +174,12 @@ def register_views(spark: SparkSession, frames: Mapping[str, DataFrame], prefix:
         df.createOrReplaceTempView(prefix + name)
 
 
-def preview(df: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` rows (TOP (n) *)."""
+def preview(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
+    """The first ``n`` rows (TOP (n) *); with ``order_by`` the first by that
+    order (a top-n: each task keeps its n best, one small merge)."""
+    if order_by is not None:
+        cols = [order_by] if isinstance(order_by, str) else list(order_by)
+        return df.orderBy(*cols).limit(n)
     return df.limit(n)
 
 

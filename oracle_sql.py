@@ -338,6 +338,9 @@ SALES_CASE = ("CASE WHEN sales - prev_sales > 0 THEN '\U0001F7E2' WHEN sales - p
 
 Q: dict[str, str] = {}
 
+# ---------------------------------------------------------------- S
+Q["S8"] = sql("SELECT * FROM g_cust ORDER BY customer_key LIMIT 10", ["g_cust"])
+
 # ---------------------------------------------------------------- T
 Q["T1"] = sql("SELECT * FROM c_trim", ["c_trim"])
 Q["T2"] = sql(f"""SELECT cst_id, cst_marital_status,

@@ -121,3 +121,14 @@ def test_load_time_stamp(spark):
     out = C.with_load_time(C.load_categories(df), dt.datetime(2001, 9, 1))
     assert out.columns == ["id", "cat", "subcat", "maintenance", "dwh_create_dt"]
     assert out.first().dwh_create_dt == dt.datetime(2001, 9, 1)
+
+
+def test_display_formats(spark):
+    from decimal import Decimal as Dec
+    from layerstar.plans.display import display
+    df = spark.createDataFrame([("Bikes", Dec("1234.5"), Dec("2469"), Dec("50.00"))],
+                               "category string, total_sales decimal(38,2), grand_total decimal(38,2), "
+                               "sales_percentage decimal(38,2)")
+    r = display("A7", df).first()
+    assert (r.category, r.total_sales, r.grand_total, r.sales_percentage) == \
+        ("Bikes", "$1,234.50", "$2,469.00", "50.00%")
