@@ -65,12 +65,14 @@ def cumulative_price(f: DataFrame) -> DataFrame:
 
 
 def _product_years(f: DataFrame, p: DataFrame) -> DataFrame:
+    """Sales per (product name, year), SUM(ISNULL(sales, 0)); pre-aggregated on
+    (product key, year) before the dimension join."""
+    pre = f.groupBy("product_key", F.year("order_date").alias("order_year")) \
+           .agg(F.sum(F.coalesce("sales_amount", F.lit(0))).alias("__s"))
     d = p.select(F.col("product_key").alias("__pk"), "product_name")
-    j = f.select("product_key", "order_date", "sales_amount") \
-         .join(d, F.col("product_key") == F.col("__pk"), "left")
-    return j.groupBy(F.col("product_name").alias("product"),
-                     F.year("order_date").alias("order_year")) \
-            .agg(F.sum(F.coalesce("sales_amount", F.lit(0))).cast(MONEY_SUM).alias("sales"))
+    j = pre.join(d, pre["product_key"] == d["__pk"], "left")
+    return j.groupBy(F.col("product_name").alias("product"), "order_year") \
+            .agg(F.sum("__s").cast(MONEY_SUM).alias("sales"))
 
 
 def _trend(diff) -> F.Column:
@@ -101,10 +103,9 @@ def product_vs_average(f: DataFrame, p: DataFrame) -> DataFrame:
 
 def category_share(f: DataFrame, p: DataFrame) -> DataFrame:
     """Share of each category in all sales, in percent (2 places)."""
-    d = p.select(F.col("product_key").alias("__pk"), "category")
-    j = f.select("product_key", "sales_amount").join(d, F.col("product_key") == F.col("__pk"),
-                                                     "left")
-    g = j.groupBy("category").agg(money_sum("sales_amount").alias("total_sales"))
+    from layerstar.plans.explore import pre_aggregate_join
+    g = pre_aggregate_join(f, p, "product_key", {"total_sales": "sales_amount"}, ["category"])
+    g = g.withColumn("total_sales", F.col("total_sales").cast(MONEY_SUM))
     # the left join on the unique product key keeps every fact row once, so the
     # total over categories is one global sum over the fact (no second join)
     g = g.withColumn("grand_total", f.agg(money_sum("sales_amount")).scalar())
