@@ -163,5 +163,7 @@ def with_load_time(df: DataFrame, now: _dt.datetime | None = None) -> DataFrame:
 
     A wall-clock time without zone, like the warehouse's DATETIME, so the value
     does not move with the session time zone."""
-    ts = F.lit(now).cast("timestamp_ntz") if now is not None else F.localtimestamp()
+    # from text: a datetime literal would pass through a zoned instant first
+    ts = (F.lit(now.isoformat(sep=" ")).cast("timestamp_ntz") if now is not None
+          else F.localtimestamp())
     return df.withColumn("dwh_create_dt", ts)

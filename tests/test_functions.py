@@ -132,3 +132,13 @@ def test_display_formats(spark):
     r = display("A7", df).first()
     assert (r.category, r.total_sales, r.grand_total, r.sales_percentage) == \
         ("Bikes", "$1,234.50", "$2,469.00", "50.00%")
+
+
+def test_load_time_ignores_session_time_zone(spark):
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        df = spark.createDataFrame([("a", "b", "c", "d")], "id string, cat string, subcat string, maintenance string")
+        assert C.with_load_time(df, dt.datetime(2001, 9, 1)).first().dwh_create_dt == dt.datetime(2001, 9, 1)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
