@@ -115,6 +115,9 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], name: str,
        broadcast of proven size.
     3. key = offset of the bucket + row_number within the bucket.
 
+    Up to ``rows_per_bucket`` rows there is one bucket, and one ordered window
+    numbers them.
+
     The numbers equal the global row number when ``order_cols`` is a total
     order (end it with a unique column).  NULLs sort first, as in the warehouse.
     ``df`` must be deterministic (read from storage): it is scanned three times.
@@ -125,7 +128,9 @@ def surrogate_key(df: DataFrame, order_cols: Sequence[str], name: str,
     buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
     key = F.struct(*[F.col(c) for c in order_cols])
     if buckets == 1:
-        with_b = df.withColumn("__bucket", F.lit(0))
+        # at most rows_per_bucket rows (the count above proves it): one ordered
+        # window, no offsets to add
+        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
     else:
         frac = min(1.0, 64.0 * buckets / n)
         sample = (df.select(*order_cols).sample(False, frac, seed)

@@ -69,6 +69,18 @@ class Layers:
     def under(cls, spark: SparkSession, name: str = "warehouse") -> "Layers":
         return cls(f"{work_root(spark)}/{name}")
 
+    @property
+    def bronze(self) -> str:
+        return f"{self.root}/bronze"
+
+    @property
+    def silver(self) -> str:
+        return f"{self.root}/silver"
+
+    @property
+    def gold(self) -> str:
+        return f"{self.root}/gold"
+
     def run_path(self, layer: str, run_id: str, table: str) -> str:
         return f"{self.root}/{layer}/runs/{run_id}/{table}"
 

@@ -58,3 +58,28 @@ def test_newest_row_per_key_is_an_aggregate(spark, qs):
     plan = executed(qs["T3"](spark, SF_SMALL))
     assert "Window" not in plan
     assert plan.count("Aggregate") >= 2          # partial (map side) + final
+
+
+def test_refresh_plans_have_no_cartesian(spark, qs):
+    from layerstar.plans import gold as G
+    from layerstar.plans.silver import silver_steps
+    from layerstar.plans.warehouse import LOAD_TIME, warehouse_for
+    wh = warehouse_for(spark, SF_SMALL)
+    builds = dict(silver_steps(wh.layer("bronze"), wh.as_of, LOAD_TIME))
+    stage = wh.layers.run_path("gold_stage", wh.runs["gold"], "stage_customers")
+    builds["numbering"] = lambda: G.add_customer_key(spark.read.parquet(stage))
+    builds["fact"] = lambda: G.fact_sales(wh.silver("crm_sales_details"), wh.gold("dim_customers"),
+                                          wh.gold("dim_products"))
+    for name, b in builds.items():
+        plan = executed(b())
+        assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), name
+
+
+def test_bucketed_numbering_plan(spark):
+    from pyspark.sql import functions as F
+    from layerstar.operators.rows import surrogate_key
+    df = spark.range(0, 5000).withColumn("x", F.col("id") % 3)
+    plan = executed(surrogate_key(df, ["x", "id"], "k", rows_per_bucket=500))
+    assert "BroadcastHashJoin" in plan                     # offsets: a keyed broadcast
+    assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
+    assert re.search(r"Exchange hashpartitioning\(__bucket", plan)   # rows spread by bucket
