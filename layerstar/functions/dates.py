@@ -36,9 +36,9 @@ def year_diff(start, end) -> Column:
 def parse_yyyymmdd(c) -> Column:
     """An 8-character ``yyyyMMdd`` text to a date, anything else to NULL.
 
-    The length test ignores trailing spaces, as LEN does."""
-    c = _c(c)
-    return F.when(F.length(F.rtrim(c)) == 8, F.try_to_date(c, "yyyyMMdd"))
+    Trailing spaces are ignored, as LEN and the date cast do."""
+    c = F.rtrim(_c(c))
+    return F.when(F.length(c) == 8, F.try_to_date(c, "yyyyMMdd"))
 
 
 def as_date_lit(as_of) -> Column:

@@ -48,7 +48,7 @@ def xratio(a: str, b: str, a_scale: int = 2, b_scale: int = 0, places: int = 4)
 
 
 def _pd(c: str) -> str:
-    return f"(CASE WHEN length(rtrim({c})) = 8 THEN CAST(try_strptime({c}, '%Y%m%d') AS DATE) END)"
+    return f"(CASE WHEN length(rtrim({c})) = 8 THEN CAST(try_strptime(rtrim({c}), '%Y%m%d') AS DATE) END)"
 
 
 def _versions(*conds: str) -> str:
