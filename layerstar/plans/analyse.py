@@ -25,7 +25,7 @@ def sales_by_year(f: DataFrame) -> DataFrame:
     return f.groupBy(F.year("order_date").alias("order_year")).agg(
         money_sum("sales_amount").alias("total_sales"),
         F.countDistinct("customer_key").alias("total_customers"),
-        F.sum("quantity").cast("bigint").alias("total_quantity"))
+        F.sum("quantity").cast("bigint").alias("total_quantity")).orderBy("order_year")
 
 
 def sales_by_month(f: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def sales_by_month(f: DataFrame) -> DataFrame:
               F.sum("quantity").cast("bigint").alias("total_quantity"))
     w = Window.orderBy(F.col("total_sales").desc_nulls_last(), F.col("m").asc_nulls_first())
     return g.select("order_month", "total_sales", "total_customers", "total_quantity",
-                    F.row_number().over(w).alias("sales_rank"))
+                    F.row_number().over(w).alias("sales_rank"), "m").orderBy("m").drop("m")
 
 
 def _by_year(f: DataFrame) -> DataFrame:
@@ -51,7 +51,7 @@ def running_sales(f: DataFrame) -> DataFrame:
               .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return _by_year(f).select("order_year", "total_sales",
                               F.sum("total_sales").over(w).cast(MONEY_SUM)
-                              .alias("running_total_sales"))
+                              .alias("running_total_sales")).orderBy("order_year")
 
 
 def cumulative_price(f: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def cumulative_price(f: DataFrame) -> DataFrame:
               .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return y.select("order_year", ratio("__ps", "__pn").alias("avg_price"),
                     F.round(F.avg("__avg").over(w), PLACES).cast(f"decimal(38,{PLACES})")
-                    .alias("moving_avg_price"))
+                    .alias("moving_avg_price")).orderBy("order_year")
 
 
 def _product_years(f: DataFrame, p: DataFrame) -> DataFrame:
@@ -86,7 +86,8 @@ def product_yoy(f: DataFrame, p: DataFrame) -> DataFrame:
     y = _product_years(f, p).withColumn("prev_sales", F.lag("sales").over(w))
     diff = F.col("sales") - F.col("prev_sales")
     return y.select("order_year", "product", "sales", "prev_sales",
-                    diff.cast(MONEY_SUM).alias("yoy_change"), _trend(diff).alias("yoy_trend"))
+                    diff.cast(MONEY_SUM).alias("yoy_change"), _trend(diff).alias("yoy_trend")) \
+            .orderBy("product", "order_year")
 
 
 def product_vs_average(f: DataFrame, p: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def product_vs_average(f: DataFrame, p: DataFrame) -> DataFrame:
     avg = ratio("__s", "__n")
     return y.select("order_year", "product", "sales", avg.alias("avg_sales"),
                     ratio(gap, "__n").alias("variance"),
-                    _trend(gap).alias("performance_trend"))
+                    _trend(gap).alias("performance_trend")).orderBy("product", "order_year")
 
 
 def category_share(f: DataFrame, p: DataFrame) -> DataFrame:
@@ -125,7 +126,8 @@ def cost_range_label(cost, edges=(100, 500, 1000)) -> F.Column:
 def products_by_cost_range(p: DataFrame, edges=(100, 500, 1000)) -> DataFrame:
     """A8"""
     return p.groupBy(cost_range_label("cost", edges).alias("cost_range")) \
-            .agg(F.count("product_key").alias("total_products"))
+            .agg(F.count("product_key").alias("total_products")) \
+            .orderBy(F.desc("total_products"), F.asc("cost_range"))
 
 
 def customer_segment(lifespan, sales, months: int = 12, spend: float = 5000) -> F.Column:
@@ -143,7 +145,8 @@ def customers_by_segment(f: DataFrame, months: int = 12, spend: float = 5000) ->
         F.sum("sales_amount").alias("spend"))
     return per.groupBy(customer_segment("lifespan", "spend", months, spend)
                        .alias("customer_segment")) \
-              .agg(F.count("customer_key").alias("total_customers"))
+              .agg(F.count("customer_key").alias("total_customers")) \
+              .orderBy(F.desc("total_customers"), F.asc("customer_segment"))
 
 
 __all__ = ["sales_by_year", "sales_by_month", "running_sales", "cumulative_price",

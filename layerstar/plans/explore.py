@@ -1,5 +1,8 @@
 """Exploration queries over the star schema.
 
+Results come in the reference's order (ORDER BY ... with NULL lowest, ties
+broken by the group), a distributed sort over the small aggregated result.
+
 ``f``, ``c``, ``p`` are fact_sales, dim_customers, dim_products.  Amounts stay
 numbers (decimal sums, means rounded to 4 places); ``fmt.money`` etc. turn them
 into the display text as a last step (E11 does so, as its result is a sheet).
@@ -106,22 +109,26 @@ def key_metrics(f: DataFrame, c: DataFrame, p: DataFrame) -> DataFrame:
 
 def customers_by_country(c: DataFrame) -> DataFrame:
     """E12"""
-    return c.groupBy("country").agg(F.count("customer_key").alias("total_customers"))
+    return c.groupBy("country").agg(F.count("customer_key").alias("total_customers")) \
+            .orderBy(F.desc("total_customers"), F.asc("country"))
 
 
 def customers_by_gender(c: DataFrame) -> DataFrame:
     """E13"""
-    return c.groupBy("gender").agg(F.count("customer_key").alias("total_customers"))
+    return c.groupBy("gender").agg(F.count("customer_key").alias("total_customers")) \
+            .orderBy(F.desc("total_customers"), F.asc("gender"))
 
 
 def products_by_category(p: DataFrame) -> DataFrame:
     """E14"""
-    return p.groupBy("category").agg(F.count("product_id").alias("total_products"))
+    return p.groupBy("category").agg(F.count("product_id").alias("total_products")) \
+            .orderBy(F.desc("total_products"), F.asc("category"))
 
 
 def cost_by_category(p: DataFrame) -> DataFrame:
     """Mean cost per category."""
-    return p.groupBy("category").agg(mean("cost").alias("avg_cost"))
+    return p.groupBy("category").agg(mean("cost").alias("avg_cost")) \
+            .orderBy(F.desc("avg_cost"), F.asc("category"))
 
 
 def pre_aggregate_join(f: DataFrame, dim: DataFrame, key: str, sums: dict[str, str],
@@ -143,7 +150,8 @@ def pre_aggregate_join(f: DataFrame, dim: DataFrame, key: str, sums: dict[str, s
 def revenue_by_category(f: DataFrame, p: DataFrame) -> DataFrame:
     """E16"""
     g = pre_aggregate_join(f, p, "product_key", {"total_revenue": "sales_amount"}, ["category"])
-    return g.select("category", F.col("total_revenue").cast("decimal(38,2)"))
+    return g.select("category", F.col("total_revenue").cast("decimal(38,2)")) \
+            .orderBy(F.desc("total_revenue"), F.asc("category"))
 
 
 def revenue_by_customer(f: DataFrame, c: DataFrame) -> DataFrame:
@@ -153,14 +161,16 @@ def revenue_by_customer(f: DataFrame, c: DataFrame) -> DataFrame:
                            ["ck", "firstname", "lastname"])
     return g.select(full_name("firstname", "lastname").alias("customer"),
                     F.col("ck").alias("customer_key"),
-                    F.col("total_revenue").cast("decimal(38,2)"))
+                    F.col("total_revenue").cast("decimal(38,2)")) \
+            .orderBy(F.desc("total_revenue"), F.asc("customer_key"))
 
 
 def items_by_country(f: DataFrame, c: DataFrame) -> DataFrame:
     """E18"""
     g = pre_aggregate_join(f, c, "customer_key", {"sold_items_distribution": "quantity"},
                            ["country"])
-    return g.select("country", F.col("sold_items_distribution").cast("bigint"))
+    return g.select("country", F.col("sold_items_distribution").cast("bigint")) \
+            .orderBy(F.desc("sold_items_distribution"), F.asc("country"))
 
 
 def _revenue_by_product_name(f: DataFrame, p: DataFrame) -> DataFrame:
