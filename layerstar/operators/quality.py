@@ -158,7 +158,7 @@ def birthdate_bounds(df: DataFrame, col: str, as_of, low: str = "1925-01-01") ->
     hi = as_date_lit(as_of)
     return df.where((d < F.lit(low).cast("date")) | (d > hi)).select(
         F.col(col).alias("bdate_old"),
-        F.when(d > hi, None).otherwise(d).alias("validated_bdate"))
+        F.when(d > hi, None).otherwise(d).alias("validated_bdate")).orderBy("bdate_old")
 
 
 def standardisation_map(df: DataFrame, col: str, fn: Callable[[Column], Column]) -> DataFrame:
