@@ -608,5 +608,52 @@ def q31(wh):
     return Q.history_of(b, "prd_key", "prd_start_dt")
 
 
+# ---------------------------------------------------------------- second instances
+# (the same checks on the other tables of the layer check scripts)
+@query("Q1_silver")
+def q1s(wh):
+    return Q.duplicate_or_null_key(_s(wh, "crm_cust_info"), "cst_id")
+
+
+@query("Q3_silver")
+def q3s(wh):
+    return Q.untrimmed(_s(wh, "crm_cust_info"), CUST_TEXT)
+
+
+@query("Q10_loc")
+def q10l(wh):
+    loc = _b(wh, "erp_loc_a101").select(C.strip_hyphen("cid").alias("cid"))
+    return Q.orphans(loc, "cid", _s(wh, "erp_cust_az12"), "cid")
+
+
+@query("Q11_loc")
+def q11l(wh):
+    return Q.not_in(_s(wh, "erp_loc_a101"), "cid", _s(wh, "erp_cust_az12"), "cid")
+
+
+@query("Q13_bdate")
+def q13b(wh):
+    return Q.unparsable_dates(_b(wh, "erp_cust_az12"), "bdate", fmt=None)
+
+
+@query("Q17_silver")
+def q17s(wh):
+    return Q.length_histogram(_s(wh, "erp_cust_az12"), "cid")
+
+
+@query("Q21_sales")
+def q21s(wh):
+    return Q.row_count_parity(_b(wh, "crm_sales_details"), _s(wh, "crm_sales_details"))
+
+
+@query("Q23_products")
+def q23p(wh):
+    prd, cat = _s(wh, "crm_prd_info"), _s(wh, "erp_px_cat_g1v2")
+    pj = prd.where(F.col("prd_end_dt").isNull()).alias("pi") \
+            .join(cat.alias("pc"), F.col("pi.cat_id") == F.col("pc.id"), "left") \
+            .select(F.col("pi.prd_key").alias("prd_key"))
+    return Q.join_fan_out(pj, "prd_key")
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

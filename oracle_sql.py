@@ -640,6 +640,26 @@ FROM b_prd b LEFT JOIN (
 ON b.prd_key IS NOT DISTINCT FROM e.prd_key AND b.prd_start_dt IS NOT DISTINCT FROM e.prd_start_dt""",
                ["b_prd"])
 
+# second instances of the checks
+Q["Q1_silver"] = sql("""SELECT cst_id, count(*) AS cnt FROM s_cust GROUP BY cst_id
+  HAVING count(*) > 1 OR cst_id IS NULL""", ["s_cust"])
+Q["Q3_silver"] = sql("""SELECT cst_key, cst_firstname, cst_lastname, cst_marital_status, cst_gndr
+  FROM s_cust WHERE cst_key != trim(cst_key) OR cst_firstname != trim(cst_firstname)
+  OR cst_lastname != trim(cst_lastname) OR cst_marital_status != trim(cst_marital_status)
+  OR cst_gndr != trim(cst_gndr)""", ["s_cust"])
+Q["Q10_loc"] = sql("""SELECT c.cid FROM (SELECT replace(cid, '-', '') AS cid FROM b_loc) c
+  WHERE NOT EXISTS (SELECT 1 FROM s_az12 s WHERE s.cid = c.cid)""", ["b_loc", "s_az12"])
+Q["Q11_loc"] = sql("""SELECT * FROM s_loc WHERE cid NOT IN (SELECT cid FROM s_az12)""",
+                   ["s_loc", "s_az12"])
+Q["Q13_bdate"] = sql("SELECT * FROM b_az12 WHERE TRY_CAST(bdate AS DATE) IS NULL", ["b_az12"])
+Q["Q17_silver"] = sql("""SELECT CAST(length(rtrim(cid)) AS INTEGER) AS len, count(*) AS occurrence
+  FROM s_az12 GROUP BY 1""", ["s_az12"])
+Q["Q21_sales"] = sql("""SELECT 'bronze' AS layer, count(*) AS row_num FROM b_sales
+  UNION ALL SELECT 'silver' AS layer, count(*) AS row_num FROM s_sales""", ["b_sales", "s_sales"])
+Q["Q23_products"] = sql("""SELECT pi.prd_key, count(*) AS cnt FROM s_prd pi
+  LEFT JOIN s_cat pc ON pi.cat_id = pc.id WHERE pi.prd_end_dt IS NULL
+  GROUP BY pi.prd_key HAVING count(*) > 1""", ["s_prd", "s_cat"])
+
 
 def oracle_sql() -> dict[str, str]:
     return dict(Q)
