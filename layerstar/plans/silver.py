@@ -67,6 +67,22 @@ def load_sales_details(b: DataFrame, now: _dt.datetime | None = None) -> DataFra
     return C.with_load_time(out, now)
 
 
+MEASURES = {"sls_sales": C.MONEY, "sls_quantity": "int", "sls_price": C.MONEY}
+
+
+def split_bad_measures(b: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Quarantine option: (rows whose measures parse, rows with a
+    measure text that does not parse, with the reason).
+
+    By default the sales load stops on such a row, as the warehouse's CAST
+    does; with ``quarantine=True`` the rows are kept aside in their own table
+    instead of stopping the load.  No row is dropped either way."""
+    bad = {c: F.col(c).isNotNull() & F.trim(F.col(c)).try_cast(t).isNull() for c, t in MEASURES.items()}
+    any_bad = bad["sls_sales"] | bad["sls_quantity"] | bad["sls_price"]
+    reason = F.concat_ws(", ", *[F.when(cond, F.lit(f"{c} does not parse")) for c, cond in bad.items()])
+    return b.where(~any_bad), b.where(any_bad).withColumn("reason", reason)
+
+
 def load_cust_az12(b: DataFrame, as_of, now: _dt.datetime | None = None) -> DataFrame:
     """L4: T17, T18, T19, T23."""
     out = b.select(C.strip_prefix("cid", "NAS").alias("cid"),
@@ -86,9 +102,14 @@ def load_px_cat(b: DataFrame, now: _dt.datetime | None = None) -> DataFrame:
     return C.with_load_time(C.load_categories(b), now)
 
 
-def silver_steps(bronze: Mapping[str, DataFrame], as_of, now=None):
-    """The six loads as lazy builders, in load order."""
-    return {
+def silver_steps(bronze: Mapping[str, DataFrame], as_of, now=None, quarantine: bool = False):
+    """The six loads as lazy builders, in load order.  With ``quarantine`` the
+    sales rows whose measures do not parse go to ``crm_sales_details_quarantine``
+    instead of stopping the load."""
+    if quarantine:
+        good, bad = split_bad_measures(bronze["crm_sales_details"])
+        bronze = {**bronze, "crm_sales_details": good}
+    steps = {
         "crm_cust_info": lambda: load_cust_info(bronze["crm_cust_info"], now),
         "crm_prd_info": lambda: load_prd_info(bronze["crm_prd_info"], now),
         "crm_sales_details": lambda: load_sales_details(bronze["crm_sales_details"], now),
@@ -96,3 +117,6 @@ def silver_steps(bronze: Mapping[str, DataFrame], as_of, now=None):
         "erp_loc_a101": lambda: load_loc_a101(bronze["erp_loc_a101"], now),
         "erp_px_cat_g1v2": lambda: load_px_cat(bronze["erp_px_cat_g1v2"], now),
     }
+    if quarantine:
+        steps["crm_sales_details_quarantine"] = lambda: C.with_load_time(bad, now)
+    return steps

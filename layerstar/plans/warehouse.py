@@ -78,10 +78,14 @@ def load_bronze(wh: Warehouse) -> str:
     return run_id
 
 
-def load_silver(wh: Warehouse, now: _dt.datetime | None = LOAD_TIME) -> str:
-    """Entry point 1, silver: L1-L6 over the published bronze load."""
+def load_silver(wh: Warehouse, now: _dt.datetime | None = LOAD_TIME,
+                quarantine: bool = False) -> str:
+    """Entry point 1, silver: L1-L6 over the published bronze load.  By default
+    a sales row whose amounts do not parse stops the load; ``quarantine=True``
+    writes such rows to ``crm_sales_details_quarantine`` instead."""
     bronze = wh.layer("bronze")
-    run_id, audit = load_tables(wh.spark, wh.layers, "silver", silver_steps(bronze, wh.as_of, now))
+    run_id, audit = load_tables(wh.spark, wh.layers, "silver",
+                                silver_steps(bronze, wh.as_of, now, quarantine))
     wh.audits.append(audit)
     wh.runs["silver"] = run_id
     return run_id

@@ -64,3 +64,18 @@ def test_views_preview_listings(spark):
     cols = describe_columns(spark, frames, table="fact_y", layer="gold").collect()
     assert [(c.column_name, c.data_type) for c in cols] == [("k", "bigint"), ("v", "string")]
     assert describe_tables(spark, {"gold": frames}).count() == 2
+
+
+def test_bad_amounts_stop_the_load_or_go_to_quarantine(spark):
+    import datetime as _dt
+    from layerstar.plans.silver import load_sales_details, silver_steps
+    rows = [("SO1", "PK-1", 1, "20100101", "20100105", "20100110", "10.00", "2", "5.00"),
+            ("SO2", "PK-2", 2, "20100101", "20100105", "20100110", "ten", "2", "5.00")]
+    b = spark.createDataFrame(rows, BRONZE["crm_sales_details"])
+    with pytest.raises(Exception):
+        load_sales_details(b).collect()
+    empty = {t: spark.createDataFrame([], s) for t, s in BRONZE.items()}
+    steps = silver_steps({**empty, "crm_sales_details": b}, _dt.date(2001, 9, 1), quarantine=True)
+    assert [r.sls_ord_num for r in steps["crm_sales_details"]().collect()] == ["SO1"]
+    q = steps["crm_sales_details_quarantine"]().collect()
+    assert [(r.sls_ord_num, r.reason) for r in q] == [("SO2", "sls_sales does not parse")]
