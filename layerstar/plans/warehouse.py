@@ -170,9 +170,10 @@ def register_views(wh: Warehouse, as_of: _dt.date | None = None) -> list[str]:
 def describe(wh: Warehouse, table: str | None = None) -> tuple[DataFrame, DataFrame]:
     """S9 over the warehouse: (tables, columns) listings for all three layers."""
     from layerstar.sources.io import describe_columns, describe_tables
+    from layerstar.sources.schemas import MAX_LENGTH
     layered = {lay: wh.layer(lay) for lay in ("bronze", "silver", "gold")}
     cols = None
     for lay, frames in layered.items():
-        d = describe_columns(wh.spark, frames, table, lay)
+        d = describe_columns(wh.spark, frames, table, lay, MAX_LENGTH.get(lay))
         cols = d if cols is None else cols.unionByName(d)
     return describe_tables(wh.spark, layered), cols

@@ -196,19 +196,24 @@ def preview(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
 
 
 def describe_columns(spark: SparkSession, frames: Mapping[str, DataFrame],
-                     table: str | None = None, layer: str | None = None) -> DataFrame:
-    """One row per column: table, position, name, type, nullability.
+                     table: str | None = None, layer: str | None = None,
+                     max_length: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+    """One row per column: table, position, name, type, declared text
+    length (when ``max_length`` knows it), nullability.
 
     Schemas live on the driver already (no data is read)."""
     rows = []
     for name, df in frames.items():
         if table is not None and name != table:
             continue
+        lengths = (max_length or {}).get(name, {})
         for i, f in enumerate(df.schema.fields, start=1):
-            rows.append((layer, name, i, f.name, f.dataType.simpleString(), f.nullable))
+            rows.append((layer, name, i, f.name, f.dataType.simpleString(), lengths.get(f.name),
+                         f.nullable))
     return spark.createDataFrame(
         rows, "table_schema string, table_name string, ordinal_position int, "
-              "column_name string, data_type string, is_nullable boolean")
+              "column_name string, data_type string, character_maximum_length int, "
+              "is_nullable boolean")
 
 
 def describe_tables(spark: SparkSession, layered: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:

@@ -76,6 +76,8 @@ def test_views_and_listings(wh, spark):
     tables, cols = describe(wh, "crm_cust_info")
     assert tables.count() == 15
     assert cols.where("table_schema = 'silver' AND column_name = 'dwh_create_dt'").count() == 1
+    gndr = cols.where("table_schema = 'silver' AND column_name = 'cst_gndr'").first()
+    assert gndr.character_maximum_length == 10 and gndr.data_type == "string"
 
 
 def test_bucketed_keys_on_real_dimensions(wh, spark):
