@@ -416,13 +416,14 @@ def a9(wh):
 @query("R1")
 def r1(wh):
     f, c, p = _fcp(wh)
-    return R.report_customers(f, c, AS_OF, CUSTOMER_MONTHS, CUSTOMER_SPEND)
+    # gold fact keys are looked up in these same dimensions (G5): NULL or present
+    return R.report_customers(f, c, AS_OF, CUSTOMER_MONTHS, CUSTOMER_SPEND, keys_from_dim=True)
 
 
 @query("R2")
 def r2(wh):
     f, c, p = _fcp(wh)
-    return R.report_products(f, p, AS_OF, PRODUCT_HIGH, PRODUCT_MID)
+    return R.report_products(f, p, AS_OF, PRODUCT_HIGH, PRODUCT_MID, keys_from_dim=True)
 
 
 # ---------------------------------------------------------------- Q checks

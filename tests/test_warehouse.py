@@ -92,3 +92,12 @@ def test_bucketed_keys_on_real_dimensions(wh, spark):
         ref = df.withColumn("r", F.row_number().over(w))
         key = order[-1]
         assert got.join(ref, key).where("k != r").count() == 0, stage
+
+
+def test_reports_same_with_and_without_key_resolution(wh):
+    from layerstar.plans import reports as R
+    from layerstar.plans.warehouse import AS_OF
+    f, c, p = wh.gold("fact_sales"), wh.gold("dim_customers"), wh.gold("dim_products")
+    for a, b in ((R.report_customers(f, c, AS_OF), R.report_customers(f, c, AS_OF, keys_from_dim=True)),
+                 (R.report_products(f, p, AS_OF), R.report_products(f, p, AS_OF, keys_from_dim=True))):
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
