@@ -83,3 +83,19 @@ def test_bucketed_numbering_plan(spark):
     assert "BroadcastHashJoin" in plan                     # offsets: a keyed broadcast
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
     assert re.search(r"Exchange hashpartitioning\(__bucket", plan)   # rows spread by bucket
+
+
+def test_pre_aggregation_shuffles_the_fact_once_without_broadcast(spark, qs):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = executed(qs["E16"](spark, SF_SMALL))
+        assert "SortMergeJoin" in plan
+        # the fact side: partial sum -> one exchange on product_key -> final sum -> join
+        assert len(re.findall(r"Exchange hashpartitioning\(product_key", plan)) == 1
+        assert re.search(r"partial_sum\(sales_amount(#\d+)?\)", plan)
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
