@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -27,6 +30,22 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` with this package sent to the executors, once per application."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        scratch = tempfile.mkdtemp(prefix="layerstar-code-")    # on the driver; Spark sends the file out
+        spark.sparkContext.addPyFile(shutil.make_archive(
+            os.path.join(scratch, "layerstar"), "zip", os.path.dirname(package), os.path.basename(package)))
+        _shipped.add(app)
+    return df.mapInArrow(fn, schema)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

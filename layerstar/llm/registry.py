@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstar.llm import packing, sharding
+from layerstar.llm import near_dup, packing, sharding
 from layerstar.llm.common import read_table
 
 N_SHARDS = 24
@@ -24,8 +24,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), LENGTH_BUCKETS, TOKEN_BUDGET)
 
 
+def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_packing)}
+    return {f.__name__: f for f in (op2_sharding, op3_packing, op5_near_dup)}
 
 
 def oracle_sql() -> dict[str, str]:
