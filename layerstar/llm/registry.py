@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstar.llm import near_dup, packing, sharding
+from layerstar.llm import near_dup, packing, sharding, substring_dedup
 from layerstar.llm.common import read_table
 
 N_SHARDS = 24
@@ -28,8 +28,14 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return d.select("doc_id", "text", "n_sentences", "n_removed")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_packing, op5_near_dup)}
+    return {f.__name__: f for f in (op2_sharding, op3_packing, op5_near_dup,
+                                   op7_substring_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
