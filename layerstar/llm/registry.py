@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstar.llm import near_dup, packing, sharding, substring_dedup
+from layerstar.llm import decontaminate, near_dup, oracle, packing, sharding, substring_dedup
 from layerstar.llm.common import read_table
 
 N_SHARDS = 24
@@ -33,10 +33,17 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", "text", "n_sentences", "n_removed")
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = decontaminate.contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return d.select("doc_id", "n_words", "n_hit", "n_items",
+                    F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                    decontaminate.contaminated().alias("contaminated"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op2_sharding, op3_packing, op5_near_dup,
-                                   op7_substring_dedup)}
+                                   op7_substring_dedup, op8_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_decontamination": oracle.OP8}
