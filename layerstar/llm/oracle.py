@@ -32,3 +32,43 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS B
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)
 """
+
+
+def _level(name: str, parent: str) -> str:
+    """Posterior means of one level, shrunk towards its parent's by the beta-binomial moments."""
+    prior = "(SELECT coalesce(sum(bad) / sum(n), 0) FROM hosts)" if not parent else "p.mean"
+    join = f"JOIN post_{parent} p ON g.{parent} = p.name" if parent else ""
+    keys = f"{parent}, {name}" if parent else name
+    return f"""
+grp_{name} AS (SELECT {keys}, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
+prior_{name} AS (SELECT g.{name} AS name, g.n, g.bad, {prior} AS prior FROM grp_{name} g {join}),
+weight_{name} AS (
+  SELECT 1 / least(greatest(CASE WHEN sum(n - 1) > 0 THEN
+    (sum(CASE WHEN prior * (1 - prior) > 0 THEN n * pow(bad / n - prior, 2) / (prior * (1 - prior)) ELSE 1 END)
+     - count(*)) / sum(n - 1) ELSE 0 END, 0.001), 0.5) - 1 AS w FROM prior_{name}),
+post_{name} AS (SELECT name, bad + w * prior AS a, n - bad + w * (1 - prior) AS b,
+                       (bad + w * prior) / (n + w) AS mean FROM prior_{name}, weight_{name})"""
+
+
+OP1 = f"""
+WITH urls AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+              FROM pages),
+parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
+                 regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
+hosts AS (SELECT host, list_last(string_split(host, '.')) AS suffix,
+                 array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS domain,
+                 CAST(count(*) AS DOUBLE) AS n, CAST(sum(1 - quality) AS DOUBLE) AS bad
+          FROM parts JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL GROUP BY host),
+{_level('suffix', '')}, {_level('domain', 'suffix')}, {_level('host', 'domain')},
+verdicts AS (SELECT name AS host, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / pow(a + b, 2) / (a + b + 1)) > 0.25
+                                       THEN 'block' ELSE 'allow' END AS verdict FROM post_host),
+ruled AS (SELECT page_id, host, path, CASE
+  WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
+  WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
+  WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
+  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM parts)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
+  WHEN rule IS NOT NULL THEN 'block' ELSE coalesce(verdict, 'allow') END AS verdict
+FROM ruled LEFT JOIN verdicts USING (host)
+"""

@@ -7,13 +7,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstar.llm import decontaminate, near_dup, oracle, packing, sharding, substring_dedup
+from layerstar.llm import (decontaminate, html_text, near_dup, oracle, packing, sharding,
+                           substring_dedup, url_filter)
 from layerstar.llm.common import read_table
 
 N_SHARDS = 24
 LENGTH_BUCKETS, TOKEN_BUDGET = 16, 65536
 
 
+#: Fixed by the query's contract.
+URL_RULES = (("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"),
+             ("net/es/", "block"), ("net/fr/", "block"))
+
+
+def op1_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page's outcome is the quality label of its number: 0 is bad."""
+    outcomes = read_table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("page_id"), (F.lit(1) - F.col("quality")).alias("bad"))
+    judged = url_filter.judge_urls(read_table(spark, sf_dir, "pages"), outcomes, URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = sharding.shard_by_bytes(read_table(spark, sf_dir, "documents"), N_SHARDS)
     return s.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -24,6 +38,10 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), LENGTH_BUCKETS, TOKEN_BUDGET)
 
 
+def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
@@ -41,9 +59,9 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_sharding, op3_packing, op5_near_dup,
+    return {f.__name__: f for f in (op1_url_filter, op2_sharding, op3_packing, op4_html_text, op5_near_dup,
                                    op7_substring_dedup, op8_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontamination": oracle.OP8}
+    return {"op1_url_filter": oracle.OP1, "op8_decontamination": oracle.OP8}
