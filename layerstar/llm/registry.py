@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerstar.llm import (decontaminate, html_text, near_dup, oracle, packing, sharding,
-                           substring_dedup, url_filter)
+                           substring_dedup, url_filter, vector_dup)
 from layerstar.llm.common import read_table
 
 N_SHARDS = 24
@@ -46,6 +46,10 @@ def op5_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+def op6_vector_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_dup.link_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
     return d.select("doc_id", "text", "n_sentences", "n_removed")
@@ -60,7 +64,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_sharding, op3_packing, op4_html_text, op5_near_dup,
-                                   op7_substring_dedup, op8_decontamination)}
+                                   op6_vector_dup, op7_substring_dedup, op8_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
