@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstar.llm import (decontaminate, html_text, near_dup, oracle, packing, sharding,
+from layerstar.llm import (decontaminate, html_text, language_id, near_dup, oracle, packing, quality, sharding,
                            substring_dedup, url_filter, vector_dup)
 from layerstar.llm.common import read_table
 
@@ -62,9 +62,33 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                     decontaminate.contaminated().alias("contaminated"))
 
 
+def held_out() -> Column:
+    """The third of the documents that no label may be learned from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = language_id.fit(docs.filter(~F.col("held_out")))
+    return language_id.predict(docs, model, keep=("doc_id", "held_out"))
+
+
+def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model | None:
+    """Learn ``quality`` from the labels of the documents that are not held out."""
+    return quality.fit(docs, labels.filter(~held_out()).select("doc_id", "quality"))
+
+
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out())
+    model = quality_model(docs, read_table(spark, sf_dir, "labels"))
+    scored = quality.score(docs, model, keep=("doc_id", "held_out"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_sharding, op3_packing, op4_html_text, op5_near_dup,
-                                   op6_vector_dup, op7_substring_dedup, op8_decontamination)}
+                                   op6_vector_dup, op7_substring_dedup, op8_decontamination,
+                                   op9_language_id, op10_quality)}
 
 
 def oracle_sql() -> dict[str, str]:

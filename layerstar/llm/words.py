@@ -68,7 +68,8 @@ class Words:
         return len(self.first) - 1
 
 
-def _bytes_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(where each text begins, one more than texts; the bytes) of an Arrow string array."""
     texts = texts.cast(pa.large_string()).fill_null("")
     at = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset:texts.offset + len(texts) + 1]
     buf = texts.buffers()[2]
@@ -80,7 +81,7 @@ def word_groups(texts: pa.Array, kept: np.ndarray) -> Iterator[Words]:
     """The words of every text of an Arrow string array; NULL has none."""
     if len(texts) == 0:
         return
-    at, data = _bytes_of(texts)
+    at, data = text_bytes(texts)
     row = 0
     while row < len(texts):
         stop = int(np.searchsorted(at, at[row] + GROUP_BYTES, side="right")) - 1
