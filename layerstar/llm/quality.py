@@ -198,26 +198,26 @@ def fit(docs: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: s
     return train([np.array(r["features"]).reshape(-1, len(FEATURES)) for r in found], [r["label"] for r in found])
 
 
-def _score_batches(model: Model | None) -> Callable:
+def _score_batches(model: Model | None, text: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(text, *rest) -> (*rest, score)."""
+        """The batch's columns, the one at ``text`` being the text, and the score."""
         for batch in batches:
-            for g in W.word_groups(batch.column(0), W.SPACED):
+            for g in W.word_groups(batch.column(text), W.SPACED):
                 score = model.scores(*passage_features(g)) if model is not None else np.full(len(g), 0.5)
-                rest = [c.slice(g.row, len(g)) for c in batch.columns[1:]]
-                yield pa.RecordBatch.from_arrays([*rest, pa.array(score)], names=[*batch.schema.names[1:], "score"])
+                yield pa.RecordBatch.from_arrays([*(c.slice(g.row, len(g)) for c in batch.columns), pa.array(score)],
+                                                 names=[*batch.schema.names, "score"])
     return run
 
 
-def score(docs: DataFrame, model: Model | None, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Quality of every whole text: the columns ``keep`` and ``score``, the likelihood of label 1.
+def with_score(docs: DataFrame, model: Model | None, text_col: str = "text", score_col: str = "score") -> DataFrame:
+    """``docs`` with the likelihood of label 1 of every whole text in ``score_col``.
 
     Every passage of PASSAGE words is encoded; a gated attention weighs the
     encodings and the weighted mean gives the score.  NULL and empty texts have
     one empty passage and its score; where nothing could be learned every score
-    is 0.5.  Keys may be NULL or repeat; an empty table gives an empty result;
-    other columns are ignored.
+    is 0.5.  Keys may be NULL or repeat; an empty table gives an empty result; a
+    column that is called ``score_col`` already is replaced.
     """
-    slim = docs.select(F.col(text_col).alias("_text"), *keep)
-    types = ", ".join(f"`{c}` {slim.schema[c].dataType.simpleString()}" for c in keep)
-    return map_arrow(slim, _score_batches(model), f"{types}, score double")
+    slim = docs.drop(score_col)
+    types = ", ".join(f"`{c}` {kind}" for c, kind in slim.dtypes)
+    return map_arrow(slim, _score_batches(model, slim.columns.index(text_col)), f"{types}, `{score_col}` double")

@@ -81,8 +81,8 @@ def quality_model(docs: DataFrame, labels: DataFrame) -> quality.Model | None:
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").withColumn("held_out", held_out())
     model = quality_model(docs, read_table(spark, sf_dir, "labels"))
-    scored = quality.score(docs, model, keep=("doc_id", "held_out"))
-    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+    scored = quality.with_score(docs.select("doc_id", "held_out", "text"), model)
+    return scored.drop("text").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

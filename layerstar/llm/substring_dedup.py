@@ -133,12 +133,13 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["_row", "_text", "_sentences", "_removed"])
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                   count_cols: tuple[str, str] = ("n_sentences", "n_removed")) -> DataFrame:
     """Remove the sentences that a repeated span covers, except where the span comes first.
 
     Returns every input row and column, ``text_col`` without the removed
-    sentences, plus ``n_sentences`` and ``n_removed`` (columns of these names in
-    the input are replaced).  A span is the shortest run of consecutive sentences, from each sentence
+    sentences, plus the number of sentences and of those removed (``count_cols``;
+    columns of these names in the input are replaced).  A span is the shortest run of consecutive sentences, from each sentence
     on, of at least SENTENCES sentences and MIN_WORDS words; its words are
     compared with A-Z lower-cased and white space ignored.  Spans of all
     documents are joined by hash; of equal spans the first by (id, sentence)
@@ -169,6 +170,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     slim = joined.withColumn("_row", F.col("_row").withField(text_col, F.lit(None).cast("string")))
     row_type = slim.schema["_row"].dataType.simpleString()
     cut = map_arrow(slim, _cut_batches, f"_row {row_type}, _text string, _sentences long, _removed long")
-    names = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
+    names = [c for c in docs.columns if c not in count_cols]
     return cut.select(*[F.col("_text").alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in names],
-                      F.col("_sentences").alias("n_sentences"), F.col("_removed").alias("n_removed"))
+                      F.col("_sentences").alias(count_cols[0]), F.col("_removed").alias(count_cols[1]))
