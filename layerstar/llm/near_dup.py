@@ -20,6 +20,8 @@ SHINGLE, PERCENT = 5, 75
 BANDS, ROWS = 32, 4
 #: Bits of the odd sketch, in longs of 64.
 SKETCH_LONGS = 8
+#: Longs of the parity bitmap of the whole set, for the texts that have candidates.
+PARITY_LONGS = 32
 #: A pair whose estimate is this far below the threshold is not read in full:
 #: 4.6 standard deviations of the estimate.
 SLACK = 0.21
@@ -96,6 +98,30 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             row += len(sets)
 
 
+def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, text) -> (node, text, parity), for texts that the node's signature was made of.
+
+    Texts are fetched by a hash of their id, which another row may share.
+    """
+    bits = np.uint64(64 * PARITY_LONGS)
+    for whole in batches:
+        for at in range(0, whole.num_rows, 256):
+            batch = whole.slice(at, 256)
+            sets = [s for group in _sets(batch.column(1)) for s in group]
+            node = batch.column(0).to_numpy()
+            fits, parity = [], []
+            for i, s in enumerate(sets):
+                if len(s) and _fingerprints(s, np.array([0]))[0].view(np.int64)[0] == node[i]:
+                    odd = np.bincount((W.mix(s ^ _SALT[2]) % bits).astype(np.int64), minlength=int(bits)) & 1
+                    parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                    fits.append(i)
+            if fits:
+                parity = np.stack(parity)
+                yield pa.RecordBatch.from_arrays(
+                    [*(batch.column(c).take(pa.array(fits)) for c in (0, 1)), _lists(parity, np.ones(len(fits), bool))],
+                    names=["node", "text", "parity"])
+
+
 def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, text_a, text_b) -> the pairs (a, b) whose full sets are similar enough."""
     for whole in batches:
@@ -105,35 +131,38 @@ def _confirm_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             left, right = ([s for group in _sets(batch.column(c)) for s in group] for c in (2, 3))
             linked = np.zeros(batch.num_rows, dtype=bool)
             for i, (x, y) in enumerate(zip(left, right, strict=True)):
-                if not len(x) or not len(y):
-                    continue
-                # the text fetched by key must be the one that the signature was made of
-                if any(_fingerprints(s, np.array([0]))[0].view(np.int64)[0] != node[i] for s, node in ((x, a), (y, b))):
-                    continue
                 common = len(np.intersect1d(x, y, assume_unique=True))
                 linked[i] = 100 * common >= PERCENT * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([pa.array(a[linked]), pa.array(b[linked])], names=["a", "b"])
 
 
-def may_link(n_a: Column, sketch_a: Column, n_b: Column, sketch_b: Column) -> Column:
-    """True where the odd sketches and set sizes leave a link possible.
+def _odd_bits(x: Column, y: Column, longs: int) -> Column:
+    """Population count of the XOR of two bitmaps."""
+    return sum((F.bit_count(x[i].bitwiseXOR(y[i])) for i in range(longs)), F.lit(0))
+
+
+def may_link(a: str, b: str) -> Column:
+    """True where set sizes, odd sketches and parity bitmaps leave a link possible.
 
     With k samples and s bits, a similarity J puts s/2 * (1 - exp(-4k(1-J)/s))
-    bits into the XOR of two sketches.
+    bits into the XOR of two odd sketches.  The XOR of two whole sets' parity
+    bitmaps has at most one bit per element that only one of them holds, and a
+    link allows (1-J)/(1+J) of the summed sizes of those: this bound is strict.
     """
+    n, sketch, parity = ([F.col(f"{side}.{c}") for side in (a, b)] for c in ("n", "sketch", "parity"))
     bits = 64 * SKETCH_LONGS
     least = PERCENT / 100 - SLACK
     most = math.ceil(bits / 2 * (1 - math.exp(-4 * BANDS * ROWS * (1 - least) / bits)))
-    odd = sum((F.bit_count(sketch_a[i].bitwiseXOR(sketch_b[i])) for i in range(SKETCH_LONGS)), F.lit(0))
-    return ((F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * PERCENT) & (odd <= most))
+    return ((F.least(*n) * 100 >= F.greatest(*n) * PERCENT)
+            & (_odd_bits(*sketch, SKETCH_LONGS) <= most)
+            & (_odd_bits(*parity, PARITY_LONGS) * (100 + PERCENT) <= (n[0] + n[1]) * (100 - PERCENT)))
 
 
 def _with_sketches(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose sketches leave a link possible."""
-    side = [nodes.select(F.col("node").alias(c), F.col("n").alias(f"n_{c}"), F.col("sketch").alias(f"s_{c}"))
-            for c in ("a", "b")]
-    return (pairs.join(side[0], "a").join(side[1], "b")
-            .filter(may_link(F.col("n_a"), F.col("s_a"), F.col("n_b"), F.col("s_b"))).select("a", "b"))
+    """The pairs whose bitmaps leave a link possible."""
+    p, x, y = pairs.alias("p"), nodes.alias("x"), nodes.alias("y")
+    return (p.join(x, F.col("p.a") == F.col("x.node")).join(y, F.col("p.b") == F.col("y.node"))
+            .filter(may_link("x", "y")).select("p.a", "p.b"))
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -170,14 +199,14 @@ def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
 
 
 def _tile_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """All pairs of a bucket from different components whose sketches leave a link possible.
+    """All pairs of a bucket from different components whose bitmaps leave a link possible.
 
     A bucket's members are dealt into blocks of about TILE; every pair of blocks
-    is a join key of its own, and the sketch test is part of the join.
+    is a join key of its own, and the test of the bitmaps is part of the join.
     """
     mixed = (members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .filter("lo <> hi").select("key", F.ceil(F.col("m") / TILE).cast("int").alias("blocks")))
-    rows = (members.join(mixed, "key").join(nodes.select("node", "n", "sketch"), "node")
+    rows = (members.join(mixed, "key").join(nodes, "node")
             .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
     left = rows.withColumn("j", F.explode(F.sequence("own", F.col("blocks") - 1))).withColumnRenamed("own", "i")
     right = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("own")))).withColumnRenamed("own", "j")
@@ -186,7 +215,7 @@ def _tile_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     match = ((c("x", "key") == c("y", "key")) & (c("x", "i") == c("y", "i")) & (c("x", "j") == c("y", "j"))
              & (c("x", "comp") != c("y", "comp"))
              & ((c("x", "i") != c("x", "j")) | (c("x", "node") < c("y", "node")))
-             & may_link(c("x", "n"), c("x", "sketch"), c("y", "n"), c("y", "sketch")))
+             & may_link("x", "y"))
     return x.join(y, match).select(*_ordered(c("x", "node"), c("y", "node"))).distinct()
 
 
@@ -205,8 +234,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        to other hubs, and at the end to all pairs between components, in tiles.
        So no bucket, however large, has all its pairs written out, and no pair
        of a bucket that could still join two components is left out.
-    3. The odd sketches' XOR population count must leave a link possible; then
-       the full sets of the two texts decide.
+    3. The odd sketches' XOR population count must leave a link possible, and so
+       must the parity bitmaps of the whole sets; then the full sets decide.
 
     Texts without words (NULL, empty, blank) are linked with nothing.  A NULL id
     takes part by its text and never names a component; a component of NULL ids
@@ -229,8 +258,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     buckets = stage(in_band.join(shared, "key"), "near-dup-buckets")
     suspects = buckets.select("node").distinct().join(nodes.select("node", "k", "n", "sketch"), "node")
     suspects = stage(suspects, "near-dup-suspects")
-    texts = stage(rows.select("k", "text").join(suspects.select("node", "k"), "k").select("node", "text"),
-                  "near-dup-texts")
+    texts = rows.select("k", "text").join(suspects.select("node", "k"), "k").select("node", "text")
+    texts = stage(map_arrow(texts, _text_batches, "node long, text string, parity array<long>"), "near-dup-texts")
+    suspects = stage(suspects.drop("k").join(texts.select("node", "parity").dropDuplicates(["node"]), "node"),
+                     "near-dup-suspects")
 
     comps = stage(suspects.select("node", F.col("node").alias("comp")), "near-dup-comps")
     tested = None
