@@ -50,7 +50,3 @@ def as_date_lit(as_of) -> Column:
     if isinstance(as_of, _dt.datetime):
         as_of = as_of.date()
     return F.lit(as_of)
-
-
-def today() -> _dt.date:
-    return _dt.date.today()

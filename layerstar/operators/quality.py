@@ -262,12 +262,12 @@ def with_parent(child: DataFrame, ck: str, parent: DataFrame, pk: str) -> DataFr
     return child.join(p, F.col(ck) == F.col("__pk"), "left_semi")
 
 
-def history_of(df: DataFrame, key: str, start: str, value: str | None = None,
+def history_of(df: DataFrame, key: str, start: str, id_col: str, value: str | None = None,
                out: str = "derived_prd_end_dt") -> DataFrame:
     """Q31: product rows through time with the end date T10 derives.  With
     ``value`` only that key's history is shown; without it, every key's."""
     base = df if value is None else df.where(F.col(key) == value)
-    return derive_end_date(base, key, start, out)
+    return derive_end_date(base, key, start, out, id_col)
 
 
 # --------------------------------------------------------------------------

@@ -2,21 +2,22 @@
 rows or for one hot key (SURVEY §4.3).
 
 * T3  ``latest_per_key``: an aggregate (map-side combined), not a window.
-* T10 ``derive_end_date``: the window runs over distinct (key, start) pairs.
+* T10 ``derive_end_date``: the window runs over grouped (key, start) pairs.
 * T14 ``impute_order_date``: one-row aggregate, used as a scalar subquery.
-* G4  ``surrogate_key``: dense 1..n numbers from ordered buckets + offsets.
+* G4  ``surrogate_key``: dense 1..n numbers from stored ranges + offsets.
 * ``with_grand_total``: a total for part-to-whole ratios, as a scalar subquery.
 """
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerstar.functions.dates import day_diff
+from layerstar.session import work_root
 
 
 def _names(cols) -> list[str]:
@@ -47,21 +48,27 @@ def latest_per_key(df: DataFrame, keys, order_col: str, tie: Sequence[str] | Non
               .select(*df.columns)
 
 
-def derive_end_date(df: DataFrame, key: str, start: str, out: str = "prd_end_dt") -> DataFrame:
+def derive_end_date(df: DataFrame, key: str, start: str, out: str = "prd_end_dt",
+                    id_col: str = "prd_id") -> DataFrame:
     """Validity end = next start date of the same key minus one day.
 
-    The last version of a key stays open (NULL).  ``LEAD`` runs over the
-    distinct (key, start) pairs only, so a key's window holds at most one row
-    per distinct date however many rows the key has; rows that share key and
-    start get the same end date.  The pairs are joined back null-safely.
+    Same rows as ``LEAD(start) OVER (PARTITION BY key ORDER BY start, id) - 1``:
+    the last version of a key stays open (NULL), and of the rows that share key
+    and start only the one with the greatest id looks beyond that start; the
+    others end the day before it.  ``LEAD`` runs over the grouped (key, start)
+    pairs, so a key's window holds at most one row per distinct date however
+    many rows the key has.  The pairs are joined back null-safely.  ``id_col``
+    must tell apart the rows of one pair.
     """
-    pairs = df.select(key, start).distinct()
+    pairs = df.groupBy(key, start).agg(F.max(id_col).alias("__last"))
     w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first())
-    ends = pairs.select(F.col(key).alias("__k"), F.col(start).alias("__s"),
-                        F.date_sub(F.lead(start).over(w), 1).alias(out))
+    ends = pairs.select(F.col(key).alias("__k"), F.col(start).alias("__s"), "__last",
+                        F.date_sub(F.lead(start).over(w), 1).alias("__next"))
     cond = F.col(key).eqNullSafe(F.col("__k")) & F.col(start).eqNullSafe(F.col("__s"))
     base = df.drop(out) if out in df.columns else df
-    return base.join(ends, cond, "left").drop("__k", "__s")
+    is_last = F.col(id_col).eqNullSafe(F.col("__last"))
+    end = F.when(is_last, F.col("__next")).otherwise(F.date_sub(F.col(start), 1))
+    return base.join(ends, cond, "left").withColumn(out, end).drop("__k", "__s", "__last", "__next")
 
 
 def mean_ship_days(df: DataFrame, order: str, ship: str) -> Column:
@@ -92,62 +99,34 @@ def with_grand_total(df: DataFrame, col: str, name: str = "grand_total") -> Data
     return df.withColumn(name, total)
 
 
-def _bucket_expr(key: Column, bounds: list[Column]) -> Column:
-    """Index of the first bound greater than ``key`` (0..len(bounds)), as a
-    balanced tree of comparisons (depth log2 of the bucket count)."""
-    def build(lo: int, hi: int) -> Column:
-        if lo == hi:
-            return F.lit(lo)
-        mid = (lo + hi) // 2
-        return F.when(key < bounds[mid], build(lo, mid)).otherwise(build(mid + 1, hi))
-    return build(0, len(bounds))
-
-
 def surrogate_key(df: DataFrame, order_cols: Sequence[str], name: str,
-                  rows_per_bucket: int = 1_000_000, max_buckets: int = 4096,
-                  seed: int = 7) -> DataFrame:
+                  path: str | None = None) -> DataFrame:
     """``ROW_NUMBER() OVER (ORDER BY order_cols)`` without a single task.
 
-    1. Bucket bounds: a sample of the order tuples (about 64 per bucket, so the
-       sample is bounded by ``64 * max_buckets`` rows) gives literal bounds;
-       the bucket of a row is then a pure function of its order tuple.
-    2. Rows per bucket (at most ``max_buckets`` rows) -> running offsets, a
-       broadcast of proven size.
-    3. key = offset of the bucket + row_number within the bucket.
-
-    Up to ``rows_per_bucket`` rows there is one bucket, and one ordered window
-    numbers them.
-
-    The numbers equal the global row number when ``order_cols`` is a total
-    order (end it with a unique column).  NULLs sort first, as in the warehouse.
-    ``df`` must be deterministic (read from storage): it is scanned three times.
+    1. The rows are range-partitioned by the order columns and stored at
+       ``path`` (default: a folder of its own under the shared work folder)
+       together with the number of the partition they are in.
+    2. Rows per stored partition -> running offsets, one row per partition.
+    3. key = offset of the partition + row_number within the partition.
+
+    There is one way for any number of rows: one exchange of the rows by range,
+    and nothing but the range sample, which Spark draws itself, reaches the
+    driver.  The partition number is read back from the stored rows, so a
+    repeated task cannot number them otherwise.  The numbers equal the global
+    row number when ``order_cols`` is a total order (end it with a unique
+    column).  NULLs sort first, as in the warehouse.
     """
-    order_cols = list(order_cols)
-    n = df.count()
+    spark = df.sparkSession
+    path = path or f"{work_root(spark)}/keys/{name}-{uuid.uuid4().hex}"
     order = [F.col(c).asc_nulls_first() for c in order_cols]
-    buckets = max(1, min(max_buckets, math.ceil(n / rows_per_bucket)))
-    key = F.struct(*[F.col(c) for c in order_cols])
-    if buckets == 1:
-        # at most rows_per_bucket rows (the count above proves it): one ordered
-        # window, no offsets to add
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("bigint"))
-    else:
-        frac = min(1.0, 64.0 * buckets / n)
-        sample = (df.select(*order_cols).sample(False, frac, seed)
-                    .orderBy(*order).collect())
-        picks = sorted({tuple(sample[(i * len(sample)) // buckets])
-                        for i in range(1, buckets)}, key=lambda t: [(v is not None, v) for v in t])
-        types = dict(df.dtypes)
-        bounds = [F.struct(*[F.lit(v).cast(types[c]).alias(c) for c, v in zip(order_cols, t)])
-                  for t in picks]
-        with_b = df.withColumn("__bucket", _bucket_expr(key, bounds))
-    counts = with_b.groupBy("__bucket").count()
-    offsets = counts.select(
-        "__bucket",
-        F.coalesce(F.sum("count").over(Window.orderBy("__bucket")
-                                       .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__offset"))
-    w = Window.partitionBy("__bucket").orderBy(*order)
-    return (with_b.join(F.broadcast(offsets), "__bucket")
-                  .withColumn(name, (F.col("__offset") + F.row_number().over(w)).cast("bigint"))
-                  .drop("__bucket", "__offset"))
+    ranged = df.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *order) \
+               .withColumn("__part", F.spark_partition_id())
+    ranged.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(ranged.schema).parquet(path)
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("__part").agg(F.count(F.lit(1)).alias("__n")) \
+                  .select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    w = Window.partitionBy("__part").orderBy(*order)
+    return (rows.join(offsets, "__part")
+                .withColumn(name, (F.col("__offset") + F.row_number().over(w)).cast("bigint"))
+                .drop("__part", "__offset"))

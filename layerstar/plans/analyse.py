@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from layerstar.functions.dates import month_diff
 from layerstar.functions.fmt import month_abbr
 from layerstar.functions.num import MONEY_SUM, PLACES, mean, money_sum, ratio
+from layerstar.operators.rows import with_grand_total
 
 # Trend marks.
 UP, DOWN, FLAT = "\U0001F7E2", "\U0001F534", "\U0001F7E1"
@@ -107,9 +108,8 @@ def category_share(f: DataFrame, p: DataFrame) -> DataFrame:
     from layerstar.plans.explore import pre_aggregate_join
     g = pre_aggregate_join(f, p, "product_key", {"total_sales": "sales_amount"}, ["category"])
     g = g.withColumn("total_sales", F.col("total_sales").cast(MONEY_SUM))
-    # the left join on the unique product key keeps every fact row once, so the
-    # total over categories is one global sum over the fact (no second join)
-    g = g.withColumn("grand_total", f.agg(money_sum("sales_amount")).scalar())
+    # the total over the grouped rows: its fact side is the same exchange, run once
+    g = with_grand_total(g, "total_sales")
     return g.select("category", "total_sales", F.col("grand_total").cast(MONEY_SUM),
                     ratio(F.col("total_sales") * 100, "grand_total", 2).alias("sales_percentage"))
 
@@ -147,8 +147,3 @@ def customers_by_segment(f: DataFrame, months: int = 12, spend: float = 5000) ->
                        .alias("customer_segment")) \
               .agg(F.count("customer_key").alias("total_customers")) \
               .orderBy(F.desc("total_customers"), F.asc("customer_segment"))
-
-
-__all__ = ["sales_by_year", "sales_by_month", "running_sales", "cumulative_price",
-           "product_yoy", "product_vs_average", "category_share", "products_by_cost_range",
-           "customers_by_segment", "customer_segment", "cost_range_label", "mean"]

@@ -123,7 +123,7 @@ def t9(wh):
 @query("T10")
 def t10(wh):
     t = C.drop_null_keys(_prd_trimmed(wh), "prd_id").select("prd_id", "prd_key", "prd_start_dt")
-    return derive_end_date(t, "prd_key", "prd_start_dt", "prd_end_dt")
+    return derive_end_date(t, "prd_key", "prd_start_dt", "prd_end_dt", "prd_id")
 
 
 def _sales_parsed(wh):
@@ -605,8 +605,8 @@ def q30(wh):
 
 @query("Q31")
 def q31(wh):
-    b = _b(wh, "crm_prd_info").select("prd_key", "prd_cost", "prd_start_dt", "prd_end_dt")
-    return Q.history_of(b, "prd_key", "prd_start_dt")
+    b = _b(wh, "crm_prd_info").select("prd_id", "prd_key", "prd_cost", "prd_start_dt", "prd_end_dt")
+    return Q.history_of(b, "prd_key", "prd_start_dt", "prd_id")
 
 
 # ---------------------------------------------------------------- second instances

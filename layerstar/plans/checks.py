@@ -46,8 +46,8 @@ def bronze_checks(wh) -> list[Q.Check]:
            Q.reversed_range(prd, "prd_start_dt", "prd_end_dt", "prd_key")),
         _c("Q7 prd dates", B, "crm_prd_info", NO, "dates set", Q.null_any(prd, ["prd_start_dt", "prd_end_dt"])),
         _c("Q31 prd history", B, "crm_prd_info", REPORT, "derived end dates",
-           Q.history_of(prd.select("prd_key", "prd_cost", "prd_start_dt", "prd_end_dt"),
-                        "prd_key", "prd_start_dt")),
+           Q.history_of(prd.select("prd_id", "prd_key", "prd_cost", "prd_start_dt", "prd_end_dt"),
+                        "prd_key", "prd_start_dt", "prd_id")),
         _c("Q9 sls_ord_num", B, "crm_sales_details", REPORT, "lines per order",
            Q.repeated_key(sales, "sls_ord_num")),
         _c("Q8 sales keys", B, "crm_sales_details", NO, "keys set",

@@ -55,28 +55,27 @@ def products_joined(prd: DataFrame, cat: DataFrame) -> DataFrame:
         F.col("pi.prd_line").alias("product_line"), F.col("pi.prd_start_dt").alias("start_date"))
 
 
-def add_customer_key(joined: DataFrame) -> DataFrame:
-    """G4 for customers: customer_key = row number by id, first column."""
-    df = surrogate_key(joined, CUSTOMER_ORDER, "customer_key")
+def add_customer_key(joined: DataFrame, path: str | None = None) -> DataFrame:
+    """G4 for customers: customer_key = row number by id, first column.  The
+    joined rows are stored at ``path`` on the way (see ``surrogate_key``)."""
+    df = surrogate_key(joined, CUSTOMER_ORDER, "customer_key", path)
     return df.select("customer_key", *[c for c in df.columns if c != "customer_key"])
 
 
-def add_product_key(joined: DataFrame) -> DataFrame:
+def add_product_key(joined: DataFrame, path: str | None = None) -> DataFrame:
     """G4 for products: product_key = row number by (start date, id), first column."""
-    df = surrogate_key(joined, PRODUCT_ORDER, "product_key")
+    df = surrogate_key(joined, PRODUCT_ORDER, "product_key", path)
     return df.select("product_key", *[c for c in df.columns if c != "product_key"])
 
 
-def dim_customers(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFrame:
-    """G1 + G4: customer dimension.  The numbering reads its input three times;
-    the warehouse load therefore writes the joined rows once and numbers
-    those (``layerstar.plans.warehouse.load_gold``)."""
-    return add_customer_key(customers_joined(cust, az12, loc))
+def dim_customers(cust: DataFrame, az12: DataFrame, loc: DataFrame, path: str | None = None) -> DataFrame:
+    """G1 + G4: customer dimension."""
+    return add_customer_key(customers_joined(cust, az12, loc), path)
 
 
-def dim_products(prd: DataFrame, cat: DataFrame) -> DataFrame:
-    """G3 + G4: product dimension (see ``dim_customers`` on staging)."""
-    return add_product_key(products_joined(prd, cat))
+def dim_products(prd: DataFrame, cat: DataFrame, path: str | None = None) -> DataFrame:
+    """G3 + G4: product dimension."""
+    return add_product_key(products_joined(prd, cat), path)
 
 
 def fact_sales(sales: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFrame:

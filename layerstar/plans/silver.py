@@ -36,7 +36,7 @@ def load_prd_info(b: DataFrame, now: _dt.datetime | None = None) -> DataFrame:
         "prd_id", F.trim("prd_key").alias("prd_key"), F.trim("prd_nm").alias("prd_nm"),
         F.trim("prd_cost").alias("prd_cost"), F.trim("prd_line").alias("prd_line"),
         "prd_start_dt")
-    t = derive_end_date(t, "prd_key", "prd_start_dt", "prd_end_dt")
+    t = derive_end_date(t, "prd_key", "prd_start_dt", "prd_end_dt", "prd_id")
     out = t.select(
         "prd_id", C.category_id("prd_key").alias("cat_id"),
         C.product_number("prd_key").alias("prd_key"), "prd_nm",

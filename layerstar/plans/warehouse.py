@@ -94,24 +94,19 @@ def load_silver(wh: Warehouse, now: _dt.datetime | None = LOAD_TIME,
 def load_gold(wh: Warehouse) -> str:
     """Gold: both dimensions, then the fact against the written dimensions.
 
-    The joined dimension rows are written once as staging tables of the run;
-    the surrogate keys are numbered from those (the numbering reads its input
-    three times, and a join is not recomputed for it)."""
+    The joined dimension rows are stored once, by ranges of their order, as
+    staging tables of the run; the surrogate keys are numbered from those."""
     s = wh.layer("silver")
     run_id = new_run_id()
     sp, lay = wh.spark, wh.layers
-    staged = {"stage_customers": G.customers_joined(s["crm_cust_info"], s["erp_cust_az12"],
-                                                    s["erp_loc_a101"]),
-              "stage_products": G.products_joined(s["crm_prd_info"], s["erp_px_cat_g1v2"])}
-    from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=2) as pool:
-        list(pool.map(lambda n: write_full(staged[n], lay.run_path("gold_stage", run_id, n)), staged))
 
-    def stage(n):
-        return sp.read.parquet(lay.run_path("gold_stage", run_id, n))
+    def stage(name):
+        return lay.run_path("gold_stage", run_id, name)
     steps = {
-        "dim_customers": lambda: G.add_customer_key(stage("stage_customers")),
-        "dim_products": lambda: G.add_product_key(stage("stage_products")),
+        "dim_customers": lambda: G.dim_customers(s["crm_cust_info"], s["erp_cust_az12"],
+                                                 s["erp_loc_a101"], stage("customers")),
+        "dim_products": lambda: G.dim_products(s["crm_prd_info"], s["erp_px_cat_g1v2"],
+                                               stage("products")),
         "fact_sales": lambda: G.fact_sales(
             s["crm_sales_details"], lay.table(sp, "gold", "dim_customers", run_id),
             lay.table(sp, "gold", "dim_products", run_id)),

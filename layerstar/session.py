@@ -44,18 +44,32 @@ def get_session(master: str | None = None, app: str = "layerstar",
     return spark
 
 
+def is_local(master: str) -> bool:
+    """One process: driver and tasks see the same folders."""
+    return master == "local" or master.startswith("local[")
+
+
 def work_root(spark: SparkSession) -> str:
     """The shared folder for materialised layers and lineage cuts.
 
-    On a cluster this is ``spark.checkpoint.dir`` as the cluster sets it.  Only
-    when nothing is set (local tests) a private temporary folder is made and
-    registered as the checkpoint dir.
+    On a cluster this is ``spark.checkpoint.dir`` as the cluster sets it; it must
+    be set, since a folder of the driver's machine is none of the executors'.
+    Only in local mode with nothing set (tests) a private temporary folder is
+    made and registered as the checkpoint dir.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
-        root = tempfile.mkdtemp(prefix="layerstar-", dir=os.environ.get("TMPDIR", "/tmp"))
+        root = local_root(spark.sparkContext.master)
         spark.sparkContext.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
+
+
+def local_root(master: str) -> str:
+    """A temporary folder for a local session; an error for any other."""
+    if not is_local(master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: {master} needs a folder that the driver "
+                           "and all executors share")
+    return tempfile.mkdtemp(prefix="layerstar-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -33,6 +33,7 @@ ERP_GENDER_BY_K9 = ["F", "Female", "M ", "male", " ", None, "M", "F", "f"]
 BIRTH_NULL, BIRTH_FUTURE, BIRTH_ANCIENT = 47, 41, 43
 LOC_NULL, LOC_BLANK = 53, 59
 PRD_SECOND_VERSION, PRD_THIRD_VERSION = 3, 9
+PRD_REPEATED_START = (8, 5)   # a row more, with the start date of the last version
 PRD_SPACED_KEY, PRD_SPACED_NAME = 37, 31
 PRD_NO_COST, PRD_NEGATIVE_COST = 50, 43
 LINE_BY_SIZE6 = ["R ", "M ", "S ", "T ", "r", None]
@@ -113,8 +114,8 @@ def crm_cust_info(customer: DataFrame) -> DataFrame:
 
 def crm_prd_info(part: DataFrame) -> DataFrame:
     pk = F.col("p_partkey")
-    rows = part.select("*", _versions(_m(pk, PRD_SECOND_VERSION), _m(pk, PRD_THIRD_VERSION))
-                       .alias("v"))
+    rows = part.select("*", _versions(_m(pk, PRD_SECOND_VERSION), _m(pk, PRD_THIRD_VERSION),
+                                      _m(pk, *PRD_REPEATED_START)).alias("v"))
     v = F.col("v")
     last = F.when(_m(pk, PRD_THIRD_VERSION), 2).when(_m(pk, PRD_SECOND_VERSION), 1).otherwise(0)
     key = F.concat(F.substr("p_type", F.lit(1), F.lit(2)), F.lit("-"),
@@ -130,7 +131,7 @@ def crm_prd_info(part: DataFrame) -> DataFrame:
          .when(_m(pk, PRD_NEGATIVE_COST), F.concat(F.lit("-"), cost)).otherwise(cost)
          .alias("prd_cost"),
         _pick(F.col("p_size"), LINE_BY_SIZE6).alias("prd_line"),
-        _iso(F.make_date(2011 + v, F.lit(7), F.lit(1))).alias("prd_start_dt"),
+        _iso(F.make_date(2011 + F.least(v, last), F.lit(7), F.lit(1))).alias("prd_start_dt"),
         F.when(v == last, None).otherwise(_iso(F.make_date(2010 + v, F.lit(12), F.lit(28))))
          .alias("prd_end_dt"))
 
@@ -150,7 +151,7 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     li = lineitem.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity",
                          "l_extendedprice", "l_shipdate")
     od = orders.select("o_orderkey", "o_custkey", "o_orderdate")
-    j = li.join(od, li.l_orderkey == od.o_orderkey, "inner")
+    j = li.join(od, li.l_orderkey == od.o_orderkey, "left")
     # first the shared parts, once per row (later CASE branches only pick them)
     qty = F.col("l_quantity").cast("int")
     cents = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("long")

@@ -129,7 +129,7 @@ def _write_one(spark, layers, layer, run_id, table, build):
                 time.perf_counter() - s0, "ok", None), None
     except Exception as exc:  # noqa: BLE001 - recorded, then raised again
         return (run_id, layer, table, None, started, _dt.datetime.now(),
-                time.perf_counter() - s0, "failed", str(exc)[:2000]), exc
+                time.perf_counter() - s0, "failed", str(exc)), exc
 
 
 def load_tables(spark: SparkSession, layers: Layers, layer: str,
@@ -169,7 +169,7 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
     status = "ok" if error is None else "failed"
     audit.append((run_id, layer, "*", sum(a[3] or 0 for a in audit), batch_start,
                   _dt.datetime.now(), time.perf_counter() - t0, status,
-                  None if error is None else str(error)[:2000]))
+                  None if error is None else str(error)))
     audit_df = spark.createDataFrame(audit, AUDIT_SCHEMA)
     audit_df.coalesce(1).write.mode("append").parquet(layers.audit_path)
     if error is not None:

@@ -110,14 +110,14 @@ SELECT CAST(pk * 4 + v AS BIGINT) AS prd_id,
   CASE WHEN pk % 31 = 0 THEN ' ' || p_name || ' ' ELSE p_name END AS prd_nm,
   CASE WHEN pk % 50 = 0 THEN NULL WHEN pk % 43 = 0 THEN '-' || cost ELSE cost END AS prd_cost,
   {_pick('p_size', ['R ', 'M ', 'S ', 'T ', 'r', None])} AS prd_line,
-  make_date(2011 + v, 7, 1) AS prd_start_dt,
+  make_date(2011 + least(v, lastv), 7, 1) AS prd_start_dt,
   CASE WHEN v = lastv THEN NULL ELSE make_date(2010 + v, 12, 28) END AS prd_end_dt
 FROM (SELECT p_partkey AS pk, p_name, p_size, v,
         substring(p_type, 1, 2) || '-' || lpad(split_part(p_brand, '#', 2), 2, '0') || '-PK-'
           || CAST(p_partkey AS VARCHAR) AS key,
         CAST(CAST(p_retailprice AS DECIMAL(18,2)) + v * 10 AS VARCHAR) AS cost,
         CASE WHEN p_partkey % 9 = 0 THEN 2 WHEN p_partkey % 3 = 0 THEN 1 ELSE 0 END AS lastv
-      FROM (SELECT *, {_versions('p_partkey % 3 = 0', 'p_partkey % 9 = 0')} AS v FROM part))""")
+      FROM (SELECT *, {_versions('p_partkey % 3 = 0', 'p_partkey % 9 = 0', 'p_partkey % 8 = 5')} AS v FROM part))""")
 
 cte("b_cat", [], """
 SELECT DISTINCT substring(p_type, 1, 2) || '_' || CASE WHEN b2 = '13' THEN 'NA' ELSE b2 END AS id,
@@ -149,7 +149,7 @@ FROM (SELECT *,
               o.o_custkey, o.o_orderdate, CAST(l.l_quantity AS INTEGER) AS qty,
               CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) AS cents,
               CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) // CAST(l.l_quantity AS INTEGER) AS pc
-            FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey))""")
+            FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey))""")
 
 cte("b_az12", [], f"""
 SELECT CASE WHEN k % 2 = 0 THEN 'NAS' || {_aw('k')} ELSE {_aw('k')} END AS cid,
@@ -194,15 +194,9 @@ cte("p_trim", ["b_prd"], """
 SELECT prd_id, trim(prd_key) AS prd_key, trim(prd_nm) AS prd_nm, trim(prd_cost) AS prd_cost,
   trim(prd_line) AS prd_line, prd_start_dt FROM b_prd WHERE prd_id IS NOT NULL""")
 
-cte("p_ends", ["p_trim"], """
-SELECT prd_key, prd_start_dt,
-  CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST) - 1 AS DATE)
-    AS prd_end_dt
-FROM (SELECT DISTINCT prd_key, prd_start_dt FROM p_trim)""")
-
-cte("p_hist", ["p_trim", "p_ends"], """
-SELECT t.*, e.prd_end_dt FROM p_trim t LEFT JOIN p_ends e
-  ON t.prd_key IS NOT DISTINCT FROM e.prd_key AND t.prd_start_dt IS NOT DISTINCT FROM e.prd_start_dt""")
+cte("p_hist", ["p_trim"], """
+SELECT *, CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id) - 1 AS DATE)
+  AS prd_end_dt FROM p_trim""")
 
 cte("s_prd", ["p_hist"], f"""
 SELECT prd_id, replace(substring(prd_key, 1, 5), '-', '_') AS cat_id,
@@ -631,14 +625,10 @@ Q["Q29"] = sql("SELECT gender, count(*) AS count FROM g_cust GROUP BY gender", [
 Q["Q30"] = sql("""SELECT * FROM s_sales s WHERE EXISTS
   (SELECT 1 FROM s_prd p WHERE s.sls_prd_key = p.prd_key)""", ["s_sales", "s_prd"])
 Q["Q31"] = sql("""
-SELECT b.prd_key, b.prd_cost, b.prd_start_dt, b.prd_end_dt, e.derived_prd_end_dt
-FROM b_prd b LEFT JOIN (
-  SELECT prd_key, prd_start_dt,
-    CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST) - 1 AS DATE)
-      AS derived_prd_end_dt
-  FROM (SELECT DISTINCT prd_key, prd_start_dt FROM b_prd)) e
-ON b.prd_key IS NOT DISTINCT FROM e.prd_key AND b.prd_start_dt IS NOT DISTINCT FROM e.prd_start_dt""",
-               ["b_prd"])
+SELECT prd_id, prd_key, prd_cost, prd_start_dt, prd_end_dt,
+  CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id) - 1 AS DATE)
+    AS derived_prd_end_dt
+FROM b_prd""", ["b_prd"])
 
 # second instances of the checks
 Q["Q1_silver"] = sql("""SELECT cst_id, count(*) AS cnt FROM s_cust GROUP BY cst_id

@@ -87,7 +87,7 @@ def test_exploration_on_products(dim_p):
 
 
 def test_history_of_one_product(prd):
-    h = Q.history_of(prd, "prd_key", "prd_start_dt", value="AC-HE-HL-U509-B")
+    h = Q.history_of(prd, "prd_key", "prd_start_dt", "prd_id", value="AC-HE-HL-U509-B")
     rows = sorted((r.prd_start_dt, r.derived_prd_end_dt) for r in h.collect())
     assert len(rows) == 3 and rows[-1][1] is None
     assert rows[0][1] == rows[1][0] - dt.timedelta(days=1)

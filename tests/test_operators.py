@@ -13,7 +13,7 @@ def test_surrogate_key_equals_row_number(spark):
     base = spark.range(0, 3000).select(
         F.col("id"), F.date_add(F.lit(dt.date(2020, 1, 1)), (F.col("id") % 7).cast("int")).alias("d"))
     base = base.union(spark.createDataFrame([(5000, None)], "id long, d date"))
-    got = surrogate_key(base, ["d", "id"], "k", rows_per_bucket=250)
+    got = surrogate_key(base, ["d", "id"], "k")
     ref = base.withColumn("r", F.row_number().over(Window.orderBy(F.col("d").asc_nulls_first(), "id")))
     j = got.join(ref, "id")
     assert j.where("k != r").count() == 0
@@ -21,7 +21,7 @@ def test_surrogate_key_equals_row_number(spark):
     assert got.where("id = 5000").first().k == 1          # NULL sorts first
 
 
-def test_surrogate_key_single_bucket(spark):
+def test_surrogate_key_of_few_rows(spark):
     df = spark.range(0, 10).withColumn("x", F.lit(1))
     got = surrogate_key(df, ["id"], "k")
     assert [r.k for r in got.orderBy("id").collect()] == list(range(1, 11))
@@ -40,11 +40,13 @@ def test_latest_per_key_equals_row_number(spark):
 
 
 def test_derive_end_date_equals_lead(spark):
-    rows = [("A", dt.date(2011, 7, 1)), ("A", dt.date(2012, 7, 1)), ("A", dt.date(2013, 7, 1)),
-            ("B", dt.date(2013, 1, 1)), ("B", None), ("C", dt.date(2011, 1, 1))]
-    df = spark.createDataFrame(rows, "k string, s date")
-    got = sorted(tuple(map(str, r)) for r in derive_end_date(df, "k", "s", "e").collect())
-    w = Window.partitionBy("k").orderBy(F.col("s").asc_nulls_first())
+    rows = [(1, "A", dt.date(2011, 7, 1)), (2, "A", dt.date(2012, 7, 1)), (3, "A", dt.date(2013, 7, 1)),
+            (4, "A", dt.date(2012, 7, 1)), (5, "A", dt.date(2013, 7, 1)),      # repeated starts
+            (6, "B", dt.date(2013, 1, 1)), (7, "B", None), (8, "B", None), (9, "C", dt.date(2011, 1, 1)),
+            (10, None, dt.date(2011, 1, 1)), (11, None, dt.date(2011, 1, 1))]
+    df = spark.createDataFrame(rows, "id long, k string, s date")
+    got = sorted(tuple(map(str, r)) for r in derive_end_date(df, "k", "s", "e", "id").collect())
+    w = Window.partitionBy("k").orderBy(F.col("s").asc_nulls_first(), "id")
     ref = sorted(tuple(map(str, r)) for r in df.withColumn("e", F.date_sub(F.lead("s").over(w), 1)).collect())
     assert got == ref
 

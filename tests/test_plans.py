@@ -66,8 +66,8 @@ def test_refresh_plans_have_no_cartesian(spark, qs):
     from layerstar.plans.warehouse import LOAD_TIME, warehouse_for
     wh = warehouse_for(spark, SF_SMALL)
     builds = dict(silver_steps(wh.layer("bronze"), wh.as_of, LOAD_TIME))
-    stage = wh.layers.run_path("gold_stage", wh.runs["gold"], "stage_customers")
-    builds["numbering"] = lambda: G.add_customer_key(spark.read.parquet(stage))
+    builds["numbering"] = lambda: G.dim_customers(wh.silver("crm_cust_info"), wh.silver("erp_cust_az12"),
+                                                  wh.silver("erp_loc_a101"))
     builds["fact"] = lambda: G.fact_sales(wh.silver("crm_sales_details"), wh.gold("dim_customers"),
                                           wh.gold("dim_products"))
     for name, b in builds.items():
@@ -75,14 +75,23 @@ def test_refresh_plans_have_no_cartesian(spark, qs):
         assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan), name
 
 
-def test_bucketed_numbering_plan(spark):
+def test_numbering_plan_has_no_single_partition_of_rows(spark):
     from pyspark.sql import functions as F
     from layerstar.operators.rows import surrogate_key
     df = spark.range(0, 5000).withColumn("x", F.col("id") % 3)
-    plan = executed(surrogate_key(df, ["x", "id"], "k", rows_per_bucket=500))
-    assert "BroadcastHashJoin" in plan                     # offsets: a keyed broadcast
+    plan = executed(surrogate_key(df, ["x", "id"], "k"))
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin", plan)
-    assert re.search(r"Exchange hashpartitioning\(__bucket", plan)   # rows spread by bucket
+    # one row per stored range meets in one task; the rows themselves never do
+    single = re.findall(r"Exchange SinglePartition.*\n.*", plan)
+    assert all("__part" in s and "count(1)" in s for s in single), single
+    assert re.search(r"Exchange hashpartitioning\(__part", plan)
+
+
+def test_category_share_reads_the_fact_once(spark, qs):
+    df = qs["A7"](spark, SF_SMALL)
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "ReusedExchange" in final       # the total over the groups shares the fact's exchange
 
 
 def test_pre_aggregation_shuffles_the_fact_once_without_broadcast(spark, qs):
