@@ -88,7 +88,7 @@ def _count_batches(bitmap: np.ndarray, sizes: list[int]) -> Callable:
 def _listed(g: W.Words, size: int, bitmap: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Positions and hashes of the group's shingles of ``size`` words that the bitmap has."""
     value = W.run_hashes(g.hash, size)
-    bit = value & np.uint64(BITMAP_BITS - 1)
+    bit = value & np.uint64(64 * len(bitmap) - 1)
     at = np.flatnonzero((bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1))
     # a shingle lies inside one text
     text = np.searchsorted(g.first, at, side="right") - 1

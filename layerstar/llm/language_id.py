@@ -145,7 +145,7 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col
 
 def _predict_batches(model: Model | None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(text, *rest) -> (*rest, lang, score)."""
+        """(text, *rest) -> (*rest, lang_pred, score)."""
         seen = np.zeros(PLACES, dtype=bool)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
@@ -161,7 +161,7 @@ def _predict_batches(model: Model | None) -> Callable:
                     lang = [model.langs[b] if ok else UNDETERMINED for b, ok in zip(best, lettered, strict=True)]
                     score = np.where(lettered, share[np.arange(len(best)), best], 0.0)
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(lang, pa.string()), pa.array(score)],
-                                                 names=[*batch.schema.names[1:], "lang", "score"])
+                                                 names=[*batch.schema.names[1:], "lang_pred", "score"])
     return run
 
 

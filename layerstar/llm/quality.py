@@ -198,14 +198,14 @@ def fit(docs: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: s
     return train([np.array(r["features"]).reshape(-1, len(FEATURES)) for r in found], [r["label"] for r in found])
 
 
-def _score_batches(model: Model | None, text: int) -> Callable:
+def _score_batches(model: Model | None, text: int, score_col: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """The batch's columns, the one at ``text`` being the text, and the score."""
         for batch in batches:
             for g in W.word_groups(batch.column(text), W.SPACED):
                 score = model.scores(*passage_features(g)) if model is not None else np.full(len(g), 0.5)
                 yield pa.RecordBatch.from_arrays([*(c.slice(g.row, len(g)) for c in batch.columns), pa.array(score)],
-                                                 names=[*batch.schema.names, "score"])
+                                                 names=[*batch.schema.names, score_col])
     return run
 
 
@@ -220,4 +220,4 @@ def with_score(docs: DataFrame, model: Model | None, text_col: str = "text", sco
     """
     slim = docs.drop(score_col)
     types = ", ".join(f"`{c}` {kind}" for c, kind in slim.dtypes)
-    return map_arrow(slim, _score_batches(model, slim.columns.index(text_col)), f"{types}, `{score_col}` double")
+    return map_arrow(slim, _score_batches(model, slim.columns.index(text_col), score_col), f"{types}, `{score_col}` double")
