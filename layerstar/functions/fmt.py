@@ -17,11 +17,10 @@ def _c(c) -> Column:
 
 
 def money(c) -> Column:
-    """FORMAT(x, 'C', 'en-US'): -$1,234.57 style."""
+    """FORMAT(x, 'C', 'en-US'): $1,234.57, and ($1,234.57) below zero."""
     x = F.round(_c(c), 2)
-    body = F.format_number(F.abs(x), 2)
-    return F.when(x.isNull(), None).when(x < 0, F.concat(F.lit("-$"), body)) \
-        .otherwise(F.concat(F.lit("$"), body))
+    body = F.concat(F.lit("$"), F.format_number(F.abs(x), 2))
+    return F.when(x.isNull(), None).when(x < 0, F.concat(F.lit("("), body, F.lit(")"))).otherwise(body)
 
 
 def n0(c) -> Column:

@@ -49,10 +49,13 @@ def rows_with_bad_key(df: DataFrame, key: str) -> DataFrame:
     return df.join(dups, key, "left_semi").unionByName(df.where(F.col(key).isNull()))
 
 
+def is_untrimmed(cols) -> Column:
+    return _any(_untrimmed(c) for c in _names(cols))
+
+
 def untrimmed(df: DataFrame, cols) -> DataFrame:
     """Q3: rows whose text has outer spaces in any of ``cols``."""
-    cols = _names(cols)
-    return df.where(_any(_untrimmed(c) for c in cols)).select(*cols)
+    return df.where(is_untrimmed(cols)).select(*_names(cols))
 
 
 def domain_values(df: DataFrame, col: str, allowed: Sequence[str] | None = None) -> DataFrame:
@@ -64,21 +67,33 @@ def domain_values(df: DataFrame, col: str, allowed: Sequence[str] | None = None)
     return d.where(~F.col(col).isin(*allowed) | F.col(col).isNull())
 
 
+def is_null_or_negative(df: DataFrame, col: str) -> Column:
+    v = _as_money(df, col)
+    return v.isNull() | (v < 0)
+
+
 def null_or_negative(df: DataFrame, col: str) -> DataFrame:
     """Q5: amount NULL or below zero (text is read as decimal(18,2))."""
-    v = _as_money(df, col)
-    return df.where(v.isNull() | (v < 0)).select(col)
+    return df.where(is_null_or_negative(df, col)).select(col)
+
+
+def is_reversed(start: str, end: str) -> Column:
+    return F.col(end) < F.col(start)
 
 
 def reversed_range(df: DataFrame, start: str, end: str, order_by: str | None = None) -> DataFrame:
     """Q6: rows whose end date is before the start date."""
-    out = df.where(F.col(end) < F.col(start))
+    out = df.where(is_reversed(start, end))
     return out.orderBy(order_by) if order_by else out
 
 
+def has_null(cols) -> Column:
+    return _any(F.col(c).isNull() for c in _names(cols))
+
+
 def null_any(df: DataFrame, cols) -> DataFrame:
     """Q7, Q8: rows with a NULL in any of ``cols``."""
-    return df.where(_any(F.col(c).isNull() for c in _names(cols)))
+    return df.where(has_null(cols))
 
 
 def repeated_key(df: DataFrame, key: str) -> DataFrame:
@@ -115,36 +130,52 @@ def if_parent_empty(child: DataFrame, parent: DataFrame) -> DataFrame:
     return child.where(~parent.select(F.lit(1).alias("one")).exists())
 
 
-def unparsable_dates(df: DataFrame, cols, fmt: str | None = "yyyyMMdd") -> DataFrame:
-    """Q13: rows where any date text does not parse (ISDATE = 0; NULL too)."""
+def is_unparsable(cols, fmt: str | None = "yyyyMMdd") -> Column:
     def parsed(c):
         return parse_yyyymmdd(c) if fmt == "yyyyMMdd" else F.try_to_date(F.col(c))
-    return df.where(_any(parsed(c).isNull() for c in _names(cols)))
+    return _any(parsed(c).isNull() for c in _names(cols))
+
+
+def unparsable_dates(df: DataFrame, cols, fmt: str | None = "yyyyMMdd") -> DataFrame:
+    """Q13: rows where any date text does not parse (ISDATE = 0; NULL too)."""
+    return df.where(is_unparsable(cols, fmt))
+
+
+def is_out_of_order(order: str, ship: str, due: str) -> Column:
+    o, s, d = F.col(order), F.col(ship), F.col(due)
+    return (s < o) | (d < o) | (d < s)
 
 
 def dates_out_of_order(df: DataFrame, order: str, ship: str, due: str) -> DataFrame:
     """Q14: ship before order, due before order, or due before ship."""
-    o, s, d = F.col(order), F.col(ship), F.col(due)
-    return df.where((s < o) | (d < o) | (d < s))
+    return df.where(is_out_of_order(order, ship, due))
 
 
-def dates_out_of_bounds(df: DataFrame, cols, as_of, low: str = "2000-01-01") -> DataFrame:
-    """Q15: any parsed date before ``low`` or after ``as_of``."""
+def is_out_of_bounds(df: DataFrame, cols, as_of, low: str = "2000-01-01") -> Column:
     lo, hi = F.lit(low).cast("date"), as_date_lit(as_of)
     conds = []
     for c in _names(cols):
         d = parse_yyyymmdd(c) if isinstance(df.schema[c].dataType, T.StringType) else F.col(c)
         conds += [d < lo, d > hi]
-    return df.where(_any(conds))
+    return _any(conds)
 
 
-def measure_mismatch(df: DataFrame, s: str, q: str, p: str, negatives: bool = False) -> DataFrame:
-    """Q16: sales != quantity * price, or a measure NULL or 0 (or < 0)."""
+def dates_out_of_bounds(df: DataFrame, cols, as_of, low: str = "2000-01-01") -> DataFrame:
+    """Q15: any parsed date before ``low`` or after ``as_of``."""
+    return df.where(is_out_of_bounds(df, cols, as_of, low))
+
+
+def is_mismatch(df: DataFrame, s: str, q: str, p: str, negatives: bool = False) -> Column:
     sv, qv, pv = _as_money(df, s), _as_money(df, q), _as_money(df, p)
     conds = [sv != qv * pv]
     for v in (sv, qv, pv):
         conds += [v.isNull(), v == 0] + ([v < 0] if negatives else [])
-    return df.where(_any(conds))
+    return _any(conds)
+
+
+def measure_mismatch(df: DataFrame, s: str, q: str, p: str, negatives: bool = False) -> DataFrame:
+    """Q16: sales != quantity * price, or a measure NULL or 0 (or < 0)."""
+    return df.where(is_mismatch(df, s, q, p, negatives))
 
 
 def length_histogram(df: DataFrame, col: str) -> DataFrame:
@@ -152,11 +183,15 @@ def length_histogram(df: DataFrame, col: str) -> DataFrame:
     return df.groupBy(sql_len(col).alias("len")).agg(F.count(F.lit(1)).alias("occurrence"))
 
 
+def is_unlikely_birthdate(col: str, as_of, low: str = "1925-01-01") -> Column:
+    d = F.col(col).cast("date")
+    return (d < F.lit(low).cast("date")) | (d > as_date_lit(as_of))
+
+
 def birthdate_bounds(df: DataFrame, col: str, as_of, low: str = "1925-01-01") -> DataFrame:
     """Q18: birth dates before ``low`` or after ``as_of``: old and validated value."""
-    d = F.col(col).cast("date")
-    hi = as_date_lit(as_of)
-    return df.where((d < F.lit(low).cast("date")) | (d > hi)).select(
+    d, hi = F.col(col).cast("date"), as_date_lit(as_of)
+    return df.where(is_unlikely_birthdate(col, as_of, low)).select(
         F.col(col).alias("bdate_old"),
         F.when(d > hi, None).otherwise(d).alias("validated_bdate")).orderBy("bdate_old")
 
@@ -166,10 +201,13 @@ def standardisation_map(df: DataFrame, col: str, fn: Callable[[Column], Column])
     return df.select(F.col(col).alias("raw"), fn(F.col(col)).alias("standard")).distinct()
 
 
+def is_not_like(col: str, regex: str = r"^.{2}_.{2}$") -> Column:
+    return F.col(col).isNull() | ~F.col(col).rlike(regex)
+
+
 def bad_pattern(df: DataFrame, col: str, regex: str = r"^.{2}_.{2}$") -> DataFrame:
     """Q20: values not of the pattern (two characters, '_', two), or NULL."""
-    c = F.col(col)
-    return df.where(c.isNull() | ~c.rlike(regex))
+    return df.where(is_not_like(col, regex))
 
 
 def row_count_parity(bronze: DataFrame, silver: DataFrame) -> DataFrame:
@@ -198,13 +236,14 @@ def unmatched(df: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFram
 
 
 def fact_key_integrity(f: DataFrame, c: DataFrame, p: DataFrame) -> DataFrame:
-    """Q25: fact rows with a NULL customer or product key, next to the
-    (NULL) dimension rows they join to."""
-    cd = c.select(F.col("customer_key").alias("dim_customer_key"), "customer_number")
-    pd = p.select(F.col("product_key").alias("dim_product_key"), "product_number")
+    """Q25: fact rows with a NULL customer or product key, next to the whole
+    dimension rows they join to (their keys as ``dim_customer_key`` and
+    ``dim_product_key``)."""
+    cd = c.withColumnRenamed("customer_key", "dim_customer_key")
+    pd = p.withColumnRenamed("product_key", "dim_product_key")
     j = (f.join(cd, f["customer_key"] == cd["dim_customer_key"], "left")
           .join(pd, f["product_key"] == pd["dim_product_key"], "left"))
-    return j.where(F.col("customer_key").isNull() | F.col("product_key").isNull())
+    return j.where(f["customer_key"].isNull() | f["product_key"].isNull())
 
 
 def schema_mismatch(spark: SparkSession, df: DataFrame, expected: T.StructType,
@@ -235,6 +274,17 @@ def schema_mismatch(spark: SparkSession, df: DataFrame, expected: T.StructType,
     return meta.withColumn("problem", problem).where(F.col("problem").isNotNull())
 
 
+def schema_mismatch_count(df: DataFrame, expected: T.StructType,
+                          max_length: dict[str, int] | None = None) -> Column:
+    """Q26 as an aggregate over ``df``: the number of columns that differ."""
+    actual = {f.name: f.dataType for f in df.schema.fields}
+    want = {f.name: f.dataType for f in expected.fields}
+    differ = {n for n in {**actual, **want} if actual.get(n) != want.get(n)}
+    long = [F.coalesce((F.max(sql_len(n)) > limit).cast("long"), F.lit(0)) for n, limit in (max_length or {}).items()
+            if n not in differ and isinstance(actual.get(n), T.StringType)]
+    return sum(long, F.lit(len(differ)).cast("long"))
+
+
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     """Q27: the (a, b) pairs that occur (GROUP BY a, b)."""
     return df.select(a, b).distinct()
@@ -273,31 +323,76 @@ def history_of(df: DataFrame, key: str, start: str, id_col: str, value: str | No
 # --------------------------------------------------------------------------
 @dataclass
 class Check:
+    """A check of one table: either its ``violations``, or a ``measure`` (an
+    aggregate over ``source``, such as the count of rows that fulfil ``where``).
+    Measures of one ``scan`` (layer and table) are taken in one pass."""
+
     name: str
     layers: tuple[str, ...]
     table: str
     kind: str
     expectation: str
-    violations: DataFrame
+    violations: DataFrame | None = None
+    source: DataFrame | None = None
+    measure: Column | None = None
+    where: Column | None = None
+    scan: str = ""
+
+
+def row_check(name: str, layers: tuple[str, ...], table: str, kind: str, expectation: str,
+              source: DataFrame, where: Column) -> Check:
+    """A check that counts the rows of ``source`` that fulfil ``where``."""
+    return Check(name, layers, table, kind, expectation, source=source, measure=F.count_if(where),
+                 where=where, scan=f"{layers[0]}.{table}")
+
+
+RESULT = ("check string, layers string, table string, kind string, expectation string, found long")
+
+
+def _described(ch: Check, found: Column, sample: Column | None) -> Column:
+    cells = [F.lit(ch.name).alias("check"), F.lit(",".join(ch.layers)).alias("layers"), F.lit(ch.table).alias("table"),
+             F.lit(ch.kind).alias("kind"), F.lit(ch.expectation).alias("expectation"), found.alias("found")]
+    return F.struct(*cells, *([] if sample is None else [sample.alias("sample")]))
+
+
+def _one_pass(checks: Sequence[Check], samples: bool) -> DataFrame:
+    """All measures of one table as one aggregate, a row per check."""
+    source = checks[0].source
+    aggs = [ch.measure.alias(f"found_{i}") for i, ch in enumerate(checks)]
+    if samples:
+        whole = F.to_json(F.struct(*source.columns))
+        aggs += [F.min(F.when(ch.where if ch.where is not None else F.lit(False), whole)).alias(f"sample_{i}")
+                 for i, ch in enumerate(checks)]
+    rows = F.array(*[_described(ch, F.col(f"found_{i}"), F.col(f"sample_{i}") if samples else None)
+                     for i, ch in enumerate(checks)])
+    return source.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check]) -> DataFrame:
+def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = False) -> DataFrame:
     """One row per check: its metadata, the number of rows it found, and whether
     the expectation holds.  ``equal_counts`` checks compare the row counts they
     list (``found`` is then the number of distinct counts); ``report`` checks
-    always pass."""
-    rows = None
+    always pass.  Checks that only look at single rows of a table share one scan
+    of it.  With ``samples`` each check shows one violating row as JSON (the
+    first in text order)."""
+    scans: dict[str, list[Check]] = {}
+    parts = []
     for ch in checks:
-        v = ch.violations
-        found = (F.countDistinct("row_num") if ch.kind == "equal_counts" else F.count(F.lit(1)))
-        r = v.agg(found.alias("found")).select(
-            F.lit(ch.name).alias("check"), F.lit(",".join(ch.layers)).alias("layers"),
-            F.lit(ch.table).alias("table"), F.lit(ch.kind).alias("kind"),
-            F.lit(ch.expectation).alias("expectation"), "found")
-        rows = r if rows is None else rows.unionByName(r)
-    if rows is None:
-        return spark.createDataFrame([], "check string, layers string, table string, kind string, "
-                                         "expectation string, found long, passed boolean")
+        if ch.measure is not None:
+            scans.setdefault(ch.scan, []).append(ch)
+            continue
+        found = F.countDistinct("row_num") if ch.kind == "equal_counts" else F.count(F.lit(1))
+        aggs = [found.alias("found")]
+        if samples:
+            aggs.append(F.min(F.to_json(F.struct(*ch.violations.columns))).alias("sample"))
+        parts.append(ch.violations.agg(*aggs).select(
+            _described(ch, F.col("found"), F.col("sample") if samples else None).alias("r")).select("r.*"))
+    parts = [_one_pass(group, samples) for group in scans.values()] + parts
+    if not parts:
+        return spark.createDataFrame([], RESULT + (", sample string" if samples else "") + ", passed boolean")
+    rows = parts[0]
+    for part in parts[1:]:
+        rows = rows.unionByName(part)
     passed = (F.when(F.col("kind").isin("no_rows", "allowed_values"), F.col("found") == 0)
                .when(F.col("kind").isin("one_row", "equal_counts"), F.col("found") == 1)
                .otherwise(F.lit(True)))

@@ -21,8 +21,11 @@ from layerstar.plans import analyse as A
 from layerstar.plans import explore as E
 from layerstar.plans import gold as G
 from layerstar.plans import reports as R
+from layerstar.plans.checks import run_layer_checks
+from layerstar.plans.display import display
 from layerstar.plans.silver import CUST_TEXT
-from layerstar.plans.warehouse import AS_OF, LOAD_TIME, Warehouse, warehouse_for
+from layerstar.plans.warehouse import AS_OF, LOAD_TIME, Warehouse, describe, register_views, warehouse_for
+from layerstar.sources.io import Layers, load_tables, new_run_id
 from layerstar.sources.schemas import MAX_LENGTH, SILVER
 
 # Parameters for the driver tables: thresholds near the spread
@@ -656,5 +659,109 @@ def q23p(wh):
     return Q.join_fan_out(pj, "prd_key")
 
 
+@query("Q4_allowed")
+def q4a(wh):
+    return Q.domain_values(_b(wh, "crm_cust_info"), "cst_gndr", ["M", "F"])
+
+
+@query("Q11_null_list")
+def q11n(wh):
+    """Both flavours of NOT IN against a list that holds a NULL."""
+    sales, cust = _s(wh, "crm_sales_details"), _b(wh, "crm_cust_info")
+
+    def counted(flavour, skip_null):
+        found = Q.not_in(sales, "sls_cust_id", cust, "cst_id", skip_null=skip_null)
+        return found.agg(F.count(F.lit(1)).alias("found")).select(F.lit(flavour).alias("flavour"), "found")
+    return counted("plain", False).unionByName(counted("NULLs skipped", True))
+
+
+@query("Q12_empty")
+def q12e(wh):
+    prd = _s(wh, "crm_prd_info")
+    return Q.if_parent_empty(_b(wh, "crm_prd_info"), prd.where(F.col("prd_cost") < 0))
+
+
+@query("Q20_keys")
+def q20k(wh):
+    return Q.bad_pattern(_b(wh, "crm_cust_info"), "cst_key", r"^AW[0-9]{8}$")
+
+
+@query("Q23_bronze")
+def q23b(wh):
+    ci, ca = _b(wh, "crm_cust_info").alias("ci"), _s(wh, "erp_cust_az12").alias("ca")
+    j = ci.join(ca, F.trim("ci.cst_key") == F.col("ca.cid"), "left").select(F.col("ci.cst_id").alias("cst_id"))
+    return Q.join_fan_out(j, "cst_id")
+
+
+@query("Q26_types")
+def q26t(wh):
+    """Bronze products held against the silver declaration."""
+    b = _b(wh, "crm_prd_info")
+    return Q.schema_mismatch(b.sparkSession, b, SILVER["crm_prd_info"], MAX_LENGTH["silver"]["crm_prd_info"])
+
+
+# ---------------------------------------------------------------- the check lists of the layers
+for _layer in ("bronze", "silver", "gold"):
+    query(f"checks_{_layer}")(lambda wh, layer=_layer: run_layer_checks(wh, layer))
+
+
+# ---------------------------------------------------------------- load services
+@query("S3")
+def s3(wh):
+    """A failed second load leaves the first one visible."""
+    layers = Layers(f"{wh.layers.root}/s3-{new_run_id()}")
+    cats = C.with_load_time(C.load_categories(_b(wh, "erp_px_cat_g1v2")), LOAD_TIME)
+    load_tables(wh.spark, layers, "silver", {"erp_px_cat_g1v2": lambda: cats})
+    broken = {"erp_px_cat_g1v2": lambda: cats.limit(1),
+              "erp_loc_a101": lambda: cats.select(F.raise_error(F.lit("a bad row")).alias("cid"))}
+    load_tables(wh.spark, layers, "silver", broken, raise_errors=False)
+    return layers.table(wh.spark, "silver", "erp_px_cat_g1v2")
+
+
+@query("S4")
+def s4(wh):
+    """The stored audit of this refresh."""
+    runs = [wh.runs[layer] for layer in ("bronze", "silver", "gold")]
+    audit = wh.spark.read.parquet(wh.layers.audit_path)
+    return audit.where(F.col("run_id").isin(runs)).select("layer", "table", "rows", "status")
+
+
+def _report_views(wh):
+    register_views(wh, reports={"report_customers": r1(wh), "report_products": r2(wh)})
+
+
+@query("S6_customers")
+def s6c(wh):
+    _report_views(wh)
+    return wh.spark.sql("SELECT * FROM gold_report_customers")
+
+
+@query("S6_products")
+def s6p(wh):
+    _report_views(wh)
+    return wh.spark.sql("SELECT * FROM gold_report_products")
+
+
+@query("S9_tables")
+def s9t(wh):
+    return describe(wh)[0]
+
+
+@query("S9_columns")
+def s9c(wh):
+    return describe(wh)[1].select("table_schema", "table_name", "ordinal_position", "column_name", "data_type")
+
+
+# ---------------------------------------------------------------- display forms
+@query("A5_display")
+def a5_display(wh):
+    return display("A5", a5(wh))
+
+
+@query("A7_display")
+def a7_display(wh):
+    return display("A7", a7(wh))
+
+
 def queries() -> dict[str, Query]:
     return dict(QUERIES)

@@ -8,7 +8,7 @@ check.  The checks are the Q operators of ``layerstar.operators.quality``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.functions import clean as C
@@ -23,54 +23,61 @@ def _c(name, layers, table, kind, expectation, df: DataFrame) -> Q.Check:
     return Q.Check(name, tuple(layers), table, kind, expectation, df)
 
 
+def _r(name, layers, table, kind, expectation, source: DataFrame, where: Column) -> Q.Check:
+    return Q.row_check(name, tuple(layers), table, kind, expectation, source, where)
+
+
+def _schema(layer: str, table: str, df: DataFrame, declared) -> Q.Check:
+    return Q.Check(f"Q26 {table}", (layer,), table, NO, "declared schema", source=df, scan=f"{layer}.{table}",
+                   measure=Q.schema_mismatch_count(df, declared[table], MAX_LENGTH[layer][table]))
+
+
 def bronze_checks(wh) -> list[Q.Check]:
     b, s = wh.bronze, wh.silver
     cust, prd, sales = b("crm_cust_info"), b("crm_prd_info"), b("crm_sales_details")
     az, loc, cat = b("erp_cust_az12"), b("erp_loc_a101"), b("erp_px_cat_g1v2")
-    spark = cust.sparkSession
-    out = [_c(f"Q26 {t}", ["bronze"], t, NO, "declared schema",
-              Q.schema_mismatch(spark, b(t), BRONZE[t], MAX_LENGTH["bronze"][t])) for t in BRONZE]
+    out = [_schema("bronze", t, b(t), BRONZE) for t in BRONZE]
     B = ["bronze"]
     out += [
         _c("Q1 cst_id", B, "crm_cust_info", NO, "unique, not NULL", Q.duplicate_or_null_key(cust, "cst_id")),
         _c("Q2 cst_id rows", B, "crm_cust_info", REPORT, "rows behind Q1", Q.rows_with_bad_key(cust, "cst_id")),
-        _c("Q3 cst_firstname", B, "crm_cust_info", NO, "trimmed", Q.untrimmed(cust, "cst_firstname")),
-        _c("Q3 cst_gndr", B, "crm_cust_info", NO, "trimmed", Q.untrimmed(cust, "cst_gndr")),
+        _r("Q3 cst_firstname", B, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed("cst_firstname")),
+        _r("Q3 cst_gndr", B, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed("cst_gndr")),
         _c("Q4 cst_gndr", B, "crm_cust_info", REPORT, "codes", Q.domain_values(cust, "cst_gndr")),
         _c("Q4 cst_marital_status", B, "crm_cust_info", REPORT, "codes",
            Q.domain_values(cust, "cst_marital_status")),
         _c("Q1 prd_id", B, "crm_prd_info", NO, "unique, not NULL", Q.duplicate_or_null_key(prd, "prd_id")),
-        _c("Q5 prd_cost", B, "crm_prd_info", NO, "set, not negative", Q.null_or_negative(prd, "prd_cost")),
+        _r("Q5 prd_cost", B, "crm_prd_info", NO, "set, not negative", prd, Q.is_null_or_negative(prd, "prd_cost")),
         _c("Q4 prd_line", B, "crm_prd_info", REPORT, "codes", Q.domain_values(prd, "prd_line")),
-        _c("Q6 prd dates", B, "crm_prd_info", NO, "end not before start",
-           Q.reversed_range(prd, "prd_start_dt", "prd_end_dt", "prd_key")),
-        _c("Q7 prd dates", B, "crm_prd_info", NO, "dates set", Q.null_any(prd, ["prd_start_dt", "prd_end_dt"])),
+        _r("Q6 prd dates", B, "crm_prd_info", NO, "end not before start",
+           prd, Q.is_reversed("prd_start_dt", "prd_end_dt")),
+        _r("Q7 prd dates", B, "crm_prd_info", NO, "dates set", prd, Q.has_null(["prd_start_dt", "prd_end_dt"])),
         _c("Q31 prd history", B, "crm_prd_info", REPORT, "derived end dates",
            Q.history_of(prd.select("prd_id", "prd_key", "prd_cost", "prd_start_dt", "prd_end_dt"),
                         "prd_key", "prd_start_dt", "prd_id")),
         _c("Q9 sls_ord_num", B, "crm_sales_details", REPORT, "lines per order",
            Q.repeated_key(sales, "sls_ord_num")),
-        _c("Q8 sales keys", B, "crm_sales_details", NO, "keys set",
-           Q.null_any(sales, ["sls_cust_id", "sls_prd_key", "sls_ord_num"])),
-        _c("Q3 sls_prd_key", B, "crm_sales_details", NO, "trimmed", Q.untrimmed(sales, "sls_prd_key")),
+        _r("Q8 sales keys", B, "crm_sales_details", NO, "keys set",
+           sales, Q.has_null(["sls_cust_id", "sls_prd_key", "sls_ord_num"])),
+        _r("Q3 sls_prd_key", B, "crm_sales_details", NO, "trimmed", sales, Q.is_untrimmed("sls_prd_key")),
         _c("Q12 products loaded", ["bronze", "silver"], "crm_sales_details", NO, "parent not empty",
            Q.if_parent_empty(sales, s("crm_prd_info"))),
         _c("Q12 customers loaded", ["bronze", "silver"], "crm_sales_details", NO, "parent not empty",
            Q.if_parent_empty(sales, s("crm_cust_info"))),
-        _c("Q13 sales dates", B, "crm_sales_details", NO, "dates parse",
-           Q.unparsable_dates(sales, ["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
-        _c("Q7 sales dates", B, "crm_sales_details", NO, "dates set",
-           Q.null_any(sales, ["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
-        _c("Q14 sales dates", B, "crm_sales_details", NO, "order <= ship <= due",
-           Q.dates_out_of_order(sales, "sls_order_dt", "sls_ship_dt", "sls_due_dt")),
-        _c("Q15 sales dates", B, "crm_sales_details", NO, "2000-01-01 .. as_of",
-           Q.dates_out_of_bounds(sales, ["sls_ship_dt", "sls_due_dt", "sls_order_dt"], wh.as_of)),
-        _c("Q16 sales measures", B, "crm_sales_details", NO, "sales = quantity * price, all set",
-           Q.measure_mismatch(sales, "sls_sales", "sls_quantity", "sls_price")),
+        _r("Q13 sales dates", B, "crm_sales_details", NO, "dates parse",
+           sales, Q.is_unparsable(["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
+        _r("Q7 sales dates", B, "crm_sales_details", NO, "dates set",
+           sales, Q.has_null(["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
+        _r("Q14 sales dates", B, "crm_sales_details", NO, "order <= ship <= due",
+           sales, Q.is_out_of_order("sls_order_dt", "sls_ship_dt", "sls_due_dt")),
+        _r("Q15 sales dates", B, "crm_sales_details", NO, "2000-01-01 .. as_of",
+           sales, Q.is_out_of_bounds(sales, ["sls_ship_dt", "sls_due_dt", "sls_order_dt"], wh.as_of)),
+        _r("Q16 sales measures", B, "crm_sales_details", NO, "sales = quantity * price, all set",
+           sales, Q.is_mismatch(sales, "sls_sales", "sls_quantity", "sls_price")),
         _c("Q17 az12 cid", B, "erp_cust_az12", REPORT, "id lengths", Q.length_histogram(az, "cid")),
-        _c("Q13 bdate", B, "erp_cust_az12", NO, "dates parse", Q.unparsable_dates(az, "bdate", fmt=None)),
-        _c("Q18 bdate", B, "erp_cust_az12", REPORT, "1925-01-01 .. as_of",
-           Q.birthdate_bounds(az, "bdate", wh.as_of)),
+        _r("Q13 bdate", B, "erp_cust_az12", NO, "dates parse", az, Q.is_unparsable("bdate", fmt=None)),
+        _r("Q18 bdate", B, "erp_cust_az12", REPORT, "1925-01-01 .. as_of",
+           az, Q.is_unlikely_birthdate("bdate", wh.as_of)),
         _c("Q19 gen", B, "erp_cust_az12", REPORT, "standard values",
            Q.standardisation_map(az, "gen", C.map_gender)),
         _c("Q17 loc cid", B, "erp_loc_a101", REPORT, "id lengths", Q.length_histogram(loc, "cid")),
@@ -80,9 +87,9 @@ def bronze_checks(wh) -> list[Q.Check]:
            Q.standardisation_map(loc, "cntry", C.map_country)),
         _c("Q11 cat id", ["bronze", "silver"], "erp_px_cat_g1v2", REPORT, "used by a product",
            Q.not_in(cat, "id", s("crm_prd_info"), "cat_id")),
-        _c("Q20 cat id", B, "erp_px_cat_g1v2", NO, "form XX_YY", Q.bad_pattern(cat, "id")),
-        _c("Q3 cat text", B, "erp_px_cat_g1v2", NO, "trimmed",
-           Q.untrimmed(cat, ["cat", "subcat", "maintenance"])),
+        _r("Q20 cat id", B, "erp_px_cat_g1v2", NO, "form XX_YY", cat, Q.is_not_like("id")),
+        _r("Q3 cat text", B, "erp_px_cat_g1v2", NO, "trimmed",
+           cat, Q.is_untrimmed(["cat", "subcat", "maintenance"])),
         _c("Q27 cat pairs", B, "erp_px_cat_g1v2", REPORT, "pairs", Q.distinct_pairs(cat, "cat", "subcat")),
         _c("Q4 maintenance", B, "erp_px_cat_g1v2", REPORT, "codes", Q.domain_values(cat, "maintenance")),
     ]
@@ -93,10 +100,8 @@ def silver_checks(wh) -> list[Q.Check]:
     b, s = wh.bronze, wh.silver
     cust, prd, sales = s("crm_cust_info"), s("crm_prd_info"), s("crm_sales_details")
     az, loc, cat = s("erp_cust_az12"), s("erp_loc_a101"), s("erp_px_cat_g1v2")
-    spark = cust.sparkSession
     S, BS = ["silver"], ["bronze", "silver"]
-    out = [_c(f"Q26 {t}", S, t, NO, "declared schema",
-              Q.schema_mismatch(spark, s(t), SILVER[t], MAX_LENGTH["silver"][t])) for t in SILVER]
+    out = [_schema("silver", t, s(t), SILVER) for t in SILVER]
     b_cust = C.drop_null_keys(b("crm_cust_info"), "cst_id").select("cst_id").distinct()
     parity = {"crm_cust_info": b_cust, "crm_prd_info": C.drop_null_keys(b("crm_prd_info"), "prd_id")}
     for t in SILVER:
@@ -105,15 +110,15 @@ def silver_checks(wh) -> list[Q.Check]:
     out += [
         _c("Q22 crm_cust_info", S, "crm_cust_info", ONE, "populated", Q.is_populated(cust)),
         _c("Q1 cst_id", S, "crm_cust_info", NO, "unique, not NULL", Q.duplicate_or_null_key(cust, "cst_id")),
-        _c("Q3 cst text", S, "crm_cust_info", NO, "trimmed", Q.untrimmed(cust, CUST_TEXT)),
+        _r("Q3 cst text", S, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed(CUST_TEXT)),
         _c("Q4 cst_gndr", S, "crm_cust_info", ALLOWED, "Male, Female, Unknown",
            Q.domain_values(cust, "cst_gndr", ["Male", "Female", "Unknown"])),
         _c("Q4 cst_marital_status", S, "crm_cust_info", ALLOWED, "Single, Married, Unknown",
            Q.domain_values(cust, "cst_marital_status", ["Single", "Married", "Unknown"])),
-        _c("Q7 bronze marital", ["bronze"], "crm_cust_info", REPORT, "NULL codes in the source",
-           Q.null_any(b("crm_cust_info"), "cst_marital_status")),
+        _r("Q7 bronze marital", ["bronze"], "crm_cust_info", REPORT, "NULL codes in the source",
+           b("crm_cust_info"), Q.has_null("cst_marital_status")),
         _c("Q1 prd_id", S, "crm_prd_info", NO, "unique, not NULL", Q.duplicate_or_null_key(prd, "prd_id")),
-        _c("Q3 prd text", S, "crm_prd_info", NO, "trimmed", Q.untrimmed(prd, ["prd_key", "prd_nm"])),
+        _r("Q3 prd text", S, "crm_prd_info", NO, "trimmed", prd, Q.is_untrimmed(["prd_key", "prd_nm"])),
         _c("Q4 prd_line", S, "crm_prd_info", ALLOWED, "Mountain, Road, Touring, Other sales, Unknown",
            Q.domain_values(prd, "prd_line", ["Mountain", "Road", "Touring", "Other sales", "Unknown"])),
         _c("Q11 cat_id", BS, "crm_prd_info", REPORT, "category exists",
@@ -121,22 +126,22 @@ def silver_checks(wh) -> list[Q.Check]:
                     skip_null=True)),
         _c("Q10 cat_id", BS, "crm_prd_info", REPORT, "category exists",
            Q.orphans(prd.select("prd_id", "prd_key", "cat_id"), "cat_id", b("erp_px_cat_g1v2"), "id")),
-        _c("Q5 prd_cost", S, "crm_prd_info", NO, "set, not negative", Q.null_or_negative(prd, "prd_cost")),
-        _c("Q6 prd dates", S, "crm_prd_info", NO, "end not before start",
-           Q.reversed_range(prd, "prd_start_dt", "prd_end_dt", "prd_key")),
-        _c("Q30 sls_prd_key", S, "crm_sales_details", NO, "as written: EXISTS",
+        _r("Q5 prd_cost", S, "crm_prd_info", NO, "set, not negative", prd, Q.is_null_or_negative(prd, "prd_cost")),
+        _r("Q6 prd dates", S, "crm_prd_info", NO, "end not before start",
+           prd, Q.is_reversed("prd_start_dt", "prd_end_dt")),
+        _c("Q30 sls_prd_key", S, "crm_sales_details", REPORT, "product exists",
            Q.with_parent(sales, "sls_prd_key", prd, "prd_key")),
         _c("Q10 sls_prd_key", S, "crm_sales_details", NO, "product exists",
            Q.orphans(sales, "sls_prd_key", prd, "prd_key")),
         _c("Q10 sls_cust_id", S, "crm_sales_details", NO, "customer exists",
            Q.orphans(sales, "sls_cust_id", cust, "cst_id")),
-        _c("Q14 sales dates", S, "crm_sales_details", NO, "order <= ship <= due",
-           Q.dates_out_of_order(sales, "sls_order_dt", "sls_ship_dt", "sls_due_dt")),
-        _c("Q16 sales measures", S, "crm_sales_details", NO, "sales = quantity * price, all positive",
-           Q.measure_mismatch(sales, "sls_sales", "sls_quantity", "sls_price", negatives=True)),
+        _r("Q14 sales dates", S, "crm_sales_details", NO, "order <= ship <= due",
+           sales, Q.is_out_of_order("sls_order_dt", "sls_ship_dt", "sls_due_dt")),
+        _r("Q16 sales measures", S, "crm_sales_details", NO, "sales = quantity * price, all positive",
+           sales, Q.is_mismatch(sales, "sls_sales", "sls_quantity", "sls_price", negatives=True)),
         _c("Q17 az12 cid", S, "erp_cust_az12", ONE, "one id length", Q.length_histogram(az, "cid")),
-        _c("Q18 bdate", S, "erp_cust_az12", NO, "not in the future",
-           az.where(F.col("bdate") > F.lit(wh.as_of)).select("bdate")),
+        _r("Q18 bdate", S, "erp_cust_az12", NO, "not in the future",
+           az, F.col("bdate") > F.lit(wh.as_of)),
         _c("Q4 gen", S, "erp_cust_az12", ALLOWED, "Male, Female, Unknown",
            Q.domain_values(az, "gen", ["Male", "Female", "Unknown"])),
         _c("Q17 loc cid", S, "erp_loc_a101", ONE, "one id length", Q.length_histogram(loc, "cid")),
@@ -189,8 +194,8 @@ def checks_for(wh, layer: str) -> list[Q.Check]:
     return CHECKS[layer](wh)
 
 
-def run_layer_checks(wh, layer: str | None = None) -> DataFrame:
-    """One row per check of one layer (or of all three)."""
+def run_layer_checks(wh, layer: str | None = None, samples: bool = False) -> DataFrame:
+    """One row per check of one layer (or of all three); with ``samples`` also a violating row of each."""
     layers = [layer] if layer else list(CHECKS)
     checks = [c for lay in layers for c in checks_for(wh, lay)]
-    return Q.run_checks(wh.spark, checks)
+    return Q.run_checks(wh.spark, checks, samples)

@@ -147,17 +147,19 @@ def warehouse_for(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF) ->
         return wh
 
 
-def register_views(wh: Warehouse, as_of: _dt.date | None = None) -> list[str]:
+def register_views(wh: Warehouse, as_of: _dt.date | None = None,
+                   reports: dict[str, DataFrame] | None = None) -> list[str]:
     """Gold tables and both reports as temporary views (gold_dim_customers,
     gold_dim_products, gold_fact_sales, gold_report_customers,
-    gold_report_products)."""
+    gold_report_products).  ``reports`` replaces the reports with default
+    thresholds by others of the same names."""
     from layerstar.plans import reports as R
     from layerstar.sources.io import register_views as _register
     f, c, p = wh.gold("fact_sales"), wh.gold("dim_customers"), wh.gold("dim_products")
     as_of = as_of or wh.as_of
     frames = {"dim_customers": c, "dim_products": p, "fact_sales": f,
               "report_customers": R.report_customers(f, c, as_of),
-              "report_products": R.report_products(f, p, as_of)}
+              "report_products": R.report_products(f, p, as_of), **(reports or {})}
     _register(wh.spark, frames, prefix="gold_")
     return ["gold_" + n for n in frames]
 

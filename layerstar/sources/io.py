@@ -114,6 +114,46 @@ def publish(spark: SparkSession, layers: Layers, layer: str, run_id: str) -> Non
     row.coalesce(1).write.mode("append").parquet(layers.log_path(layer))
 
 
+def _file_system(spark: SparkSession, path: str):
+    """The Hadoop file system and path object of ``path``."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def old_runs(spark: SparkSession, layers: Layers, layer: str, keep: int = 2,
+             log_layer: str | None = None) -> list[str]:
+    """Published runs of a layer that are older than its ``keep`` newest ones and
+    still on disk, oldest first.  ``log_layer`` is the layer whose log publishes
+    them (for staging tables).
+
+    Run ids begin with their UTC start time.  A run that is not in the log is
+    never listed: it may be a load that has yet to finish."""
+    if keep < 1:
+        raise ValueError("the newest published run is always kept")
+    log = spark.read.parquet(layers.log_path(log_layer or layer))
+    published = [r.run_id for r in log.orderBy(F.desc("published_at"), F.desc("run_id")).collect()]
+    fs, runs = _file_system(spark, f"{layers.root}/{layer}/runs")
+    there = {f.getPath().getName() for f in fs.listStatus(runs)} if fs.exists(runs) else set()
+    return [r for r in reversed(published[keep:]) if r in there]
+
+
+def remove_runs(spark: SparkSession, layers: Layers, layer: str, run_ids: list[str], keep: int = 2,
+                log_layer: str | None = None) -> list[str]:
+    """Delete the data of runs that ``old_runs`` lists; the truncate-and-reload of
+    a layer keeps one copy, this keeps ``keep`` of them.
+
+    Only on request and only the runs named: whoever asks knows that no reader
+    holds them.  A run that is not in the list is an error, and then none is
+    deleted.  The log and the audit keep their rows."""
+    old = old_runs(spark, layers, layer, keep, log_layer)
+    if wrong := [r for r in run_ids if r not in old]:
+        raise ValueError(f"not an old run of {layer}: {', '.join(wrong)}")
+    for run_id in run_ids:
+        fs, path = _file_system(spark, f"{layers.root}/{layer}/runs/{run_id}")
+        fs.delete(path, True)
+    return run_ids
+
+
 def new_run_id() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 

@@ -606,8 +606,8 @@ Q["Q23"] = sql("""SELECT ci.cst_id, count(*) AS cnt FROM s_cust ci
   GROUP BY ci.cst_id HAVING count(*) > 1""", ["s_cust", "s_az12", "s_loc"])
 Q["Q24"] = sql("""SELECT p.cat_id, c.id FROM s_prd p LEFT JOIN s_cat c ON p.cat_id = c.id
   WHERE c.id IS NULL""", ["s_prd", "s_cat"])
-Q["Q25"] = sql("""SELECT f.*, c.customer_key AS dim_customer_key, c.customer_number,
-  p.product_key AS dim_product_key, p.product_number
+Q["Q25"] = sql("""SELECT f.*, c.customer_key AS dim_customer_key, c.* EXCLUDE (customer_key),
+  p.product_key AS dim_product_key, p.* EXCLUDE (product_key)
   FROM g_fact f LEFT JOIN g_cust c ON f.customer_key = c.customer_key
   LEFT JOIN g_prd p ON f.product_key = p.product_key
   WHERE f.customer_key IS NULL OR f.product_key IS NULL""", ["g_fact", "g_cust", "g_prd"])

@@ -18,10 +18,3 @@ def spark():
                     **{"spark.checkpoint.dir": scratch, "spark.local.dir": scratch})
     yield s
     s.stop()
-
-
-@pytest.fixture(scope="session")
-def ref_csv():
-    if not os.path.isdir(REF_DATASETS):
-        pytest.skip("source CSV files not available")
-    return REF_DATASETS

@@ -40,7 +40,7 @@ def test_concat_flavours_and_len(spark):
 def test_money_rounds_half_away_from_zero(spark):
     rows = [(Decimal("0.125"),), (Decimal("1234567.005"),), (Decimal("-2.5"),), (None,)]
     got = one(spark, rows, "x decimal(18,3)", fmt.money("x"))
-    assert got == ["$0.13", "$1,234,567.01", "-$2.50", None]
+    assert got == ["$0.13", "$1,234,567.01", "($2.50)", None]
     assert one(spark, [(Decimal("1234.5"),)], "x decimal(18,2)", fmt.n0("x")) == ["1,235"]
     assert one(spark, [(dt.date(2001, 3, 1),)], "d date", fmt.month_abbr("d")) == ["Mar"]
 

@@ -7,8 +7,8 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
-from layerstar.sources.io import (Layers, describe_columns, describe_tables, load_tables, preview,
-                                  read_csv, register_views, write_csv, write_full)
+from layerstar.sources.io import (Layers, describe_columns, describe_tables, load_tables, old_runs, preview,
+                                  read_csv, remove_runs, register_views, write_csv, write_full)
 from layerstar.sources.schemas import BRONZE
 
 
@@ -79,3 +79,45 @@ def test_bad_amounts_stop_the_load_or_go_to_quarantine(spark):
     assert [r.sls_ord_num for r in steps["crm_sales_details"]().collect()] == ["SO1"]
     q = steps["crm_sales_details_quarantine"]().collect()
     assert [(r.sls_ord_num, r.reason) for r in q] == [("SO2", "sls_sales does not parse")]
+
+
+def test_old_runs_go_on_request_only(spark):
+    layers = Layers.under(spark, f"r-{dt.datetime.now().timestamp()}")
+    ids = [load_tables(spark, layers, "bronze", {"a": lambda n=n: spark.range(n)})[0] for n in (1, 2, 3)]
+    with pytest.raises(Exception):          # a run that fails is never published, nor old
+        load_tables(spark, layers, "bronze", {"a": lambda: spark.range(1).select(F.raise_error(F.lit("x")))})
+    assert old_runs(spark, layers, "bronze", keep=3) == []
+    assert old_runs(spark, layers, "bronze", keep=2) == ids[:1]
+    assert old_runs(spark, layers, "bronze", keep=1) == ids[:2]
+    with pytest.raises(ValueError):
+        remove_runs(spark, layers, "bronze", [ids[0], ids[2]], keep=1)
+    with pytest.raises(ValueError):
+        old_runs(spark, layers, "bronze", keep=0)
+    assert layers.table(spark, "bronze", "a", ids[0]).count() == 1
+    remove_runs(spark, layers, "bronze", ids[:1])
+    assert old_runs(spark, layers, "bronze", keep=1) == ids[1:2]
+    assert layers.table(spark, "bronze", "a").count() == 3
+    assert layers.table(spark, "bronze", "a", ids[1]).count() == 2
+    with pytest.raises(Exception):
+        layers.table(spark, "bronze", "a", ids[0]).count()
+
+
+def test_whole_error_text_is_stored(spark):
+    layers = Layers.under(spark, f"e-{dt.datetime.now().timestamp()}")
+    long = "why " * 2000 + "the cause"
+
+    def fail():
+        raise RuntimeError(long)
+    load_tables(spark, layers, "bronze", {"a": fail}, raise_errors=False)
+    messages = {r.message for r in spark.read.parquet(layers.audit_path).collect()}
+    assert messages == {long}
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from layerstar.session import is_local, local_root
+    assert is_local("local") and is_local("local[4]") and is_local("local[*]")
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1024]", "k8s://x"):
+        assert not is_local(master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            local_root(master)
+    assert os.path.isdir(local_root("local[2]"))

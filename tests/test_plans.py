@@ -108,3 +108,16 @@ def test_pre_aggregation_shuffles_the_fact_once_without_broadcast(spark, qs):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_checks_scan_each_table_once_for_all_row_filters(spark, qs):
+    """checks_silver: the row filters and declared lengths of a table are one aggregate over one scan."""
+    from layerstar.operators import quality as Q
+    from layerstar.plans.checks import checks_for
+    from layerstar.plans.warehouse import warehouse_for
+    wh = warehouse_for(spark, SF_SMALL)
+    for layer in ("bronze", "silver"):
+        measured = [c for c in checks_for(wh, layer) if c.measure is not None]
+        scans = {c.scan for c in measured}
+        plan = executed(Q.run_checks(spark, measured))
+        assert len(measured) > 12 and plan.count("FileScan parquet") == len(scans) <= 7

@@ -139,3 +139,20 @@ def test_run_checks(spark):
                   df.select(F.col("k").cast("string").alias("k")), "k"))]
     got = {r.check: (r.found, r.passed) for r in Q.run_checks(spark, checks).collect()}
     assert got == {"dup": (1, False), "len": (1, True)}
+
+
+def test_row_checks_share_a_scan_and_show_a_row(spark):
+    df = spark.createDataFrame([(1, " a"), (None, "b"), (3, "c ")], "k long, t string")
+    L = ("bronze",)
+    checks = [Q.row_check("null", L, "t", "no_rows", "", df, Q.has_null("k")),
+              Q.row_check("trim", L, "t", "no_rows", "", df, Q.is_untrimmed("t")),
+              Q.row_check("neg", L, "t", "no_rows", "", df, Q.is_null_or_negative(df, "k") & F.col("k").isNotNull()),
+              Q.Check("dup", L, "t", "no_rows", "", Q.duplicate_or_null_key(df, "k"))]
+    got = {r.check: r for r in Q.run_checks(spark, checks, samples=True).collect()}
+    assert {k: (r.found, r.passed) for k, r in got.items()} == {
+        "null": (1, False), "trim": (2, False), "neg": (0, True), "dup": (1, False)}
+    assert got["null"]["sample"] == '{"t":"b"}' and got["trim"]["sample"] == '{"k":1,"t":" a"}'
+    assert got["neg"]["sample"] is None and got["dup"]["sample"] == '{"cnt":1}'
+    one = Q.run_checks(spark, checks[:3])
+    assert one._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 1
+    assert Q.run_checks(spark, [], samples=True).count() == 0
