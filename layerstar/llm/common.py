@@ -30,12 +30,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of an Arrow batch between Spark and Python.  Batches are counted in rows alone
+#: otherwise, and thousands of long texts at once are more than a small executor holds.
+BATCH_BYTES = 4 << 20
+
 _shipped: set[str] = set()
 
 
 def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
-    """``mapInArrow`` with this package sent to the executors, once per application."""
+    """``mapInArrow`` with this package sent to the executors, once per application,
+    and with batches of bounded size."""
     spark = df.sparkSession
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
