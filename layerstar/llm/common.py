@@ -52,6 +52,16 @@ def map_arrow(df: DataFrame, fn: Callable, schema: str) -> DataFrame:
     return df.mapInArrow(fn, schema)
 
 
+def reshuffled(df: DataFrame, key: str) -> DataFrame:
+    """``df``, grouped by the long ``key``, for a join on it whose other side may have a hot key.
+
+    Spark joins a grouped table where its groups lie and then cannot split the
+    other side's hot partition.  The no-op on the key makes it shuffle the (small)
+    grouped side once more, and the skew join is free to split.
+    """
+    return df.withColumn(key, F.col(key).bitwiseXOR(F.lit(0).cast("long")))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.llm import words as W
-from layerstar.llm.common import map_arrow, stage
+from layerstar.llm.common import map_arrow, reshuffled, stage
 
 #: A span is the shortest run of at least SENTENCES sentences and MIN_WORDS words.
 SENTENCES, MIN_WORDS = 3, 18
@@ -157,10 +157,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     every = map_arrow(keyed, _span_batches, f"id {id_type}, check long, at int, n int, span long")
     # first by hash alone: most spans occur once and go no further
     repeated = every.groupBy("span").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("span")
-    found = stage(every.join(repeated, "span"), "repeat-spans")
+    found = stage(every.join(reshuffled(repeated, "span"), "span"), "repeat-spans")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "at", "check")
     first = found.groupBy("span").agg(F.min(place).alias("first"))
-    later = found.join(first, "span").filter(~place.eqNullSafe(F.col("first")))
+    later = found.join(reshuffled(first, "span"), "span").filter(~place.eqNullSafe(F.col("first")))
     marks = (later.groupBy("id", "check").agg(F.collect_set(F.struct("at", "n")).alias("_spans"))
              .select(F.col("id").alias("_id"), F.col("check").alias("_check"),
                      F.col("_spans.at").alias("_at"), F.col("_spans.n").alias("_len")))
