@@ -14,7 +14,7 @@ from layerstar.llm import words as W
 from layerstar.llm.common import map_arrow, reshuffled, stage
 
 #: A span is the shortest run of at least SENTENCES sentences and MIN_WORDS words.
-SENTENCES, MIN_WORDS = 3, 18
+SENTENCES, MIN_WORDS = 3, 24
 #: A longer sentence is cut after words chosen by their hash, one in CUT_ONE_IN, so that
 #: a passage put into the middle of another sentence still falls into the same pieces.
 LONG_SENTENCE, CUT_ONE_IN = 8, 4

@@ -72,7 +72,7 @@ def odd_rows():
     rows += [(40 + i, f"{prose(300 + i, 60 + i)} and then {passage} {prose(400 + i, 50)}") for i in range(4)]
     rows += [(50 + i, prose(500 + i, 3 + 40 * i)) for i in range(8)]
     rows += [(60, None), (61, ""), (62, " \n\t "), (63, "one two three"), (64, "One  two three"), (65, "!!! ??? ..."),
-             (66, "a " * 3000), (67, "x" * 20000), (68, "naïve café “quoted” 数据 处理 ünïcode " * 5),
+             (66, "a " * 3000), (67, "x" * 20000), (68, "naïve café “quoted” 数据 处理 ünïcode " * 20),
              (69, prose(5, 6000)), (70, prose(6, 30)), (70, prose(7, 30)), (71, base), (71, base),
              (None, prose(8, 40)), (None, prose(8, 40)), (None, base), (72, prose(8, 40))]
     return rows
