@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from layerstar.llm.common import stage
+from layerstar.llm.common import reshuffled, stage
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -28,10 +28,10 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     while True:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = (both.join(least, "u").filter("v > u")
+        large = (both.join(reshuffled(least, "u"), "u").filter("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(reshuffled(least, "u"), "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = stage(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), name)
         before, state = state, _state(e)
         if state == before:

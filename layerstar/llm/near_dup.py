@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.llm import words as W
-from layerstar.llm.common import map_arrow, stage
+from layerstar.llm.common import map_arrow, reshuffled, stage
 from layerstar.llm.components import connected_components
 
 #: Words of a shingle, and the least similarity of linked texts in hundredths.
@@ -194,7 +194,7 @@ def _hub_pairs(members: DataFrame, turn: int) -> DataFrame:
     hubs = (members.groupBy("key").agg(F.min_by("node", rank).alias("hub"), F.min_by("comp", rank).alias("hub_comp"),
                                        F.min("comp").alias("lo"), F.max("comp").alias("hi"))
             .filter("lo <> hi").drop("lo", "hi"))
-    return (members.join(hubs, "key").filter("comp <> hub_comp")
+    return (members.join(reshuffled(hubs, "key"), "key").filter("comp <> hub_comp")
             .select(*_ordered(F.col("node"), F.col("hub"))).distinct())
 
 
@@ -206,7 +206,7 @@ def _tile_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """
     mixed = (members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
              .filter("lo <> hi").select("key", F.ceil(F.col("m") / TILE).cast("int").alias("blocks")))
-    rows = (members.join(mixed, "key").join(nodes, "node")
+    rows = (members.join(reshuffled(mixed, "key"), "key").join(nodes, "node")
             .withColumn("own", F.pmod(F.xxhash64("node"), "blocks").cast("int")))
     left = rows.withColumn("j", F.explode(F.sequence("own", F.col("blocks") - 1))).withColumnRenamed("own", "i")
     right = rows.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("own")))).withColumnRenamed("own", "j")
@@ -255,7 +255,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                        F.first("sketch").alias("sketch")), "near-dup-nodes")
     in_band = nodes.select("node", F.explode("bands").alias("key"))
     shared = in_band.groupBy("key").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("key")
-    buckets = stage(in_band.join(shared, "key"), "near-dup-buckets")
+    buckets = stage(in_band.join(reshuffled(shared, "key"), "key"), "near-dup-buckets")
     suspects = buckets.select("node").distinct().join(nodes.select("node", "k", "n", "sketch"), "node")
     suspects = stage(suspects, "near-dup-suspects")
     texts = rows.select("k", "text").join(suspects.select("node", "k"), "k").select("node", "text")
@@ -286,7 +286,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = (signed.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
                 .join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")))
     least = labelled.filter("comp is not null").groupBy("comp").agg(F.min("id").alias("least"))
-    out = labelled.join(least, "comp", "left")
+    out = labelled.join(reshuffled(least, "comp"), "comp", "left")
     component = F.when(F.col("comp").isNull(), F.col("id")).otherwise(F.col("least"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("id").eqNullSafe(component).alias("kept"))
