@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from layerstar.llm.common import prefix_sums, text_or_empty
+from layerstar.llm.common import prefix_sums, stage, text_or_empty
 
 #: Lengths up to EXACT have a histogram cell each; beyond it every octave has
 #: PER_OCTAVE cells, so the histogram has at most EXACT + 1 + 53 * PER_OCTAVE
@@ -86,7 +86,8 @@ def pack(docs: DataFrame, n_buckets: int = 16, token_budget: int = 65536, id_col
     empty table gives an empty result; other columns are ignored.
     """
     n_tokens = F.coalesce(length if length is not None else word_count(text_col), F.lit(0))
-    rows = docs.select(F.col(id_col).alias("_id"), n_tokens.cast("long").alias("_len"))
+    # the texts are read once; histogram, ranges and ranks come from the stored lengths
+    rows = stage(docs.select(F.col(id_col).alias("_id"), n_tokens.cast("long").alias("_len")), "pack-lengths")
     cells = length_histogram(rows, "_len").orderBy("longest").collect()
     bounds = optimal_boundaries([c["longest"] for c in cells], [c["n"] for c in cells], n_buckets)
 
@@ -106,7 +107,7 @@ def pack(docs: DataFrame, n_buckets: int = 16, token_budget: int = 65536, id_col
     bucket_len, cap, start = (a[F.col("_bucket")] for a in per_bucket)
     # a bucket may hold most of the rows, so its rows are numbered across partitions
     ranked = prefix_sums(rows.withColumn("_bucket", bucket.cast("int")), ["_id", "_len"],
-                         group="_bucket", name="pack-lengths")
+                         group="_bucket", name="pack-ranks")
     return ranked.select(
         F.col("_id").alias(id_col), F.col("_len").alias("n_tokens"), F.col("_bucket").alias("bucket"),
         bucket_len.alias("bucket_len"),
