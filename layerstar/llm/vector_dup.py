@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from layerstar.llm.common import map_arrow, prefix_sums, stage
+from layerstar.llm.common import map_arrow, prefix_sums, reshuffled, stage
 from layerstar.llm.components import connected_components
 
 #: Least cosine of linked vectors.
@@ -209,5 +209,5 @@ def _link_dim(rows: DataFrame, dim: int) -> DataFrame:
     labelled = (placed.select("id", "node").join(counts, "node", "left").join(comps, "node", "left")
                 .withColumn("comp", F.coalesce("comp", "node")))
     least = labelled.groupBy("comp").agg(F.min("id").alias("component"))
-    return (labelled.join(least, "comp")
+    return (labelled.join(reshuffled(least, "comp"), "comp")
             .select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component"))
