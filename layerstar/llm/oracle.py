@@ -72,3 +72,75 @@ SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en
   WHEN rule IS NOT NULL THEN 'block' ELSE coalesce(verdict, 'allow') END AS verdict
 FROM ruled LEFT JOIN verdicts USING (host)
 """
+
+
+def _crc_table() -> str:
+    """The 256 values of the CRC-32 polynomial 0xEDB88320, by its rule."""
+    out = []
+    for n in range(256):
+        for _ in range(8):
+            n = (n >> 1) ^ (0xEDB88320 if n & 1 else 0)
+        out.append(n)
+    return "[" + ", ".join(map(str, out)) + "]"
+
+
+#: CRC-32 of a text: its bytes, two hexadecimal digits each, folded from the left.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT,
+    list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: ('0x' || h)::BIGINT)),
+    lambda c, b: xor(c >> 8, crc_table[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)"""
+
+OP2 = f"""
+WITH sized AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 8 AS BIGINT) AS size,
+         CASE WHEN text IS NOT NULL THEN {_CRC} END AS text_crc32
+  FROM documents, (SELECT {_crc_table()} AS crc_table)),
+placed AS (
+  SELECT *, sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) AS upto, sum(size) OVER () AS total
+  FROM sized),
+cut AS (SELECT *, CAST(least(23, ((2 * upto - size) * 24) // (2 * total)) AS INTEGER) AS shard FROM placed)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM cut
+"""
+
+OP5 = rf"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 4) + 1)) AS i FROM d WHERE len(w) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reached(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.doc_id, e.b FROM reached r JOIN edges e ON r.other = e.a),
+least AS (SELECT doc_id, min(other) AS component_id FROM reached GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id, d.doc_id = component_id AS kept
+FROM d LEFT JOIN sizes USING (doc_id) JOIN least USING (doc_id)
+"""
+
+OP6 = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+sized AS (SELECT vec_id, v, sqrt(list_dot_product(v, v)) AS norm FROM usable),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sized a JOIN sized b ON a.vec_id < b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_dot_product(a.v, b.v) / (a.norm * b.norm) >= 0.9),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+counts AS (SELECT a AS vec_id, count(*) AS n FROM edges GROUP BY a),
+reached(vec_id, other) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.vec_id, e.b FROM reached r JOIN edges e ON r.other = e.a),
+least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM least LEFT JOIN counts USING (vec_id)
+"""

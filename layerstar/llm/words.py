@@ -3,7 +3,8 @@
 Both word rules in use split at ASCII characters only, so they work on the UTF-8
 bytes.  A word's hash is a polynomial in its lower-cased (A-Z) bytes, mixed; a
 run of words is a polynomial in the word hashes, mixed.  Texts are taken a few
-hundred kilobytes at a time, so memory does not grow with the batch.
+hundred kilobytes at a time, a longer text in pieces between its words, so memory
+does not grow with the batch and hardly with a text.
 """
 
 from __future__ import annotations
@@ -86,10 +87,30 @@ def word_groups(texts: pa.Array, kept: np.ndarray) -> Iterator[Words]:
     while row < len(texts):
         stop = int(np.searchsorted(at, at[row] + GROUP_BYTES, side="right")) - 1
         stop = min(max(stop, row + 1), len(texts))
-        yield _words(row, at[row:stop + 1] - at[row], data[at[row]:at[stop]], kept)
+        part = data[at[row]:at[stop]]
+        if len(part) <= GROUP_BYTES:
+            yield _words(row, at[row:stop + 1] - at[row], part, kept)
+        else:
+            yield _long_text(row, part, kept)
         row = stop
 
 
+def _long_text(row: int, data: np.ndarray, kept: np.ndarray) -> Words:
+    """One text beyond GROUP_BYTES, in pieces that end between words."""
+    pieces, at = [], 0
+    while at < len(data):
+        stop = at + GROUP_BYTES
+        while stop < len(data) and kept[data[stop]]:        # to the next separator
+            ahead = np.flatnonzero(~kept[data[stop:stop + GROUP_BYTES]])
+            stop += int(ahead[0]) if len(ahead) else GROUP_BYTES
+        stop = min(stop, len(data))
+        w = _words(row, np.array([0, stop - at]), data[at:stop], kept)
+        pieces.append((w.hash, w.begin + at, w.end + at))
+        at = stop
+    value, begin, end = (np.concatenate(x) for x in zip(*pieces, strict=True))
+    return Words(row, np.array([0, len(value)]), value, begin, end, data, np.array([0, len(data)]))
+
+
 def _words(row: int, at: np.ndarray, data: np.ndarray, kept: np.ndarray) -> Words:
     n = len(data)
     inside = np.zeros(n + 2, dtype=bool)

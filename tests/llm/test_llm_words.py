@@ -41,3 +41,13 @@ def test_slices_of_a_batch():
     texts = pa.array(TEXTS).slice(3, 5)
     assert sum(len(g.hash) for g in W.word_groups(texts, W.SPACED)) == sum(len(spaced(t)) for t in TEXTS[3:8])
     assert list(W.word_groups(pa.array([], pa.string()), W.SPACED)) == []
+
+
+def test_a_long_text_in_pieces(monkeypatch):
+    text = prose(5, 3000) + " " + "y" * 300 + "  " + prose(6, 50)
+    (whole,) = W.word_groups(pa.array([text]), W.SPACED)
+    monkeypatch.setattr(W, "GROUP_BYTES", 100)
+    first, second = W.word_groups(pa.array([text, "a b"]), W.SPACED)
+    for name in ("hash", "begin", "end", "first", "data", "text_at"):
+        assert np.array_equal(getattr(whole, name), getattr(first, name)), name
+    assert len(second.hash) == 2
