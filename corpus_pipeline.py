@@ -2,8 +2,9 @@
 
 ``STAGES`` lists (name, function); a function takes (spark, docs, sf_dir) and
 returns a DataFrame.  ``run`` writes each stage's result as Parquet to the
-shared folder and hands the reread table to the next stage.  All stages but the
-last return the columns they were given.
+shared folder and hands the reread table to the next stage; what a stage stored on
+its way, and the table before it, then go.  All stages but the last return the
+columns they were given.
 
 Defined results, beside those that the operators state: a NULL ``doc_id`` is an
 id like any other but sorts last; an empty table passes through; columns beyond
@@ -13,12 +14,15 @@ uses keep their values.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerstar.llm import decontaminate, near_dup, packing, quality, substring_dedup
-from layerstar.llm.common import read_table, stage
+from layerstar.llm.common import delete, read_table, staging_area
 from layerstar.llm.registry import LENGTH_BUCKETS, TOKEN_BUDGET, quality_model
+from layerstar.session import work_root
 
 #: Two hashes of id and text that tell rows apart while a stage works.
 KEYS = ["__row_key_1", "__row_key_2"]
@@ -88,7 +92,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        docs = stage(step(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
+    """The last stage's table, after all stages over the whole ``documents`` table."""
+    docs, before = read_table(spark, sf_dir, "documents"), None
+    folder = f"{work_root(spark)}/pipeline-{uuid.uuid4().hex}"
+    for number, (_, step) in enumerate(STAGES):
+        path = f"{folder}/{number}"
+        with staging_area(spark):
+            step(spark, docs, sf_dir).write.parquet(path)
+        docs = spark.read.parquet(path)
+        if before:
+            delete(spark, before)
+        before = path
     return docs

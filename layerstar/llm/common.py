@@ -6,7 +6,9 @@ import os
 import shutil
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,18 +20,42 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+#: The folder that ``stage`` writes to, below the shared one.
+_area: ContextVar[str] = ContextVar("area", default="llm")
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     The stored table cuts the lineage: a lost executor costs a read of it, not
     the work that made it.  The folder is the one of ``spark.checkpoint.dir``.
+    The tables stay, since the result of an operator may read them at any time;
+    inside ``staging_area`` they go at its end.
     """
     spark = df.sparkSession
-    path = f"{work_root(spark)}/llm/{name}-{uuid.uuid4().hex}"
+    path = f"{work_root(spark)}/{_area.get()}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging_area(spark: SparkSession) -> Iterator[None]:
+    """What is staged inside is deleted at the end: store the result before."""
+    area = f"llm/area-{uuid.uuid4().hex}"
+    token = _area.set(area)
+    try:
+        yield
+    finally:
+        _area.reset(token)
+        delete(spark, f"{work_root(spark)}/{area}")
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system, whichever that is."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 #: Bytes of an Arrow batch between Spark and Python.  Batches are counted in rows alone
 #: otherwise, and thousands of long texts at once are more than a small executor holds.
 BATCH_BYTES = 4 << 20

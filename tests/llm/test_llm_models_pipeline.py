@@ -13,6 +13,7 @@ import corpus_pipeline
 from layerstar.llm import language_id, quality, registry
 from layerstar.llm import words as W
 from layerstar.llm.common import read_table
+from layerstar.session import work_root
 
 SF = "/root/testdata/sf0.01"
 given = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not available")
@@ -155,7 +156,13 @@ def test_run_applies_the_stages_in_order(spark):
     docs = read_table(spark, SF, "documents")
     for _, step in corpus_pipeline.STAGES:
         docs = step(spark, docs, SF)
-    assert Counter(map(tuple, docs.collect())) == Counter(map(tuple, corpus_pipeline.run(spark, SF).collect()))
+    root = work_root(spark).removeprefix("file://")
+    there = set(os.listdir(root)), set(os.listdir(f"{root}/llm"))
+    got = corpus_pipeline.run(spark, SF)
+    assert Counter(map(tuple, docs.collect())) == Counter(map(tuple, got.collect()))
+    # only the last table is left on disk
+    (made,) = set(os.listdir(root)) - there[0]
+    assert os.listdir(f"{root}/{made}") == ["4"] and set(os.listdir(f"{root}/llm")) == there[1]
 
 
 @given
