@@ -144,3 +144,65 @@ least AS (SELECT vec_id, min(other) AS component_id FROM reached GROUP BY vec_id
 SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
 FROM least LEFT JOIN counts USING (vec_id)
 """
+
+
+def _boundary_steps(n_buckets: int) -> str:
+    """f1 .. fn: least padded total of the first j cells in so many buckets, and where the last one
+    begins (the first such place of equal ones); t1 .. tn: the way back from the last cell."""
+    steps = ["f0 AS MATERIALIZED (SELECT 0::BIGINT AS j, 0::HUGEINT AS cost, 0::BIGINT AS i)"]
+    for k in range(1, n_buckets + 1):
+        steps.append(f"""
+f{k} AS MATERIALIZED (
+  SELECT 0::BIGINT AS j, 0::HUGEINT AS cost, 0::BIGINT AS i
+  UNION ALL SELECT j, best // 100000, best % 100000 FROM (
+    SELECT c.j, min((p.cost + c.longest::HUGEINT * (c.upto - b.upto)) * 100000 + p.j) AS best
+    FROM cells c JOIN f{k - 1} p ON p.j < c.j JOIN cells b ON b.j = p.j WHERE c.j > 0 GROUP BY c.j))""")
+    steps.append(f"t{n_buckets} AS (SELECT max(j) AS j FROM cells)")
+    for k in range(n_buckets, 1, -1):
+        steps.append(f"t{k - 1} AS (SELECT f{k}.i AS j FROM f{k} JOIN t{k} USING (j) WHERE j > 0)")
+    return ",\n".join(steps)
+
+
+OP3 = f"""
+WITH rows AS MATERIALIZED (
+  SELECT doc_id, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS n FROM documents),
+grouped AS (
+  SELECT max(n) AS longest, count(*) AS c FROM (
+    SELECT n, CASE WHEN n <= 1024 THEN n ELSE ceil(n / (pow(2, floor(log2(n))) / 256)) * pow(2, floor(log2(n))) / 256 END AS cell
+    FROM rows) GROUP BY cell),
+cells AS MATERIALIZED (
+  SELECT 0::BIGINT AS j, 0::BIGINT AS longest, 0::HUGEINT AS upto
+  UNION ALL SELECT row_number() OVER (ORDER BY longest), longest, sum(c) OVER (ORDER BY longest) FROM grouped),
+{_boundary_steps(16)},
+bounds AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY bound) - 1 AS bucket, bound, greatest(1, 65536 // greatest(1, bound)) AS cap,
+         coalesce(lag(bound) OVER (ORDER BY bound), -1) AS above
+  FROM (SELECT DISTINCT longest AS bound FROM cells JOIN (
+          {' UNION ALL '.join(f'SELECT j FROM t{k}' for k in range(1, 17))}) USING (j) WHERE j > 0)),
+placed AS MATERIALIZED (
+  SELECT doc_id, n, bucket, bound, cap, row_number() OVER (PARTITION BY bucket ORDER BY doc_id, n) - 1 AS rank
+  FROM rows JOIN bounds ON n > above AND n <= bound),
+starts AS (
+  SELECT bucket, coalesce(sum(batches) OVER (ORDER BY bucket ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM (SELECT bucket, (count(*) + any_value(cap) - 1) // any_value(cap) AS batches FROM placed GROUP BY bucket))
+SELECT doc_id, n AS n_tokens, CAST(bucket AS INTEGER) AS bucket, bound AS bucket_len,
+       CAST(start + rank // cap AS BIGINT) AS batch, CAST(rank % cap AS INTEGER) AS slot
+FROM placed JOIN starts USING (bucket)
+"""
+
+#: The pages of the driver tables keep their text in one article of headings and paragraphs, so a
+#: plainer rule than the operator's gives the same: its blocks without markup.
+OP4 = r"""
+WITH blocks AS (
+  SELECT page_id, url, string_split(regexp_replace(
+           regexp_extract(coalesce(html, ''), '(?s)<article>(.*)</article>', 1), '</?(?:h[1-6]|p)>', chr(1), 'g'), chr(1)) AS b
+  FROM pages),
+plain AS (
+  SELECT page_id, url, list_transform(b, lambda x: trim(regexp_replace(regexp_replace(
+    replace(replace(replace(replace(replace(
+      regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'),
+      '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&nbsp;', ' '), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS b
+  FROM blocks),
+texts AS (SELECT page_id, url, array_to_string(list_filter(b, lambda x: x <> ''), chr(10)) AS text FROM plain)
+SELECT page_id, url, text, CAST(length(text) AS BIGINT) AS n_chars FROM texts
+"""

@@ -92,5 +92,5 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_filter": oracle.OP1, "op2_sharding": oracle.OP2, "op5_near_dup": oracle.OP5,
-            "op6_vector_dup": oracle.OP6, "op8_decontamination": oracle.OP8}
+    return {"op1_url_filter": oracle.OP1, "op2_sharding": oracle.OP2, "op3_packing": oracle.OP3,
+            "op4_html_text": oracle.OP4, "op5_near_dup": oracle.OP5, "op6_vector_dup": oracle.OP6, "op8_decontamination": oracle.OP8}
