@@ -35,7 +35,7 @@ _MULT = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64) * np.uint64(2)
 _ADD = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 _SALT = _rng.integers(0, 1 << 63, BANDS * ROWS, dtype=np.uint64)
 
-SIGNATURE = ("n long, node long, check long, bands array<long>, sketch array<long>")
+SIGNATURE = "n long, node long, bands array<long>, sketch array<long>"
 
 
 def _sets(texts: pa.Array) -> Iterator[list[np.ndarray]]:
@@ -45,16 +45,16 @@ def _sets(texts: pa.Array) -> Iterator[list[np.ndarray]]:
         yield [np.unique(value[first[i]:first[i + 1]]) for i in range(len(group))]
 
 
-def _fingerprints(flat: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    return (np.bitwise_xor.reduceat(W.mix(flat ^ _SALT[0]), first),
-            np.add.reduceat(W.mix(flat ^ _SALT[1]), first))
+def _fingerprints(flat: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A 64-bit fingerprint of each set; two different sets share one with a chance of 5e-20."""
+    return np.bitwise_xor.reduceat(W.mix(flat ^ _SALT[0]), first).view(np.int64)
 
 
 def _signatures(sets: list[np.ndarray]) -> list[np.ndarray]:
-    """n, node, check, bands and sketch of the non-empty sets."""
+    """n, node, bands and sketch of the non-empty sets."""
     n = np.array([len(s) for s in sets], dtype=np.int64)
     flat, first = np.concatenate(sets), np.concatenate([[0], np.cumsum(n)[:-1]])
-    node, check = _fingerprints(flat, first)
+    node = _fingerprints(flat, first)
     samples = np.empty((len(sets), BANDS * ROWS), dtype=np.uint64)
     for i in range(BANDS * ROWS):
         samples[:, i] = np.minimum.reduceat(flat * _MULT[i] + _ADD[i], first)
@@ -70,7 +70,7 @@ def _signatures(sets: list[np.ndarray]) -> list[np.ndarray]:
     for i in range(BANDS * ROWS):
         bit = W.mix(samples[:, i] ^ _SALT[i]) % np.uint64(64 * SKETCH_LONGS)
         sketch[every, (bit >> np.uint64(6)).astype(np.int64)] ^= np.uint64(1) << (bit & np.uint64(63))
-    return [n, node.view(np.int64), check.view(np.int64), bands.view(np.int64), sketch.view(np.int64)]
+    return [n, node, bands.view(np.int64), sketch.view(np.int64)]
 
 
 def _lists(values: np.ndarray, has: np.ndarray) -> pa.Array:
@@ -86,15 +86,15 @@ def _sign_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         for sets in _sets(batch.column(2)):
             n = np.array([len(s) for s in sets], dtype=np.int64)
             has = n > 0
-            scalars = np.zeros((3, len(sets)), dtype=np.int64)
+            scalars = np.zeros((2, len(sets)), dtype=np.int64)
             bands, sketch = np.zeros((0, BANDS), np.int64), np.zeros((0, SKETCH_LONGS), np.int64)
             if has.any():
-                *three, bands, sketch = _signatures([s for s in sets if len(s)])
-                scalars[:, has] = three
+                *two, bands, sketch = _signatures([s for s in sets if len(s)])
+                scalars[:, has] = two
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(row, len(sets)), batch.column(1).slice(row, len(sets)),
                  *[pa.array(x) for x in scalars], _lists(bands, has), _lists(sketch, has)],
-                names=["id", "k", "n", "node", "check", "bands", "sketch"])
+                names=["id", "k", "n", "node", "bands", "sketch"])
             row += len(sets)
 
 
@@ -111,7 +111,7 @@ def _text_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             node = batch.column(0).to_numpy()
             fits, parity = [], []
             for i, s in enumerate(sets):
-                if len(s) and _fingerprints(s, np.array([0]))[0].view(np.int64)[0] == node[i]:
+                if len(s) and _fingerprints(s, np.array([0]))[0] == node[i]:
                     odd = np.bincount((W.mix(s ^ _SALT[2]) % bits).astype(np.int64), minlength=int(bits)) & 1
                     parity.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
                     fits.append(i)
@@ -227,7 +227,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     is the component's).  Words are split at ASCII white space, A-Z lower-cased.
 
     1. Each text's set is folded into BANDS * ROWS MinHash samples, band keys
-       and an odd sketch; texts of equal sets become one node.
+       and an odd sketch; texts of equal sets (by fingerprint) become one node.
     2. Nodes that share a band key are candidates.  A member is compared with
        its bucket's hub, not with every other member; linked members merge into
        components, and only buckets that still hold several components go on:

@@ -7,7 +7,6 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_cases import no_docs, odd_docs, odd_rows, prose, shingle_set  # noqa: F401
-from pyspark.sql import functions as F
 
 import corpus_pipeline
 from layerstar.llm import language_id, quality, registry

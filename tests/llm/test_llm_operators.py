@@ -140,7 +140,7 @@ def test_odd_sketch_estimates_similarity():
     rng = np.random.default_rng(0)
     both = rng.integers(0, 1 << 63, 3000, dtype=np.uint64)
     a, b = np.unique(both[:2600]), np.unique(both[400:])
-    sketch = near_dup._signatures([a, b])[4].view(np.uint64)
+    sketch = near_dup._signatures([a, b])[3].view(np.uint64)
     odd = sum(bin(int(x)).count("1") for x in sketch[0] ^ sketch[1])
     bits, k = 64 * near_dup.SKETCH_LONGS, near_dup.BANDS * near_dup.ROWS
     estimate = 1 + bits / (4 * k) * math.log(1 - 2 * odd / bits)

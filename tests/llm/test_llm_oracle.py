@@ -1,6 +1,7 @@
 """The registered queries against their DuckDB SQL."""
 
 import os
+import re
 
 import pytest
 
@@ -20,3 +21,10 @@ def test_queries_match_their_sql(spark):
 
 def test_one_query_per_operator():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)]
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not available")
+def test_sharding_is_native_and_reads_no_column_in_vain(spark):
+    plan = registry.op2_sharding(spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|InArrow|CartesianProduct|NestedLoop", plan)
+    assert "text" not in plan.split("ReadSchema")[1]       # ranks come from the stored sizes

@@ -6,7 +6,6 @@ from collections import Counter
 import numpy as np
 import pytest
 from llm_cases import components, prose
-from pyspark.sql import functions as F
 
 from layerstar.llm import html_text, url_filter, vector_dup
 from layerstar.llm.registry import URL_RULES
