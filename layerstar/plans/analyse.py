@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from layerstar.functions.dates import month_diff
 from layerstar.functions.fmt import month_abbr
-from layerstar.functions.num import MONEY_SUM, PLACES, mean, money_sum, ratio
+from layerstar.functions.num import MONEY_SUM, PLACES, money_sum, ratio
 from layerstar.operators.rows import with_grand_total
 
 # Trend marks.
