@@ -264,23 +264,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      "near-dup-suspects")
 
     comps = stage(suspects.select("node", F.col("node").alias("comp")), "near-dup-comps")
-    tested = None
-    for turn in range(HUB_ROUNDS + 1):
+    tested, turn = None, 0
+    while True:
         members = buckets.join(comps, "node")
-        last = turn == HUB_ROUNDS
-        if last:
-            pairs = _tile_pairs(members, suspects)
-        else:
-            pairs = _with_sketches(_hub_pairs(members, turn), suspects)
+        last = turn >= HUB_ROUNDS
+        pairs = _tile_pairs(members, suspects) if last else _with_sketches(_hub_pairs(members, turn), suspects)
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
         pairs = stage(pairs, "near-dup-pairs")
-        if pairs.isEmpty():
-            if last:
-                break
-            continue
         links = stage(_confirmed(pairs, texts), "near-dup-links")
-        comps = _merge(comps, links)
+        linked = not links.isEmpty()
+        if linked:
+            comps = _merge(comps, links)
+        if last:
+            break
+        turn = turn + 1 if linked else HUB_ROUNDS      # where hubs find nothing more, the tiles follow
         tested = pairs if tested is None else stage(tested.unionByName(pairs), "near-dup-tested")
 
     labelled = (signed.select("id", "n", F.when(F.col("n") > 0, F.col("node")).alias("node"))
