@@ -59,6 +59,10 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     prior comes from the beta-binomial moments: the spread of the groups' rates
     around their priors beyond what chance alone would give.
 
+    ``unseen`` is the lower bound of a host without outcomes of which this group is
+    the nearest that has some: the group's mean less Z standard deviations of the group's
+    own rate and of the levels between it and the host together.
+
     Outcomes are summed per host before they are shuffled.  Rows with a NULL
     ``bad`` are no outcomes; a NULL host counts as the empty one.
     """
@@ -70,7 +74,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     overall = total.select(F.lit("all").alias("level"), F.lit("").alias("name"), F.coalesce("n", F.lit(0.0)).alias("n"),
                            F.coalesce("bad", F.lit(0.0)).alias("bad"),
                            F.coalesce(F.col("bad") / F.col("n"), F.lit(0.0)).alias("mean"))
-    out, parents, above = [], overall.select("mean"), None
+    out, correlations, parents, above = [], [], overall.select("mean"), None
     for level in LEVELS:
         keys = [level] if above is None else [above, level]
         groups = hosts.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -84,17 +88,21 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
                   .otherwise(F.lit(1.0)))
         moments = prior.agg((q - F.count(F.lit(1))).alias("excess"), F.sum(F.col("n") - 1).alias("pairs")).first()
         rho = (moments["excess"] or 0.0) / moments["pairs"] if moments["pairs"] else 0.0
-        weight = 1 / min(max(rho, LEAST_RHO), MOST_RHO) - 1
+        rho = min(max(rho, LEAST_RHO), MOST_RHO)
+        weight = 1 / rho - 1
         a, b = F.col("bad") + weight * F.col("prior"), F.col("n") - F.col("bad") + weight * (1 - F.col("prior"))
         post = (prior.withColumn("a", a).withColumn("b", b).withColumn("mean", F.col("a") / (F.col("a") + F.col("b")))
                 .withColumn("weight", F.lit(weight)))
         post = stage(post.select(F.lit(level).alias("level"), F.col(level).alias("name"), "n", "bad", "mean", "a", "b",
                                  "weight", lower_bound(F.col("a"), F.col("b")).alias("lower")), f"reputation-{level}")
         out.append(post)
+        correlations.append(rho)
         parents, above = post, level
-    result = overall.select("*", *[F.lit(None).cast("double").alias(c) for c in ("a", "b", "weight", "lower")])
-    for post in out:
-        result = result.unionByName(post)
+    overall = overall.select("*", *[F.lit(None).cast("double").alias(c) for c in ("a", "b", "weight", "lower")])
+    result = overall.withColumn("unseen", unseen_bound(F.col("mean"), F.col("n"), correlations))
+    for k, post in enumerate(out):
+        result = result.unionByName(post.withColumn(
+            "unseen", unseen_bound(F.col("mean"), F.col("a") + F.col("b"), correlations[k + 1:])))
     return result
 
 
@@ -104,6 +112,18 @@ def lower_bound(a: Column, b: Column) -> Column:
     return mean - F.lit(Z) * F.sqrt(mean * (1 - mean) / (a + b + 1))
 
 
+def unseen_bound(mean: Column, size: Column, correlations: Sequence[float]) -> Column:
+    """Lower bound of a rate below a group of this mean and beta size (a + b).
+
+    ``correlations`` are those of the levels in between.  Variances add up: that of the
+    group's rate, and at each level the correlation's share of what is left of mean (1 - mean).
+    """
+    left = F.lit(1.0) - 1 / (size + 1)
+    for rho in correlations:
+        left = left * F.lit(1 - rho)
+    return mean - F.lit(Z) * F.sqrt(mean * (1 - mean) * (1 - left))
+
+
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id",
                url_col: str = "url") -> DataFrame:
     """Judge every URL: by the longest fitting rule, else by its host's reputation.
@@ -111,9 +131,9 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str,
     ``outcomes`` is (id_col, bad): 1 for a page known to be bad, 0 for a good
     one.  Returns one row per page: ``id_col``, ``host``, ``path``, ``rule``,
     ``verdict`` (``allow`` or ``block``) and ``lower``, the least bad rate that its
-    host's posterior leaves likely.  A host is blocked where that exceeds MAX_BAD; a
-    host without outcomes has its domain's prior, a domain without any its
-    suffix's, and so on, and is not blocked by the bound of a prior alone.
+    host's posterior leaves likely.  A host is blocked where that exceeds MAX_BAD.  A
+    host without outcomes has the bound that its registered domain leaves a host unseen
+    so far, without outcomes there its suffix's, else the overall one.
 
     A NULL URL or one without ``://`` has an empty host and path.  Pages of a NULL
     id are judged as well; ids that repeat get every outcome of theirs.  Empty
@@ -123,7 +143,14 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str,
     judged = pages.select(F.col(id_col).alias("_id"), host.alias("host"), path.alias("path"))
     known = outcomes.select(F.col(id_col).alias("_id"), F.col("bad"))
     labelled = judged.select("_id", "host").join(known, "_id").select("host", "bad")
-    names = host_reputation(labelled).filter("level = 'host'").select(F.col("name").alias("host"), "lower")
+    known = host_reputation(labelled)
+    # level by level over the distinct hosts: pages are joined once, on their host
+    names = judged.select("host").distinct().select("host", *_levels(F.col("host")))
+    for level in LEVELS:
+        names = names.join(known.filter(F.col("level") == level).select(
+            F.col("name").alias(level), F.col("unseen").alias(f"_{level}")), level, "left")
+    overall = known.filter("level = 'all'").first()["unseen"]
+    names = names.select("host", F.coalesce("_host", "_domain", "_suffix", F.lit(overall)).alias("lower"))
     names = stage(names, "host-verdicts")
     rule = longest_rule(F.col("host"), F.col("path"), rules)
     by_host = F.when(F.col("lower") > MAX_BAD, F.lit("block")).otherwise(F.lit("allow"))

@@ -76,6 +76,34 @@ def test_reputation_is_shrunk_and_bounded(spark):
     assert got["few.spam.de"].lower < got["spam.a.org"].lower
 
 
+def test_hosts_without_outcomes_are_judged_by_their_domain_and_suffix(spark):
+    counts = {"a.bad.org": (400, 390), "b.bad.org": (300, 280), "a.good.org": (600, 6), "b.good.org": (500, 2),
+              "x.one.spam": (300, 290), "y.two.spam": (300, 297), "once.fresh.org": (1, 1)}
+    labelled = [(f"http://{host}/{k}", int(k < bad)) for host, (n, bad) in counts.items() for k in range(n)]
+    fresh = {"new.bad.org": "block", "bad.org": "block", "deep.a.bad.org": "block", "new.good.org": "allow",
+             "new.three.spam": "block", "new.unknown.org": "allow", "new.fresh.org": "allow", "a.nowhere": "allow"}
+    rows = [(i, u, bad) for i, (u, bad) in enumerate(labelled + [(f"http://{h}/", None) for h in fresh])]
+    df = spark.createDataFrame(rows, "page_id long, url string, bad int")
+    got = url_filter.judge_urls(df, df.select("page_id", "bad"), [])
+    assert got.count() == len(rows)
+    got = {r.host: r for r in got.collect()}
+    assert {h: got[h].verdict for h in fresh} == fresh
+    # an unseen host's bound: its nearest known group's mean, with the variances of the levels down to it
+    known = {(r.level, r.name): r for r in url_filter.host_reputation(
+        df.select(url_filter.host_and_path("url")[0].alias("host"), "bad")).collect()}
+    rho = {r.level: 1 / (r.weight + 1) for r in known.values() if r.weight is not None}
+    for host, group, between in (("new.bad.org", ("domain", "bad.org"), ["host"]),
+                                 ("new.three.spam", ("suffix", "spam"), ["domain", "host"]),
+                                 ("a.nowhere", ("all", ""), ["suffix", "domain", "host"])):
+        r = known[group]
+        size = r.n if r.a is None else r.a + r.b
+        variance = r["mean"] * (1 - r["mean"]) / (size + 1)
+        for level in between:
+            variance += (r["mean"] * (1 - r["mean"]) - variance) * rho[level]
+        assert math.isclose(got[host].lower, r["mean"] - 1.645 * math.sqrt(variance), abs_tol=1e-9), host
+    assert math.isclose(got["a.bad.org"].lower, known["host", "a.bad.org"].lower, abs_tol=1e-9)
+
+
 # --------------------------------------------------------------------- pages
 ARTICLE = [prose(i, 30 + 9 * i) for i in range(6)]
 
