@@ -30,14 +30,23 @@ _BLOCKS = frozenset("""address article aside blockquote body dd details dialog d
     form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol option p pre section summary table tbody tfoot
     thead tr ul caption center""".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
-#: Words of class and id attributes and roles that mark what is not the article.
+#: Class and id names, roles and itemprops that mark what is not the article: these words, such a word
+#: at the end of a longer name (reader-comments), or together with words of _PLACES alone (ad-slot).
 _AWAY = frozenset("""nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar footer masthead banner cookie cookies consent
     gdpr ad ads advert adverts advertisement advertising sponsor sponsored promo popup modal overlay newsletter subscribe
     signup share sharing social related recommended recommendations comment comments disqus replies respond notice notices
     alert toolbar widget widgets pagination pager login search searchbox copyright contentinfo complementary tooltip
     dialog paywall teaser outbrain taboola skip""".split())
-#: Of these, words that also occur in the names of page frames: an article inside still counts.
-_FRAMES = frozenset("nav navbar menu sidebar widget widgets social share sharing ad ads notice notices skip".split())
+#: What the parts of a page are called.
+_PLACES = frozenset("""area article articles bar block body bottom box button buttons card cards column container content form
+    frame group header heading holder icon icons inner item items left link links list main module outer page panel post posts
+    right row section site slot stories story text thread title top unit wrap wrapper""".split())
+#: Words that make a longer name a state (has-comments) or a title (notes-on-search), and no mark.
+_STATES = frozenset("""a about allow and by disable disabled enable enabled for has have hide how if in is no non not of off on or
+    show the to use uses with without""".split())
+#: Of _AWAY, words of places that list other articles: an article inside counts only where the page has no other.
+_LISTS = frozenset("""comment comments disqus replies respond related recommended recommendations teaser promo sponsor
+    sponsored outbrain taboola""".split())
 #: Words that mark an article element as something smaller.
 _NOT_AN_ARTICLE = frozenset("comment comments teaser ad promo related".split())
 #: Words that mark the article where no article or main element does.
@@ -54,11 +63,22 @@ class _Line:
     inside: tuple = ()
 
 
-def _attributes(tag: str, attrs: str) -> tuple[bool, frozenset]:
-    """(hidden, words of class, id, role and itemprop)."""
+def _marks(name: str) -> set:
+    """Words of _AWAY by which a class, id, role or itemprop marks its element."""
+    words = [w.lower() for w in _HINT.findall(name)]
+    found = _AWAY.intersection([name.lower(), *words])
+    if not found or name.lower() in _AWAY:
+        return found
+    if not _STATES.isdisjoint(words) or words[-1] not in _AWAY and not _AWAY.union(_PLACES).issuperset(words):
+        return set()
+    return found
+
+
+def _attributes(attrs: str, titled: bool) -> tuple[bool, frozenset, frozenset]:
+    """(hidden, words of class, id, role and itemprop, marks); ``titled``: the id is made of a title and marks nothing."""
     if not attrs or attrs.isspace():
-        return False, frozenset()
-    hidden, words = False, set()
+        return False, frozenset(), frozenset()
+    hidden, words, marks = False, set(), set()
     for name, value in _HINTS.findall(attrs):
         name, value = name.lower(), value.strip("\"'")
         if name == "hidden":
@@ -70,16 +90,24 @@ def _attributes(tag: str, attrs: str) -> tuple[bool, frozenset]:
         else:
             words.update(w.lower() for w in _HINT.findall(value))
             words.add(value.lower())
-    return hidden, frozenset(words)
+            if not (titled and name == "id"):
+                for token in value.split():
+                    marks |= _marks(token)
+    return hidden, frozenset(words), frozenset(marks)
+
 
+def _lines(page: str, lift: bool = False, marked: bool = True) -> tuple[list[_Line], list[str], bool, bool]:
+    """The page's blocks in order, the kinds of its main-text elements, whether names alone kept
+    an article or main element out, and whether they marked anything.
 
-def _lines(page: str) -> tuple[list[_Line], int]:
-    """The page's blocks in order, and the number of main-text elements seen."""
+    ``lift``: an article counts in whatever is marked by name; without ``marked``, names mark nothing.
+    """
+    barred = any_marks = False
     lines, line = [], _Line()
-    stack: list[tuple] = []                        # (tag, and skipping, hard and inside as they were before it)
+    stack: list[tuple] = []                        # (tag, and skipping, hard, listed and inside as they were before it)
     open_tags: dict[str, int] = {}
-    # skipping: open elements that are left out; of these, hard: for good
-    skipping, hard, links, inside, kinds = 0, 0, 0, (), []
+    # skipping: open elements that are left out; of these, hard: for good, by element, and listed, by name
+    skipping, hard, listed, links, inside, kinds = 0, 0, 0, 0, (), []
     heading = 0                                    # open headings: kept in an article's own header
 
     def close_line() -> None:
@@ -115,7 +143,7 @@ def _lines(page: str) -> tuple[list[_Line], int]:
             if tag in _BLOCKS:
                 close_line()
             while True:
-                top, skipping, hard, inside = stack.pop()
+                top, skipping, hard, listed, inside = stack.pop()
                 open_tags[top] -= 1
                 links -= top == "a"
                 heading -= top in _HEADINGS
@@ -130,7 +158,7 @@ def _lines(page: str) -> tuple[list[_Line], int]:
             continue
         if tag in ("td", "th"):
             text(" ")
-        hidden, words = _attributes(tag, m[3])
+        hidden, words, marks = _attributes(m[3], tag in _HEADINGS or tag == "section" and inside != ())
         if tag in _VOID:
             if tag == "hr":
                 close_line()
@@ -139,27 +167,34 @@ def _lines(page: str) -> tuple[list[_Line], int]:
             close_line()
             if open_tags.get("p"):                 # a block ends an open paragraph
                 while True:
-                    top, skipping, hard, inside = stack.pop()
+                    top, skipping, hard, listed, inside = stack.pop()
                     open_tags[top] -= 1
                     links -= top == "a"
                     heading -= top in _HEADINGS
                     if top == "p":
                         break
         if tag == "body":                          # whatever was left open before it
-            stack, open_tags, skipping, hard, links, heading, inside = [], {}, 0, 0, 0, 0, ()
-        stack.append((tag, skipping, hard, inside))
+            stack, open_tags, skipping, hard, listed, links, heading, inside = [], {}, 0, 0, 0, 0, 0, ()
+        stack.append((tag, skipping, hard, listed, inside))
         open_tags[tag] = open_tags.get(tag, 0) + 1
         links += tag == "a"
         heading += tag in _HEADINGS
         own_header = tag == "header" and skipping == 0 and inside != ()
         in_header += own_header
         main = tag in ("article", "main") or "main" in words and ("role" in m[3].lower()) or "articlebody" in words
-        marks = words & _AWAY if tag not in ("html", "body", "main", "article") else words & _NOT_AN_ARTICLE
-        away = tag in _SKIPPED or hidden or bool(marks)
-        if main and not away and not hard:         # only a frame's name stood against it
-            skipping = 0
+        if tag in ("html", "body", "main", "article"):
+            marks &= _NOT_AN_ARTICLE
+        any_marks |= bool(marks)
+        gone = tag in _SKIPPED or hidden
+        away = gone or marked and bool(marks)
+        if main and not away and not hard:         # only names stand against it
+            if lift or not listed:
+                skipping = listed = 0
+            else:
+                barred = True
         skipping += away
-        hard += away and (tag in _SKIPPED or hidden or not marks <= _FRAMES)
+        hard += gone
+        listed += away and not gone and not marks.isdisjoint(_LISTS)
         if not away and not skipping:
             if main:
                 kinds.append(tag if tag == "article" else "main")
@@ -175,14 +210,25 @@ def _lines(page: str) -> tuple[list[_Line], int]:
     close_line()
     for x in lines:
         x.parts = " ".join(html.unescape("".join(x.parts)).split())
-    return lines, kinds
+    return lines, kinds, barred, any_marks
 
 
 def main_text(page: str | None) -> str:
     """The article's blocks, one a line; see ``extract``."""
     if not page:
         return ""
-    lines, kinds = _lines(page)
+    lines, kinds, barred, any_marks = _lines(page)
+    if barred and not any(x.parts and kinds[k] != "hint" for x in lines for k in x.inside):
+        lines, kinds, _, _ = _lines(page, lift=True)
+    text = _article(lines, kinds)
+    if not text and any_marks:                     # names would leave nothing
+        lines, kinds, _, _ = _lines(page, marked=False)
+        text = _article(lines, kinds)
+    return text
+
+
+def _article(lines: list[_Line], kinds: list[str]) -> str:
+    """The lines of the article, as text."""
     # the most telling element that has text: article, then main, then a class or id that says so
     chosen: set[int] = set()
     for kind in ("article", "main", "hint"):
@@ -233,7 +279,11 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     Returns one row per page: ``id_col``, ``url_col``, ``text`` and ``n_chars``.
     Markup is stripped into lines, one per block element; scripts, styles, menus,
     headers, footers, sidebars, notices, adverts, forms and comments (by element,
-    role or the words of their class and id) are lines without text.  The text
+    role or the names of their class and id) are lines without text.  A name marks an
+    element by what it says as a whole: reader-comments and ad-slot do, related-work, ad-hoc and
+    has-comments do not, nor do ids of headings and of an article's sections.  An article or main
+    element counts inside what a name marks (inside lists of comments or other articles where
+    it is the only one), and where names would leave no text at all they mark nothing.  The text
     outside links is summed over windows of LINES lines.  A window that rises
     from nothing starts a stretch, one that falls to nothing ends it, and a
     stretch stays if it surges high enough; inside an article or main element every

@@ -132,6 +132,21 @@ def test_main_text(html, text):
     assert html_text.main_text(html) == "\n".join(text)
 
 
+def test_names_mark_as_a_whole():
+    a, b, c, d, e, f = ARTICLE
+    inner = (f"<h1 id='search'>T</h1><p class='ad-hoc'>{a}</p><section id='related-work'><h2 id='search-algorithms'>S</h2><p>{b}</p>"
+             f"</section><section id='comments-on-the-method'><p>{c}</p></section><section id='advertising'><p>{d}</p></section>")
+    text = "\n".join(["T", a, "S", b, c, d])
+    away = "".join(f"<div class='{x}'><p>{e}</p></div>" for x in ("reader-comments", "ad-slot", "x relatedPosts", "social_links", "comment", "ad-1"))
+    for whole in (f"<article>{inner}{away}</article>", f"<div class='post has-comments'><article>{inner}</article>{away}</div>",
+                  f"<div id='page' class='cookies-not-set'><article>{inner}</article></div>",
+                  f"<div class='cookies'><main>{inner}</main></div>", f"<div class='related'><article>{inner}</article></div>",
+                  f"<article class='post has-comments'>{inner}</article><div class='related'><article>{f}</article></div>"):
+        assert html_text.main_text(page(whole)) == text, whole
+    assert html_text.main_text(page(f"<div class='newsletter'><p>{a}</p><p>{b}</p></div>")) == f"{a}\n{b}"
+    assert html_text.main_text(page("<div class='related'><p hidden>no</p></div>")) == ""
+
+
 def test_long_and_broken_pages_end():
     for piece in ("<b>", "<a \"", "<!--", "</p>", "<p><div>", "<nav>", "&amp;", "< ", "<a b='c>"):
         html_text.main_text(piece * 50_000)
