@@ -61,6 +61,7 @@ class _Line:
     linked: int = 0
     skipped: bool = False
     inside: tuple = ()
+    heading: bool = False
 
 
 def _marks(name: str) -> set:
@@ -119,6 +120,7 @@ def _lines(page: str, lift: bool = False, marked: bool = True) -> tuple[list[_Li
     def text(s: str) -> None:
         if s and (skipping == 0 or (skipping == 1 and heading and in_header)):
             line.parts.append(s)
+            line.heading |= heading > 0
             if links:
                 line.linked += len(s.strip())
 
@@ -227,25 +229,43 @@ def main_text(page: str | None) -> str:
     return text
 
 
+def _unlinked(line: _Line) -> int:
+    """Characters of a line that count where a line of mostly links is a menu."""
+    return max(0, len(line.parts) - 2 * line.linked)
+
+
+def _windows(dense: list[int]) -> list[int]:
+    return [sum(dense[i:i + LINES]) for i in range(len(dense))]
+
+
 def _article(lines: list[_Line], kinds: list[str]) -> str:
     """The lines of the article, as text."""
-    # the most telling element that has text: article, then main, then a class or id that says so
+    # the most telling elements that have text: article, then main, then a class or id that says so
     chosen: set[int] = set()
     for kind in ("article", "main", "hint"):
-        total: dict[int, int] = {}
+        held: dict[int, list[_Line]] = {}          # the lines of each outermost element
         for x in lines:
-            for k in x.inside:
-                if kinds[k] == kind:
-                    total[k] = total.get(k, 0) + len(x.parts) - x.linked
-        held = {k for k, n in total.items() if n > 0}
+            k = next((k for k in x.inside if kinds[k] == kind), None)
+            if k is not None:
+                held.setdefault(k, []).append(x)
+        held = {k: own for k, own in held.items() if any(len(x.parts) > x.linked for x in own)}
         if held:
-            chosen = held if kind == "article" else {max(held, key=lambda k: total[k])}
+            chosen = set(held)
+            if kind != "article":                  # of several, those in which text surges
+                peaks = {k: max(_windows([_unlinked(x) for x in own])) for k, own in held.items()}
+                chosen = {k for k, n in peaks.items() if n >= min(SURGE_CHARS, max(peaks.values()))}
             break
     if chosen:
-        lines = [x if chosen.intersection(x.inside) else _Line(parts="", skipped=True) for x in lines]
+        mine = [not chosen.isdisjoint(x.inside) for x in lines]
+        if kind != "article":                      # and the headings right before the first
+            i = mine.index(True) - 1
+            while i >= 0 and (lines[i].heading and _unlinked(lines[i]) or not lines[i].parts):
+                mine[i] = True
+                i -= 1
+        lines = [x if own else _Line(parts="", skipped=True) for x, own in zip(lines, mine, strict=True)]
     # inside the element its links are text as well; elsewhere a line of mostly links is a menu
-    dense = [len(x.parts) if chosen else max(0, len(x.parts) - 2 * x.linked) for x in lines]
-    sums = [sum(dense[i:i + LINES]) for i in range(len(lines))]
+    dense = [len(x.parts) if chosen else _unlinked(x) for x in lines]
+    sums = _windows(dense)
     top = max(sums, default=0)
     least = 1 if chosen else max(min(SURGE_CHARS, top), SURGE_SHARE * top)
     keep: list[str] = []
@@ -287,7 +307,9 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     outside links is summed over windows of LINES lines.  A window that rises
     from nothing starts a stretch, one that falls to nothing ends it, and a
     stretch stays if it surges high enough; inside an article or main element every
-    window with text does.  White space inside a block becomes one space, blocks
+    window with text does.  All articles count; without any, all main elements, or else all
+    elements with a name such as entry-content, in which text surges, and the headings
+    right before the first.  White space inside a block becomes one space, blocks
     are joined by line ends.
 
     A NULL or empty page, or one of markup alone, has an empty text; unclosed and

@@ -147,6 +147,17 @@ def test_names_mark_as_a_whole():
     assert html_text.main_text(page("<div class='related'><p hidden>no</p></div>")) == ""
 
 
+@pytest.mark.parametrize("block", ["div class='entry-content'", "section itemprop='articleBody'", "div role='main'"])
+def test_an_article_in_several_blocks_is_whole(block):
+    a, b, c, d, *_ = ARTICLE
+    tag = block.split()[0]
+    blocks = [f"<{block}><p>{x}</p><p>Short.</p></{tag}>" for x in (a, c + " " + d, b)]
+    tiny = f"<{block}><a href='/'>Home</a> 3 May</{tag}>"
+    html = page(f"<div class='ad'>{d}</div>".join(blocks) + tiny,
+                f"<h1><a href='/'>Site</a></h1><p>by me</p><h1>The title</h1><h2>and what it says</h2><div class='share'>x</div>")
+    assert html_text.main_text(html) == "\n".join(["The title", "and what it says", a, "Short.", c + " " + d, "Short.", b, "Short."])
+
+
 def test_long_and_broken_pages_end():
     for piece in ("<b>", "<a \"", "<!--", "</p>", "<p><div>", "<nav>", "&amp;", "< ", "<a b='c>"):
         html_text.main_text(piece * 50_000)
