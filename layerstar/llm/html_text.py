@@ -13,9 +13,9 @@ from pyspark.sql import functions as F
 
 from layerstar.llm.common import map_arrow
 
-#: Lines of a window, the least text of a surge (characters outside links) and its
-#: least share of the page's densest window.
-LINES, SURGE_CHARS, SURGE_SHARE = 3, 60, 0.2
+#: Lines of a window, and the least text of a surge (characters outside links), however dense
+#: the rest of the page is.
+LINES, SURGE_CHARS = 3, 60
 
 # One piece of markup.  No alternative runs past the next "<", so the scan is linear.
 _MARKUP = re.compile(r"""<!--.*?-->|<!--.*\Z|<(/?)([a-zA-Z][^\s<>/]*)((?:[^<>"']|"[^"<>]*"|'[^'<>]*'|["'])*)>|<[!?][^<>]*>""", re.S)
@@ -267,7 +267,7 @@ def _article(lines: list[_Line], kinds: list[str]) -> str:
     dense = [len(x.parts) if chosen else _unlinked(x) for x in lines]
     sums = _windows(dense)
     top = max(sums, default=0)
-    least = 1 if chosen else max(min(SURGE_CHARS, top), SURGE_SHARE * top)
+    least = 1 if chosen else min(SURGE_CHARS, top)
     keep: list[str] = []
     i = 0
     while i < len(lines):
@@ -306,7 +306,7 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     it is the only one), and where names would leave no text at all they mark nothing.  The text
     outside links is summed over windows of LINES lines.  A window that rises
     from nothing starts a stretch, one that falls to nothing ends it, and a
-    stretch stays if it surges high enough; inside an article or main element every
+    stretch stays if it surges to SURGE_CHARS, or as high as any does; inside an article or main element every
     window with text does.  All articles count; without any, all main elements, or else all
     elements with a name such as entry-content, in which text surges, and the headings
     right before the first.  White space inside a block becomes one space, blocks

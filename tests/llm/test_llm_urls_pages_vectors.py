@@ -158,6 +158,13 @@ def test_an_article_in_several_blocks_is_whole(block):
     assert html_text.main_text(html) == "\n".join(["The title", "and what it says", a, "Short.", c + " " + d, "Short.", b, "Short."])
 
 
+def test_a_paragraph_stays_however_dense_the_rest_is():
+    long, last = [prose(60 + i, 400) for i in range(3)], prose(70, 50)[:250].strip()
+    body = "".join(f"<p>{x}</p>" for x in long) + "<aside><p>1</p><p>2</p><p>3</p><p>4</p></aside>" + f"<p>{last}</p>"
+    menu = "".join(f"<li><a href='/{i}'>One of the links of a long menu</a></li>" for i in range(9))
+    assert html_text.main_text(page(f"<div>{body}</div>", f"<ul>{menu}</ul>")) == "\n".join([*long, last])
+
+
 def test_long_and_broken_pages_end():
     for piece in ("<b>", "<a \"", "<!--", "</p>", "<p><div>", "<nav>", "&amp;", "< ", "<a b='c>"):
         html_text.main_text(piece * 50_000)
