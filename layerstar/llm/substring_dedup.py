@@ -20,8 +20,15 @@ SENTENCES, MIN_WORDS = 3, 24
 LONG_SENTENCE, CUT_ONE_IN = 8, 4
 #: and, where no word is chosen (the same few words over and over), after so many.
 LONGEST = 12
-#: Scripts without spaces: so many bytes count as a word.
-WORD_BYTES = 16
+#: Scripts without spaces: so many bytes count as a word, and a longer run is cut into words after the
+#: code point of least hash of every WINDOW in a row, wherever the run begins.
+WORD_BYTES, WINDOW = 16, 5
+#: Code points of such scripts (Thai to Tibetan, Myanmar, Khmer, kana and Han, full-width forms), their
+#: full stops, and what may close a quotation after one.
+_UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x2E80, 0x9FFF), (0xF900, 0xFAFF), (0xFF00, 0xFFEF),
+             (0x20000, 0x3FFFF))
+_WIDE_ENDS = np.array([ord(c) for c in "。！？．｡"])
+_WIDE_CLOSES = np.array([ord(c) for c in "」』”’）】》〉"])
 
 _Q = 0xA0761D6478BD642F | 1
 _ends = np.zeros(256, dtype=bool)
@@ -51,13 +58,64 @@ class Sentences:
     first: np.ndarray
 
 
+def least_of_windows(value: np.ndarray, group: np.ndarray) -> np.ndarray:
+    """Whether each value is the least (the last such) of any WINDOW in a row of its group.
+
+    Of any WINDOW in a row one is, and which ones depends on the WINDOW - 1 values to both sides alone.
+    """
+    out, m = np.zeros(len(value), dtype=bool), len(value) - WINDOW + 1
+    if m > 0:
+        least, at = value[:m].copy(), np.arange(m)
+        for j in range(1, WINDOW):
+            less = value[j:j + m] <= least
+            least[less], at[less] = value[j:j + m][less], np.flatnonzero(less) + j
+        out[at[group[:m] == group[WINDOW - 1:]]] = True
+    return out
+
+
+def cut_unspaced(g: W.Words) -> tuple[W.Words, np.ndarray]:
+    """The words with long runs in scripts without spaces cut, and whether each ends at a full-width stop."""
+    d, none = g.data, np.zeros(len(g.hash), dtype=bool)
+    at = np.flatnonzero(d >= 0xE0)                 # code points of three bytes and four
+    if not len(at):
+        return g, none
+    four = d[at] >= 0xF0
+    b = [d[np.minimum(at + k, len(d) - 1)].astype(np.int64) & 0x3F for k in range(4)]
+    code = np.where(four, (b[0] & 7) << 18 | b[1] << 12 | b[2] << 6 | b[3], (b[0] & 15) << 12 | b[1] << 6 | b[2])
+    unspaced = np.zeros(len(at), dtype=bool)
+    for low, high in _UNSPACED:
+        unspaced |= (code >= low) & (code <= high)
+    stop, close = np.isin(code, _WIDE_ENDS), np.isin(code, _WIDE_CLOSES)
+    if not unspaced.any():
+        return g, none
+    after = at + 3 + four
+    word = np.searchsorted(g.begin, at, side="right") - 1
+    joined = np.append((after[:-1] == at[1:]) & (word[:-1] == word[1:]), False)
+    ends = stop.copy()                             # the last of a run of stops, with what closes after it
+    ends[1:] |= close[1:] & stop[:-1] & joined[:-1]
+    ends[:-1] &= ~(joined[:-1] & (stop[1:] | close[1:] & stop[:-1]))
+    before = np.where(np.append(False, joined[:-1]), np.append(0, code[:-1]), 0)
+    value = W.mix((before << 21 | code).astype(np.uint64))
+    long = unspaced & ((g.end - g.begin)[word] > WORD_BYTES)
+    cut = np.zeros(len(at), dtype=bool)
+    cut[long] = least_of_windows(value[long], word[long])
+    inner = after[(cut | ends) & (after < g.end[word])]
+    begin = np.sort(np.concatenate([g.begin, inner]))
+    end = np.sort(np.concatenate([g.end, inner]))
+    cut_words = W.Words(g.row, np.searchsorted(begin, g.text_at).astype(np.int64), W.word_hashes(d, begin, end), begin, end,
+                        d, g.text_at)
+    return cut_words, np.isin(end, after[ends])
+
+
 def split_sentences(g: W.Words) -> Sentences:
-    """Sentences end at . ! or ? before white space, at a line end and at the text's end."""
+    """Sentences end at . ! or ? before white space, at a full-width stop, at a line end and at the text's end."""
+    g, wide = cut_unspaced(g)
     n = len(g.hash)
     last = g.data[g.end - 1] if n else np.zeros(0, np.uint8)
     end = _ends[last]
     quoted = np.flatnonzero(_closes[last] & (g.end - g.begin > 1))
     end[quoted] |= _ends[g.data[g.end[quoted] - 2]]
+    end |= wide
     lines = np.concatenate([[0], np.cumsum(g.data == 10)])
     if n:
         end[:-1] |= lines[g.begin[1:]] > lines[g.end[:-1]]
@@ -122,7 +180,7 @@ def _cut_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 np.add.at(gone, at + n, -1)
                 gone = np.cumsum(gone)[:-1] > 0
                 removed[i] = gone.sum()
-                edge = g.begin[s.word[s.first[i]:s.first[i + 1]]].copy()
+                edge = s.words.begin[s.word[s.first[i]:s.first[i + 1]]].copy()
                 edge[0] = g.text_at[i]
                 edge = np.append(edge, g.text_at[i + 1])
                 kept = b"".join(g.data[edge[j]:edge[j + 1]].tobytes() for j in np.flatnonzero(~gone))
@@ -141,7 +199,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     sentences, plus the number of sentences and of those removed (``count_cols``;
     columns of these names in the input are replaced).  A span is the shortest run of consecutive sentences, from each sentence
     on, of at least SENTENCES sentences and MIN_WORDS words; its words are
-    compared with A-Z lower-cased and white space ignored.  Spans of all
+    compared with A-Z lower-cased and white space ignored.  A long run of a script
+    without spaces is cut into words of about three characters by its own content.  Spans of all
     documents are joined by hash; of equal spans the first by (id, sentence)
     stays.  Spans of one document count as well.  A text without repeats stays
     as it is, byte by byte.

@@ -121,12 +121,24 @@ def _words(row: int, at: np.ndarray, data: np.ndarray, kept: np.ndarray) -> Word
     after[cut[cut > 0] - 1] = False
     begin = np.flatnonzero(here & ~before)
     end = np.flatnonzero(here & ~after) + 1
-    power, inverse = _powers(max(20, int(n).bit_length()))
-    sums = np.zeros(n + 1, dtype=np.uint64)
-    np.cumsum(_LOWER[data] * power[:n], out=sums[1:])
-    value = (sums[end] - sums[begin]) * inverse[begin]
     first = np.searchsorted(begin, at).astype(np.int64)
-    return Words(row, first, mix(value), begin, end, data, at)
+    return Words(row, first, word_hashes(data, begin, end), begin, end, data, at)
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the words from ``begin`` to ``end``, some GROUP_BYTES at a time."""
+    out, i = np.zeros(len(begin), dtype=np.uint64), 0
+    while i < len(begin):
+        j = max(i + 1, int(np.searchsorted(end, begin[i] + GROUP_BYTES, side="right")))
+        part = data[begin[i]:end[j - 1]]
+        n = len(part)
+        power, inverse = _powers(max(20, n.bit_length()))
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_LOWER[part] * power[:n], out=sums[1:])
+        a, b = begin[i:j] - begin[i], end[i:j] - begin[i]
+        out[i:j] = (sums[b] - sums[a]) * inverse[a]
+        i = j
+    return mix(out)
 
 
 def run_hashes(hashes: np.ndarray, length: int) -> np.ndarray:

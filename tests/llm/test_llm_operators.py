@@ -1,6 +1,7 @@
 """Every operator against brute force or plain rules, on small tables with every odd case."""
 
 import hashlib
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -181,6 +182,34 @@ def test_first_span_is_by_id_then_place(spark):
     assert prose(12, 30).split()[10] in got[9]
 
 
+HAN, THAI = "".join(map(chr, range(0x4E00, 0x4E00 + 600))), "".join(map(chr, range(0x0E01, 0x0E2F)))
+
+
+def unspaced(seed, n, letters, stops=""):
+    r = random.Random(seed)
+    return "".join(r.choice(stops) if stops and r.random() < 0.04 else r.choice(letters) for _ in range(n))
+
+
+@pytest.mark.parametrize("letters, stops", [(HAN, "。！？"), (HAN, ""), (HAN, " 、"), (THAI, ""), (THAI, " ")])
+def test_repeats_in_scripts_without_spaces(spark, letters, stops):
+    """Brute force over all runs of 150 characters: after, each is in one document only."""
+    rows = []
+    for k in range(25):
+        passage = unspaced(1000 + k, 280, letters, stops)
+        rows += [(3 * k + i, unspaced(7 * k + i, 100 + 13 * i, letters, stops) + passage + unspaced(9000 + 7 * k + i, 120, letters, stops))
+                 for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.text for r in substring_dedup.remove_repeats(docs).collect()}
+    seen = defaultdict(set)
+    for i, text in got.items():
+        for at in range(len(text) - 149):
+            seen[text[at:at + 150]].add(i)
+    assert len(got) == len(rows) and max(len(x) for x in seen.values()) == 1
+    for i, text in rows:                                 # the first stays; of the others, all that is their own
+        own = 100 + 13 * (i % 3)
+        assert got[i] == text if i % 3 == 0 else got[i].startswith(text[:own].rstrip()) and got[i].endswith(text[-120:].strip())
+
+
 # ------------------------------------------------------------ decontamination
 def brute_hits(rows, items):
     windows = defaultdict(set)
