@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 from layerstar.llm import words as W
 from layerstar.llm.common import map_arrow, reshuffled, stage
 
-#: A span is the shortest run of at least SENTENCES sentences and MIN_WORDS words.
+#: A span is the shortest run of at least SENTENCES sentences and MIN_WORDS words.  The contract wants no
+#: repeated run of 50 words left.  In a repeated run, cuts are the same in every copy from 2 WINDOW - 1 = 9
+#: words after its begin to as many before its end, and no piece is over LONG_SENTENCE = 8 words.  So a span
+#: that starts at the first of them ends within MIN_WORDS + 7 words: 9 + 9 + 24 + 7 = 49 words always hold one.
 SENTENCES, MIN_WORDS = 3, 24
-#: A longer sentence is cut after words chosen by their hash, one in CUT_ONE_IN, so that
-#: a passage put into the middle of another sentence still falls into the same pieces.
-LONG_SENTENCE, CUT_ONE_IN = 8, 4
-#: and, where no word is chosen (the same few words over and over), after so many.
-LONGEST = 12
+#: A longer sentence is cut after the word of least hash of every WINDOW in a row, so that a passage
+#: put into the middle of another sentence still falls into the same pieces.
+LONG_SENTENCE = 8
 #: Scripts without spaces: so many bytes count as a word, and a longer run is cut into words after the
-#: code point of least hash of every WINDOW in a row, wherever the run begins.
+#: code point of least hash of every WINDOW in a row.
 WORD_BYTES, WINDOW = 16, 5
 #: Code points of such scripts (Thai to Tibetan, Myanmar, Khmer, kana and Han, full-width forms), their
 #: full stops, and what may close a quotation after one.
@@ -124,10 +125,7 @@ def split_sentences(g: W.Words) -> Sentences:
     stops = np.flatnonzero(end) + 1
     length = np.diff(np.concatenate([[0], stops]))
     in_long = np.repeat(length > LONG_SENTENCE, length)
-    end |= in_long & (g.hash % np.uint64(CUT_ONE_IN) == 0)
-    length = np.diff(np.concatenate([[0], np.flatnonzero(end) + 1]))
-    inside = np.arange(n) - np.repeat(np.cumsum(length) - length, length)
-    end |= inside % LONGEST == LONGEST - 1
+    end |= in_long & least_of_windows(g.hash, np.repeat(np.arange(len(g)), np.diff(g.first)))
     word = np.concatenate([[0], np.flatnonzero(end) + 1])
     return Sentences(g, word, np.searchsorted(word, g.first))
 
@@ -200,7 +198,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     columns of these names in the input are replaced).  A span is the shortest run of consecutive sentences, from each sentence
     on, of at least SENTENCES sentences and MIN_WORDS words; its words are
     compared with A-Z lower-cased and white space ignored.  A long run of a script
-    without spaces is cut into words of about three characters by its own content.  Spans of all
+    without spaces is cut into words of about three characters by its own content.
+    Every repeated run of 49 words holds a span, whatever stands around its copies.  Spans of all
     documents are joined by hash; of equal spans the first by (id, sentence)
     stays.  Spans of one document count as well.  A text without repeats stays
     as it is, byte by byte.

@@ -1,15 +1,18 @@
 """Every operator against brute force or plain rules, on small tables with every odd case."""
 
 import hashlib
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from llm_cases import alnum, components, no_docs, odd_docs, odd_rows, prose, shingle_set, spaced  # noqa: F401
 from pyspark.sql import functions as F
 
 from layerstar.llm import decontaminate, near_dup, packing, sharding, substring_dedup
+from layerstar.llm import words as W
 
 
 # ------------------------------------------------------------------ sharding
@@ -205,9 +208,44 @@ def test_repeats_in_scripts_without_spaces(spark, letters, stops):
         for at in range(len(text) - 149):
             seen[text[at:at + 150]].add(i)
     assert len(got) == len(rows) and max(len(x) for x in seen.values()) == 1
+    clean = dict(rows)
     for i, text in rows:                                 # the first stays; of the others, all that is their own
         own = 100 + 13 * (i % 3)
-        assert got[i] == text if i % 3 == 0 else got[i].startswith(text[:own].rstrip()) and got[i].endswith(text[-120:].strip())
+        if i % 3 == 0:
+            assert got[i] == text
+            continue
+        others = [(clean[j][:100 + 13 * (j % 3)], clean[j][-120:]) for j in range(i - i % 3, i)]
+        # a letter next to the passage that is the same by chance belongs to it
+        left = max(len(os.path.commonprefix([text[:own][::-1], x[::-1]])) for x, _ in others)
+        right = max(len(os.path.commonprefix([text[-120:], x])) for _, x in others)
+        assert got[i].startswith(text[:own - left].rstrip()) and got[i].endswith(text[-120 + right:].strip())
+
+
+@pytest.mark.parametrize("vocabulary, ends", [(30, 0), (50, 0), (3000, 0), (50, 0.05), (50, 0.12), (3000, 0.3), (3, 0)])
+def test_every_repeated_run_of_49_words_holds_a_span(vocabulary, ends):
+    """Runs of 49 words at different places of other texts share a span inside the run, always."""
+    r = random.Random(vocabulary)
+
+    def words(n):
+        return [f"w{r.randrange(vocabulary)}" + ("." if r.random() < ends else "") for _ in range(n)]
+    for _ in range(100):
+        found = []
+        runs = [words(49) for _ in range(30)]
+        for _ in range(2):
+            texts, starts = [], []
+            for run in runs:
+                before = words(r.randrange(40))
+                starts.append(len(before))
+                texts.append(" ".join(before + run + words(r.randrange(40))))
+            (g,) = W.word_groups(pa.array(texts), W.SPACED)
+            cut = substring_dedup.split_sentences(g)
+            inside = [set() for _ in runs]
+            for text, at, n, value in zip(*substring_dedup.spans(cut), strict=True):
+                a, b = (cut.word[cut.first[text] + k] - g.first[text] - starts[text] for k in (at, at + n))
+                if a >= 0 and b <= 49:
+                    inside[text].add((a, b, value))
+            found.append(inside)
+        assert all(x & y for x, y in zip(*found, strict=True))
 
 
 # ------------------------------------------------------------ decontamination
