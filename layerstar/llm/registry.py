@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from layerstar.llm import (decontaminate, html_text, language_id, near_dup, oracle, packing, quality, sharding,
-                           substring_dedup, url_filter, vector_dup)
+from layerstar.llm import (decontaminate, fill_middle, html_text, language_id, license_scan, near_dup, oracle, packing,
+                           quality, sharding, substring_dedup, token_links, url_filter, vector_dup)
 from layerstar.llm.common import read_table
 
 N_SHARDS = 24
@@ -85,12 +85,27 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.drop("text").withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op11_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.scan(docs).drop("spans")
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(read_table(spark, sf_dir, "documents"))
+
+
+def op13_token_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_links.align(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_url_filter, op2_sharding, op3_packing, op4_html_text, op5_near_dup,
                                    op6_vector_dup, op7_substring_dedup, op8_decontamination,
-                                   op9_language_id, op10_quality)}
+                                   op9_language_id, op10_quality, op11_license_scan, op12_fill_middle,
+                                   op13_token_links)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_url_filter": oracle.OP1, "op2_sharding": oracle.OP2, "op3_packing": oracle.OP3,
-            "op4_html_text": oracle.OP4, "op5_near_dup": oracle.OP5, "op6_vector_dup": oracle.OP6, "op8_decontamination": oracle.OP8}
+            "op4_html_text": oracle.OP4, "op5_near_dup": oracle.OP5, "op6_vector_dup": oracle.OP6, "op8_decontamination": oracle.OP8,
+            "op12_fill_middle": oracle.OP12}

@@ -20,7 +20,7 @@ def test_queries_match_their_sql(spark):
 
 
 def test_one_query_per_operator():
-    assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 14)]
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not available")
