@@ -209,7 +209,7 @@ def brute_align(texts):
     """Whole texts at once, ends by running sums, links over all pairs of equal ends."""
     p, rows, counts = pair(), [], Counter()
     for text in texts:
-        a = p.a.encode([text])[0] if text else []
+        a = p.a._t.encode(' ' + text, add_special_tokens=False).ids if text else []
         b = p.b.encode([text])[0] if text else []
         whole = b" " + (text or "").encode()
         if not text or b"".join(p.a.bytes[i] for i in a) != whole or b"".join(p.b.bytes[i] for i in b) != whole:
@@ -247,19 +247,43 @@ def test_alignment_equals_brute_force(spark):
 
 
 @given
-def test_long_texts_in_pieces_equal_whole_ones():
+def test_texts_in_pieces_equal_whole_ones(monkeypatch):
     p = pair()
     assert p.divisible
     r = random.Random(4)
     words = ["the", "data", "42", "naïve", "don't", "x,", "数据", "<s>", "  ", "\n", "it's", "-"]
     text = " ".join(r.choice(words) for _ in range(3000))
-    pieces = token_links.pieces_of(text, True, 50)
-    assert len(pieces) > 50 and " ".join(pieces) == text
-    for t in (p.a, p.b):
-        assert [i for part in t.encode(pieces) for i in part] == t.encode([text])[0]
-    assert token_links.pieces_of(text, False, 50) == [text]
-    parts = list(token_links._each_aligned([text, None, "a b"], p))
-    assert [tuple(x[:5]) for x in parts] == [(*x[:4], x[6]) for x in brute_align([text, None, "a b"])]
+    parts = token_links.parts_of(text, True, 50)
+    assert len(parts) > 50 and " ".join(parts) == text
+    assert token_links.parts_of(text, False, 50) == [text]
+    pieces = token_links._BETWEEN.split(text)
+    assert len(pieces) > 1000 and " ".join(pieces) == text
+    each_a = lambda cut: [i for part in cut for i in p.a.encode(part)]
+    each_b = lambda cut: [i for part in p.b.encode(cut) for i in part]
+    for cut in (parts, pieces):
+        assert each_a(cut) == each_a([text]) and each_b(cut) == each_b([text])
+    monkeypatch.setattr(token_links, "PART_CHARS", 500)
+    texts = [text, None, "a b", "▁", "x" * 60 + " y", text + " ▁"]
+    expect = [(*x[:4], x[6]) for x in brute_align(texts)]
+    for size in (1, 4, 1 << 17):
+        memory = token_links.Memory(p, size)
+        assert [tuple(token_links.align_text(t, memory)[:5]) for t in texts] == expect
+    latin = "".join(map(chr, range(1, 0x250)))
+    for each in (each_a, each_b):                           # every character that may stand round a cut
+        for c in latin:
+            if token_links._BETWEEN.search(f"{c} {c}"):
+                for other in ("a", "'", "é", ".", "9", "'s"):
+                    assert each([f"{c} {other}"]) == each([c, other]) and each([f"{other} {c}"]) == each([other, c])
+
+
+@given
+def test_ranks_give_the_tokens_of_the_file():
+    p, r = pair(), random.Random(11)
+    assert p.a._ranked
+    letters = [c for c in map(chr, range(1, 0x250)) if token_links._LATIN.fullmatch(c)]
+    for _ in range(3000):
+        text = "".join(r.choice(letters if r.random() < 0.4 else "etaoin shrdlu'.\n") for _ in range(r.randrange(1, 60)))
+        assert p.a.encode(text) == p.a._t.encode(" " + text, add_special_tokens=False).ids
 
 
 def test_tokens_without_bytes_stay_with_the_one_before():
@@ -274,5 +298,5 @@ def test_alignment_of_odd_tables(spark, odd_docs, odd_rows, no_docs):
     got = token_links.align(odd_docs)
     assert "text" not in got.columns and {"id", "label", "slot"} <= set(got.columns)
     rows = got.select("doc_id", "n_a", "n_links", "n_groups").collect()
-    assert Counter((x.doc_id, x.n_a) for x in rows) == Counter((i, len(pair().a.encode([t])[0]) if t else 0) for i, t in odd_rows)
+    assert Counter((x.doc_id, x.n_a) for x in rows) == Counter((i, len(pair().a.encode(t)) if t else 0) for i, t in odd_rows)
     assert token_links.align(no_docs).collect() == []
