@@ -34,10 +34,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{work_root(spark)}/{_area.get()}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_cleaned(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Spark's setting by which the shuffle files of a query go when it has ended.
+CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_cleaned(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files: what they store is all that is read later."""
+    before = spark.conf.get(CLEAN_UP, "false")
+    spark.conf.set(CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEAN_UP, before)
+
+
 @contextmanager
 def staging_area(spark: SparkSession) -> Iterator[None]:
     """What is staged inside is deleted at the end: store the result before."""

@@ -213,8 +213,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("check"),
                         F.col(text_col).alias("text"))
     every = map_arrow(keyed, _span_batches, f"id {id_type}, check long, at int, n int, span long")
-    # first by hash alone: most spans occur once and go no further
-    repeated = every.groupBy("span").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select("span")
+    # first by hash alone: most spans occur once and go no further.  Each step is stored, so that the
+    # shuffle files of one are gone before the next one writes its own
+    counts = every.groupBy("span").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = stage(counts.filter("_n > 1").select("span"), "repeated")
     found = stage(every.join(reshuffled(repeated, "span"), "span"), "repeat-spans")
     place = F.struct(F.col("id").isNull().alias("last"), "id", "at", "check")
     first = found.groupBy("span").agg(F.min(place).alias("first"))
@@ -222,6 +224,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     marks = (later.groupBy("id", "check").agg(F.collect_set(F.struct("at", "n")).alias("_spans"))
              .select(F.col("id").alias("_id"), F.col("check").alias("_check"),
                      F.col("_spans.at").alias("_at"), F.col("_spans.n").alias("_len")))
+    marks = stage(marks, "repeat-marks")
     rows = docs.select(F.struct("*").alias("_row"), F.xxhash64(text_col).alias("_hash"))
     key = F.col(f"_row.`{id_col}`").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_check"))
     joined = rows.join(marks, key, "left").select("_row", F.col(f"_row.`{text_col}`").alias("_text"), "_at", "_len")
