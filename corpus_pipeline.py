@@ -20,12 +20,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from layerstar.llm import decontaminate, near_dup, packing, quality, substring_dedup
-from layerstar.llm.common import delete, read_table, staging_area
+from layerstar.llm.common import delete, read_table, shuffles_cleaned, stage, staging_area
 from layerstar.llm.registry import LENGTH_BUCKETS, TOKEN_BUDGET, quality_model
 from layerstar.session import work_root
 
 #: Two hashes of id and text that tell rows apart while a stage works.
 KEYS = ["__row_key_1", "__row_key_2"]
+ROW = "__row"
 #: A document is rejected below this likelihood of quality label 1.
 LEAST_QUALITY = 0.5
 
@@ -75,8 +76,17 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Packing: every kept document gets its bucket, batch and slot."""
-    return packing.pack(docs, LENGTH_BUCKETS, TOKEN_BUDGET)
+    """Packing: every kept document, with all its columns, gets its bucket, batch and slot.
+
+    The rows are stored with a number of their own, by which the slots are tied
+    to them: ids may be NULL or repeat.  Columns with the names of the packing are
+    replaced.
+    """
+    rows = stage(docs.withColumn(ROW, F.monotonically_increasing_id()), "to-pack")
+    packed = packing.pack(rows.select(F.struct("doc_id", ROW).alias("id"), "text"), LENGTH_BUCKETS, TOKEN_BUDGET, id_col="id")
+    made = [c for c in packed.columns if c != "id"]
+    slots = packed.select(F.col(f"id.{ROW}").alias(ROW), *made)
+    return rows.drop(*made).join(slots, ROW).drop(ROW)
 
 
 STAGES = [
@@ -92,12 +102,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's table, after all stages over the whole ``documents`` table."""
+    """The last stage's table, after all stages over the whole ``documents`` table:
+    the kept documents with their cleaned texts, their other columns and their places."""
     docs, before = read_table(spark, sf_dir, "documents"), None
     folder = f"{work_root(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, step) in enumerate(STAGES):
         path = f"{folder}/{number}"
-        with staging_area(spark):
+        with staging_area(spark), shuffles_cleaned(spark):
             step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
         if before:
