@@ -6,7 +6,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
-from llm_cases import no_docs, odd_docs, odd_rows, prose, shingle_set  # noqa: F401
+from llm_cases import no_docs, odd_docs, odd_rows, prose, shingle_set, spaced  # noqa: F401
 
 import corpus_pipeline
 from layerstar.llm import language_id, quality, registry
@@ -145,8 +145,14 @@ def test_stages_on_odd_rows(spark, odd_docs, odd_rows, no_docs):
             assert after == before
         before = after
         assert step(spark, no_docs, SF).count() == 0, name
-    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF)
-    assert Counter(r.doc_id for r in packed.collect()) == before
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, SF).collect()
+    assert Counter((r.doc_id, r.text, r.source) for r in packed) == Counter((r.doc_id, r.text, r.source) for r in docs.collect())
+    assert all(r.n_tokens == len(spaced(r.text)) <= r.bucket_len for r in packed)
+    assert len({(r.batch, r.slot) for r in packed}) == len(packed)
+    # repeated rows and NULL ids as well: every row has one slot, with its own text
+    packed = corpus_pipeline.STAGES[-1][1](spark, odd_docs, SF).collect()
+    assert Counter((r.doc_id, r.text, r.score) for r in packed) == Counter((i, t, "clash") for i, t in odd_rows)
+    assert all(r.n_tokens == len(spaced(r.text)) for r in packed) and len({(r.batch, r.slot) for r in packed}) == len(odd_rows)
     assert corpus_pipeline.STAGES[-1][1](spark, no_docs, SF).count() == 0
 
 
@@ -158,6 +164,7 @@ def test_run_applies_the_stages_in_order(spark):
     root = work_root(spark).removeprefix("file://")
     there = set(os.listdir(root)), set(os.listdir(f"{root}/llm"))
     got = corpus_pipeline.run(spark, SF)
+    assert {"doc_id", "text", "lang", "source", "n_chars", "bucket", "batch", "slot"} <= set(got.columns)
     assert Counter(map(tuple, docs.collect())) == Counter(map(tuple, got.collect()))
     # only the last table is left on disk
     (made,) = set(os.listdir(root)) - there[0]
