@@ -37,6 +37,25 @@ def norm(c) -> Column:
     return F.upper(F.trim(_c(c)))
 
 
+#: The comparison of the warehouse's text keys and groups: blind to case and to trailing spaces.
+COLLATION = "UTF8_LCASE_RTRIM"
+
+
+def folded(c) -> Column:
+    """The value that stands for a text key in joins, groups and windows (M4).
+
+    Two texts have the same folded value when ``COLLATION`` calls them equal.  Spark can only
+    sort-merge and sort-aggregate a column that is collated itself; over the
+    folded value it plans hash joins, broadcasts and hash aggregates as for any text.
+    """
+    return F.lower(F.rtrim(_c(c)))
+
+
+def same_text(a, b) -> Column:
+    """a = b under ``COLLATION``; NULL when either is NULL."""
+    return folded(a) == folded(b)
+
+
 def untrimmed(c) -> Column:
     """True when the text has outer spaces (c != TRIM(c), compared by bytes)."""
     c = _c(c)

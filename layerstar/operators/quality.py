@@ -4,7 +4,8 @@ A check is a DataFrame of violating (or reported) rows.  ``Check`` adds its
 name, the layers it reads, the table, the kind of expectation, and
 ``run_checks`` returns one row per check with the number of rows found.
 Kinds: ``no_rows``, ``allowed_values``, ``equal_counts``, ``one_row``,
-``report`` (nothing expected).
+``report`` (nothing expected).  Text keys and groups are equal under the
+warehouse's collation (M4); of a group's spellings the least is shown.
 """
 
 from __future__ import annotations
@@ -17,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from layerstar.functions.dates import as_date_lit, parse_yyyymmdd
-from layerstar.functions.text import sql_len, untrimmed as _untrimmed
-from layerstar.operators.rows import derive_end_date
+from layerstar.functions.text import folded, same_text, sql_len, untrimmed as _untrimmed
+from layerstar.operators.rows import derive_end_date, group_text, key_of
 
 
 def _names(cols) -> list[str]:
@@ -39,14 +40,14 @@ def _as_money(df: DataFrame, col: str) -> Column:
 
 def duplicate_or_null_key(df: DataFrame, key: str) -> DataFrame:
     """Q1: keys that repeat or are NULL, with their row count."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")) \
-             .where((F.col("cnt") > 1) | F.col(key).isNull())
+    return group_text(df, [key], cnt=F.count(F.lit(1))).where((F.col("cnt") > 1) | F.col(key).isNull())
 
 
 def rows_with_bad_key(df: DataFrame, key: str) -> DataFrame:
     """Q2: the full rows behind Q1 (key IN repeated keys, OR key IS NULL)."""
-    dups = df.groupBy(key).count().where(F.col("count") > 1).select(key)
-    return df.join(dups, key, "left_semi").unionByName(df.where(F.col(key).isNull()))
+    keyed = df.withColumn("__k", key_of(df, key))
+    dups = keyed.groupBy("__k").count().where(F.col("count") > 1).select("__k")
+    return keyed.join(dups, "__k", "left_semi").drop("__k").unionByName(df.where(F.col(key).isNull()))
 
 
 def is_untrimmed(cols) -> Column:
@@ -61,10 +62,11 @@ def untrimmed(df: DataFrame, cols) -> DataFrame:
 def domain_values(df: DataFrame, col: str, allowed: Sequence[str] | None = None) -> DataFrame:
     """Q4: distinct values of a column; with ``allowed``, only values outside it
     (NULL included)."""
-    d = df.select(col).distinct()
+    d = group_text(df, [col])
     if allowed is None:
         return d
-    return d.where(~F.col(col).isin(*allowed) | F.col(col).isNull())
+    known = [folded(F.lit(a)) if isinstance(a, str) else a for a in allowed]
+    return d.where(~key_of(df, col).isin(*known) | F.col(col).isNull())
 
 
 def is_null_or_negative(df: DataFrame, col: str) -> Column:
@@ -98,13 +100,13 @@ def null_any(df: DataFrame, cols) -> DataFrame:
 
 def repeated_key(df: DataFrame, key: str) -> DataFrame:
     """Q9: keys on more than one row, with their count (a report)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
+    return group_text(df, [key], cnt=F.count(F.lit(1))).where(F.col("cnt") > 1)
 
 
 def orphans(child: DataFrame, ck: str, parent: DataFrame, pk: str) -> DataFrame:
     """Q10: child rows with no parent (correlated NOT EXISTS = left anti join)."""
-    p = parent.select(F.col(pk).alias("__pk"))
-    return child.join(p, F.col(ck) == F.col("__pk"), "left_anti")
+    p = parent.select(key_of(parent, pk).alias("__pk"))
+    return child.join(p, key_of(child, ck) == F.col("__pk"), "left_anti")
 
 
 def not_in(child: DataFrame, ck: str, parent: DataFrame, pk: str,
@@ -115,13 +117,13 @@ def not_in(child: DataFrame, ck: str, parent: DataFrame, pk: str,
     result; an empty list keeps every row, NULL keys too), built from two
     EXISTS subqueries and a hash anti join, so it never falls back to a
     nested-loop join when the parent is large."""
-    p = parent.select(F.col(pk).alias("__pk"))
+    p = parent.select(key_of(parent, pk).alias("__pk"))
     if skip_null:
         p = p.where(F.col("__pk").isNotNull())
     empty = ~p.exists()
     has_null = p.where(F.col("__pk").isNull()).exists()
     keep = empty | (~has_null & F.col(ck).isNotNull())
-    return child.where(keep).join(p, F.col(ck) == F.col("__pk"), "left_anti")
+    return child.where(keep).join(p, key_of(child, ck) == F.col("__pk"), "left_anti")
 
 
 def if_parent_empty(child: DataFrame, parent: DataFrame) -> DataFrame:
@@ -225,13 +227,13 @@ def is_populated(df: DataFrame) -> DataFrame:
 
 def join_fan_out(df: DataFrame, key: str) -> DataFrame:
     """Q23: keys that repeat after the dimension joins (pass the joined frame)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("cnt")).where(F.col("cnt") > 1)
+    return group_text(df, [key], cnt=F.count(F.lit(1))).where(F.col("cnt") > 1)
 
 
 def unmatched(df: DataFrame, key: str, dim: DataFrame, dim_key: str) -> DataFrame:
     """Q24: rows whose key finds no dimension row: (key, dim key)."""
-    d = dim.select(F.col(dim_key).alias("__dk"))
-    return df.join(d, F.col(key) == F.col("__dk"), "left").where(F.col("__dk").isNull()) \
+    d = dim.select(key_of(dim, dim_key).alias("__dk"))
+    return df.join(d, key_of(df, key) == F.col("__dk"), "left").where(F.col("__dk").isNull()) \
              .select(key, F.col("__dk").alias(dim_key))
 
 
@@ -287,36 +289,37 @@ def schema_mismatch_count(df: DataFrame, expected: T.StructType,
 
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:
     """Q27: the (a, b) pairs that occur (GROUP BY a, b)."""
-    return df.select(a, b).distinct()
+    return group_text(df, [a, b])
 
 
 def master_merge_audit(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFrame:
     """Q28: each combination of CRM gender, ERP gender and the merged value."""
     from layerstar.plans.gold import merge_master
     ci, ca, la = cust.alias("ci"), az12.alias("ca"), loc.alias("la")
-    j = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-           .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left"))
-    return j.select(F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
-                    merge_master(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("new_gen")) \
-            .distinct().orderBy(F.col("cst_gndr").asc_nulls_first(), F.col("gen").asc_nulls_first())
+    j = (ci.join(ca, same_text("ci.cst_key", "ca.cid"), "left")
+           .join(la, same_text("ci.cst_key", "la.cid"), "left"))
+    merged = j.select(F.col("ci.cst_gndr").alias("cst_gndr"), F.col("ca.gen").alias("gen"),
+                      merge_master(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("new_gen"))
+    return group_text(merged, ["cst_gndr", "gen", "new_gen"]) \
+        .orderBy(F.col("cst_gndr").asc_nulls_first(), F.col("gen").asc_nulls_first())
 
 
 def rows_per_value(df: DataFrame, col: str) -> DataFrame:
     """Q29: rows per value of a column."""
-    return df.groupBy(col).agg(F.count(F.lit(1)).alias("count"))
+    return group_text(df, [col], count=F.count(F.lit(1)))
 
 
 def with_parent(child: DataFrame, ck: str, parent: DataFrame, pk: str) -> DataFrame:
     """Q30: child rows whose key exists in the parent (EXISTS = left semi join)."""
-    p = parent.select(F.col(pk).alias("__pk"))
-    return child.join(p, F.col(ck) == F.col("__pk"), "left_semi")
+    p = parent.select(key_of(parent, pk).alias("__pk"))
+    return child.join(p, key_of(child, ck) == F.col("__pk"), "left_semi")
 
 
 def history_of(df: DataFrame, key: str, start: str, id_col: str, value: str | None = None,
                out: str = "derived_prd_end_dt") -> DataFrame:
     """Q31: product rows through time with the end date T10 derives.  With
     ``value`` only that key's history is shown; without it, every key's."""
-    base = df if value is None else df.where(F.col(key) == value)
+    base = df if value is None else df.where(key_of(df, key) == folded(F.lit(value)))
     return derive_end_date(base, key, start, out, id_col)
 
 

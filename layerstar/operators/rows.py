@@ -15,8 +15,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from layerstar.functions.dates import day_diff
+from layerstar.functions.text import folded
 from layerstar.session import work_root
 
 
@@ -48,6 +50,26 @@ def latest_per_key(df: DataFrame, keys, order_col: str, tie: Sequence[str] | Non
               .select(*df.columns)
 
 
+def key_of(df: DataFrame, col: str) -> Column:
+    """What ``col`` is compared by: the folded text of a text column, the value of any other."""
+    return folded(col) if isinstance(df.schema[col].dataType, T.StringType) else F.col(col)
+
+
+def group_text(df: DataFrame, cols: Sequence[str], **sums: Column) -> DataFrame:
+    """``GROUP BY cols`` with text compared under the warehouse's collation.
+
+    Of the spellings of a group the least one (by bytes) is shown.  Rows are
+    grouped by spelling first, which hash-aggregates on the map side; the few
+    spellings are folded after.  ``sums`` are aggregates that add up over the
+    spellings (sums and counts), by the name of their column.
+    """
+    aggs = [agg.alias(name) for name, agg in sums.items()]
+    spelt = df.groupBy(*cols).agg(*aggs) if aggs else df.select(*cols).distinct()
+    keys = [key_of(spelt, c).alias(f"__{i}") for i, c in enumerate(cols)]
+    shown = [F.min(c).alias(c) for c in cols]
+    return spelt.groupBy(*keys).agg(*shown, *[F.sum(n).alias(n) for n in sums]).select(*cols, *sums)
+
+
 def derive_end_date(df: DataFrame, key: str, start: str, out: str = "prd_end_dt",
                     id_col: str = "prd_id") -> DataFrame:
     """Validity end = next start date of the same key minus one day.
@@ -58,13 +80,14 @@ def derive_end_date(df: DataFrame, key: str, start: str, out: str = "prd_end_dt"
     others end the day before it.  ``LEAD`` runs over the grouped (key, start)
     pairs, so a key's window holds at most one row per distinct date however
     many rows the key has.  The pairs are joined back null-safely.  ``id_col``
-    must tell apart the rows of one pair.
+    must tell apart the rows of one pair.  Text keys are equal under the
+    warehouse's collation.
     """
-    pairs = df.groupBy(key, start).agg(F.max(id_col).alias("__last"))
-    w = Window.partitionBy(key).orderBy(F.col(start).asc_nulls_first())
-    ends = pairs.select(F.col(key).alias("__k"), F.col(start).alias("__s"), "__last",
-                        F.date_sub(F.lead(start).over(w), 1).alias("__next"))
-    cond = F.col(key).eqNullSafe(F.col("__k")) & F.col(start).eqNullSafe(F.col("__s"))
+    same = key_of(df, key)
+    pairs = df.groupBy(same.alias("__k"), F.col(start).alias("__s")).agg(F.max(id_col).alias("__last"))
+    w = Window.partitionBy("__k").orderBy(F.col("__s").asc_nulls_first())
+    ends = pairs.select("__k", "__s", "__last", F.date_sub(F.lead("__s").over(w), 1).alias("__next"))
+    cond = same.eqNullSafe(F.col("__k")) & F.col(start).eqNullSafe(F.col("__s"))
     base = df.drop(out) if out in df.columns else df
     is_last = F.col(id_col).eqNullSafe(F.col("__last"))
     end = F.when(is_last, F.col("__next")).otherwise(F.date_sub(F.col(start), 1))

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from layerstar.functions.dates import month_diff
 from layerstar.functions.fmt import month_abbr
 from layerstar.functions.num import MONEY_SUM, PLACES, money_sum, ratio
-from layerstar.operators.rows import with_grand_total
+from layerstar.functions.text import folded
+from layerstar.operators.rows import group_text, with_grand_total
 
 # Trend marks.
 UP, DOWN, FLAT = "\U0001F7E2", "\U0001F534", "\U0001F7E1"
@@ -72,8 +73,8 @@ def _product_years(f: DataFrame, p: DataFrame) -> DataFrame:
            .agg(F.sum(F.coalesce("sales_amount", F.lit(0))).alias("__s"))
     d = p.select(F.col("product_key").alias("__pk"), "product_name")
     j = pre.join(d, pre["product_key"] == d["__pk"], "left")
-    return j.groupBy(F.col("product_name").alias("product"), "order_year") \
-            .agg(F.sum("__s").cast(MONEY_SUM).alias("sales"))
+    years = group_text(j.withColumnRenamed("product_name", "product"), ["product", "order_year"], sales=F.sum("__s"))
+    return years.withColumn("sales", F.col("sales").cast(MONEY_SUM))
 
 
 def _trend(diff) -> F.Column:
@@ -83,7 +84,7 @@ def _trend(diff) -> F.Column:
 def product_yoy(f: DataFrame, p: DataFrame) -> DataFrame:
     """A5: each product's yearly sales against its previous row (the year
     before it has sales in)."""
-    w = Window.partitionBy("product").orderBy(F.col("order_year").asc_nulls_first())
+    w = Window.partitionBy(folded("product")).orderBy(F.col("order_year").asc_nulls_first())
     y = _product_years(f, p).withColumn("prev_sales", F.lag("sales").over(w))
     diff = F.col("sales") - F.col("prev_sales")
     return y.select("order_year", "product", "sales", "prev_sales",
@@ -93,7 +94,7 @@ def product_yoy(f: DataFrame, p: DataFrame) -> DataFrame:
 
 def product_vs_average(f: DataFrame, p: DataFrame) -> DataFrame:
     """Each product's yearly sales against the product's mean year."""
-    w = Window.partitionBy("product")
+    w = Window.partitionBy(folded("product"))
     y = _product_years(f, p).withColumn("__s", F.sum("sales").over(w)) \
                             .withColumn("__n", F.count("sales").over(w))
     gap = F.col("sales") * F.col("__n") - F.col("__s")   # n * (sales - mean), exact

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from layerstar.functions import clean as C
 from layerstar.functions.dates import parse_yyyymmdd
+from layerstar.functions.text import same_text
 from layerstar.operators import quality as Q
 from layerstar.operators.rows import derive_end_date, impute_order_date, latest_per_key
 from layerstar.plans import analyse as A
@@ -232,7 +233,7 @@ def g1(wh):
 def g2(wh):
     ci = _s(wh, "crm_cust_info").alias("ci")
     ca = _s(wh, "erp_cust_az12").alias("ca")
-    j = ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
+    j = ci.join(ca, same_text("ci.cst_key", "ca.cid"), "left")
     return j.select(F.col("ci.cst_id").alias("customer_id"), F.col("ci.cst_gndr").alias("crm_gender"),
                     F.col("ca.gen").alias("erp_gender"),
                     G.merge_master(F.col("ci.cst_gndr"), F.col("ca.gen")).alias("gender"))
@@ -561,8 +562,8 @@ def q23(wh):
     ci = _s(wh, "crm_cust_info").alias("ci")
     ca = _s(wh, "erp_cust_az12").alias("ca")
     la = _s(wh, "erp_loc_a101").alias("la")
-    j = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-           .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left")
+    j = (ci.join(ca, same_text("ci.cst_key", "ca.cid"), "left")
+           .join(la, same_text("ci.cst_key", "la.cid"), "left")
            .select(F.col("ci.cst_id").alias("cst_id")))
     return Q.join_fan_out(j, "cst_id")
 
@@ -654,7 +655,7 @@ def q21s(wh):
 def q23p(wh):
     prd, cat = _s(wh, "crm_prd_info"), _s(wh, "erp_px_cat_g1v2")
     pj = prd.where(F.col("prd_end_dt").isNull()).alias("pi") \
-            .join(cat.alias("pc"), F.col("pi.cat_id") == F.col("pc.id"), "left") \
+            .join(cat.alias("pc"), same_text("pi.cat_id", "pc.id"), "left") \
             .select(F.col("pi.prd_key").alias("prd_key"))
     return Q.join_fan_out(pj, "prd_key")
 
@@ -689,7 +690,7 @@ def q20k(wh):
 @query("Q23_bronze")
 def q23b(wh):
     ci, ca = _b(wh, "crm_cust_info").alias("ci"), _s(wh, "erp_cust_az12").alias("ca")
-    j = ci.join(ca, F.trim("ci.cst_key") == F.col("ca.cid"), "left").select(F.col("ci.cst_id").alias("cst_id"))
+    j = ci.join(ca, same_text(F.trim("ci.cst_key"), "ca.cid"), "left").select(F.col("ci.cst_id").alias("cst_id"))
     return Q.join_fan_out(j, "cst_id")
 
 

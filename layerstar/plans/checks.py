@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.functions import clean as C
+from layerstar.functions.text import same_text
 from layerstar.operators import quality as Q
 from layerstar.plans.silver import CUST_TEXT
 from layerstar.sources.schemas import BRONZE, MAX_LENGTH, SILVER
@@ -164,11 +165,11 @@ def gold_checks(wh) -> list[Q.Check]:
     cust, az, loc = s("crm_cust_info"), s("erp_cust_az12"), s("erp_loc_a101")
     prd, cat = s("crm_prd_info"), s("erp_px_cat_g1v2")
     ci, ca, la = cust.alias("ci"), az.alias("ca"), loc.alias("la")
-    joined = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-                .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left")
+    joined = (ci.join(ca, same_text("ci.cst_key", "ca.cid"), "left")
+                .join(la, same_text("ci.cst_key", "la.cid"), "left")
                 .select(F.col("ci.cst_id").alias("cst_id")))
     cur = prd.where(F.col("prd_end_dt").isNull())
-    pj = cur.alias("pi").join(cat.alias("pc"), F.col("pi.cat_id") == F.col("pc.id"), "left") \
+    pj = cur.alias("pi").join(cat.alias("pc"), same_text("pi.cat_id", "pc.id"), "left") \
             .select(F.col("pi.prd_key").alias("prd_key"))
     SG, G = ["silver"], ["gold"]
     return [

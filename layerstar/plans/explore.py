@@ -3,6 +3,9 @@
 Results come in the reference's order (ORDER BY ... with NULL lowest, ties
 broken by the group), a distributed sort over the small aggregated result.
 
+Text groups (country, category, name, ...) are equal under the warehouse's
+collation (M4); of the spellings of a group the least is shown.
+
 ``f``, ``c``, ``p`` are fact_sales, dim_customers, dim_products.  Amounts stay
 numbers (decimal sums, means rounded to 4 places); ``fmt.money`` etc. turn them
 into the display text as a last step (E11 does so, as its result is a sheet).
@@ -15,18 +18,19 @@ from pyspark.sql import functions as F
 
 from layerstar.functions import fmt
 from layerstar.functions.dates import as_date_lit, month_diff, year_diff
-from layerstar.functions.num import mean, money_sum
+from layerstar.functions.num import mean, money_sum, ratio
 from layerstar.functions.text import full_name
+from layerstar.operators.rows import group_text
 
 
 def distinct_countries(c: DataFrame) -> DataFrame:
     """E1"""
-    return c.select("country").distinct()
+    return group_text(c, ["country"])
 
 
 def distinct_categories(p: DataFrame) -> DataFrame:
     """E2"""
-    return p.select("category", "subcategory").distinct()
+    return group_text(p, ["category", "subcategory"])
 
 
 def order_date_range(f: DataFrame) -> DataFrame:
@@ -113,25 +117,26 @@ def key_metrics(f: DataFrame, c: DataFrame, p: DataFrame) -> DataFrame:
 
 def customers_by_country(c: DataFrame) -> DataFrame:
     """E12"""
-    return c.groupBy("country").agg(F.count("customer_key").alias("total_customers")) \
+    return group_text(c, ["country"], total_customers=F.count("customer_key")) \
             .orderBy(F.desc("total_customers"), F.asc("country"))
 
 
 def customers_by_gender(c: DataFrame) -> DataFrame:
     """E13"""
-    return c.groupBy("gender").agg(F.count("customer_key").alias("total_customers")) \
+    return group_text(c, ["gender"], total_customers=F.count("customer_key")) \
             .orderBy(F.desc("total_customers"), F.asc("gender"))
 
 
 def products_by_category(p: DataFrame) -> DataFrame:
     """E14"""
-    return p.groupBy("category").agg(F.count("product_id").alias("total_products")) \
+    return group_text(p, ["category"], total_products=F.count("product_id")) \
             .orderBy(F.desc("total_products"), F.asc("category"))
 
 
 def cost_by_category(p: DataFrame) -> DataFrame:
     """Mean cost per category."""
-    return p.groupBy("category").agg(mean("cost").alias("avg_cost")) \
+    g = group_text(p, ["category"], s=F.sum("cost"), n=F.count("cost"))
+    return g.select("category", ratio("s", "n").alias("avg_cost")) \
             .orderBy(F.desc("avg_cost"), F.asc("category"))
 
 
@@ -148,7 +153,7 @@ def pre_aggregate_join(f: DataFrame, dim: DataFrame, key: str, sums: dict[str, s
     pre = f.groupBy(key).agg(*[F.sum(c).alias(f"__{n}") for n, c in sums.items()])
     d = dim.select(F.col(key).alias("__dk"), *by)
     j = pre.join(d, pre[key] == d["__dk"], "left")
-    return j.groupBy(*by).agg(*[F.sum(f"__{n}").alias(n) for n in sums])
+    return group_text(j, by, **{n: F.sum(f"__{n}") for n in sums})
 
 
 def revenue_by_category(f: DataFrame, p: DataFrame) -> DataFrame:

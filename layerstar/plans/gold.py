@@ -3,7 +3,8 @@
 Joins are all left joins in the written order.  No side is forced to
 broadcast: the planner broadcasts a dimension only when its measured size is
 under ``spark.sql.autoBroadcastJoinThreshold`` (AQE re-checks at run time) and
-otherwise shuffles; a hot fact key is split by AQE's skew join.
+otherwise shuffles; a hot fact key is split by AQE's skew join.  Text keys are
+equal under the warehouse's collation (M4).
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.functions.clean import UNKNOWN
+from layerstar.functions.text import same_text
 from layerstar.operators.rows import surrogate_key
 
 CUSTOMER_ORDER = ["customer_id"]
@@ -29,8 +31,8 @@ def merge_master(primary, fallback, unknown: str = UNKNOWN) -> Column:
 def customers_joined(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFrame:
     """G1 without the key: customers, left join birth/gender, left join location."""
     ci, ca, la = cust.alias("ci"), az12.alias("ca"), loc.alias("la")
-    j = (ci.join(ca, F.col("ci.cst_key") == F.col("ca.cid"), "left")
-           .join(la, F.col("ci.cst_key") == F.col("la.cid"), "left"))
+    j = (ci.join(ca, same_text("ci.cst_key", "ca.cid"), "left")
+           .join(la, same_text("ci.cst_key", "la.cid"), "left"))
     return j.select(
         F.col("ci.cst_id").alias("customer_id"),
         F.col("ci.cst_key").alias("customer_number"),
@@ -46,7 +48,7 @@ def customers_joined(cust: DataFrame, az12: DataFrame, loc: DataFrame) -> DataFr
 def products_joined(prd: DataFrame, cat: DataFrame) -> DataFrame:
     """G3 without the key: current products (no end date), left join category."""
     pi, pc = prd.where(F.col("prd_end_dt").isNull()).alias("pi"), cat.alias("pc")
-    j = pi.join(pc, F.col("pi.cat_id") == F.col("pc.id"), "left")
+    j = pi.join(pc, same_text("pi.cat_id", "pc.id"), "left")
     return j.select(
         F.col("pi.prd_id").alias("product_id"), F.col("pi.prd_key").alias("product_number"),
         F.col("pi.prd_nm").alias("product_name"), F.col("pi.cat_id").alias("category_id"),
@@ -84,7 +86,7 @@ def fact_sales(sales: DataFrame, dim_c: DataFrame, dim_p: DataFrame) -> DataFram
     cv = dim_c.select(F.col("customer_id").alias("cv_id"), "customer_key")
     pv = dim_p.select(F.col("product_number").alias("pv_number"), "product_key")
     j = (sd.join(cv, F.col("sd.sls_cust_id") == F.col("cv_id"), "left")
-           .join(pv, F.col("sd.sls_prd_key") == F.col("pv_number"), "left"))
+           .join(pv, same_text("sd.sls_prd_key", "pv_number"), "left"))
     return j.select(
         F.col("sd.sls_ord_num").alias("order_number"), "product_key", "customer_key",
         F.col("sd.sls_order_dt").alias("order_date"),

@@ -32,6 +32,11 @@ GENDER_BY_K8 = ["M", "F", "f", " m ", None, "X", "M", "F"]
 ERP_GENDER_BY_K9 = ["F", "Female", "M ", "male", " ", None, "M", "F", "f"]
 BIRTH_NULL, BIRTH_FUTURE, BIRTH_ANCIENT = 47, 41, 43
 LOC_NULL, LOC_BLANK = 53, 59
+# other spellings that the warehouse's collation calls equal
+ERP_LOWER_ID, LOC_LOWER_NAME = 17, 61
+PRD_LOWER_KEY = (15, 6)        # the later versions of these products
+SLS_LOWER_KEY = (12, 5)        # (orderkey + linenumber) % 12 == 5
+CATEGORY_SPELT_OTHERWISE = "22"  # brand 22: id and category in lower case, a space after
 PRD_SECOND_VERSION, PRD_THIRD_VERSION = 3, 9
 PRD_REPEATED_START = (8, 5)   # a row more, with the start date of the last version
 PRD_SPACED_KEY, PRD_SPACED_NAME = 37, 31
@@ -121,6 +126,7 @@ def crm_prd_info(part: DataFrame) -> DataFrame:
     key = F.concat(F.substr("p_type", F.lit(1), F.lit(2)), F.lit("-"),
                    F.lpad(F.substring_index("p_brand", "#", -1), 2, "0"),
                    F.lit("-PK-"), pk.cast("string"))
+    key = F.when(_m(pk, *PRD_LOWER_KEY) & (v >= 1), F.lower(key)).otherwise(key)
     cost = (F.col("p_retailprice").cast("decimal(18,2)") + v * 10).cast("string")
     return rows.select(
         (pk * 4 + v).cast("string").alias("prd_id"),
@@ -139,9 +145,12 @@ def crm_prd_info(part: DataFrame) -> DataFrame:
 def erp_px_cat_g1v2(part: DataFrame) -> DataFrame:
     brand = F.lpad(F.substring_index("p_brand", "#", -1), 2, "0")
     suffix = F.when(brand == CATEGORY_WITHOUT_MATCH, F.lit("NA")).otherwise(brand)
+
+    def spelt(c: Column) -> Column:
+        return F.when(brand == CATEGORY_SPELT_OTHERWISE, F.concat(F.lower(c), F.lit(" "))).otherwise(c)
     cats = part.select(
-        F.concat(F.substr("p_type", F.lit(1), F.lit(2)), F.lit("_"), suffix).alias("id"),
-        F.col("p_type").alias("cat"), F.col("p_brand").alias("subcat"),
+        spelt(F.concat(F.substr("p_type", F.lit(1), F.lit(2)), F.lit("_"), suffix)).alias("id"),
+        spelt(F.col("p_type")).alias("cat"), F.col("p_brand").alias("subcat"),
         F.when(brand.cast("int") % 2 == 0, F.lit("Yes")).otherwise(F.lit("No"))
          .alias("maintenance"))
     return cats.distinct()
@@ -169,6 +178,8 @@ def crm_sales_details(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         F.when(_m(ok, *SLS_RAW_SALES), _money_text(F.col("cents")))
          .otherwise(_money_text(F.col("pc") * qty)).alias("sales"))
     key, price, sales = F.col("key"), F.col("price"), F.col("sales")
+    line = ok + F.col("l_linenumber")
+    key = F.when((line % SLS_LOWER_KEY[0]) == SLS_LOWER_KEY[1], F.lower(key)).otherwise(key)
     odt = F.col("odt")
     return parts.select(
         F.concat(F.lit("SO"), ok.cast("string")).alias("sls_ord_num"),
@@ -202,8 +213,9 @@ def erp_cust_az12(customer: DataFrame) -> DataFrame:
              .when(_m(k, BIRTH_FUTURE), _iso(F.date_add(F.lit("2030-01-01").cast("date"), day))) \
              .when(_m(k, BIRTH_ANCIENT), _iso(F.date_add(F.lit("1915-01-01").cast("date"), day))) \
              .otherwise(_iso(born))
+    cid = F.when(_m(k, ERP_LOWER_ID), F.lower(_aw(k))).otherwise(_aw(k))
     return customer.select(
-        F.when(_m(k, 2), F.concat(F.lit("NAS"), _aw(k))).otherwise(_aw(k)).alias("cid"),
+        F.when(_m(k, 2), F.concat(F.lit("NAS"), cid)).otherwise(cid).alias("cid"),
         bdate.alias("bdate"),
         _pick(k, ERP_GENDER_BY_K9).alias("gen"))
 
@@ -216,6 +228,7 @@ def erp_loc_a101(customer: DataFrame, nation: DataFrame) -> DataFrame:
              .when(nk == 0, F.lit("DE")) \
              .when(nk == 1, F.when(_m(k, 2), F.lit("US")).otherwise(F.lit("USA"))) \
              .when(nk == 2, F.concat(F.lit(" "), F.col("n_name"), F.lit(" "))) \
+             .when(_m(k, LOC_LOWER_NAME), F.lower("n_name")) \
              .otherwise(F.col("n_name"))
     return j.select(F.concat(F.lit("AW-"), F.format_string("%08d", k)).alias("cid"),
                     cntry.alias("cntry"))

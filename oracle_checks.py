@@ -21,6 +21,11 @@ def _distinct(table: str, cols: str, where: str = "true") -> str:
     return f"SELECT count(*) FROM (SELECT DISTINCT {cols} FROM {table} WHERE {where})"
 
 
+def _groups(table: str, *cols: str, where: str = "true") -> str:
+    """Distinct values of text that ignore case and trailing spaces."""
+    return _distinct(table, ", ".join(f"lower(rtrim({c})) AS {c}" for c in cols), where)
+
+
 def _bad_keys(table: str, key: str) -> str:
     return f"SELECT count(*) FROM (SELECT {key} FROM {table} GROUP BY {key} HAVING count(*) > 1 OR {key} IS NULL)"
 
@@ -42,8 +47,8 @@ def _same_count(a: str, b: str) -> str:
 
 
 def _outside(table: str, col: str, *allowed: str) -> str:
-    names = ", ".join(f"'{a}'" for a in allowed)
-    return _distinct(table, col, f"{col} NOT IN ({names}) OR {col} IS NULL")
+    names = ", ".join(f"'{a.lower()}'" for a in allowed)
+    return _groups(table, col, where=f"lower(rtrim({col})) NOT IN ({names}) OR {col} IS NULL")
 
 
 NO, ALLOWED, EQUAL, ONE, REPORT = "no_rows", "allowed_values", "equal_counts", "one_row", "report"
@@ -52,6 +57,7 @@ _short = dict(zip(TABLES, ["cust", "prd", "sales", "az12", "loc", "cat"], strict
 CUST, PRD, SALES, AZ, LOC, CAT = TABLES
 _some = "SELECT count(*) FROM {} WHERE NOT EXISTS (SELECT 1 FROM {})"
 _exists = "SELECT count(*) FROM {} a WHERE {}EXISTS (SELECT 1 FROM {} b WHERE a.{} = b.{})"
+_exists_text = _exists.replace("a.{} = b.{}", "lower(rtrim(a.{})) = lower(rtrim(b.{}))")
 
 # no text of the driver tables is longer than declared, and the stored types are the declared ones
 _declared = {
@@ -82,17 +88,17 @@ BRONZE = _schema("bronze") + [
         "b_cust", "cst_id IN (SELECT cst_id FROM b_cust GROUP BY cst_id HAVING count(*) > 1) OR cst_id IS NULL")),
     ("Q3 cst_firstname", "bronze", CUST, NO, "trimmed", _untrimmed("b_cust", "cst_firstname")),
     ("Q3 cst_gndr", "bronze", CUST, NO, "trimmed", _untrimmed("b_cust", "cst_gndr")),
-    ("Q4 cst_gndr", "bronze", CUST, REPORT, "codes", _distinct("b_cust", "cst_gndr")),
-    ("Q4 cst_marital_status", "bronze", CUST, REPORT, "codes", _distinct("b_cust", "cst_marital_status")),
+    ("Q4 cst_gndr", "bronze", CUST, REPORT, "codes", _groups("b_cust", "cst_gndr")),
+    ("Q4 cst_marital_status", "bronze", CUST, REPORT, "codes", _groups("b_cust", "cst_marital_status")),
     ("Q1 prd_id", "bronze", PRD, NO, "unique, not NULL", _bad_keys("b_prd", "prd_id")),
     ("Q5 prd_cost", "bronze", PRD, NO, "set, not negative", _rows(
         "b_prd", "prd_cost IS NULL OR CAST(prd_cost AS DECIMAL(18,2)) < 0")),
-    ("Q4 prd_line", "bronze", PRD, REPORT, "codes", _distinct("b_prd", "prd_line")),
+    ("Q4 prd_line", "bronze", PRD, REPORT, "codes", _groups("b_prd", "prd_line")),
     ("Q6 prd dates", "bronze", PRD, NO, "end not before start", _rows("b_prd", "prd_end_dt < prd_start_dt")),
     ("Q7 prd dates", "bronze", PRD, NO, "dates set", _null("b_prd", "prd_start_dt", "prd_end_dt")),
     ("Q31 prd history", "bronze", PRD, REPORT, "derived end dates", "SELECT count(*) FROM b_prd"),
     ("Q9 sls_ord_num", "bronze", SALES, REPORT, "lines per order",
-     "SELECT count(*) FROM (SELECT sls_ord_num FROM b_sales GROUP BY 1 HAVING count(*) > 1)"),
+     "SELECT count(*) FROM (SELECT lower(rtrim(sls_ord_num)) FROM b_sales GROUP BY 1 HAVING count(*) > 1)"),
     ("Q8 sales keys", "bronze", SALES, NO, "keys set", _null("b_sales", "sls_cust_id", "sls_prd_key", "sls_ord_num")),
     ("Q3 sls_prd_key", "bronze", SALES, NO, "trimmed", _untrimmed("b_sales", "sls_prd_key")),
     ("Q12 products loaded", "bronze,silver", SALES, NO, "parent not empty", _some.format("b_sales", "s_prd")),
@@ -112,13 +118,13 @@ BRONZE = _schema("bronze") + [
     ("Q19 gen", "bronze", AZ, REPORT, "standard values", _distinct("b_az12", f"gen, {_gen('gen')} AS g")),
     ("Q17 loc cid", "bronze", LOC, REPORT, "id lengths", _lengths("b_loc", "cid")),
     ("Q10 loc cid", "bronze,silver", LOC, NO, "customer exists", _rows(
-        "b_loc l", "NOT EXISTS (SELECT 1 FROM s_az12 s WHERE s.cid = replace(l.cid, '-', ''))")),
+        "b_loc l", "NOT EXISTS (SELECT 1 FROM s_az12 s WHERE lower(rtrim(s.cid)) = lower(rtrim(replace(l.cid, '-', ''))))")),
     ("Q19 cntry", "bronze", LOC, REPORT, "standard values", _distinct("b_loc", f"cntry, {_cntry('cntry')} AS c")),
-    ("Q11 cat id", "bronze,silver", CAT, REPORT, "used by a product", _rows("b_cat", "id NOT IN (SELECT cat_id FROM s_prd)")),
+    ("Q11 cat id", "bronze,silver", CAT, REPORT, "used by a product", _rows("b_cat", "lower(rtrim(id)) NOT IN (SELECT lower(rtrim(cat_id)) FROM s_prd)")),
     ("Q20 cat id", "bronze", CAT, NO, "form XX_YY", _rows("b_cat", "id IS NULL OR NOT regexp_matches(id, '^.{2}_.{2}$')")),
     ("Q3 cat text", "bronze", CAT, NO, "trimmed", _untrimmed("b_cat", "cat", "subcat", "maintenance")),
-    ("Q27 cat pairs", "bronze", CAT, REPORT, "pairs", _distinct("b_cat", "cat, subcat")),
-    ("Q4 maintenance", "bronze", CAT, REPORT, "codes", _distinct("b_cat", "maintenance")),
+    ("Q27 cat pairs", "bronze", CAT, REPORT, "pairs", _groups("b_cat", "cat", "subcat")),
+    ("Q4 maintenance", "bronze", CAT, REPORT, "codes", _groups("b_cat", "maintenance")),
 ]
 
 _bronze_rows = {CUST: _distinct("b_cust", "cst_id", "cst_id IS NOT NULL"), PRD: _rows("b_prd", "prd_id IS NOT NULL")}
@@ -140,12 +146,12 @@ SILVER = _schema("silver") + [
     ("Q4 prd_line", "silver", PRD, ALLOWED, "Mountain, Road, Touring, Other sales, Unknown",
      _outside("s_prd", "prd_line", "Mountain", "Road", "Touring", "Other sales", "Unknown")),
     ("Q11 cat_id", "bronze,silver", PRD, REPORT, "category exists", _rows(
-        "s_prd", "cat_id NOT IN (SELECT id FROM b_cat WHERE id IS NOT NULL)")),
-    ("Q10 cat_id", "bronze,silver", PRD, REPORT, "category exists", _exists.format("s_prd", "NOT ", "b_cat", "cat_id", "id")),
+        "s_prd", "lower(rtrim(cat_id)) NOT IN (SELECT lower(rtrim(id)) FROM b_cat WHERE id IS NOT NULL)")),
+    ("Q10 cat_id", "bronze,silver", PRD, REPORT, "category exists", _exists_text.format("s_prd", "NOT ", "b_cat", "cat_id", "id")),
     ("Q5 prd_cost", "silver", PRD, NO, "set, not negative", _rows("s_prd", "prd_cost IS NULL OR prd_cost < 0")),
     ("Q6 prd dates", "silver", PRD, NO, "end not before start", _rows("s_prd", "prd_end_dt < prd_start_dt")),
-    ("Q30 sls_prd_key", "silver", SALES, REPORT, "product exists", _exists.format("s_sales", "", "s_prd", "sls_prd_key", "prd_key")),
-    ("Q10 sls_prd_key", "silver", SALES, NO, "product exists", _exists.format("s_sales", "NOT ", "s_prd", "sls_prd_key", "prd_key")),
+    ("Q30 sls_prd_key", "silver", SALES, REPORT, "product exists", _exists_text.format("s_sales", "", "s_prd", "sls_prd_key", "prd_key")),
+    ("Q10 sls_prd_key", "silver", SALES, NO, "product exists", _exists_text.format("s_sales", "NOT ", "s_prd", "sls_prd_key", "prd_key")),
     ("Q10 sls_cust_id", "silver", SALES, NO, "customer exists", _exists.format("s_sales", "NOT ", "s_cust", "sls_cust_id", "cst_id")),
     ("Q14 sales dates", "silver", SALES, NO, "order <= ship <= due", _rows(
         "s_sales", "sls_ship_dt < sls_order_dt OR sls_due_dt < sls_order_dt OR sls_due_dt < sls_ship_dt")),
@@ -156,24 +162,24 @@ SILVER = _schema("silver") + [
     ("Q18 bdate", "silver", AZ, NO, "not in the future", _rows("s_az12", f"bdate > {AS_OF}")),
     ("Q4 gen", "silver", AZ, ALLOWED, "Male, Female, Unknown", _outside("s_az12", "gen", "Male", "Female", "Unknown")),
     ("Q17 loc cid", "silver", LOC, ONE, "one id length", _lengths("s_loc", "cid")),
-    ("Q11 loc cid", "silver", LOC, REPORT, "customer exists", _rows("s_loc", "cid NOT IN (SELECT cid FROM s_az12)")),
-    ("Q4 cntry", "silver", LOC, REPORT, "countries", _distinct("s_loc", "cntry")),
-    ("Q11 cat id", "silver", CAT, REPORT, "used by a product", _rows("s_cat", "id NOT IN (SELECT cat_id FROM s_prd)")),
-    ("Q4 cat", "bronze", CAT, REPORT, "values", _distinct("b_cat", "cat")),
-    ("Q4 subcat", "bronze", CAT, REPORT, "values", _distinct("b_cat", "subcat")),
-    ("Q4 maintenance", "bronze", CAT, REPORT, "values", _distinct("b_cat", "maintenance")),
+    ("Q11 loc cid", "silver", LOC, REPORT, "customer exists", _rows("s_loc", "lower(rtrim(cid)) NOT IN (SELECT lower(rtrim(cid)) FROM s_az12)")),
+    ("Q4 cntry", "silver", LOC, REPORT, "countries", _groups("s_loc", "cntry")),
+    ("Q11 cat id", "silver", CAT, REPORT, "used by a product", _rows("s_cat", "lower(rtrim(id)) NOT IN (SELECT lower(rtrim(cat_id)) FROM s_prd)")),
+    ("Q4 cat", "bronze", CAT, REPORT, "values", _groups("b_cat", "cat")),
+    ("Q4 subcat", "bronze", CAT, REPORT, "values", _groups("b_cat", "subcat")),
+    ("Q4 maintenance", "bronze", CAT, REPORT, "values", _groups("b_cat", "maintenance")),
 ]
 
 GOLD = [
     ("Q23 customers", "silver", "dim_customers", NO, "no key repeats after the joins",
      "SELECT count(*) FROM (SELECT customer_id FROM g_cust_j GROUP BY 1 HAVING count(*) > 1)"),
     ("Q28 gender merge", "silver", "dim_customers", REPORT, "CRM first, then ERP, else Unknown",
-     "SELECT count(*) FROM (SELECT DISTINCT ci.cst_gndr, ca.gen FROM s_cust ci LEFT JOIN s_az12 ca ON ci.cst_key = ca.cid)"),
-    ("Q29 gender", "gold", "dim_customers", REPORT, "three values", _distinct("g_cust", "gender")),
+     "SELECT count(*) FROM (SELECT DISTINCT ci.cst_gndr, ca.gen FROM s_cust ci LEFT JOIN s_az12 ca ON lower(rtrim(ci.cst_key)) = lower(rtrim(ca.cid)))"),
+    ("Q29 gender", "gold", "dim_customers", REPORT, "three values", _groups("g_cust", "gender")),
     ("Q24 cat_id", "silver", "dim_products", REPORT, "categories without a match",
-     _exists.format("s_prd", "NOT ", "s_cat", "cat_id", "id")),
+     _exists_text.format("s_prd", "NOT ", "s_cat", "cat_id", "id")),
     ("Q23 products", "silver", "dim_products", NO, "no key repeats after the join",
-     "SELECT count(*) FROM (SELECT product_number FROM g_prd_j GROUP BY 1 HAVING count(*) > 1)"),
+     "SELECT count(*) FROM (SELECT lower(rtrim(product_number)) FROM g_prd_j GROUP BY 1 HAVING count(*) > 1)"),
     ("Q25 fact keys", "gold", "fact_sales", NO, "every fact row has both keys", _null("g_fact", "customer_key", "product_key")),
 ]
 
@@ -195,8 +201,8 @@ Q["checks_silver"] = _checks(SILVER, [*_B, *_S])
 Q["checks_gold"] = _checks(GOLD, ["g_cust", "g_cust_j", "g_prd_j", "g_fact", "s_cust", "s_az12", "s_prd", "s_cat"])
 
 # ------------------------------------------------- checks that find something
-Q["Q4_allowed"] = sql("""SELECT DISTINCT cst_gndr FROM b_cust
-  WHERE cst_gndr NOT IN ('M', 'F') OR cst_gndr IS NULL""", ["b_cust"])
+Q["Q4_allowed"] = sql("""SELECT min(cst_gndr) AS cst_gndr FROM b_cust
+  WHERE lower(rtrim(cst_gndr)) NOT IN ('m', 'f') OR cst_gndr IS NULL GROUP BY lower(rtrim(cst_gndr))""", ["b_cust"])
 Q["Q11_null_list"] = sql("""
 SELECT 'plain' AS flavour, count(*) AS found FROM s_sales WHERE sls_cust_id NOT IN (SELECT cst_id FROM b_cust)
 UNION ALL SELECT 'NULLs skipped', count(*) FROM s_sales
@@ -205,7 +211,7 @@ Q["Q12_empty"] = sql("""SELECT * FROM b_prd
   WHERE NOT EXISTS (SELECT 1 FROM s_prd WHERE prd_cost < 0)""", ["b_prd", "s_prd"])
 Q["Q20_keys"] = sql("""SELECT * FROM b_cust WHERE cst_key IS NULL
   OR NOT regexp_matches(cst_key, '^AW[0-9]{8}$')""", ["b_cust"])
-Q["Q23_bronze"] = sql("""SELECT ci.cst_id, count(*) AS cnt FROM b_cust ci LEFT JOIN s_az12 ca ON trim(ci.cst_key) = ca.cid
+Q["Q23_bronze"] = sql("""SELECT ci.cst_id, count(*) AS cnt FROM b_cust ci LEFT JOIN s_az12 ca ON lower(trim(ci.cst_key)) = lower(rtrim(ca.cid))
   GROUP BY ci.cst_id HAVING count(*) > 1""", ["b_cust", "s_az12"])
 Q["Q26_types"] = sql("""
 SELECT 'cat_id' AS column_name, 'string' AS expected_type, NULL::VARCHAR AS actual_type, 50 AS declared_length,

@@ -81,6 +81,11 @@ def _aw(k: str) -> str:
     return f"printf('AW%08d', {k})"
 
 
+def same(a: str, b: str) -> str:
+    """Text equality that ignores case and trailing spaces."""
+    return f"lower(rtrim({a})) = lower(rtrim({b}))"
+
+
 CTE: dict[str, tuple[str, list[str]]] = {}
 
 
@@ -106,7 +111,7 @@ FROM (SELECT k, c_name, v,
 
 cte("b_prd", [], f"""
 SELECT CAST(pk * 4 + v AS BIGINT) AS prd_id,
-  CASE WHEN pk % 37 = 0 THEN ' ' || key ELSE key END AS prd_key,
+  CASE WHEN pk % 37 = 0 THEN ' ' ELSE '' END || CASE WHEN pk % 15 = 6 AND v >= 1 THEN lower(key) ELSE key END AS prd_key,
   CASE WHEN pk % 31 = 0 THEN ' ' || p_name || ' ' ELSE p_name END AS prd_nm,
   CASE WHEN pk % 50 = 0 THEN NULL WHEN pk % 43 = 0 THEN '-' || cost ELSE cost END AS prd_cost,
   {_pick('p_size', ['R ', 'M ', 'S ', 'T ', 'r', None])} AS prd_line,
@@ -120,14 +125,15 @@ FROM (SELECT p_partkey AS pk, p_name, p_size, v,
       FROM (SELECT *, {_versions('p_partkey % 3 = 0', 'p_partkey % 9 = 0', 'p_partkey % 8 = 5')} AS v FROM part))""")
 
 cte("b_cat", [], """
-SELECT DISTINCT substring(p_type, 1, 2) || '_' || CASE WHEN b2 = '13' THEN 'NA' ELSE b2 END AS id,
-  p_type AS cat, p_brand AS subcat,
+SELECT DISTINCT CASE WHEN b2 = '22' THEN lower(substring(p_type, 1, 2)) || '_22 '
+    ELSE substring(p_type, 1, 2) || '_' || CASE WHEN b2 = '13' THEN 'NA' ELSE b2 END END AS id,
+  CASE WHEN b2 = '22' THEN lower(p_type) || ' ' ELSE p_type END AS cat, p_brand AS subcat,
   CASE WHEN CAST(b2 AS INTEGER) % 2 = 0 THEN 'Yes' ELSE 'No' END AS maintenance
 FROM (SELECT p_type, p_brand, lpad(split_part(p_brand, '#', 2), 2, '0') AS b2 FROM part)""")
 
 cte("b_sales", [], f"""
 SELECT 'SO' || CAST(ok AS VARCHAR) AS sls_ord_num,
-  CASE WHEN (ok + ln) % 10 = 3 THEN ' ' || key || ' ' ELSE key END AS sls_prd_key,
+  CASE WHEN (ok + ln) % 10 = 3 THEN ' ' || spelt || ' ' ELSE spelt END AS sls_prd_key,
   CAST(CASE WHEN ok % 29 = 0 THEN NULL WHEN ok % 31 = 0 THEN -(o_custkey + 1) ELSE o_custkey END
        AS BIGINT) AS sls_cust_id,
   CASE WHEN ok % 17 = 0 THEN '0' WHEN ok % 41 = 0 THEN '20101399'
@@ -140,7 +146,7 @@ SELECT 'SO' || CAST(ok AS VARCHAR) AS sls_ord_num,
        ELSE CAST(qty AS VARCHAR) END AS sls_quantity,
   CASE WHEN ok % 11 = 0 THEN NULL WHEN ok % 47 = 0 THEN '0' WHEN ok % 14 = 0 THEN '-' || price
        ELSE price END AS sls_price
-FROM (SELECT *,
+FROM (SELECT *, CASE WHEN (ok + ln) % 12 = 5 THEN lower(key) ELSE key END AS spelt FROM (SELECT *,
         CASE WHEN ok % 19 = 7 THEN 'ZZ-' ELSE 'PK-' END || CAST(l_partkey AS VARCHAR) AS key,
         strftime(o_orderdate, '%Y%m%d') AS odt,
         {_money_text('pc')} AS price,
@@ -149,10 +155,10 @@ FROM (SELECT *,
               o.o_custkey, o.o_orderdate, CAST(l.l_quantity AS INTEGER) AS qty,
               CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) AS cents,
               CAST(floor(l.l_extendedprice * 100 + 0.5) AS BIGINT) // CAST(l.l_quantity AS INTEGER) AS pc
-            FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey))""")
+            FROM lineitem l LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey)))""")
 
 cte("b_az12", [], f"""
-SELECT CASE WHEN k % 2 = 0 THEN 'NAS' || {_aw('k')} ELSE {_aw('k')} END AS cid,
+SELECT CASE WHEN k % 2 = 0 THEN 'NAS' ELSE '' END || CASE WHEN k % 17 = 0 THEN lower({_aw('k')}) ELSE {_aw('k')} END AS cid,
   CASE WHEN k % 47 = 0 THEN NULL
        WHEN k % 41 = 0 THEN strftime(DATE '2030-01-01' + CAST(k % 365 AS INTEGER), '%Y-%m-%d')
        WHEN k % 43 = 0 THEN strftime(DATE '1915-01-01' + CAST(k % 365 AS INTEGER), '%Y-%m-%d')
@@ -166,6 +172,7 @@ SELECT 'AW-' || printf('%08d', c_custkey) AS cid,
        WHEN c_nationkey = 0 THEN 'DE'
        WHEN c_nationkey = 1 THEN CASE WHEN c_custkey % 2 = 0 THEN 'US' ELSE 'USA' END
        WHEN c_nationkey = 2 THEN ' ' || n_name || ' '
+       WHEN c_custkey % 61 = 0 THEN lower(n_name)
        ELSE n_name END AS cntry
 FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey""")
 
@@ -195,7 +202,7 @@ SELECT prd_id, trim(prd_key) AS prd_key, trim(prd_nm) AS prd_nm, trim(prd_cost)
   trim(prd_line) AS prd_line, prd_start_dt FROM b_prd WHERE prd_id IS NOT NULL""")
 
 cte("p_hist", ["p_trim"], """
-SELECT *, CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id) - 1 AS DATE)
+SELECT *, CAST(lead(prd_start_dt) OVER (PARTITION BY lower(rtrim(prd_key)) ORDER BY prd_start_dt NULLS FIRST, prd_id) - 1 AS DATE)
   AS prd_end_dt FROM p_trim""")
 
 cte("s_prd", ["p_hist"], f"""
@@ -258,29 +265,29 @@ cte("g_cust_j", ["s_cust", "s_az12", "s_loc"], f"""
 SELECT ci.cst_id AS customer_id, ci.cst_key AS customer_number, ci.cst_firstname AS firstname,
   ci.cst_lastname AS lastname, la.cntry AS country, {GENDER_MERGE} AS gender,
   ci.cst_marital_status AS marital_status, ca.bdate AS birthdate, ci.cst_create_date AS create_date
-FROM s_cust ci LEFT JOIN s_az12 ca ON ci.cst_key = ca.cid LEFT JOIN s_loc la ON ci.cst_key = la.cid""")
+FROM s_cust ci LEFT JOIN s_az12 ca ON {same('ci.cst_key', 'ca.cid')} LEFT JOIN s_loc la ON {same('ci.cst_key', 'la.cid')}""")
 
 cte("g_cust", ["g_cust_j"], """
 SELECT CAST(row_number() OVER (ORDER BY customer_id NULLS FIRST) AS BIGINT) AS customer_key, *
 FROM g_cust_j""")
 
-cte("g_prd_j", ["s_prd", "s_cat"], """
+cte("g_prd_j", ["s_prd", "s_cat"], f"""
 SELECT pi.prd_id AS product_id, pi.prd_key AS product_number, pi.prd_nm AS product_name,
   pi.cat_id AS category_id, pc.cat AS category, pc.subcat AS subcategory,
   pc.maintenance AS maintenance, pi.prd_cost AS cost, pi.prd_line AS product_line,
   pi.prd_start_dt AS start_date
-FROM s_prd pi LEFT JOIN s_cat pc ON pi.cat_id = pc.id WHERE pi.prd_end_dt IS NULL""")
+FROM s_prd pi LEFT JOIN s_cat pc ON {same('pi.cat_id', 'pc.id')} WHERE pi.prd_end_dt IS NULL""")
 
 cte("g_prd", ["g_prd_j"], """
 SELECT CAST(row_number() OVER (ORDER BY start_date NULLS FIRST, product_id NULLS FIRST) AS BIGINT)
   AS product_key, * FROM g_prd_j""")
 
-cte("g_fact", ["s_sales", "g_cust", "g_prd"], """
+cte("g_fact", ["s_sales", "g_cust", "g_prd"], f"""
 SELECT sd.sls_ord_num AS order_number, pv.product_key, cv.customer_key,
   sd.sls_order_dt AS order_date, sd.sls_ship_dt AS shipping_date, sd.sls_due_dt AS due_date,
   sd.sls_sales AS sales_amount, sd.sls_quantity AS quantity, sd.sls_price AS price
 FROM s_sales sd LEFT JOIN g_cust cv ON sd.sls_cust_id = cv.customer_id
-LEFT JOIN g_prd pv ON sd.sls_prd_key = pv.product_number""")
+LEFT JOIN g_prd pv ON {same('sd.sls_prd_key', 'pv.product_number')}""")
 
 cte("f_year", ["g_fact"], """
 SELECT CAST(year(order_date) AS INTEGER) AS order_year,
@@ -288,17 +295,18 @@ SELECT CAST(year(order_date) AS INTEGER) AS order_year,
 FROM g_fact GROUP BY 1""")
 
 cte("f_prod_year", ["g_fact", "g_prd"], """
-SELECT p.product_name AS product, CAST(year(f.order_date) AS INTEGER) AS order_year,
+SELECT min(p.product_name) AS product, CAST(year(f.order_date) AS INTEGER) AS order_year,
   CAST(sum(coalesce(f.sales_amount, 0)) AS DECIMAL(38,2)) AS sales
-FROM g_fact f LEFT JOIN g_prd p ON f.product_key = p.product_key GROUP BY 1, 2""")
+FROM g_fact f LEFT JOIN g_prd p ON f.product_key = p.product_key
+GROUP BY lower(rtrim(p.product_name)), 2""")
 
 cte("f_cat", ["g_fact", "g_prd"], """
-SELECT p.category, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS total_sales
-FROM g_fact f LEFT JOIN g_prd p ON f.product_key = p.product_key GROUP BY p.category""")
+SELECT min(p.category) AS category, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS total_sales
+FROM g_fact f LEFT JOIN g_prd p ON f.product_key = p.product_key GROUP BY lower(rtrim(p.category))""")
 
 cte("f_prod_name", ["g_fact", "g_prd"], """
-SELECT p.product_name, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS total_revenue
-FROM g_fact f LEFT JOIN g_prd p ON f.product_key = p.product_key GROUP BY p.product_name""")
+SELECT min(p.product_name) AS product_name, CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS total_revenue
+FROM g_fact f LEFT JOIN g_prd p ON f.product_key = p.product_key GROUP BY lower(rtrim(p.product_name))""")
 
 
 def sql(body: str, needs: list[str]) -> str:
@@ -379,7 +387,7 @@ for _i, _t in enumerate(["s_cust", "s_prd", "s_sales", "s_az12", "s_loc", "s_cat
 # ---------------------------------------------------------------- G
 Q["G1"] = sql("SELECT * FROM g_cust_j", ["g_cust_j"])
 Q["G2"] = sql(f"""SELECT ci.cst_id AS customer_id, ci.cst_gndr AS crm_gender, ca.gen AS erp_gender,
-  {GENDER_MERGE} AS gender FROM s_cust ci LEFT JOIN s_az12 ca ON ci.cst_key = ca.cid""",
+  {GENDER_MERGE} AS gender FROM s_cust ci LEFT JOIN s_az12 ca ON {same('ci.cst_key', 'ca.cid')}""",
               ["s_cust", "s_az12"])
 Q["G3"] = sql("SELECT * FROM g_prd_j", ["g_prd_j"])
 Q["G4"] = sql("SELECT product_key, product_id, start_date FROM g_prd", ["g_prd"])
@@ -387,8 +395,9 @@ Q["G4_customers"] = sql("SELECT customer_key, customer_id FROM g_cust", ["g_cust
 Q["G5"] = sql("SELECT * FROM g_fact", ["g_fact"])
 
 # ---------------------------------------------------------------- E
-Q["E1"] = sql("SELECT DISTINCT country FROM g_cust", ["g_cust"])
-Q["E2"] = sql("SELECT DISTINCT category, subcategory FROM g_prd", ["g_prd"])
+Q["E1"] = sql("SELECT min(country) AS country FROM g_cust GROUP BY lower(rtrim(country))", ["g_cust"])
+Q["E2"] = sql("""SELECT min(category) AS category, min(subcategory) AS subcategory FROM g_prd
+  GROUP BY lower(rtrim(category)), lower(rtrim(subcategory))""", ["g_prd"])
 Q["E3"] = sql("""SELECT min(order_date) AS first_order, max(order_date) AS last_order,
   CAST(date_diff('year', min(order_date), max(order_date)) AS INTEGER) AS order_range_years,
   CAST(date_diff('month', min(order_date), max(order_date)) AS INTEGER) AS order_range_months
@@ -419,21 +428,24 @@ UNION ALL SELECT 'Product Variety Sold', {_n0('count(DISTINCT product_key)')} FR
 UNION ALL SELECT 'Total Customers', {_n0('count(customer_key)')} FROM g_cust
 UNION ALL SELECT 'Customers with Orders', {_n0('count(DISTINCT customer_key)')} FROM g_fact""",
                ["g_fact", "g_prd", "g_cust"])
-Q["E12"] = sql("SELECT country, count(customer_key) AS total_customers FROM g_cust GROUP BY country",
+Q["E12"] = sql("""SELECT min(country) AS country, count(customer_key) AS total_customers FROM g_cust
+  GROUP BY lower(rtrim(country))""",
                ["g_cust"])
-Q["E13"] = sql("SELECT gender, count(customer_key) AS total_customers FROM g_cust GROUP BY gender",
+Q["E13"] = sql("""SELECT min(gender) AS gender, count(customer_key) AS total_customers FROM g_cust
+  GROUP BY lower(rtrim(gender))""",
                ["g_cust"])
-Q["E14"] = sql("SELECT category, count(product_id) AS total_products FROM g_prd GROUP BY category",
+Q["E14"] = sql("""SELECT min(category) AS category, count(product_id) AS total_products FROM g_prd
+  GROUP BY lower(rtrim(category))""",
                ["g_prd"])
-Q["E15"] = sql(f"""SELECT category, {xratio('sum(cost)', 'count(cost)')} AS avg_cost
-  FROM g_prd GROUP BY category""", ["g_prd"])
+Q["E15"] = sql(f"""SELECT min(category) AS category, {xratio('sum(cost)', 'count(cost)')} AS avg_cost
+  FROM g_prd GROUP BY lower(rtrim(category))""", ["g_prd"])
 Q["E16"] = sql("SELECT category, total_sales AS total_revenue FROM f_cat", ["f_cat"])
 Q["E17"] = sql("""SELECT c.firstname || ' ' || c.lastname AS customer, c.customer_key,
   CAST(sum(f.sales_amount) AS DECIMAL(38,2)) AS total_revenue
   FROM g_fact f LEFT JOIN g_cust c ON f.customer_key = c.customer_key
   GROUP BY c.customer_key, c.firstname, c.lastname""", ["g_fact", "g_cust"])
-Q["E18"] = sql("""SELECT c.country, CAST(sum(f.quantity) AS BIGINT) AS sold_items_distribution
-  FROM g_fact f LEFT JOIN g_cust c ON f.customer_key = c.customer_key GROUP BY c.country""",
+Q["E18"] = sql("""SELECT min(c.country) AS country, CAST(sum(f.quantity) AS BIGINT) AS sold_items_distribution
+  FROM g_fact f LEFT JOIN g_cust c ON f.customer_key = c.customer_key GROUP BY lower(rtrim(c.country))""",
                ["g_fact", "g_cust"])
 Q["E19"] = sql("""SELECT product_name, total_revenue FROM f_prod_name
   ORDER BY total_revenue DESC NULLS LAST, product_name ASC NULLS FIRST LIMIT 5""", ["f_prod_name"])
@@ -463,14 +475,14 @@ Q["A4"] = sql(f"""SELECT order_year, {xratio('ps', 'pn')} AS avg_price,
   FROM f_year""", ["f_year"])
 Q["A5"] = sql(f"""SELECT order_year, product, sales, prev_sales,
   CAST(sales - prev_sales AS DECIMAL(38,2)) AS yoy_change, {SALES_CASE} AS yoy_trend
-  FROM (SELECT *, lag(sales) OVER (PARTITION BY product ORDER BY order_year NULLS FIRST) AS prev_sales
+  FROM (SELECT *, lag(sales) OVER (PARTITION BY lower(rtrim(product)) ORDER BY order_year NULLS FIRST) AS prev_sales
         FROM f_prod_year)""", ["f_prod_year"])
 Q["A6"] = sql(f"""SELECT order_year, product, sales, {xratio('s', 'n')} AS avg_sales,
   {xratio('sales * n - s', 'n')} AS variance,
   CASE WHEN sales * n - s > 0 THEN '\U0001F7E2' WHEN sales * n - s < 0 THEN '\U0001F534'
        ELSE '\U0001F7E1' END AS performance_trend
-  FROM (SELECT *, sum(sales) OVER (PARTITION BY product) AS s,
-          count(sales) OVER (PARTITION BY product) AS n FROM f_prod_year)""", ["f_prod_year"])
+  FROM (SELECT *, sum(sales) OVER (PARTITION BY lower(rtrim(product))) AS s,
+          count(sales) OVER (PARTITION BY lower(rtrim(product))) AS n FROM f_prod_year)""", ["f_prod_year"])
 Q["A7"] = sql(f"""SELECT category, total_sales, grand_total,
   {xratio('total_sales * 100', 'grand_total', 2, 2, 2)} AS sales_percentage
   FROM (SELECT *, CAST((SELECT sum(total_sales) FROM f_cat) AS DECIMAL(38,2)) AS grand_total
@@ -556,21 +568,21 @@ Q["Q2"] = sql("""SELECT * FROM b_cust WHERE cst_id IN
   (SELECT cst_id FROM b_cust GROUP BY cst_id HAVING count(*) > 1) OR cst_id IS NULL""", ["b_cust"])
 Q["Q3"] = sql("""SELECT cst_firstname, cst_gndr FROM b_cust
   WHERE cst_firstname != trim(cst_firstname) OR cst_gndr != trim(cst_gndr)""", ["b_cust"])
-Q["Q4"] = sql("SELECT DISTINCT cst_marital_status FROM b_cust", ["b_cust"])
-Q["Q4_silver"] = sql("""SELECT DISTINCT cst_gndr FROM s_cust
-  WHERE cst_gndr NOT IN ('Male', 'Female', 'Unknown') OR cst_gndr IS NULL""", ["s_cust"])
+Q["Q4"] = sql("SELECT min(cst_marital_status) AS cst_marital_status FROM b_cust GROUP BY lower(rtrim(cst_marital_status))", ["b_cust"])
+Q["Q4_silver"] = sql("""SELECT min(cst_gndr) AS cst_gndr FROM s_cust
+  WHERE lower(rtrim(cst_gndr)) NOT IN ('male', 'female', 'unknown') OR cst_gndr IS NULL GROUP BY lower(rtrim(cst_gndr))""", ["s_cust"])
 Q["Q5"] = sql("""SELECT prd_cost FROM b_prd WHERE CAST(prd_cost AS DECIMAL(18,2)) IS NULL
   OR CAST(prd_cost AS DECIMAL(18,2)) < 0""", ["b_prd"])
 Q["Q6"] = sql("SELECT * FROM b_prd WHERE prd_end_dt < prd_start_dt", ["b_prd"])
 Q["Q7"] = sql("SELECT * FROM b_prd WHERE prd_start_dt IS NULL OR prd_end_dt IS NULL", ["b_prd"])
 Q["Q8"] = sql("""SELECT * FROM b_sales WHERE sls_cust_id IS NULL OR sls_prd_key IS NULL
   OR sls_ord_num IS NULL""", ["b_sales"])
-Q["Q9"] = sql("""SELECT sls_ord_num, count(*) AS cnt FROM b_sales GROUP BY sls_ord_num
+Q["Q9"] = sql("""SELECT min(sls_ord_num) AS sls_ord_num, count(*) AS cnt FROM b_sales GROUP BY lower(rtrim(sls_ord_num))
   HAVING count(*) > 1""", ["b_sales"])
 Q["Q10"] = sql("""SELECT * FROM s_sales s WHERE NOT EXISTS
   (SELECT 1 FROM s_cust i WHERE s.sls_cust_id = i.cst_id)""", ["s_sales", "s_cust"])
 Q["Q11"] = sql("""SELECT prd_id, prd_key, cat_id FROM s_prd
-  WHERE cat_id NOT IN (SELECT id FROM b_cat WHERE id IS NOT NULL)""", ["s_prd", "b_cat"])
+  WHERE lower(rtrim(cat_id)) NOT IN (SELECT lower(rtrim(id)) FROM b_cat WHERE id IS NOT NULL)""", ["s_prd", "b_cat"])
 Q["Q12"] = sql("SELECT * FROM b_sales WHERE NOT EXISTS (SELECT 1 FROM s_prd)", ["b_sales", "s_prd"])
 Q["Q13"] = sql(f"""SELECT * FROM b_sales WHERE {_pd('sls_order_dt')} IS NULL
   OR {_pd('sls_ship_dt')} IS NULL OR {_pd('sls_due_dt')} IS NULL""", ["b_sales"])
@@ -601,10 +613,10 @@ Q["Q21"] = sql("""SELECT 'bronze' AS layer, count(*) AS row_num
   FROM (SELECT DISTINCT cst_id FROM b_cust WHERE cst_id IS NOT NULL)
   UNION ALL SELECT 'silver' AS layer, count(*) AS row_num FROM s_cust""", ["b_cust", "s_cust"])
 Q["Q22"] = sql("SELECT count(*) = 1 AS populated FROM (SELECT 1 FROM s_cust LIMIT 1)", ["s_cust"])
-Q["Q23"] = sql("""SELECT ci.cst_id, count(*) AS cnt FROM s_cust ci
-  LEFT JOIN s_az12 ca ON ci.cst_key = ca.cid LEFT JOIN s_loc la ON ci.cst_key = la.cid
+Q["Q23"] = sql(f"""SELECT ci.cst_id, count(*) AS cnt FROM s_cust ci
+  LEFT JOIN s_az12 ca ON {same('ci.cst_key', 'ca.cid')} LEFT JOIN s_loc la ON {same('ci.cst_key', 'la.cid')}
   GROUP BY ci.cst_id HAVING count(*) > 1""", ["s_cust", "s_az12", "s_loc"])
-Q["Q24"] = sql("""SELECT p.cat_id, c.id FROM s_prd p LEFT JOIN s_cat c ON p.cat_id = c.id
+Q["Q24"] = sql(f"""SELECT p.cat_id, c.id FROM s_prd p LEFT JOIN s_cat c ON {same('p.cat_id', 'c.id')}
   WHERE c.id IS NULL""", ["s_prd", "s_cat"])
 Q["Q25"] = sql("""SELECT f.*, c.customer_key AS dim_customer_key, c.* EXCLUDE (customer_key),
   p.product_key AS dim_product_key, p.* EXCLUDE (product_key)
@@ -617,16 +629,18 @@ _len = " UNION ALL ".join(
     for c, n in (("sls_ord_num", 50), ("sls_prd_key", 50)))
 Q["Q26"] = sql(f"""SELECT *, 'too long' AS problem FROM ({_len}) WHERE max_length > declared_length""",
                ["s_sales"])
-Q["Q27"] = sql("SELECT cat, subcat FROM b_cat GROUP BY cat, subcat", ["b_cat"])
-Q["Q28"] = sql(f"""SELECT DISTINCT ci.cst_gndr, ca.gen, {GENDER_MERGE} AS new_gen
-  FROM s_cust ci LEFT JOIN s_az12 ca ON ci.cst_key = ca.cid LEFT JOIN s_loc la ON ci.cst_key = la.cid""",
+Q["Q27"] = sql("""SELECT min(cat) AS cat, min(subcat) AS subcat FROM b_cat
+  GROUP BY lower(rtrim(cat)), lower(rtrim(subcat))""", ["b_cat"])
+Q["Q28"] = sql(f"""SELECT min(ci.cst_gndr) AS cst_gndr, min(ca.gen) AS gen, min({GENDER_MERGE}) AS new_gen
+  FROM s_cust ci LEFT JOIN s_az12 ca ON {same('ci.cst_key', 'ca.cid')} LEFT JOIN s_loc la ON {same('ci.cst_key', 'la.cid')}
+  GROUP BY lower(rtrim(ci.cst_gndr)), lower(rtrim(ca.gen)), lower(rtrim({GENDER_MERGE}))""",
                ["s_cust", "s_az12", "s_loc"])
-Q["Q29"] = sql("SELECT gender, count(*) AS count FROM g_cust GROUP BY gender", ["g_cust"])
-Q["Q30"] = sql("""SELECT * FROM s_sales s WHERE EXISTS
-  (SELECT 1 FROM s_prd p WHERE s.sls_prd_key = p.prd_key)""", ["s_sales", "s_prd"])
+Q["Q29"] = sql("SELECT min(gender) AS gender, count(*) AS count FROM g_cust GROUP BY lower(rtrim(gender))", ["g_cust"])
+Q["Q30"] = sql(f"""SELECT * FROM s_sales s WHERE EXISTS
+  (SELECT 1 FROM s_prd p WHERE {same('s.sls_prd_key', 'p.prd_key')})""", ["s_sales", "s_prd"])
 Q["Q31"] = sql("""
 SELECT prd_id, prd_key, prd_cost, prd_start_dt, prd_end_dt,
-  CAST(lead(prd_start_dt) OVER (PARTITION BY prd_key ORDER BY prd_start_dt NULLS FIRST, prd_id) - 1 AS DATE)
+  CAST(lead(prd_start_dt) OVER (PARTITION BY lower(rtrim(prd_key)) ORDER BY prd_start_dt NULLS FIRST, prd_id) - 1 AS DATE)
     AS derived_prd_end_dt
 FROM b_prd""", ["b_prd"])
 
@@ -637,18 +651,18 @@ Q["Q3_silver"] = sql("""SELECT cst_key, cst_firstname, cst_lastname, cst_marital
   FROM s_cust WHERE cst_key != trim(cst_key) OR cst_firstname != trim(cst_firstname)
   OR cst_lastname != trim(cst_lastname) OR cst_marital_status != trim(cst_marital_status)
   OR cst_gndr != trim(cst_gndr)""", ["s_cust"])
-Q["Q10_loc"] = sql("""SELECT c.cid FROM (SELECT replace(cid, '-', '') AS cid FROM b_loc) c
-  WHERE NOT EXISTS (SELECT 1 FROM s_az12 s WHERE s.cid = c.cid)""", ["b_loc", "s_az12"])
-Q["Q11_loc"] = sql("""SELECT * FROM s_loc WHERE cid NOT IN (SELECT cid FROM s_az12)""",
+Q["Q10_loc"] = sql(f"""SELECT c.cid FROM (SELECT replace(cid, '-', '') AS cid FROM b_loc) c
+  WHERE NOT EXISTS (SELECT 1 FROM s_az12 s WHERE {same('s.cid', 'c.cid')})""", ["b_loc", "s_az12"])
+Q["Q11_loc"] = sql("""SELECT * FROM s_loc WHERE lower(rtrim(cid)) NOT IN (SELECT lower(rtrim(cid)) FROM s_az12)""",
                    ["s_loc", "s_az12"])
 Q["Q13_bdate"] = sql("SELECT * FROM b_az12 WHERE TRY_CAST(bdate AS DATE) IS NULL", ["b_az12"])
 Q["Q17_silver"] = sql("""SELECT CAST(length(rtrim(cid)) AS INTEGER) AS len, count(*) AS occurrence
   FROM s_az12 GROUP BY 1""", ["s_az12"])
 Q["Q21_sales"] = sql("""SELECT 'bronze' AS layer, count(*) AS row_num FROM b_sales
   UNION ALL SELECT 'silver' AS layer, count(*) AS row_num FROM s_sales""", ["b_sales", "s_sales"])
-Q["Q23_products"] = sql("""SELECT pi.prd_key, count(*) AS cnt FROM s_prd pi
-  LEFT JOIN s_cat pc ON pi.cat_id = pc.id WHERE pi.prd_end_dt IS NULL
-  GROUP BY pi.prd_key HAVING count(*) > 1""", ["s_prd", "s_cat"])
+Q["Q23_products"] = sql(f"""SELECT min(pi.prd_key) AS prd_key, count(*) AS cnt FROM s_prd pi
+  LEFT JOIN s_cat pc ON {same('pi.cat_id', 'pc.id')} WHERE pi.prd_end_dt IS NULL
+  GROUP BY lower(rtrim(pi.prd_key)) HAVING count(*) > 1""", ["s_prd", "s_cat"])
 
 
 def oracle_sql() -> dict[str, str]:
