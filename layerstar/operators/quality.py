@@ -324,11 +324,51 @@ def history_of(df: DataFrame, key: str, start: str, id_col: str, value: str | No
 
 
 # --------------------------------------------------------------------------
+@dataclass(frozen=True)
+class Side:
+    """The keys of one table that a check counts: ``key``, a text expression, of every row of ``source``.
+
+    ``scan`` names the table and ``name`` the key, so that sides which several
+    checks use are read once."""
+
+    scan: str
+    name: str
+    source: DataFrame
+    key: str | Column
+
+
+def side(scan: str, df: DataFrame, *cols: str, key: str | Column | None = None) -> Side:
+    """The side of one column, or of several as one key; text is compared under the collation."""
+    if key is None:
+        text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
+        keys = [f"lower(rtrim(`{c}`))" if c in text else f"cast(`{c}` AS STRING)" for c in cols]
+        key = keys[0] if len(keys) == 1 else f"to_json(array({', '.join(keys)}))"
+    return Side(scan, ",".join(cols), df, key)
+
+
+@dataclass(frozen=True)
+class Keys:
+    """The grouped keys of one check: a row per key ``k``, with the number of its rows on each side, ``c0``
+    and ``c1``.  Conditions and results are SQL, since a list of checks has hundreds of them."""
+
+    number: int
+
+    def groups(self, where: str) -> str:
+        """The number of keys that fulfil ``where``."""
+        return f"count_if(d = {self.number} AND ({where}))"
+
+    def rows(self, where: str = "true", side: int = 0) -> str:
+        """The number of a side's rows whose keys fulfil ``where``."""
+        return f"coalesce(sum(CASE WHEN d = {self.number} AND ({where}) THEN c{side} END), 0)"
+
+
 @dataclass
 class Check:
-    """A check of one table: either its ``violations``, or a ``measure`` (an
-    aggregate over ``source``, such as the count of rows that fulfil ``where``).
-    Measures of one ``scan`` (layer and table) are taken in one pass."""
+    """A check of one table in one of three forms: its ``violations``; a
+    ``measure`` (an aggregate over ``source``, such as the count of rows that
+    fulfil ``where``); or ``found`` over the grouped keys of its ``sides``, with
+    ``bad`` for the keys to show.  Measures of one ``scan`` (layer and table) are
+    taken in one pass, and the keys of all checks in another one."""
 
     name: str
     layers: tuple[str, ...]
@@ -340,6 +380,9 @@ class Check:
     measure: Column | None = None
     where: Column | None = None
     scan: str = ""
+    sides: tuple[Side, ...] = ()
+    found: Callable[[Keys], str] | None = None
+    bad: str = "true"
 
 
 def row_check(name: str, layers: tuple[str, ...], table: str, kind: str, expectation: str,
@@ -349,13 +392,79 @@ def row_check(name: str, layers: tuple[str, ...], table: str, kind: str, expecta
                  where=where, scan=f"{layers[0]}.{table}")
 
 
+def _keyed(name, layers, table, kind, expectation, sides, found, bad) -> Check:
+    return Check(name, tuple(layers), table, kind, expectation, sides=tuple(sides), found=found, bad=bad)
+
+
+#: Which keys a check counts.  Q4, Q17, Q19, Q27, Q29: every one; Q9; Q1 and Q2.
+ANY, REPEATS, REPEATS_OR_NULL = "c0 > 0", "c0 > 1", "c0 > 1 OR k IS NULL"
+_WITHOUT_PARENT = "c0 > 0 AND k IS NOT NULL AND c1 = 0"
+
+
+def outside(*allowed: str) -> str:
+    """Q4 with a list: NULL and the values that are not in it."""
+    names = ", ".join("'" + a.lower().rstrip(" ").replace("'", "\\'") + "'" for a in allowed)
+    return f"k IS NULL OR k NOT IN ({names})"
+
+
+def key_check(name, layers, table, kind, expectation, of: Side, bad: str, rows: bool = False) -> Check:
+    """A check that counts the keys that are ``bad``, or their rows (Q1, Q2, Q4, Q9, Q17, Q19, Q27, Q29)."""
+    return _keyed(name, layers, table, kind, expectation, [of], lambda g: g.rows(bad) if rows else g.groups(bad), bad)
+
+
+def orphan_check(name, layers, table, kind, expectation, child: Side, parent: Side) -> Check:
+    """Q10, Q24: child rows without a parent, NULL keys among them."""
+    bad = "c0 > 0 AND (k IS NULL OR c1 = 0)"
+    return _keyed(name, layers, table, kind, expectation, [child, parent], lambda g: g.rows(bad), bad)
+
+
+def parent_check(name, layers, table, kind, expectation, child: Side, parent: Side) -> Check:
+    """Q30: child rows with a parent."""
+    bad = "c0 > 0 AND k IS NOT NULL AND c1 > 0"
+    return _keyed(name, layers, table, kind, expectation, [child, parent], lambda g: g.rows(bad), bad)
+
+
+def not_in_check(name, layers, table, kind, expectation, child: Side, parent: Side, skip_null: bool = False) -> Check:
+    """Q11: child rows whose key is NOT IN the parent's, with the rules of ``not_in`` for NULL and the empty list."""
+    def found(g: Keys) -> str:
+        listed = g.rows("k IS NOT NULL" if skip_null else "true", side=1)
+        holds_null = "false" if skip_null else g.rows("k IS NULL", side=1) + " > 0"
+        return f"CASE WHEN {listed} = 0 THEN {g.rows()} WHEN {holds_null} THEN 0 ELSE {g.rows(_WITHOUT_PARENT)} END"
+    return _keyed(name, layers, table, kind, expectation, [child, parent], found, _WITHOUT_PARENT)
+
+
+def parent_empty_check(name, layers, table, kind, expectation, child: Side, parent: Side) -> Check:
+    """Q12: every child row if the parent has none."""
+    return _keyed(name, layers, table, kind, expectation, [child, parent],
+                  lambda g: f"CASE WHEN {g.rows(side=1)} = 0 THEN {g.rows()} ELSE 0 END", "c0 > 0")
+
+
+def parity_check(name, layers, table, kind, expectation, a: Side, b: Side, distinct: bool = False) -> Check:
+    """Q21: 1 when the first side has as many rows with a key (``distinct``: as many keys) as the second has rows, else 2."""
+    def found(g: Keys) -> str:
+        first = g.groups("c0 > 0 AND k IS NOT NULL") if distinct else g.rows("k IS NOT NULL")
+        return f"CASE WHEN {first} = {g.rows(side=1)} THEN 1 ELSE 2 END"
+    return _keyed(name, layers, table, kind, expectation, [a, b], found, "c0 <> c1")
+
+
 RESULT = ("check string, layers string, table string, kind string, expectation string, found long")
 
 
-def _described(ch: Check, found: Column, sample: Column | None) -> Column:
-    cells = [F.lit(ch.name).alias("check"), F.lit(",".join(ch.layers)).alias("layers"), F.lit(ch.table).alias("table"),
-             F.lit(ch.kind).alias("kind"), F.lit(ch.expectation).alias("expectation"), found.alias("found")]
-    return F.struct(*cells, *([] if sample is None else [sample.alias("sample")]))
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _described(ch: Check, found: str, sample: str | None) -> str:
+    """The check's row as a struct, in SQL."""
+    cells = {"check": _quoted(ch.name), "layers": _quoted(",".join(ch.layers)), "table": _quoted(ch.table), "kind": _quoted(ch.kind),
+             "expectation": _quoted(ch.expectation), "found": f"cast({found} AS BIGINT)", **({"sample": sample} if sample else {})}
+    return "named_struct(" + ", ".join(f"'{n}', {v}" for n, v in cells.items()) + ")"
+
+
+def _rows_of(df: DataFrame, checks: Sequence[Check], samples: bool) -> DataFrame:
+    """The one row of ``found_i`` (and ``sample_i``) as a row per check."""
+    rows = [_described(ch, f"found_{i}", f"sample_{i}" if samples else None) for i, ch in enumerate(checks)]
+    return df.select(F.expr(f"explode(array({', '.join(rows)})) AS r")).select("r.*")
 
 
 def _one_pass(checks: Sequence[Check], samples: bool) -> DataFrame:
@@ -366,9 +475,37 @@ def _one_pass(checks: Sequence[Check], samples: bool) -> DataFrame:
         whole = F.to_json(F.struct(*source.columns))
         aggs += [F.min(F.when(ch.where if ch.where is not None else F.lit(False), whole)).alias(f"sample_{i}")
                  for i, ch in enumerate(checks)]
-    rows = F.array(*[_described(ch, F.col(f"found_{i}"), F.col(f"sample_{i}") if samples else None)
-                     for i, ch in enumerate(checks)])
-    return source.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*")
+    return _rows_of(source.agg(*aggs), checks, samples)
+
+
+def _key_pass(checks: Sequence[Check], samples: bool) -> DataFrame:
+    """All keyed checks: one scan of each table, one shuffle of (check, key) pairs, a row per check.
+
+    The pairs are counted before the shuffle.  A check of two tables sees, for
+    every key, its rows on both sides: members, orphans and empty parents alike.
+    """
+    numbers: dict[tuple, int] = {}
+    number = [numbers.setdefault(tuple((s.scan, s.name) for s in ch.sides), len(numbers)) for ch in checks]
+    scans: dict[str, tuple[DataFrame, dict[tuple, Column]]] = {}
+    for ch, n in zip(checks, number, strict=True):
+        for place, s in enumerate(ch.sides):
+            entries = scans.setdefault(s.scan, (s.source, {}))[1]
+            if (n, place) not in entries:
+                entries[n, place] = (F.expr(f"named_struct('d', {n}, 's', {place}, 'k', {s.key})") if isinstance(s.key, str)
+                                     else F.struct(F.lit(n).alias("d"), F.lit(place).alias("s"), s.key.alias("k")))
+    pairs = None
+    for source, entries in scans.values():
+        part = source.select(F.inline(F.array(*entries.values())))
+        pairs = part if pairs is None else pairs.unionByName(part)
+    keys = pairs.groupBy("d", "k").agg(*[F.expr(f"count_if(s = {i}) AS c{i}") for i in (0, 1)])
+    aggs = []
+    for i, (ch, n) in enumerate(zip(checks, number, strict=True)):
+        found = ch.found(Keys(n))
+        aggs.append(F.expr(f"{found} AS found_{i}"))
+        if samples:
+            shown = f"min(CASE WHEN d = {n} AND ({ch.bad}) THEN to_json(named_struct('key', k, 'rows', c0)) END)"
+            aggs.append(F.expr(f"CASE WHEN {found} > 0 THEN {shown} END AS sample_{i}"))
+    return _rows_of(keys.agg(*aggs), checks, samples)
 
 
 def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = False) -> DataFrame:
@@ -376,11 +513,16 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = Fal
     the expectation holds.  ``equal_counts`` checks compare the row counts they
     list (``found`` is then the number of distinct counts); ``report`` checks
     always pass.  Checks that only look at single rows of a table share one scan
-    of it.  With ``samples`` each check shows one violating row as JSON (the
-    first in text order)."""
+    of it, and those that look at keys another one.  With ``samples`` each check
+    shows one violating row (or key, with its rows) as JSON, the first in text
+    order."""
     scans: dict[str, list[Check]] = {}
+    keyed: list[Check] = []
     parts = []
     for ch in checks:
+        if ch.found is not None:
+            keyed.append(ch)
+            continue
         if ch.measure is not None:
             scans.setdefault(ch.scan, []).append(ch)
             continue
@@ -389,8 +531,8 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = Fal
         if samples:
             aggs.append(F.min(F.to_json(F.struct(*ch.violations.columns))).alias("sample"))
         parts.append(ch.violations.agg(*aggs).select(
-            _described(ch, F.col("found"), F.col("sample") if samples else None).alias("r")).select("r.*"))
-    parts = [_one_pass(group, samples) for group in scans.values()] + parts
+            F.expr(_described(ch, "found", "sample" if samples else None) + " AS r")).select("r.*"))
+    parts = [_one_pass(group, samples) for group in scans.values()] + ([_key_pass(keyed, samples)] if keyed else []) + parts
     if not parts:
         return spark.createDataFrame([], RESULT + (", sample string" if samples else "") + ", passed boolean")
     rows = parts[0]

@@ -8,11 +8,13 @@ check.  The checks are the Q operators of ``layerstar.operators.quality``.
 
 from __future__ import annotations
 
+from functools import lru_cache, partial
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.functions import clean as C
-from layerstar.functions.text import same_text
+from layerstar.functions.text import folded, same_text
 from layerstar.operators import quality as Q
 from layerstar.plans.silver import CUST_TEXT
 from layerstar.sources.schemas import BRONZE, MAX_LENGTH, SILVER
@@ -33,38 +35,64 @@ def _schema(layer: str, table: str, df: DataFrame, declared) -> Q.Check:
                    measure=Q.schema_mismatch_count(df, declared[table], MAX_LENGTH[layer][table]))
 
 
+CUST, PRD, SALES, AZ, LOC, CAT = SILVER
+
+
+def _tables(wh):
+    """(layer, table) -> its frame, opened once for all checks of a list."""
+    return lru_cache(maxsize=None)(lambda layer, table: wh._t(layer, table))
+
+
+def _sides(home: str, t):
+    """How the key checks name their keys: of a column (of ``home`` unless said otherwise), of all rows,
+    of text lengths, of raw values (by bytes) and of pairs."""
+    def k(table, col, layer=home):
+        return Q.side(f"{layer}.{table}", t(layer, table), col)
+
+    def every(layer, table):
+        return Q.side(f"{layer}.{table}", t(layer, table), "rows", key="''")
+
+    def length(layer, table, col):
+        return Q.side(f"{layer}.{table}", t(layer, table), f"length of {col}", key=f"cast(length(rtrim(`{col}`)) AS STRING)")
+
+    def mapped(layer, table, col, fn):
+        return Q.side(f"{layer}.{table}", t(layer, table), f"{col} mapped", key=F.to_json(F.array(F.col(col), fn(F.col(col)))))
+
+    def pair(layer, table, *cols):
+        return Q.side(f"{layer}.{table}", t(layer, table), *cols)
+    return k, every, length, mapped, pair
+
+
 def bronze_checks(wh) -> list[Q.Check]:
-    b, s = wh.bronze, wh.silver
+    t = _tables(wh)
+    b = partial(t, "bronze")
     cust, prd, sales = b("crm_cust_info"), b("crm_prd_info"), b("crm_sales_details")
     az, loc, cat = b("erp_cust_az12"), b("erp_loc_a101"), b("erp_px_cat_g1v2")
+    k, every, length, mapped, pair = _sides("bronze", t)
     out = [_schema("bronze", t, b(t), BRONZE) for t in BRONZE]
-    B = ["bronze"]
+    B, BS = ["bronze"], ["bronze", "silver"]
     out += [
-        _c("Q1 cst_id", B, "crm_cust_info", NO, "unique, not NULL", Q.duplicate_or_null_key(cust, "cst_id")),
-        _c("Q2 cst_id rows", B, "crm_cust_info", REPORT, "rows behind Q1", Q.rows_with_bad_key(cust, "cst_id")),
+        Q.key_check("Q1 cst_id", B, CUST, NO, "unique, not NULL", k(CUST, "cst_id"), Q.REPEATS_OR_NULL),
+        Q.key_check("Q2 cst_id rows", B, CUST, REPORT, "rows behind Q1", k(CUST, "cst_id"), Q.REPEATS_OR_NULL, rows=True),
         _r("Q3 cst_firstname", B, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed("cst_firstname")),
         _r("Q3 cst_gndr", B, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed("cst_gndr")),
-        _c("Q4 cst_gndr", B, "crm_cust_info", REPORT, "codes", Q.domain_values(cust, "cst_gndr")),
-        _c("Q4 cst_marital_status", B, "crm_cust_info", REPORT, "codes",
-           Q.domain_values(cust, "cst_marital_status")),
-        _c("Q1 prd_id", B, "crm_prd_info", NO, "unique, not NULL", Q.duplicate_or_null_key(prd, "prd_id")),
+        Q.key_check("Q4 cst_gndr", B, CUST, REPORT, "codes", k(CUST, "cst_gndr"), Q.ANY),
+        Q.key_check("Q4 cst_marital_status", B, CUST, REPORT, "codes", k(CUST, "cst_marital_status"), Q.ANY),
+        Q.key_check("Q1 prd_id", B, PRD, NO, "unique, not NULL", k(PRD, "prd_id"), Q.REPEATS_OR_NULL),
         _r("Q5 prd_cost", B, "crm_prd_info", NO, "set, not negative", prd, Q.is_null_or_negative(prd, "prd_cost")),
-        _c("Q4 prd_line", B, "crm_prd_info", REPORT, "codes", Q.domain_values(prd, "prd_line")),
+        Q.key_check("Q4 prd_line", B, PRD, REPORT, "codes", k(PRD, "prd_line"), Q.ANY),
         _r("Q6 prd dates", B, "crm_prd_info", NO, "end not before start",
            prd, Q.is_reversed("prd_start_dt", "prd_end_dt")),
         _r("Q7 prd dates", B, "crm_prd_info", NO, "dates set", prd, Q.has_null(["prd_start_dt", "prd_end_dt"])),
         _c("Q31 prd history", B, "crm_prd_info", REPORT, "derived end dates",
            Q.history_of(prd.select("prd_id", "prd_key", "prd_cost", "prd_start_dt", "prd_end_dt"),
                         "prd_key", "prd_start_dt", "prd_id")),
-        _c("Q9 sls_ord_num", B, "crm_sales_details", REPORT, "lines per order",
-           Q.repeated_key(sales, "sls_ord_num")),
+        Q.key_check("Q9 sls_ord_num", B, SALES, REPORT, "lines per order", k(SALES, "sls_ord_num"), Q.REPEATS),
         _r("Q8 sales keys", B, "crm_sales_details", NO, "keys set",
            sales, Q.has_null(["sls_cust_id", "sls_prd_key", "sls_ord_num"])),
         _r("Q3 sls_prd_key", B, "crm_sales_details", NO, "trimmed", sales, Q.is_untrimmed("sls_prd_key")),
-        _c("Q12 products loaded", ["bronze", "silver"], "crm_sales_details", NO, "parent not empty",
-           Q.if_parent_empty(sales, s("crm_prd_info"))),
-        _c("Q12 customers loaded", ["bronze", "silver"], "crm_sales_details", NO, "parent not empty",
-           Q.if_parent_empty(sales, s("crm_cust_info"))),
+        Q.parent_empty_check("Q12 products loaded", BS, SALES, NO, "parent not empty", every("bronze", SALES), every("silver", PRD)),
+        Q.parent_empty_check("Q12 customers loaded", BS, SALES, NO, "parent not empty", every("bronze", SALES), every("silver", CUST)),
         _r("Q13 sales dates", B, "crm_sales_details", NO, "dates parse",
            sales, Q.is_unparsable(["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
         _r("Q7 sales dates", B, "crm_sales_details", NO, "dates set",
@@ -75,87 +103,77 @@ def bronze_checks(wh) -> list[Q.Check]:
            sales, Q.is_out_of_bounds(sales, ["sls_ship_dt", "sls_due_dt", "sls_order_dt"], wh.as_of)),
         _r("Q16 sales measures", B, "crm_sales_details", NO, "sales = quantity * price, all set",
            sales, Q.is_mismatch(sales, "sls_sales", "sls_quantity", "sls_price")),
-        _c("Q17 az12 cid", B, "erp_cust_az12", REPORT, "id lengths", Q.length_histogram(az, "cid")),
+        Q.key_check("Q17 az12 cid", B, AZ, REPORT, "id lengths", length("bronze", AZ, "cid"), Q.ANY),
         _r("Q13 bdate", B, "erp_cust_az12", NO, "dates parse", az, Q.is_unparsable("bdate", fmt=None)),
         _r("Q18 bdate", B, "erp_cust_az12", REPORT, "1925-01-01 .. as_of",
            az, Q.is_unlikely_birthdate("bdate", wh.as_of)),
-        _c("Q19 gen", B, "erp_cust_az12", REPORT, "standard values",
-           Q.standardisation_map(az, "gen", C.map_gender)),
-        _c("Q17 loc cid", B, "erp_loc_a101", REPORT, "id lengths", Q.length_histogram(loc, "cid")),
-        _c("Q10 loc cid", ["bronze", "silver"], "erp_loc_a101", NO, "customer exists",
-           Q.orphans(loc.select(C.strip_hyphen("cid").alias("cid")), "cid", s("erp_cust_az12"), "cid")),
-        _c("Q19 cntry", B, "erp_loc_a101", REPORT, "standard values",
-           Q.standardisation_map(loc, "cntry", C.map_country)),
-        _c("Q11 cat id", ["bronze", "silver"], "erp_px_cat_g1v2", REPORT, "used by a product",
-           Q.not_in(cat, "id", s("crm_prd_info"), "cat_id")),
+        Q.key_check("Q19 gen", B, AZ, REPORT, "standard values", mapped("bronze", AZ, "gen", C.map_gender), Q.ANY),
+        Q.key_check("Q17 loc cid", B, LOC, REPORT, "id lengths", length("bronze", LOC, "cid"), Q.ANY),
+        Q.orphan_check("Q10 loc cid", BS, LOC, NO, "customer exists",
+                       Q.side("bronze.erp_loc_a101", loc, "cid without hyphen", key=folded(C.strip_hyphen("cid"))), k(AZ, "cid", "silver")),
+        Q.key_check("Q19 cntry", B, LOC, REPORT, "standard values", mapped("bronze", LOC, "cntry", C.map_country), Q.ANY),
+        Q.not_in_check("Q11 cat id", BS, CAT, REPORT, "used by a product", k(CAT, "id"), k(PRD, "cat_id", "silver")),
         _r("Q20 cat id", B, "erp_px_cat_g1v2", NO, "form XX_YY", cat, Q.is_not_like("id")),
         _r("Q3 cat text", B, "erp_px_cat_g1v2", NO, "trimmed",
            cat, Q.is_untrimmed(["cat", "subcat", "maintenance"])),
-        _c("Q27 cat pairs", B, "erp_px_cat_g1v2", REPORT, "pairs", Q.distinct_pairs(cat, "cat", "subcat")),
-        _c("Q4 maintenance", B, "erp_px_cat_g1v2", REPORT, "codes", Q.domain_values(cat, "maintenance")),
+        Q.key_check("Q27 cat pairs", B, CAT, REPORT, "pairs", pair("bronze", CAT, "cat", "subcat"), Q.ANY),
+        Q.key_check("Q4 maintenance", B, CAT, REPORT, "codes", k(CAT, "maintenance"), Q.ANY),
     ]
     return out
 
 
 def silver_checks(wh) -> list[Q.Check]:
-    b, s = wh.bronze, wh.silver
+    t = _tables(wh)
+    b, s = partial(t, "bronze"), partial(t, "silver")
     cust, prd, sales = s("crm_cust_info"), s("crm_prd_info"), s("crm_sales_details")
     az, loc, cat = s("erp_cust_az12"), s("erp_loc_a101"), s("erp_px_cat_g1v2")
     S, BS = ["silver"], ["bronze", "silver"]
+    k, every, length, _, _ = _sides("silver", t)
     out = [_schema("silver", t, s(t), SILVER) for t in SILVER]
-    b_cust = C.drop_null_keys(b("crm_cust_info"), "cst_id").select("cst_id").distinct()
-    parity = {"crm_cust_info": b_cust, "crm_prd_info": C.drop_null_keys(b("crm_prd_info"), "prd_id")}
-    for t in SILVER:
-        out.append(_c(f"Q21 {t}", BS, t, EQUAL, "bronze rows = silver rows",
-                      Q.row_count_parity(parity.get(t, b(t)), s(t))))
+    for name in SILVER:
+        ids = {CUST: "cst_id", PRD: "prd_id"}.get(name)         # the loads leave out rows without these
+        first = k(name, ids, "bronze") if name == CUST else Q.side(
+            f"bronze.{name}", b(name), "rows with id" if ids else "rows", key=f"CASE WHEN `{ids}` IS NOT NULL THEN '' END" if ids else "''")
+        second = k(name, ids, "silver") if name == CUST else every("silver", name)
+        out.append(Q.parity_check(f"Q21 {name}", BS, name, EQUAL, "bronze rows = silver rows", first, second, distinct=name == CUST))
     out += [
-        _c("Q22 crm_cust_info", S, "crm_cust_info", ONE, "populated", Q.is_populated(cust)),
-        _c("Q1 cst_id", S, "crm_cust_info", NO, "unique, not NULL", Q.duplicate_or_null_key(cust, "cst_id")),
+        Q.Check("Q22 crm_cust_info", ("silver",), CUST, ONE, "populated", source=cust, scan=f"silver.{CUST}",
+                measure=F.least(F.count(F.lit(1)), F.lit(1))),
+        Q.key_check("Q1 cst_id", S, CUST, NO, "unique, not NULL", k(CUST, "cst_id"), Q.REPEATS_OR_NULL),
         _r("Q3 cst text", S, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed(CUST_TEXT)),
-        _c("Q4 cst_gndr", S, "crm_cust_info", ALLOWED, "Male, Female, Unknown",
-           Q.domain_values(cust, "cst_gndr", ["Male", "Female", "Unknown"])),
-        _c("Q4 cst_marital_status", S, "crm_cust_info", ALLOWED, "Single, Married, Unknown",
-           Q.domain_values(cust, "cst_marital_status", ["Single", "Married", "Unknown"])),
+        Q.key_check("Q4 cst_gndr", S, CUST, ALLOWED, "Male, Female, Unknown", k(CUST, "cst_gndr"),
+                    Q.outside("Male", "Female", "Unknown")),
+        Q.key_check("Q4 cst_marital_status", S, CUST, ALLOWED, "Single, Married, Unknown", k(CUST, "cst_marital_status"),
+                    Q.outside("Single", "Married", "Unknown")),
         _r("Q7 bronze marital", ["bronze"], "crm_cust_info", REPORT, "NULL codes in the source",
            b("crm_cust_info"), Q.has_null("cst_marital_status")),
-        _c("Q1 prd_id", S, "crm_prd_info", NO, "unique, not NULL", Q.duplicate_or_null_key(prd, "prd_id")),
+        Q.key_check("Q1 prd_id", S, PRD, NO, "unique, not NULL", k(PRD, "prd_id"), Q.REPEATS_OR_NULL),
         _r("Q3 prd text", S, "crm_prd_info", NO, "trimmed", prd, Q.is_untrimmed(["prd_key", "prd_nm"])),
-        _c("Q4 prd_line", S, "crm_prd_info", ALLOWED, "Mountain, Road, Touring, Other sales, Unknown",
-           Q.domain_values(prd, "prd_line", ["Mountain", "Road", "Touring", "Other sales", "Unknown"])),
-        _c("Q11 cat_id", BS, "crm_prd_info", REPORT, "category exists",
-           Q.not_in(prd.select("prd_id", "prd_key", "cat_id"), "cat_id", b("erp_px_cat_g1v2"), "id",
-                    skip_null=True)),
-        _c("Q10 cat_id", BS, "crm_prd_info", REPORT, "category exists",
-           Q.orphans(prd.select("prd_id", "prd_key", "cat_id"), "cat_id", b("erp_px_cat_g1v2"), "id")),
+        Q.key_check("Q4 prd_line", S, PRD, ALLOWED, "Mountain, Road, Touring, Other sales, Unknown", k(PRD, "prd_line"),
+                    Q.outside("Mountain", "Road", "Touring", "Other sales", "Unknown")),
+        Q.not_in_check("Q11 cat_id", BS, PRD, REPORT, "category exists", k(PRD, "cat_id"), k(CAT, "id", "bronze"), skip_null=True),
+        Q.orphan_check("Q10 cat_id", BS, PRD, REPORT, "category exists", k(PRD, "cat_id"), k(CAT, "id", "bronze")),
         _r("Q5 prd_cost", S, "crm_prd_info", NO, "set, not negative", prd, Q.is_null_or_negative(prd, "prd_cost")),
         _r("Q6 prd dates", S, "crm_prd_info", NO, "end not before start",
            prd, Q.is_reversed("prd_start_dt", "prd_end_dt")),
-        _c("Q30 sls_prd_key", S, "crm_sales_details", REPORT, "product exists",
-           Q.with_parent(sales, "sls_prd_key", prd, "prd_key")),
-        _c("Q10 sls_prd_key", S, "crm_sales_details", NO, "product exists",
-           Q.orphans(sales, "sls_prd_key", prd, "prd_key")),
-        _c("Q10 sls_cust_id", S, "crm_sales_details", NO, "customer exists",
-           Q.orphans(sales, "sls_cust_id", cust, "cst_id")),
+        Q.parent_check("Q30 sls_prd_key", S, SALES, REPORT, "product exists", k(SALES, "sls_prd_key"), k(PRD, "prd_key")),
+        Q.orphan_check("Q10 sls_prd_key", S, SALES, NO, "product exists", k(SALES, "sls_prd_key"), k(PRD, "prd_key")),
+        Q.orphan_check("Q10 sls_cust_id", S, SALES, NO, "customer exists", k(SALES, "sls_cust_id"), k(CUST, "cst_id")),
         _r("Q14 sales dates", S, "crm_sales_details", NO, "order <= ship <= due",
            sales, Q.is_out_of_order("sls_order_dt", "sls_ship_dt", "sls_due_dt")),
         _r("Q16 sales measures", S, "crm_sales_details", NO, "sales = quantity * price, all positive",
            sales, Q.is_mismatch(sales, "sls_sales", "sls_quantity", "sls_price", negatives=True)),
-        _c("Q17 az12 cid", S, "erp_cust_az12", ONE, "one id length", Q.length_histogram(az, "cid")),
+        Q.key_check("Q17 az12 cid", S, AZ, ONE, "one id length", length("silver", AZ, "cid"), Q.ANY),
         _r("Q18 bdate", S, "erp_cust_az12", NO, "not in the future",
            az, F.col("bdate") > F.lit(wh.as_of)),
-        _c("Q4 gen", S, "erp_cust_az12", ALLOWED, "Male, Female, Unknown",
-           Q.domain_values(az, "gen", ["Male", "Female", "Unknown"])),
-        _c("Q17 loc cid", S, "erp_loc_a101", ONE, "one id length", Q.length_histogram(loc, "cid")),
-        _c("Q11 loc cid", S, "erp_loc_a101", REPORT, "customer exists", Q.not_in(loc, "cid", az, "cid")),
-        _c("Q4 cntry", S, "erp_loc_a101", REPORT, "countries", Q.domain_values(loc, "cntry")),
-        _c("Q11 cat id", S, "erp_px_cat_g1v2", REPORT, "used by a product",
-           Q.not_in(cat, "id", prd, "cat_id")),
-        _c("Q4 cat", ["bronze"], "erp_px_cat_g1v2", REPORT, "values",
-           Q.domain_values(b("erp_px_cat_g1v2"), "cat")),
-        _c("Q4 subcat", ["bronze"], "erp_px_cat_g1v2", REPORT, "values",
-           Q.domain_values(b("erp_px_cat_g1v2"), "subcat")),
-        _c("Q4 maintenance", ["bronze"], "erp_px_cat_g1v2", REPORT, "values",
-           Q.domain_values(b("erp_px_cat_g1v2"), "maintenance")),
+        Q.key_check("Q4 gen", S, AZ, ALLOWED, "Male, Female, Unknown", k(AZ, "gen"), Q.outside("Male", "Female", "Unknown")),
+        Q.key_check("Q17 loc cid", S, LOC, ONE, "one id length", length("silver", LOC, "cid"), Q.ANY),
+        Q.not_in_check("Q11 loc cid", S, LOC, REPORT, "customer exists", k(LOC, "cid"), k(AZ, "cid")),
+        Q.key_check("Q4 cntry", S, LOC, REPORT, "countries", k(LOC, "cntry"), Q.ANY),
+        Q.not_in_check("Q11 cat id", S, CAT, REPORT, "used by a product", k(CAT, "id"), k(PRD, "cat_id")),
+        Q.key_check("Q4 cat", ["bronze"], CAT, REPORT, "values", k(CAT, "cat", "bronze"), Q.ANY),
+        Q.key_check("Q4 subcat", ["bronze"], CAT, REPORT, "values", k(CAT, "subcat", "bronze"), Q.ANY),
+        Q.key_check("Q4 maintenance", ["bronze"], CAT, REPORT, "values", k(CAT, "maintenance", "bronze"), Q.ANY),
     ]
     return out
 
@@ -177,10 +195,10 @@ def gold_checks(wh) -> list[Q.Check]:
            Q.join_fan_out(joined, "cst_id")),
         _c("Q28 gender merge", SG, "dim_customers", REPORT, "CRM first, then ERP, else Unknown",
            Q.master_merge_audit(cust, az, loc)),
-        _c("Q29 gender", G, "dim_customers", REPORT, "three values",
-           Q.rows_per_value(g("dim_customers"), "gender")),
-        _c("Q24 cat_id", SG, "dim_products", REPORT, "categories without a match",
-           Q.unmatched(prd, "cat_id", cat, "id")),
+        Q.key_check("Q29 gender", G, "dim_customers", REPORT, "three values",
+                    Q.side("gold.dim_customers", g("dim_customers"), "gender"), Q.ANY),
+        Q.orphan_check("Q24 cat_id", SG, "dim_products", REPORT, "categories without a match",
+                       Q.side("silver.crm_prd_info", prd, "cat_id"), Q.side("silver.erp_px_cat_g1v2", cat, "id")),
         _c("Q23 products", SG, "dim_products", NO, "no key repeats after the join",
            Q.join_fan_out(pj, "prd_key")),
         _c("Q25 fact keys", G, "fact_sales", NO, "every fact row has both keys",
