@@ -250,41 +250,49 @@ def fact_key_integrity(f: DataFrame, c: DataFrame, p: DataFrame) -> DataFrame:
 
 def schema_mismatch(spark: SparkSession, df: DataFrame, expected: T.StructType,
                     max_length: dict[str, int] | None = None) -> DataFrame:
-    """Q26: columns whose presence, type or text length differs from the
-    declaration: (column_name, expected_type, actual_type, declared_length,
-    max_length, problem).  One aggregate gives every text column's longest
-    value (LEN); the schemas themselves are metadata."""
+    """Q26: columns whose presence, type, text length or nullability differs from
+    the declaration: (column_name, expected_type, actual_type, declared_length,
+    max_length, declared_nullable, null_count, problem).  One aggregate gives every
+    column's NULLs and every text column's longest value (LEN); the schemas
+    themselves are metadata."""
     max_length = max_length or {}
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    want = {f.name: f.dataType.simpleString() for f in expected.fields}
+    want = {f.name: f for f in expected.fields}
     names = list(dict.fromkeys(list(want) + list(actual)))
     meta = spark.createDataFrame(
-        [(n, want.get(n), actual.get(n), max_length.get(n)) for n in names],
-        "column_name string, expected_type string, actual_type string, declared_length int")
-    text = [n for n in names if n in actual and actual[n] == "string"]
-    if text:
-        agg = df.agg(*[F.max(sql_len(n)).alias(n) for n in text])
-        pairs = ", ".join(f"'{n}', `{n}`" for n in text)
-        lengths = agg.select(F.expr(f"stack({len(text)}, {pairs}) AS (column_name, max_length)"))
-        meta = meta.join(lengths, "column_name", "left")
-    else:
-        meta = meta.withColumn("max_length", F.lit(None).cast("int"))
+        [(n, want[n].dataType.simpleString() if n in want else None, actual.get(n), max_length.get(n),
+          want[n].nullable if n in want else None) for n in names],
+        "column_name string, expected_type string, actual_type string, declared_length int, declared_nullable boolean")
+    cells = [f"named_struct('column_name', '{n}', 'max_length', "
+             + (f"max(length(rtrim(`{n}`)))" if kind == "string" else "CAST(NULL AS INT)")
+             + f", 'null_count', count_if(`{n}` IS NULL))" for n, kind in actual.items()]
+    found = df.agg(F.expr(f"array({', '.join(cells)})").alias("c")).select(F.inline("c"))
     problem = (F.when(F.col("expected_type").isNull(), "not declared")
                 .when(F.col("actual_type").isNull(), "missing")
                 .when(F.col("expected_type") != F.col("actual_type"), "type")
-                .when(F.col("max_length") > F.col("declared_length"), "too long"))
-    return meta.withColumn("problem", problem).where(F.col("problem").isNotNull())
+                .when(F.col("max_length") > F.col("declared_length"), "too long")
+                .when(~F.col("declared_nullable") & (F.col("null_count") > 0), "NULLs"))
+    return meta.join(found, "column_name", "left").withColumn("problem", problem).where(F.col("problem").isNotNull()) \
+        .select("column_name", "expected_type", "actual_type", "declared_length", "max_length", "declared_nullable",
+                "null_count", "problem")
 
 
 def schema_mismatch_count(df: DataFrame, expected: T.StructType,
                           max_length: dict[str, int] | None = None) -> Column:
     """Q26 as an aggregate over ``df``: the number of columns that differ."""
     actual = {f.name: f.dataType for f in df.schema.fields}
-    want = {f.name: f.dataType for f in expected.fields}
-    differ = {n for n in {**actual, **want} if actual.get(n) != want.get(n)}
-    long = [F.coalesce((F.max(sql_len(n)) > limit).cast("long"), F.lit(0)) for n, limit in (max_length or {}).items()
-            if n not in differ and isinstance(actual.get(n), T.StringType)]
-    return sum(long, F.lit(len(differ)).cast("long"))
+    want = {f.name: f for f in expected.fields}
+    differ = {n for n in {**actual, **want} if n not in want or actual.get(n) != want[n].dataType}
+    bad = []
+    for n in want:
+        conds = []
+        if n in (max_length or {}) and isinstance(actual.get(n), T.StringType):
+            conds.append(f"coalesce(max(length(rtrim(`{n}`))) > {max_length[n]}, false)")
+        if not want[n].nullable:
+            conds.append(f"count_if(`{n}` IS NULL) > 0")
+        if n not in differ and conds:
+            bad.append(f"CAST({' OR '.join(conds)} AS BIGINT)")
+    return F.expr(" + ".join([f"CAST({len(differ)} AS BIGINT)", *bad]))
 
 
 def distinct_pairs(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from layerstar.functions import clean as C
 from layerstar.functions.dates import parse_yyyymmdd
@@ -27,7 +28,7 @@ from layerstar.plans.display import display
 from layerstar.plans.silver import CUST_TEXT
 from layerstar.plans.warehouse import AS_OF, LOAD_TIME, Warehouse, describe, register_views, warehouse_for
 from layerstar.sources.io import Layers, load_tables, new_run_id
-from layerstar.sources.schemas import MAX_LENGTH, SILVER
+from layerstar.sources.schemas import BRONZE, MAX_LENGTH, SILVER
 
 # Parameters for the driver tables: thresholds near the spread
 # of the data, so that every segment can occur.
@@ -701,6 +702,15 @@ def q26t(wh):
     return Q.schema_mismatch(b.sparkSession, b, SILVER["crm_prd_info"], MAX_LENGTH["silver"]["crm_prd_info"])
 
 
+@query("Q26_nulls")
+def q26n(wh):
+    """Bronze products held against a declaration that wants some columns without NULL."""
+    b = _b(wh, "crm_prd_info")
+    wanted = StructType([StructField(f.name, f.dataType, f.name not in ("prd_id", "prd_cost", "prd_line", "prd_end_dt"))
+                         for f in BRONZE["crm_prd_info"].fields])
+    return Q.schema_mismatch(b.sparkSession, b, wanted, MAX_LENGTH["bronze"]["crm_prd_info"])
+
+
 # ---------------------------------------------------------------- the check lists of the layers
 for _layer in ("bronze", "silver", "gold"):
     query(f"checks_{_layer}")(lambda wh, layer=_layer: run_layer_checks(wh, layer))
@@ -745,12 +755,12 @@ def s6p(wh):
 
 @query("S9_tables")
 def s9t(wh):
-    return describe(wh)[0]
+    return describe(wh, measured=True)[0]
 
 
 @query("S9_columns")
 def s9c(wh):
-    return describe(wh)[1].select("table_schema", "table_name", "ordinal_position", "column_name", "data_type")
+    return describe(wh, measured=True)[1]
 
 
 # ---------------------------------------------------------------- display forms

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from layerstar.plans import gold as G
 from layerstar.plans.silver import silver_steps
 from layerstar.sources.extracts import EXTRACTS, build_extracts
-from layerstar.sources.io import Layers, load_tables, new_run_id, read_csv, write_csv
+from layerstar.sources.io import Layers, load_tables, new_run_id, read_csv, split_csv, write_csv
 from layerstar.sources.schemas import BRONZE
 
 # Fixed parameters for the driver tables: the day that stands for
@@ -69,10 +69,30 @@ def write_extracts(spark: SparkSession, sf_dir: str, layers: Layers, run_id: str
         list(pool.map(lambda n: write_csv(ex[n], layers.run_path("source", run_id, n)), ex))
 
 
-def load_bronze(wh: Warehouse) -> str:
-    """Entry point 1, bronze: each CSV into its declared schema (S1 -> S2)."""
-    steps = {t: (lambda t=t: wh.source(t)) for t in EXTRACTS}
-    run_id, audit = load_tables(wh.spark, wh.layers, "bronze", steps)
+class TooManyBadLines(ValueError):
+    """More lines of a source do not fit its schema than the load allows; nothing was published."""
+
+
+def load_bronze(wh: Warehouse, bad_lines: int | None = None) -> str:
+    """Entry point 1, bronze: each CSV into its declared schema (S1 -> S2).
+
+    By default the first line that does not fit stops the load.  With
+    ``bad_lines`` a source may have up to so many: they are stored whole in
+    ``<table>_rejects`` of the same run, and the other lines are loaded.  Over
+    that budget nothing is published."""
+    if bad_lines is None:
+        steps, accept = {t: (lambda t=t: wh.source(t)) for t in EXTRACTS}, None
+    else:
+        steps = {}
+        for t in EXTRACTS:
+            good, bad = split_csv(wh.spark, wh.source_path(t), BRONZE[t])
+            steps |= {t: (lambda df=good: df), f"{t}_rejects": (lambda df=bad: df)}
+
+        def accept(rows: dict[str, int]) -> None:
+            over = {t: rows[f"{t}_rejects"] for t in EXTRACTS if rows[f"{t}_rejects"] > bad_lines}
+            if over:
+                raise TooManyBadLines(f"over {bad_lines} bad lines: " + ", ".join(f"{t} {n}" for t, n in over.items()))
+    run_id, audit = load_tables(wh.spark, wh.layers, "bronze", steps, accept=accept)
     wh.audits.append(audit)
     wh.runs["bronze"] = run_id
     return run_id
@@ -164,13 +184,13 @@ def register_views(wh: Warehouse, as_of: _dt.date | None = None,
     return ["gold_" + n for n in frames]
 
 
-def describe(wh: Warehouse, table: str | None = None) -> tuple[DataFrame, DataFrame]:
+def describe(wh: Warehouse, table: str | None = None, measured: bool = False) -> tuple[DataFrame, DataFrame]:
     """S9 over the warehouse: (tables, columns) listings for all three layers."""
     from layerstar.sources.io import describe_columns, describe_tables
     from layerstar.sources.schemas import MAX_LENGTH
     layered = {lay: wh.layer(lay) for lay in ("bronze", "silver", "gold")}
     cols = None
     for lay, frames in layered.items():
-        d = describe_columns(wh.spark, frames, table, lay, MAX_LENGTH.get(lay))
+        d = describe_columns(wh.spark, frames, table, lay, MAX_LENGTH.get(lay), measured)
         cols = d if cols is None else cols.unionByName(d)
-    return describe_tables(wh.spark, layered), cols
+    return describe_tables(wh.spark, layered, measured), cols

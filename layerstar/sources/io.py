@@ -2,20 +2,23 @@
 whole, the load audit, and schema listings.
 
 Layout (S5): ``<root>/<layer>/runs/<run_id>/<table>`` holds the data of one
-load; ``<root>/<layer>/_published`` is a small Parquet log with one row per
-finished load.  Readers take the newest published run, so a load that fails
-half way is never seen (S3).  ``<root>/_audit`` collects one row per table and
+load; ``<root>/<layer>/_published`` holds one small numbered file per finished
+load, with its run id.  Readers take the run of the highest number, so a load
+that fails half way is never seen (S3), and the order of loads is that of their
+numbers, whatever the drivers' clocks say.  ``<root>/_audit`` collects one row per table and
 per batch (S4).
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import threading
 import time
 import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -41,6 +44,10 @@ AUDIT_SCHEMA = T.StructType([
 ])
 
 
+#: Where a permissive read keeps the text of a line that does not fit the schema.
+BAD_LINE = "__bad_line"
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """One CSV source into a declared schema: header skipped, comma, no
     quoting, empty -> NULL, malformed lines stop the load."""
@@ -48,6 +55,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
             .option("mode", "FAILFAST").csv(path))
 
 
+def split_csv(spark: SparkSession, path: str, schema: T.StructType) -> tuple[DataFrame, DataFrame]:
+    """S1 that goes on at bad lines: (rows of the lines that fit the schema, the other lines).
+
+    A line is bad when it has too few or too many fields or a field that does not
+    parse as its type.  Bad lines come whole, as ``line``, with the ``file`` they
+    stand in and with those fields that did parse.
+    """
+    kept = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    lines = (spark.read.schema(kept).options(**CSV_OPTIONS).option("mode", "PERMISSIVE")
+             .option("columnNameOfCorruptRecord", BAD_LINE).option("columnPruning", "false").csv(path))
+    good = lines.where(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+    # all columns are kept: the reader only looks at fields that are asked for
+    bad = lines.where(F.col(BAD_LINE).isNotNull()).withColumn("file", F.input_file_name()).withColumnRenamed(BAD_LINE, "line")
+    return good, bad
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Write a source extract the way S1 reads it (no quoting, spaces kept)."""
     (df.write.mode("overwrite").options(**CSV_OPTIONS).option("quote", "\u0000")
@@ -93,11 +116,10 @@ class Layers:
 
     def current_run(self, spark: SparkSession, layer: str) -> str:
         """The newest published run of a layer (S3 pointer)."""
-        log = spark.read.parquet(self.log_path(layer))
-        row = log.agg(F.max(F.struct("published_at", "run_id")).alias("m")).first()
-        if row is None or row.m is None:
+        numbers = _pointers(spark, self.log_path(layer))
+        if not numbers:
             raise LookupError(f"no published {layer} load under {self.root}")
-        return row.m.run_id
+        return _pointed(spark, self.log_path(layer), numbers[-1])
 
     def table(self, spark: SparkSession, layer: str, table: str,
               run_id: str | None = None) -> DataFrame:
@@ -107,11 +129,61 @@ class Layers:
 
 def publish(spark: SparkSession, layers: Layers, layer: str, run_id: str) -> None:
     """S3: make a finished run visible.  Called only after every table of the
-    run is written; the one-row append is the commit point."""
-    row = spark.createDataFrame(
-        [(run_id, _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None))],
-        "run_id string, published_at timestamp")
-    row.coalesce(1).write.mode("append").parquet(layers.log_path(layer))
+    run is written.
+
+    The commit point is the creation of the next numbered file, which fails if
+    another load has created it meanwhile; this load then takes the number after.
+    So any number of loads that race leave one order, and none is lost.  The file
+    system must create a file for one caller only, as HDFS and stores with
+    conditional writes do; a local folder does within one driver.
+    """
+    log = layers.log_path(layer)
+    while True:
+        number = (_pointers(spark, log) or [0])[-1] + 1
+        if _create(spark, f"{log}/{number:012d}", run_id):
+            return
+
+
+_CREATE = threading.Lock()
+
+
+def _create(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a new small file; False if there is one already."""
+    fs, target = _file_system(spark, path)
+    with _CREATE:
+        try:
+            out = fs.create(target, False)
+        except Py4JJavaError as exc:
+            if exc.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException" or fs.exists(target):
+                return False
+            raise
+        try:
+            out.write(bytearray(text.encode()))
+        finally:
+            out.close()
+    return True
+
+
+def _pointers(spark: SparkSession, log: str) -> list[int]:
+    """The numbers of the published loads, ascending."""
+    fs, folder = _file_system(spark, log)
+    if not fs.exists(folder):
+        return []
+    names = [f.getPath().getName() for f in fs.listStatus(folder)]
+    return sorted(int(n) for n in names if n.isdigit())
+
+
+def _pointed(spark: SparkSession, log: str, number: int) -> str:
+    fs, path = _file_system(spark, f"{log}/{number:012d}")
+    while True:                 # a file just created may still be empty: its load is about to fill it
+        stream = fs.open(path)
+        try:
+            text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        if text:
+            return text
+        time.sleep(0.05)
 
 
 def _file_system(spark: SparkSession, path: str):
@@ -130,8 +202,8 @@ def old_runs(spark: SparkSession, layers: Layers, layer: str, keep: int = 2,
     never listed: it may be a load that has yet to finish."""
     if keep < 1:
         raise ValueError("the newest published run is always kept")
-    log = spark.read.parquet(layers.log_path(log_layer or layer))
-    published = [r.run_id for r in log.orderBy(F.desc("published_at"), F.desc("run_id")).collect()]
+    log = layers.log_path(log_layer or layer)
+    published = [_pointed(spark, log, n) for n in reversed(_pointers(spark, log))]
     fs, runs = _file_system(spark, f"{layers.root}/{layer}/runs")
     there = {f.getPath().getName() for f in fs.listStatus(runs)} if fs.exists(runs) else set()
     return [r for r in reversed(published[keep:]) if r in there]
@@ -175,7 +247,7 @@ def _write_one(spark, layers, layer, run_id, table, build):
 def load_tables(spark: SparkSession, layers: Layers, layer: str,
                 steps: Mapping[str, Callable[[], DataFrame]], run_id: str | None = None,
                 raise_errors: bool = True, groups: list[list[str]] | None = None,
-                parallel: int = 4) -> tuple[str, DataFrame]:
+                parallel: int = 4, accept: Callable[[dict[str, int]], None] | None = None) -> tuple[str, DataFrame]:
     """Run one load: for every table build its DataFrame, write it (S2) and time
     it; then publish the run (S3) and append the audit rows (S4).
 
@@ -185,7 +257,8 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
     waiting for it).  By default all tables form one group.  Rows are counted by
     an observation on the write itself, no extra scan.  On an error the audit
     rows are written first, then the error is raised again; nothing of the
-    failed run is published.
+    failed run is published.  ``accept`` sees the rows of every table before the
+    run is published and raises an error to refuse it.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -206,6 +279,11 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
                 error = exc
         if error is not None:
             break
+    if error is None and accept is not None:
+        try:
+            accept({a[2]: a[3] for a in audit})
+        except Exception as exc:  # noqa: BLE001 - recorded, then raised again
+            error = exc
     status = "ok" if error is None else "failed"
     audit.append((run_id, layer, "*", sum(a[3] or 0 for a in audit), batch_start,
                   _dt.datetime.now(), time.perf_counter() - t0, status,
@@ -237,11 +315,14 @@ def preview(df: DataFrame, n: int = 10, order_by=None) -> DataFrame:
 
 def describe_columns(spark: SparkSession, frames: Mapping[str, DataFrame],
                      table: str | None = None, layer: str | None = None,
-                     max_length: Mapping[str, Mapping[str, int]] | None = None) -> DataFrame:
+                     max_length: Mapping[str, Mapping[str, int]] | None = None,
+                     measured: bool = False) -> DataFrame:
     """One row per column: table, position, name, type, declared text
     length (when ``max_length`` knows it), nullability.
 
-    Schemas live on the driver already (no data is read)."""
+    Schemas live on the driver already (no data is read).  ``measured`` adds what
+    the stored rows hold: the number of NULLs and the longest text (LEN), from one
+    aggregate per table."""
     rows = []
     for name, df in frames.items():
         if table is not None and name != table:
@@ -250,14 +331,33 @@ def describe_columns(spark: SparkSession, frames: Mapping[str, DataFrame],
         for i, f in enumerate(df.schema.fields, start=1):
             rows.append((layer, name, i, f.name, f.dataType.simpleString(), lengths.get(f.name),
                          f.nullable))
-    return spark.createDataFrame(
+    listed = spark.createDataFrame(
         rows, "table_schema string, table_name string, ordinal_position int, "
               "column_name string, data_type string, character_maximum_length int, "
               "is_nullable boolean")
-
-
-def describe_tables(spark: SparkSession, layered: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
-    """One row per table of each layer."""
+    if not measured:
+        return listed
+    found = None
+    for name in dict.fromkeys(r[1] for r in rows):
+        cells = []
+        for f in frames[name].schema.fields:
+            longest = f"max(length(rtrim(`{f.name}`)))" if isinstance(f.dataType, T.StringType) else "CAST(NULL AS INT)"
+            cells.append(f"named_struct('table_name', '{name}', 'column_name', '{f.name}', "
+                         f"'null_count', count_if(`{f.name}` IS NULL), 'longest', {longest})")
+        one = frames[name].agg(F.expr(f"array({', '.join(cells)})").alias("c")).select(F.inline("c"))
+        found = one if found is None else found.unionByName(one)
+    return listed if found is None else listed.join(found, ["table_name", "column_name"], "left").select(
+        *listed.columns, "null_count", "longest")
+
+
+def describe_tables(spark: SparkSession, layered: Mapping[str, Mapping[str, DataFrame]], measured: bool = False) -> DataFrame:
+    """One row per table of each layer; ``measured`` adds the number of its stored rows."""
     rows = [(layer, name, "BASE TABLE" if layer in ("bronze", "silver") else "VIEW")
             for layer, frames in layered.items() for name in frames]
-    return spark.createDataFrame(rows, "table_schema string, table_name string, table_type string")
+    listed = spark.createDataFrame(rows, "table_schema string, table_name string, table_type string")
+    found = None
+    for layer, name, _ in rows if measured else []:
+        one = layered[layer][name].agg(F.count(F.lit(1)).alias("row_count")).select(
+            F.lit(layer).alias("table_schema"), F.lit(name).alias("table_name"), "row_count")
+        found = one if found is None else found.unionByName(one)
+    return listed if found is None else listed.join(found, ["table_schema", "table_name"]).select(*listed.columns, "row_count")

@@ -215,9 +215,20 @@ Q["Q23_bronze"] = sql("""SELECT ci.cst_id, count(*) AS cnt FROM b_cust ci LEFT J
   GROUP BY ci.cst_id HAVING count(*) > 1""", ["b_cust", "s_az12"])
 Q["Q26_types"] = sql("""
 SELECT 'cat_id' AS column_name, 'string' AS expected_type, NULL::VARCHAR AS actual_type, 50 AS declared_length,
-  NULL::INTEGER AS max_length, 'missing' AS problem
-UNION ALL SELECT 'prd_cost', 'decimal(18,2)', 'string', NULL, CAST((SELECT max(length(rtrim(prd_cost))) FROM b_prd) AS INTEGER), 'type'
-UNION ALL SELECT 'dwh_create_dt', 'timestamp_ntz', NULL, NULL, NULL, 'missing'""", ["b_prd"])
+  NULL::INTEGER AS max_length, true AS declared_nullable, NULL::BIGINT AS null_count, 'missing' AS problem
+UNION ALL SELECT 'prd_cost', 'decimal(18,2)', 'string', NULL, CAST((SELECT max(length(rtrim(prd_cost))) FROM b_prd) AS INTEGER),
+  true, (SELECT count(*) FROM b_prd WHERE prd_cost IS NULL), 'type'
+UNION ALL SELECT 'dwh_create_dt', 'timestamp_ntz', NULL, NULL, NULL, true, NULL, 'missing'""", ["b_prd"])
+Q["Q26_nulls"] = sql("""
+SELECT * FROM (
+  SELECT 'prd_id' AS column_name, 'bigint' AS expected_type, 'bigint' AS actual_type, NULL::INTEGER AS declared_length,
+    NULL::INTEGER AS max_length, false AS declared_nullable, count(*) FILTER (prd_id IS NULL) AS null_count, 'NULLs' AS problem FROM b_prd
+  UNION ALL SELECT 'prd_cost', 'string', 'string', 50, CAST(max(length(rtrim(prd_cost))) AS INTEGER), false,
+    count(*) FILTER (prd_cost IS NULL), 'NULLs' FROM b_prd
+  UNION ALL SELECT 'prd_line', 'string', 'string', 10, CAST(max(length(rtrim(prd_line))) AS INTEGER), false,
+    count(*) FILTER (prd_line IS NULL), 'NULLs' FROM b_prd
+  UNION ALL SELECT 'prd_end_dt', 'date', 'date', NULL, NULL, false, count(*) FILTER (prd_end_dt IS NULL), 'NULLs' FROM b_prd)
+WHERE null_count > 0""", ["b_prd"])
 
 # ------------------------------------------------------------- load services
 Q["S3"] = sql("SELECT * FROM s_cat", ["s_cat"])
@@ -254,12 +265,22 @@ _columns = {
                            "due_date date, sales_amount decimal(18;2), quantity int, price decimal(18;2)"}}
 _listed = [(lay, t, i, *c.split()) for lay, ts in _columns.items() for t, cols in ts.items()
            for i, c in enumerate(cols.split(", "), start=1)]
-Q["S9_columns"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{lay}', '{t}', {i}, '{c}', '{kind.replace(';', ',')}')" for lay, t, i, c, kind in _listed
-) + ") v(table_schema, table_name, ordinal_position, column_name, data_type)"
-Q["S9_tables"] = "SELECT * FROM (VALUES " + ", ".join(
-    f"('{lay}', '{t}', '{'VIEW' if lay == 'gold' else 'BASE TABLE'}')" for lay, ts in _columns.items() for t in ts
-) + ") v(table_schema, table_name, table_type)"
+_cte_of = {(lay, t): cte for lay, t, cte in _loaded}
+_values = ", ".join(f"('{lay}', '{t}', {i}, '{c}', '{kind.replace(';', ',')}', {_declared.get(lay, {}).get(t, {}).get(c, 'NULL')})"
+                    for lay, t, i, c, kind in _listed)
+_found = " UNION ALL ".join(
+    f"SELECT '{lay}' AS table_schema, '{t}' AS table_name, unnest([" + ", ".join(
+        f"{{'c': '{c}', 'n': count(*) FILTER ({c} IS NULL), 'l': "
+        + (f"CAST(max(length(rtrim({c}))) AS INTEGER)" if kind == "string" else "CAST(NULL AS INTEGER)") + "}"
+        for lay_, t_, _, c, kind in _listed if (lay_, t_) == (lay, t)) + f"]) AS f FROM {cte}"
+    for (lay, t), cte in _cte_of.items())
+Q["S9_columns"] = sql(f"""SELECT v.*, true AS is_nullable, m.f.n AS null_count, m.f.l AS longest
+  FROM (VALUES {_values}) v(table_schema, table_name, ordinal_position, column_name, data_type, character_maximum_length)
+  JOIN ({_found}) m ON v.table_schema = m.table_schema AND v.table_name = m.table_name AND v.column_name = m.f.c""",
+                      [*_B, *_S, "g_cust", "g_prd", "g_fact"])
+Q["S9_tables"] = sql(" UNION ALL ".join(
+    f"SELECT '{lay}' AS table_schema, '{t}' AS table_name, '{'VIEW' if lay == 'gold' else 'BASE TABLE'}' AS table_type, "
+    f"count(*) AS row_count FROM {cte}" for (lay, t), cte in _cte_of.items()), [*_B, *_S, "g_cust", "g_prd", "g_fact"])
 
 
 # -------------------------------------------------------------- display forms

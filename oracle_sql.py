@@ -625,7 +625,8 @@ Q["Q25"] = sql("""SELECT f.*, c.customer_key AS dim_customer_key, c.* EXCLUDE (c
   WHERE f.customer_key IS NULL OR f.product_key IS NULL""", ["g_fact", "g_cust", "g_prd"])
 _len = " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, 'string' AS expected_type, 'string' AS actual_type, "
-    f"{n} AS declared_length, CAST(max(length(rtrim({c}))) AS INTEGER) AS max_length FROM s_sales"
+    f"{n} AS declared_length, CAST(max(length(rtrim({c}))) AS INTEGER) AS max_length, "
+    f"true AS declared_nullable, count(*) FILTER ({c} IS NULL) AS null_count FROM s_sales"
     for c, n in (("sls_ord_num", 50), ("sls_prd_key", 50)))
 Q["Q26"] = sql(f"""SELECT *, 'too long' AS problem FROM ({_len}) WHERE max_length > declared_length""",
                ["s_sales"])

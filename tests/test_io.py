@@ -121,3 +121,53 @@ def test_a_cluster_needs_a_shared_folder():
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             local_root(master)
     assert os.path.isdir(local_root("local[2]"))
+
+
+def test_racing_loads_leave_one_order(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from layerstar.sources import io
+    layers = Layers.under(spark, f"race-{dt.datetime.now().timestamp()}")
+    with pytest.raises(LookupError):
+        layers.current_run(spark, "bronze")
+    names = [f"run-{i:02d}" for i in range(12)]
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(lambda n: io.publish(spark, layers, "bronze", n), names))
+    log = layers.log_path("bronze")
+    numbers = io._pointers(spark, log)
+    assert numbers == list(range(1, 13)) and sorted(io._pointed(spark, log, n) for n in numbers) == names
+    assert layers.current_run(spark, "bronze") == io._pointed(spark, log, 12)
+    assert not io._create(spark, f"{log}/{12:012d}", "late") and io._pointed(spark, log, 12) != "late"
+    io.publish(spark, layers, "bronze", "20000101T000000-slow-clock")       # the later load counts, not the later clock
+    assert layers.current_run(spark, "bronze") == "20000101T000000-slow-clock"
+
+
+def test_bad_lines_go_to_rejects_within_the_budget(spark):
+    from layerstar.plans import warehouse as W
+    from layerstar.sources.extracts import EXTRACTS
+    from layerstar.sources.io import new_run_id
+    wh = W.Warehouse(spark, Layers.under(spark, f"bad-{new_run_id()}"))
+    wh.runs["source"] = new_run_id()
+    for t in EXTRACTS:
+        folder = wh.source_path(t).removeprefix("file://")
+        os.makedirs(folder)
+        lines = [",".join(BRONZE[t].fieldNames())]
+        if t == "crm_cust_info":
+            lines += ["1,AW1,a,b,M,F,2020-01-01", "x,AW2,a,b,M,F,2020-01-01", "3,AW3,a,b,M,F,2020-13-01", "4,AW4", "5,AW5,a,b,M,F,2020-01-01,more",
+                      "6,AW6,,,,,"]
+        with open(f"{folder}/part.csv", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    with pytest.raises(Exception):
+        W.load_bronze(wh)
+    with pytest.raises(W.TooManyBadLines, match="crm_cust_info 4"):
+        W.load_bronze(wh, bad_lines=3)
+    with pytest.raises(LookupError):
+        wh.layers.current_run(spark, "bronze")                                # nothing was published
+    W.load_bronze(wh, bad_lines=4)
+    assert {r.cst_id for r in wh.bronze("crm_cust_info").collect()} == {1, 6}
+    rejects = wh._t("bronze", "crm_cust_info_rejects").collect()
+    assert sorted(r.line for r in rejects) == ["3,AW3,a,b,M,F,2020-13-01", "4,AW4", "5,AW5,a,b,M,F,2020-01-01,more", "x,AW2,a,b,M,F,2020-01-01"]
+    assert all(r.file.endswith("part.csv") for r in rejects)
+    assert wh._t("bronze", "erp_loc_a101_rejects").count() == 0
+    status = [r.status for r in spark.read.parquet(wh.layers.audit_path).where("`table` = '*'").orderBy("started").collect()]
+    assert status == ["failed", "failed", "ok"]
