@@ -1,5 +1,7 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
+from layerstar.llm.url_filter import ADDRESS, SUFFIXES
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -43,11 +45,18 @@ def _level(name: str, parent: str) -> str:
 grp_{name} AS (SELECT {keys}, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY ALL),
 prior_{name} AS (SELECT g.{name} AS name, g.n, g.bad, {prior} AS prior FROM grp_{name} g {join}),
 weight_{name} AS (
-  SELECT 1 / least(greatest(CASE WHEN sum(n - 1) > 0 THEN
+  SELECT least(greatest(CASE WHEN sum(n - 1) > 0 THEN
     (sum(CASE WHEN prior * (1 - prior) > 0 THEN n * pow(bad / n - prior, 2) / (prior * (1 - prior)) ELSE 1 END)
-     - count(*)) / sum(n - 1) ELSE 0 END, 0.001), 0.5) - 1 AS w FROM prior_{name}),
-post_{name} AS (SELECT name, bad + w * prior AS a, n - bad + w * (1 - prior) AS b,
-                       (bad + w * prior) / (n + w) AS mean FROM prior_{name}, weight_{name})"""
+     - count(*)) / sum(n - 1) ELSE 0 END, 0.001), 0.5) AS rho FROM prior_{name}),
+post_{name} AS (SELECT name, n + w AS size, (bad + w * prior) / (n + w) AS mean
+                FROM (SELECT *, 1 / rho - 1 AS w FROM prior_{name}, weight_{name}))"""
+
+
+def _unseen(level: str, between: list[str]) -> str:
+    """Lower bound of the rate of a host below a group, given the levels between them."""
+    left = " * ".join(["(1 - 1 / (size + 1))", *[f"(1 - (SELECT rho FROM weight_{b}))" for b in between]])
+    return f"SELECT *, mean - 1.645 * sqrt(mean * (1 - mean) * (1 - {left})) AS bound FROM {level}"
+
 
 
 OP1 = f"""
@@ -55,22 +64,32 @@ WITH urls AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, i
               FROM pages),
 parts AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), '{_UPPER}', '{_LOWER}') AS host,
                  regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM urls),
-hosts AS (SELECT host, list_last(string_split(host, '.')) AS suffix,
-                 array_to_string(list_slice(string_split(host, '.'), -2, NULL), '.') AS domain,
-                 CAST(count(*) AS DOUBLE) AS n, CAST(sum(1 - quality) AS DOUBLE) AS bad
-          FROM parts JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL GROUP BY host),
+named AS (SELECT page_id, host, path,
+                 regexp_replace(regexp_replace(list_last(string_split(host, '@')), ':[0-9]*\\z', ''), '\\.+\\z', '') AS name FROM parts),
+labels_of AS (SELECT *, string_split(name, '.') AS l, array_to_string(string_split(name, '.')[-2:], '.') AS two,
+                     starts_with(name, '[') OR regexp_matches(name, '\\A[0-9]{{1,3}}(\\.[0-9]{{1,3}}){{3}}\\z') AS numeric FROM named),
+levels AS (SELECT page_id, host, path,
+                  CASE WHEN numeric THEN '{ADDRESS}' WHEN two IN {SUFFIXES} THEN two ELSE list_last(l) END AS suffix,
+                  CASE WHEN numeric THEN name WHEN two IN {SUFFIXES} THEN array_to_string(l[-3:], '.')
+                       ELSE two END AS domain FROM labels_of),
+hosts AS (SELECT host, suffix, domain, CAST(count(*) AS DOUBLE) AS n, CAST(sum(1 - quality) AS DOUBLE) AS bad
+          FROM levels JOIN labels ON page_id = doc_id WHERE quality IS NOT NULL GROUP BY ALL),
 {_level('suffix', '')}, {_level('domain', 'suffix')}, {_level('host', 'domain')},
-verdicts AS (SELECT name AS host, CASE WHEN a / (a + b) - 1.645 * sqrt(a * b / pow(a + b, 2) / (a + b + 1)) > 0.25
-                                       THEN 'block' ELSE 'allow' END AS verdict FROM post_host),
-ruled AS (SELECT page_id, host, path, CASE
+overall AS (SELECT coalesce(sum(n), 0) AS size, coalesce(sum(bad) / sum(n), 0) AS mean FROM hosts),
+u_host AS ({_unseen('post_host', [])}), u_domain AS ({_unseen('post_domain', ['host'])}),
+u_suffix AS ({_unseen('post_suffix', ['domain', 'host'])}), u_all AS ({_unseen('overall', ['suffix', 'domain', 'host'])}),
+bounds AS (SELECT p.*, coalesce(h.bound, d.bound, s.bound, (SELECT bound FROM u_all)) AS lower FROM levels p
+           LEFT JOIN u_host h ON p.host = h.name LEFT JOIN u_domain d ON p.domain = d.name
+           LEFT JOIN u_suffix s ON p.suffix = s.name),
+ruled AS (SELECT page_id, host, path, lower, CASE
   WHEN (host = 'www.example.com' OR ends_with(host, '.www.example.com')) AND starts_with(path, '/en/') THEN 'www.example.com/en/'
   WHEN (host = 'example.com' OR ends_with(host, '.example.com')) AND starts_with(path, '/en/') THEN 'example.com/en/'
   WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/es/') THEN 'net/es/'
   WHEN (host = 'net' OR ends_with(host, '.net')) AND starts_with(path, '/fr/') THEN 'net/fr/'
-  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM parts)
+  WHEN (host = 'com' OR ends_with(host, '.com')) AND starts_with(path, '/') THEN 'com/' END AS rule FROM bounds)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow'
-  WHEN rule IS NOT NULL THEN 'block' ELSE coalesce(verdict, 'allow') END AS verdict
-FROM ruled LEFT JOIN verdicts USING (host)
+  WHEN rule IS NOT NULL OR lower > 0.25 THEN 'block' ELSE 'allow' END AS verdict
+FROM ruled
 """
 
 

@@ -18,6 +18,15 @@ LEAST_RHO, MOST_RHO = 0.001, 0.5
 
 LEVELS = ("suffix", "domain", "host")
 
+#: Suffixes of two labels below which sites are registered, the common ones of the
+#: public list (fixed values); others can be given.
+SUFFIXES = ("ac.jp", "ac.uk", "co.id", "co.il", "co.in", "co.jp", "co.kr", "co.nz", "co.th", "co.uk", "co.za", "com.ar", "com.au",
+            "com.br", "com.cn", "com.co", "com.hk", "com.mx", "com.my", "com.pl", "com.sg", "com.tr", "com.tw", "com.ua",
+            "edu.au", "edu.cn", "go.jp", "gov.au", "gov.br", "gov.uk", "ne.jp", "net.au", "net.br", "net.cn", "or.jp",
+            "or.kr", "org.au", "org.br", "org.cn", "org.nz", "org.uk", "org.za")
+#: The suffix of numeric addresses, which have no labels; no host can hold a ``#``.
+ADDRESS = "#address"
+
 
 def host_and_path(url: str | Column) -> tuple[Column, Column]:
     """Host and path of a URL; both empty without ``://``."""
@@ -43,12 +52,23 @@ def longest_rule(host: Column, path: Column, rules: Sequence[tuple[str, str]]) -
     return out
 
 
-def _levels(host: Column) -> list[Column]:
-    """Suffix and registered domain (the last label and the last two) of a host."""
-    return [F.substring_index(host, ".", -1).alias("suffix"), F.substring_index(host, ".", -2).alias("domain")]
+def suffix_and_domain(host: Column, suffixes: Sequence[str] = SUFFIXES) -> list[Column]:
+    """Suffix and registered domain of a host, without user part, port and final dots.
+
+    The suffix is the last label, or the last two where they are one of
+    ``suffixes``; the domain has one label more.  A numeric address is a domain of its
+    own below ADDRESS.
+    """
+    name = F.regexp_replace(F.regexp_replace(F.substring_index(host, "@", -1), r":[0-9]*\z", ""), r"\.+\z", "")
+    numeric = name.startswith("[") | name.rlike(r"\A[0-9]{1,3}(\.[0-9]{1,3}){3}\z")
+    two = F.substring_index(name, ".", -2)
+    wide = two.isin(*suffixes) if suffixes else F.lit(False)
+    suffix = F.when(numeric, F.lit(ADDRESS)).when(wide, two).otherwise(F.substring_index(name, ".", -1))
+    domain = F.when(numeric, name).when(wide, F.substring_index(name, ".", -3)).otherwise(two)
+    return [suffix.alias("suffix"), domain.alias("domain")]
 
 
-def host_reputation(outcomes: DataFrame) -> DataFrame:
+def host_reputation(outcomes: DataFrame, suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """Shrunken bad rates by level from (host, bad).
 
     Returns (level, name, n, bad, mean, a, b, lower): the counts of each suffix, registered domain
@@ -68,7 +88,7 @@ def host_reputation(outcomes: DataFrame) -> DataFrame:
     """
     hosts = (outcomes.filter("bad is not null").groupBy(F.coalesce("host", F.lit("")).alias("host"))
              .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.col("bad").cast("double")).alias("bad")))
-    hosts = stage(hosts.select("host", *_levels(F.col("host")), "n", "bad"), "host-outcomes")
+    hosts = stage(hosts.select("host", *suffix_and_domain(F.col("host"), suffixes), "n", "bad"), "host-outcomes")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     # one row; without outcomes nothing is known against any host
     overall = total.select(F.lit("all").alias("level"), F.lit("").alias("name"), F.coalesce("n", F.lit(0.0)).alias("n"),
@@ -125,14 +145,14 @@ def unseen_bound(mean: Column, size: Column, correlations: Sequence[float]) -> C
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str, str]], id_col: str = "page_id",
-               url_col: str = "url") -> DataFrame:
+               url_col: str = "url", suffixes: Sequence[str] = SUFFIXES) -> DataFrame:
     """Judge every URL: by the longest fitting rule, else by its host's reputation.
 
     ``outcomes`` is (id_col, bad): 1 for a page known to be bad, 0 for a good
     one.  Returns one row per page: ``id_col``, ``host``, ``path``, ``rule``,
     ``verdict`` (``allow`` or ``block``) and ``lower``, the least bad rate that its
-    host's posterior leaves likely.  A host is blocked where that exceeds MAX_BAD.  A
-    host without outcomes has the bound that its registered domain leaves a host unseen
+    host's posterior leaves likely.  A host is blocked where that exceeds MAX_BAD.
+    ``suffixes`` are those of two labels.  A host without outcomes has the bound that its registered domain leaves a host unseen
     so far, without outcomes there its suffix's, else the overall one.
 
     A NULL URL or one without ``://`` has an empty host and path.  Pages of a NULL
@@ -143,9 +163,9 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: Sequence[tuple[str,
     judged = pages.select(F.col(id_col).alias("_id"), host.alias("host"), path.alias("path"))
     known = outcomes.select(F.col(id_col).alias("_id"), F.col("bad"))
     labelled = judged.select("_id", "host").join(known, "_id").select("host", "bad")
-    known = host_reputation(labelled)
+    known = host_reputation(labelled, suffixes)
     # level by level over the distinct hosts: pages are joined once, on their host
-    names = judged.select("host").distinct().select("host", *_levels(F.col("host")))
+    names = judged.select("host").distinct().select("host", *suffix_and_domain(F.col("host"), suffixes))
     for level in LEVELS:
         names = names.join(known.filter(F.col("level") == level).select(
             F.col("name").alias(level), F.col("unseen").alias(f"_{level}")), level, "left")

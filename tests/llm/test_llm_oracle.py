@@ -19,6 +19,25 @@ def test_queries_match_their_sql(spark):
     assert {n: r[0] for n, r in found.items()} == dict.fromkeys(names, "ok")
 
 
+def test_unseen_hosts_ports_and_wide_suffixes_match_the_sql(spark, tmp_path):
+    """op1 and its SQL on hosts with and without outcomes, at every level of the hierarchy."""
+    import tools_compare
+    rates = {"a.bad.co.uk": (300, 290), "b.bad.co.uk:801": (200, 190), "good.co.uk": (400, 4), "x.one.spam": (300, 290),
+             "u:p@y.two.spam.": (300, 297), "10.0.0.1:80": (90, 88), "10.0.0.2": (90, 1), "b.org": (50, 1), "[::1]:8": (9, 9)}
+    urls = [(f"http://{h}/{k}", int(k >= bad)) for h, (n, bad) in rates.items() for k in range(n)]
+    fresh = ["c.bad.co.uk", "bad.co.uk:8080", "other.co.uk", "co.uk", "new.three.spam", "x.one.spam:81", "10.0.0.1", "10.0.0.3",
+             "nowhere.else", "", "b.org.", "a\nb.org", "d.b.org@e.spam"]
+    urls += [(f"https://{h}/p?q", None) for h in fresh] + [(None, None), ("no url", 1), ("ftp://a.net/fr/1", 0)]
+    spark.createDataFrame([(i, u) for i, (u, _) in enumerate(urls)], "page_id long, url string").toPandas().to_parquet(
+        tmp_path / "pages.parquet")
+    spark.createDataFrame([(i, q) for i, (_, q) in enumerate(urls)], "doc_id long, quality int").toPandas().astype(
+        {"quality": "Int64"}).to_parquet(tmp_path / "labels.parquet")
+    assert tools_compare.compare(spark, str(tmp_path), ["op1_url_filter"])["op1_url_filter"] == ("ok", len(urls), len(urls))
+    got = {r.host: r.verdict for r in registry.op1_url_filter(spark, str(tmp_path)).collect()}
+    assert [got[h] for h in ("c.bad.co.uk", "bad.co.uk:8080", "other.co.uk", "new.three.spam", "10.0.0.1", "b.org.")] == [
+        "block", "block", "allow", "block", "block", "allow"]
+
+
 def test_one_query_per_operator():
     assert [n.split("_")[0] for n in registry.queries()] == [f"op{i}" for i in range(1, 14)]
 
