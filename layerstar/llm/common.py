@@ -152,3 +152,10 @@ def prefix_sums(df: DataFrame, order: Sequence[str], weight: str | None = None,
 
 def text_or_empty(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit(""))
+
+
+def one_text(rows: DataFrame, *keys: str, text_col: str = "_text") -> DataFrame:
+    """One row per key with its text of least hash.  A task holds one text at a time, and of a key on
+    many rows each task sends one."""
+    least = F.min(F.struct(F.xxhash64(text_col).alias("hash"), F.col(text_col).alias("text")))
+    return rows.groupBy(*keys).agg(least.alias("_least")).select(*keys, F.col("_least.text").alias(text_col))

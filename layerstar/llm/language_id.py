@@ -7,18 +7,20 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from layerstar.llm import words as W
-from layerstar.llm.common import map_arrow, stage
+from layerstar.llm.common import map_arrow, one_text, stage
 
 #: n-grams of these many bytes (A-Z lower-cased, every run of other ASCII characters one space).
 GRAMS = (1, 2, 3, 4)
 #: An n-gram counts by its presence, in one of so many hashed places.
 PLACES = 1 << 17
-#: The model learns from SAMPLE texts of each language at most, LANDMARKS of them landmarks.
+#: The model learns from SAMPLE texts of each language at most, LANDMARKS of them landmarks; with
+#: many languages from so many that there are about SAMPLE_ALL and LANDMARKS_ALL of all languages together.
 SAMPLE, LANDMARKS = 256, 48
+SAMPLE_ALL, LANDMARKS_ALL = 4096, 1024
 RIDGE = 1e-3
 #: Steepness of the softmax that turns one-versus-rest scores into a confidence.
 SLOPE = 4.0
@@ -67,7 +69,7 @@ def _sample_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         places = [present_grams(t, seen) for t in _each_text(batch.column(1))]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([p.astype(np.int32) for p in places], pa.list_(pa.int32()))], names=["lang", "places"])
+            [batch.column(0), pa.array([p.astype("<i4").tobytes() for p in places], pa.binary())], names=["lang", "places"])
 
 
 @dataclass
@@ -106,11 +108,19 @@ def train(langs: list[str], places: list[np.ndarray]) -> Model | None:
         return None
     order = {k: i for i, k in enumerate(known)}
     y = np.array([order[k] for k in langs])
-    marks = np.concatenate([np.flatnonzero(y == i)[:LANDMARKS] for i in range(len(known))])
-    presence = np.zeros((PLACES, len(marks)), dtype=np.float32)
+    per_lang = max(1, min(LANDMARKS, LANDMARKS_ALL // len(known)))
+    marks = np.concatenate([np.flatnonzero(y == i)[:per_lang] for i in range(len(known))])
+    size = np.array([max(1, len(p)) for p in places], dtype=float)
+    # the n-grams a landmark shares with every text, counted over the texts' lists one after another
+    has = np.array([len(p) > 0 for p in places])
+    flat = np.concatenate([np.asarray(p, dtype=np.int32) for p in places])
+    first = np.concatenate([[0], np.cumsum([len(p) for p in places])[:-1]])[has].astype(np.int64)
+    kernel, seen = np.zeros((len(places), len(marks))), np.zeros(PLACES, dtype=bool)
     for column, i in enumerate(marks):
-        presence[places[i], column] = 1.0 / np.sqrt(max(1, len(places[i])))
-    kernel = np.stack([presence[p].sum(axis=0) / np.sqrt(max(1, len(p))) for p in places]).astype(np.float64)
+        seen[places[i]] = True
+        if has.any():
+            kernel[has, column] = np.add.reduceat(seen[flat], first, dtype=np.int64) / np.sqrt(size[has] * size[i])
+        seen[places[i]] = False
     values, vectors = np.linalg.eigh(kernel[marks])
     held = values > 1e-8 * values[-1]
     root = vectors[:, held] / np.sqrt(values[held])             # the landmarks' kernel to the power -1/2
@@ -119,7 +129,9 @@ def train(langs: list[str], places: list[np.ndarray]) -> Model | None:
     target = np.where(y[:, None] == np.arange(len(known)), 1.0, -1.0)
     scale = np.diag(np.append(np.full(x.shape[1] - 1, RIDGE), 1e-9))
     beta = np.linalg.solve(x.T @ (x * share[:, None]) + scale, x.T @ (target * share[:, None]))
-    weights = (presence @ (root @ beta[:-1]).astype(np.float32)).astype(np.float32)
+    weights = np.zeros((PLACES, len(known)), dtype=np.float32)
+    for i, share_of in zip(marks, root @ beta[:-1], strict=True):
+        weights[places[i]] += share_of / np.sqrt(size[i])
     return Model(known, weights, beta[-1])
 
 
@@ -127,20 +139,27 @@ def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", key_col
     """Learn from a sample of ``docs``, at most SAMPLE texts of each language.
 
     The texts of a language fall into SAMPLE bins by a hash of the key, and each
-    bin gives the one of least hash, so the same rows give the same sample.  The
-    executors turn the sampled texts into presence lists; those reach the driver.
+    bin gives the one of least hash, so the same rows give the same sample; of rows that
+    share a key and a language the one of least text hash counts.  With more than
+    SAMPLE_ALL / SAMPLE languages fewer bins of each are taken, at least one.  The
+    executors turn the sampled texts into presence lists; those reach the driver, four
+    bytes a place.
     """
     rank = F.xxhash64(key_col)
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & F.col(key_col).isNotNull())
     picked = (known.groupBy(F.col(lang_col).alias("_lang"), F.pmod(rank, F.lit(SAMPLE)).alias("_bin"))
               .agg(F.min(F.struct(rank.alias("rank"), F.col(key_col).alias("key"))).alias("_least"))
-              .select("_lang", F.col("_least.key").alias("_key")))
+              .select("_lang", "_bin", F.col("_least.key").alias("_key")))
     picked = stage(picked, "language-sample")
+    langs = picked.select("_lang").distinct().count()
+    place = F.row_number().over(Window.partitionBy("_lang").orderBy("_bin"))
+    picked = picked.withColumn("_place", place).filter(F.col("_place") <= max(1, min(SAMPLE, SAMPLE_ALL // max(1, langs))))
     joined = (known.join(picked, (F.col(key_col) == F.col("_key")) & (F.col(lang_col) == F.col("_lang")))
-              .select("_lang", F.col(text_col).alias("_text")))
-    rows = map_arrow(joined, _sample_batches, "lang string, places array<int>").collect()
-    rows.sort(key=lambda r: (r["lang"], r["places"]))
-    return train([r["lang"] for r in rows], [np.array(r["places"], dtype=np.int64) for r in rows])
+              .select("_lang", "_key", F.col(text_col).alias("_text")))
+    texts = one_text(joined, "_lang", "_key").select("_lang", "_text")
+    rows = map_arrow(texts, _sample_batches, "lang string, places binary").collect()
+    found = sorted(((r["lang"], np.frombuffer(r["places"], "<i4")) for r in rows), key=lambda r: (r[0], r[1].tolist()))
+    return train([r[0] for r in found], [r[1] for r in found])
 
 
 def _predict_batches(model: Model | None) -> Callable:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.llm import words as W
-from layerstar.llm.common import map_arrow, stage
+from layerstar.llm.common import map_arrow, one_text, stage
 
 #: Words of a passage.
 PASSAGE = 64
@@ -185,14 +185,16 @@ def fit(docs: DataFrame, labels: DataFrame, key_col: str = "doc_id", text_col: s
     """Learn from at most SAMPLE labelled documents; ``labels`` is (key_col, label_col), 0 or 1.
 
     Only features of the sampled texts reach the driver.  NULL keys and labels
-    are left out; a document with several labels counts with each.
+    are left out; a document with several labels counts with each.  Of rows that
+    share a key the one of least text hash counts, so no more than SAMPLE texts come.
     """
     rank = F.xxhash64(key_col)
     picked = stage(labels.filter(F.col(key_col).isNotNull() & F.col(label_col).isNotNull())
                    .select(F.col(key_col).alias("_key"), F.col(label_col).cast("int").alias("_label"), rank.alias("_rank"))
                    .orderBy("_rank", "_label").limit(SAMPLE), "quality-sample")
-    rows = (docs.select(F.col(key_col).alias("_key"), F.col(text_col).alias("_text")).join(picked, "_key")
-            .select("_rank", "_label", "_text"))
+    texts = one_text(docs.select(F.col(key_col).alias("_key"), F.col(text_col).alias("_text"))
+                     .join(picked.select("_key").distinct(), "_key"), "_key")
+    rows = texts.join(picked, "_key").select("_rank", "_label", "_text")
     found = map_arrow(rows, _feature_batches, "rank long, label int, features array<double>").collect()
     found.sort(key=lambda r: (r["rank"], r["label"], r["features"]))
     return train([np.array(r["features"]).reshape(-1, len(FEATURES)) for r in found], [r["label"] for r in found])

@@ -7,6 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from llm_cases import no_docs, odd_docs, odd_rows, prose, shingle_set, spaced  # noqa: F401
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from layerstar.llm import language_id, quality, registry
@@ -70,6 +71,32 @@ def test_languages_of_odd_texts(spark, odd_docs, odd_rows):
     assert language_id.fit(odd_docs.filter("doc_id < -1")) is None
 
 
+def test_one_id_on_many_rows_is_one_text_of_the_sample(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(language_id, "train", lambda langs, places: seen.append(langs))
+    monkeypatch.setattr(quality, "train", lambda features, labels: seen.append(labels))
+    texts = F.concat(F.lit("text number "), F.col("id").cast("string"))
+    docs = spark.range(20_000).select(F.when(F.col("id") < 19_000, 7).otherwise(F.col("id")).alias("doc_id"),
+                                      texts.alias("text"), F.lit("aa").alias("lang"))
+    language_id.fit(docs)
+    assert 0 < len(seen[0]) <= language_id.SAMPLE
+    quality.fit(docs, docs.select("doc_id", F.lit(1).alias("quality")).distinct())
+    assert len(seen[1]) == 1001
+    quality.fit(docs, docs.select("doc_id", F.lit(1).alias("quality")))
+    assert len(seen[2]) <= quality.SAMPLE
+
+
+def test_many_languages_share_the_sample(spark):
+    docs = spark.range(24_000).select(
+        F.col("id").alias("doc_id"), (F.col("id") % 200).cast("string").alias("lang"),
+        F.expr("translate(array_join(transform(sequence(1, 30), i -> concat(id % 200, 'x', abs(xxhash64(id, i)) % 9)), ' '), "
+               "'0123456789', 'abcdefghij')").alias("text"))
+    model = language_id.fit(docs)
+    assert len(model.langs) == 200
+    got = language_id.predict(docs.filter("doc_id < 400"), model, keep=("doc_id", "lang")).collect()
+    assert sum(r.lang == r.lang_pred for r in got) > 360
+
+
 # -------------------------------------------------------------------- quality
 def test_gradients_by_finite_differences():
     rng = np.random.default_rng(1)
