@@ -516,14 +516,25 @@ def _key_pass(checks: Sequence[Check], samples: bool) -> DataFrame:
     return _rows_of(keys.agg(*aggs), checks, samples)
 
 
-def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = False) -> DataFrame:
+def _from_load(spark: SparkSession, checks: Sequence[Check], measured: DataFrame) -> DataFrame:
+    """The rows of checks whose measures the load took: joined to the stored values, without a scan."""
+    listed = spark.createDataFrame([(ch.scan, ch.name, ",".join(ch.layers), ch.table, ch.kind, ch.expectation) for ch in checks],
+                                   "scan string, check string, layers string, table string, kind string, expectation string")
+    return listed.join(measured, ["scan", "check"]).select("check", "layers", "table", "kind", "expectation", "found")
+
+
+def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = False,
+               measured: DataFrame | None = None) -> DataFrame:
     """One row per check: its metadata, the number of rows it found, and whether
     the expectation holds.  ``equal_counts`` checks compare the row counts they
     list (``found`` is then the number of distinct counts); ``report`` checks
     always pass.  Checks that only look at single rows of a table share one scan
     of it, and those that look at keys another one.  With ``samples`` each check
     shows one violating row (or key, with its rows) as JSON, the first in text
-    order."""
+    order.  ``measured`` (scan, check, found) holds measures taken before, on the
+    load's write: checks in it need no scan, unless a sample row is asked for."""
+    taken = {(r.scan, r.check) for r in measured.select("scan", "check").collect()} if measured is not None and not samples else set()
+    known: list[Check] = []
     scans: dict[str, list[Check]] = {}
     keyed: list[Check] = []
     parts = []
@@ -531,6 +542,9 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = Fal
         if ch.found is not None:
             keyed.append(ch)
             continue
+        if (ch.scan, ch.name) in taken:
+            known.append(ch)
+            continue
         if ch.measure is not None:
             scans.setdefault(ch.scan, []).append(ch)
             continue
@@ -540,6 +554,8 @@ def run_checks(spark: SparkSession, checks: Sequence[Check], samples: bool = Fal
             aggs.append(F.min(F.to_json(F.struct(*ch.violations.columns))).alias("sample"))
         parts.append(ch.violations.agg(*aggs).select(
             F.expr(_described(ch, "found", "sample" if samples else None) + " AS r")).select("r.*"))
+    if known:
+        parts.append(_from_load(spark, known, measured))
     parts = [_one_pass(group, samples) for group in scans.values()] + ([_key_pass(keyed, samples)] if keyed else []) + parts
     if not parts:
         return spark.createDataFrame([], RESULT + (", sample string" if samples else "") + ", passed boolean")

@@ -63,59 +63,94 @@ def _sides(home: str, t):
     return k, every, length, mapped, pair
 
 
+def row_checks(layer: str, table: str, df: DataFrame, as_of) -> list[Q.Check]:
+    """The checks of one table that look at single rows (and its declared schema, Q26).  ``df`` is the
+    stored table, or the rows about to be written to it."""
+    declared = BRONZE if layer == "bronze" else SILVER
+    r = lambda name, kind, expectation, where: _r(name, [layer], table, kind, expectation, df, where)
+    dates = ["sls_order_dt", "sls_ship_dt", "sls_due_dt"]
+    rows = {
+        ("bronze", CUST): lambda: [
+            r("Q3 cst_firstname", NO, "trimmed", Q.is_untrimmed("cst_firstname")),
+            r("Q3 cst_gndr", NO, "trimmed", Q.is_untrimmed("cst_gndr"))],
+        ("bronze", PRD): lambda: [
+            r("Q5 prd_cost", NO, "set, not negative", Q.is_null_or_negative(df, "prd_cost")),
+            r("Q6 prd dates", NO, "end not before start", Q.is_reversed("prd_start_dt", "prd_end_dt")),
+            r("Q7 prd dates", NO, "dates set", Q.has_null(["prd_start_dt", "prd_end_dt"]))],
+        ("bronze", SALES): lambda: [
+            r("Q8 sales keys", NO, "keys set", Q.has_null(["sls_cust_id", "sls_prd_key", "sls_ord_num"])),
+            r("Q3 sls_prd_key", NO, "trimmed", Q.is_untrimmed("sls_prd_key")),
+            r("Q13 sales dates", NO, "dates parse", Q.is_unparsable(dates)),
+            r("Q7 sales dates", NO, "dates set", Q.has_null(dates)),
+            r("Q14 sales dates", NO, "order <= ship <= due", Q.is_out_of_order(*dates)),
+            r("Q15 sales dates", NO, "2000-01-01 .. as_of", Q.is_out_of_bounds(df, dates, as_of)),
+            r("Q16 sales measures", NO, "sales = quantity * price, all set",
+              Q.is_mismatch(df, "sls_sales", "sls_quantity", "sls_price"))],
+        ("bronze", AZ): lambda: [
+            r("Q13 bdate", NO, "dates parse", Q.is_unparsable("bdate", fmt=None)),
+            r("Q18 bdate", REPORT, "1925-01-01 .. as_of", Q.is_unlikely_birthdate("bdate", as_of))],
+        ("bronze", CAT): lambda: [
+            r("Q20 cat id", NO, "form XX_YY", Q.is_not_like("id")),
+            r("Q3 cat text", NO, "trimmed", Q.is_untrimmed(["cat", "subcat", "maintenance"]))],
+        ("silver", CUST): lambda: [
+            Q.Check("Q22 crm_cust_info", ("silver",), CUST, ONE, "populated", source=df, scan=f"silver.{CUST}",
+                    measure=F.least(F.count(F.lit(1)), F.lit(1))),
+            r("Q3 cst text", NO, "trimmed", Q.is_untrimmed(CUST_TEXT))],
+        ("silver", PRD): lambda: [
+            r("Q3 prd text", NO, "trimmed", Q.is_untrimmed(["prd_key", "prd_nm"])),
+            r("Q5 prd_cost", NO, "set, not negative", Q.is_null_or_negative(df, "prd_cost")),
+            r("Q6 prd dates", NO, "end not before start", Q.is_reversed("prd_start_dt", "prd_end_dt"))],
+        ("silver", SALES): lambda: [
+            r("Q14 sales dates", NO, "order <= ship <= due", Q.is_out_of_order(*dates)),
+            r("Q16 sales measures", NO, "sales = quantity * price, all positive",
+              Q.is_mismatch(df, "sls_sales", "sls_quantity", "sls_price", negatives=True))],
+        ("silver", AZ): lambda: [r("Q18 bdate", NO, "not in the future", F.col("bdate") > F.lit(as_of))],
+    }
+    return [_schema(layer, table, df, declared), *rows.get((layer, table), list)()]
+
+
+def source_codes(df: DataFrame) -> Q.Check:
+    """Q7 of the silver list, which looks at the bronze customers."""
+    return _r("Q7 bronze marital", ["bronze"], CUST, REPORT, "NULL codes in the source", df, Q.has_null("cst_marital_status"))
+
+
+def row_measures(layer: str, table: str, df: DataFrame, as_of) -> dict[str, Column]:
+    """What a load of ``table`` measures on its write: the counts of its row checks, by their names."""
+    if table not in SILVER:
+        return {}
+    checks = row_checks(layer, table, df, as_of)
+    if (layer, table) == ("bronze", CUST):
+        checks.append(source_codes(df))
+    return {c.name: c.measure for c in checks}
+
+
 def bronze_checks(wh) -> list[Q.Check]:
     t = _tables(wh)
     b = partial(t, "bronze")
-    cust, prd, sales = b("crm_cust_info"), b("crm_prd_info"), b("crm_sales_details")
-    az, loc, cat = b("erp_cust_az12"), b("erp_loc_a101"), b("erp_px_cat_g1v2")
+    prd, loc = b("crm_prd_info"), b("erp_loc_a101")
     k, every, length, mapped, pair = _sides("bronze", t)
-    out = [_schema("bronze", t, b(t), BRONZE) for t in BRONZE]
+    out = [c for name in BRONZE for c in row_checks("bronze", name, b(name), wh.as_of)]
     B, BS = ["bronze"], ["bronze", "silver"]
     out += [
         Q.key_check("Q1 cst_id", B, CUST, NO, "unique, not NULL", k(CUST, "cst_id"), Q.REPEATS_OR_NULL),
         Q.key_check("Q2 cst_id rows", B, CUST, REPORT, "rows behind Q1", k(CUST, "cst_id"), Q.REPEATS_OR_NULL, rows=True),
-        _r("Q3 cst_firstname", B, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed("cst_firstname")),
-        _r("Q3 cst_gndr", B, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed("cst_gndr")),
         Q.key_check("Q4 cst_gndr", B, CUST, REPORT, "codes", k(CUST, "cst_gndr"), Q.ANY),
         Q.key_check("Q4 cst_marital_status", B, CUST, REPORT, "codes", k(CUST, "cst_marital_status"), Q.ANY),
         Q.key_check("Q1 prd_id", B, PRD, NO, "unique, not NULL", k(PRD, "prd_id"), Q.REPEATS_OR_NULL),
-        _r("Q5 prd_cost", B, "crm_prd_info", NO, "set, not negative", prd, Q.is_null_or_negative(prd, "prd_cost")),
         Q.key_check("Q4 prd_line", B, PRD, REPORT, "codes", k(PRD, "prd_line"), Q.ANY),
-        _r("Q6 prd dates", B, "crm_prd_info", NO, "end not before start",
-           prd, Q.is_reversed("prd_start_dt", "prd_end_dt")),
-        _r("Q7 prd dates", B, "crm_prd_info", NO, "dates set", prd, Q.has_null(["prd_start_dt", "prd_end_dt"])),
         _c("Q31 prd history", B, "crm_prd_info", REPORT, "derived end dates",
            Q.history_of(prd.select("prd_id", "prd_key", "prd_cost", "prd_start_dt", "prd_end_dt"),
                         "prd_key", "prd_start_dt", "prd_id")),
         Q.key_check("Q9 sls_ord_num", B, SALES, REPORT, "lines per order", k(SALES, "sls_ord_num"), Q.REPEATS),
-        _r("Q8 sales keys", B, "crm_sales_details", NO, "keys set",
-           sales, Q.has_null(["sls_cust_id", "sls_prd_key", "sls_ord_num"])),
-        _r("Q3 sls_prd_key", B, "crm_sales_details", NO, "trimmed", sales, Q.is_untrimmed("sls_prd_key")),
         Q.parent_empty_check("Q12 products loaded", BS, SALES, NO, "parent not empty", every("bronze", SALES), every("silver", PRD)),
         Q.parent_empty_check("Q12 customers loaded", BS, SALES, NO, "parent not empty", every("bronze", SALES), every("silver", CUST)),
-        _r("Q13 sales dates", B, "crm_sales_details", NO, "dates parse",
-           sales, Q.is_unparsable(["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
-        _r("Q7 sales dates", B, "crm_sales_details", NO, "dates set",
-           sales, Q.has_null(["sls_order_dt", "sls_ship_dt", "sls_due_dt"])),
-        _r("Q14 sales dates", B, "crm_sales_details", NO, "order <= ship <= due",
-           sales, Q.is_out_of_order("sls_order_dt", "sls_ship_dt", "sls_due_dt")),
-        _r("Q15 sales dates", B, "crm_sales_details", NO, "2000-01-01 .. as_of",
-           sales, Q.is_out_of_bounds(sales, ["sls_ship_dt", "sls_due_dt", "sls_order_dt"], wh.as_of)),
-        _r("Q16 sales measures", B, "crm_sales_details", NO, "sales = quantity * price, all set",
-           sales, Q.is_mismatch(sales, "sls_sales", "sls_quantity", "sls_price")),
         Q.key_check("Q17 az12 cid", B, AZ, REPORT, "id lengths", length("bronze", AZ, "cid"), Q.ANY),
-        _r("Q13 bdate", B, "erp_cust_az12", NO, "dates parse", az, Q.is_unparsable("bdate", fmt=None)),
-        _r("Q18 bdate", B, "erp_cust_az12", REPORT, "1925-01-01 .. as_of",
-           az, Q.is_unlikely_birthdate("bdate", wh.as_of)),
         Q.key_check("Q19 gen", B, AZ, REPORT, "standard values", mapped("bronze", AZ, "gen", C.map_gender), Q.ANY),
         Q.key_check("Q17 loc cid", B, LOC, REPORT, "id lengths", length("bronze", LOC, "cid"), Q.ANY),
         Q.orphan_check("Q10 loc cid", BS, LOC, NO, "customer exists",
                        Q.side("bronze.erp_loc_a101", loc, "cid without hyphen", key=folded(C.strip_hyphen("cid"))), k(AZ, "cid", "silver")),
         Q.key_check("Q19 cntry", B, LOC, REPORT, "standard values", mapped("bronze", LOC, "cntry", C.map_country), Q.ANY),
         Q.not_in_check("Q11 cat id", BS, CAT, REPORT, "used by a product", k(CAT, "id"), k(PRD, "cat_id", "silver")),
-        _r("Q20 cat id", B, "erp_px_cat_g1v2", NO, "form XX_YY", cat, Q.is_not_like("id")),
-        _r("Q3 cat text", B, "erp_px_cat_g1v2", NO, "trimmed",
-           cat, Q.is_untrimmed(["cat", "subcat", "maintenance"])),
         Q.key_check("Q27 cat pairs", B, CAT, REPORT, "pairs", pair("bronze", CAT, "cat", "subcat"), Q.ANY),
         Q.key_check("Q4 maintenance", B, CAT, REPORT, "codes", k(CAT, "maintenance"), Q.ANY),
     ]
@@ -125,11 +160,10 @@ def bronze_checks(wh) -> list[Q.Check]:
 def silver_checks(wh) -> list[Q.Check]:
     t = _tables(wh)
     b, s = partial(t, "bronze"), partial(t, "silver")
-    cust, prd, sales = s("crm_cust_info"), s("crm_prd_info"), s("crm_sales_details")
-    az, loc, cat = s("erp_cust_az12"), s("erp_loc_a101"), s("erp_px_cat_g1v2")
     S, BS = ["silver"], ["bronze", "silver"]
     k, every, length, _, _ = _sides("silver", t)
-    out = [_schema("silver", t, s(t), SILVER) for t in SILVER]
+    out = [c for name in SILVER for c in row_checks("silver", name, s(name), wh.as_of)]
+    out.append(source_codes(b(CUST)))
     for name in SILVER:
         ids = {CUST: "cst_id", PRD: "prd_id"}.get(name)         # the loads leave out rows without these
         first = k(name, ids, "bronze") if name == CUST else Q.side(
@@ -137,35 +171,20 @@ def silver_checks(wh) -> list[Q.Check]:
         second = k(name, ids, "silver") if name == CUST else every("silver", name)
         out.append(Q.parity_check(f"Q21 {name}", BS, name, EQUAL, "bronze rows = silver rows", first, second, distinct=name == CUST))
     out += [
-        Q.Check("Q22 crm_cust_info", ("silver",), CUST, ONE, "populated", source=cust, scan=f"silver.{CUST}",
-                measure=F.least(F.count(F.lit(1)), F.lit(1))),
         Q.key_check("Q1 cst_id", S, CUST, NO, "unique, not NULL", k(CUST, "cst_id"), Q.REPEATS_OR_NULL),
-        _r("Q3 cst text", S, "crm_cust_info", NO, "trimmed", cust, Q.is_untrimmed(CUST_TEXT)),
         Q.key_check("Q4 cst_gndr", S, CUST, ALLOWED, "Male, Female, Unknown", k(CUST, "cst_gndr"),
                     Q.outside("Male", "Female", "Unknown")),
         Q.key_check("Q4 cst_marital_status", S, CUST, ALLOWED, "Single, Married, Unknown", k(CUST, "cst_marital_status"),
                     Q.outside("Single", "Married", "Unknown")),
-        _r("Q7 bronze marital", ["bronze"], "crm_cust_info", REPORT, "NULL codes in the source",
-           b("crm_cust_info"), Q.has_null("cst_marital_status")),
         Q.key_check("Q1 prd_id", S, PRD, NO, "unique, not NULL", k(PRD, "prd_id"), Q.REPEATS_OR_NULL),
-        _r("Q3 prd text", S, "crm_prd_info", NO, "trimmed", prd, Q.is_untrimmed(["prd_key", "prd_nm"])),
         Q.key_check("Q4 prd_line", S, PRD, ALLOWED, "Mountain, Road, Touring, Other sales, Unknown", k(PRD, "prd_line"),
                     Q.outside("Mountain", "Road", "Touring", "Other sales", "Unknown")),
         Q.not_in_check("Q11 cat_id", BS, PRD, REPORT, "category exists", k(PRD, "cat_id"), k(CAT, "id", "bronze"), skip_null=True),
         Q.orphan_check("Q10 cat_id", BS, PRD, REPORT, "category exists", k(PRD, "cat_id"), k(CAT, "id", "bronze")),
-        _r("Q5 prd_cost", S, "crm_prd_info", NO, "set, not negative", prd, Q.is_null_or_negative(prd, "prd_cost")),
-        _r("Q6 prd dates", S, "crm_prd_info", NO, "end not before start",
-           prd, Q.is_reversed("prd_start_dt", "prd_end_dt")),
         Q.parent_check("Q30 sls_prd_key", S, SALES, REPORT, "product exists", k(SALES, "sls_prd_key"), k(PRD, "prd_key")),
         Q.orphan_check("Q10 sls_prd_key", S, SALES, NO, "product exists", k(SALES, "sls_prd_key"), k(PRD, "prd_key")),
         Q.orphan_check("Q10 sls_cust_id", S, SALES, NO, "customer exists", k(SALES, "sls_cust_id"), k(CUST, "cst_id")),
-        _r("Q14 sales dates", S, "crm_sales_details", NO, "order <= ship <= due",
-           sales, Q.is_out_of_order("sls_order_dt", "sls_ship_dt", "sls_due_dt")),
-        _r("Q16 sales measures", S, "crm_sales_details", NO, "sales = quantity * price, all positive",
-           sales, Q.is_mismatch(sales, "sls_sales", "sls_quantity", "sls_price", negatives=True)),
         Q.key_check("Q17 az12 cid", S, AZ, ONE, "one id length", length("silver", AZ, "cid"), Q.ANY),
-        _r("Q18 bdate", S, "erp_cust_az12", NO, "not in the future",
-           az, F.col("bdate") > F.lit(wh.as_of)),
         Q.key_check("Q4 gen", S, AZ, ALLOWED, "Male, Female, Unknown", k(AZ, "gen"), Q.outside("Male", "Female", "Unknown")),
         Q.key_check("Q17 loc cid", S, LOC, ONE, "one id length", length("silver", LOC, "cid"), Q.ANY),
         Q.not_in_check("Q11 loc cid", S, LOC, REPORT, "customer exists", k(LOC, "cid"), k(AZ, "cid")),
@@ -214,7 +233,8 @@ def checks_for(wh, layer: str) -> list[Q.Check]:
 
 
 def run_layer_checks(wh, layer: str | None = None, samples: bool = False) -> DataFrame:
-    """One row per check of one layer (or of all three); with ``samples`` also a violating row of each."""
+    """One row per check of one layer (or of all three); with ``samples`` also a violating row
+    of each.  Counts of single rows come from the load, which took them on its write."""
     layers = [layer] if layer else list(CHECKS)
     checks = [c for lay in layers for c in checks_for(wh, lay)]
-    return Q.run_checks(wh.spark, checks, samples)
+    return Q.run_checks(wh.spark, checks, samples, wh.measured())

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from layerstar.plans import gold as G
 from layerstar.plans.silver import silver_steps
 from layerstar.sources.extracts import EXTRACTS, build_extracts
-from layerstar.sources.io import Layers, load_tables, new_run_id, read_csv, split_csv, write_csv
+from layerstar.sources.io import Layers, load_tables, measured, new_run_id, read_csv, split_csv, write_csv
 from layerstar.sources.schemas import BRONZE
 
 # Fixed parameters for the driver tables: the day that stands for
@@ -54,6 +54,19 @@ class Warehouse:
     def gold(self, table: str) -> DataFrame:
         return self._t("gold", table)
 
+    def measures(self, layer: str):
+        """The measures of a layer's row checks, for its load to take on the write (``load_tables``)."""
+        from layerstar.plans.checks import row_measures
+        return lambda table, df: row_measures(layer, table, df, self.as_of)
+
+    def measured(self) -> DataFrame | None:
+        """What the current loads measured on their writes."""
+        out = None
+        for layer in ("bronze", "silver"):
+            one = measured(self.spark, self.layers, layer, self.runs.get(layer))
+            out = one if out is None else out if one is None else out.unionByName(one)
+        return out
+
     def layer(self, layer: str) -> dict[str, DataFrame]:
         names = GOLD_TABLES if layer == "gold" else EXTRACTS
         return {n: self._t(layer, n) for n in names}
@@ -92,7 +105,7 @@ def load_bronze(wh: Warehouse, bad_lines: int | None = None) -> str:
             over = {t: rows[f"{t}_rejects"] for t in EXTRACTS if rows[f"{t}_rejects"] > bad_lines}
             if over:
                 raise TooManyBadLines(f"over {bad_lines} bad lines: " + ", ".join(f"{t} {n}" for t, n in over.items()))
-    run_id, audit = load_tables(wh.spark, wh.layers, "bronze", steps, accept=accept)
+    run_id, audit = load_tables(wh.spark, wh.layers, "bronze", steps, accept=accept, measures=wh.measures("bronze"))
     wh.audits.append(audit)
     wh.runs["bronze"] = run_id
     return run_id
@@ -105,7 +118,8 @@ def load_silver(wh: Warehouse, now: _dt.datetime | None = LOAD_TIME,
     writes such rows to ``crm_sales_details_quarantine`` instead."""
     bronze = wh.layer("bronze")
     run_id, audit = load_tables(wh.spark, wh.layers, "silver",
-                                silver_steps(bronze, wh.as_of, now, quarantine))
+                                silver_steps(bronze, wh.as_of, now, quarantine),
+                                measures=wh.measures("silver"))
     wh.audits.append(audit)
     wh.runs["silver"] = run_id
     return run_id

@@ -19,7 +19,7 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -230,24 +230,41 @@ def new_run_id() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
-def _write_one(spark, layers, layer, run_id, table, build):
+def _write_one(spark, layers, layer, run_id, table, build, measures):
     started, s0 = _dt.datetime.now(), time.perf_counter()
     try:
         obs = Observation(f"rows_{layer}_{table}_{uuid.uuid4().hex[:6]}")
-        df = build().observe(obs, F.count(F.lit(1)).alias("rows"))
+        df = build()
+        asked = measures(table, df) if measures else {}
+        cells = [m.cast("long").alias(f"m{i}") for i, m in enumerate(asked.values())]
+        df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *cells)
         write_full(df, layers.run_path(layer, run_id, table))
-        rows = int(obs.get.get("rows", 0))
-        return (run_id, layer, table, rows, started, _dt.datetime.now(),
-                time.perf_counter() - s0, "ok", None), None
+        got = obs.get
+        taken = [(f"{layer}.{table}", name, got[f"m{i}"]) for i, name in enumerate(asked)]
+        return (run_id, layer, table, int(got.get("rows", 0)), started, _dt.datetime.now(),
+                time.perf_counter() - s0, "ok", None), None, taken
     except Exception as exc:  # noqa: BLE001 - recorded, then raised again
         return (run_id, layer, table, None, started, _dt.datetime.now(),
-                time.perf_counter() - s0, "failed", str(exc)), exc
+                time.perf_counter() - s0, "failed", str(exc)), exc, []
+
+
+#: The table of a run that holds what was measured while its tables were written.
+MEASURES = "check_measures"
+MEASURES_SCHEMA = "scan string, check string, found long"
+
+
+def measured(spark: SparkSession, layers: Layers, layer: str, run_id: str | None = None) -> DataFrame | None:
+    """What the load of a run measured on its writes, (scan, check, found); None if it measured nothing."""
+    path = layers.run_path(layer, run_id or layers.current_run(spark, layer), MEASURES)
+    fs, folder = _file_system(spark, path)
+    return spark.read.schema(MEASURES_SCHEMA).parquet(path) if fs.exists(folder) else None
 
 
 def load_tables(spark: SparkSession, layers: Layers, layer: str,
                 steps: Mapping[str, Callable[[], DataFrame]], run_id: str | None = None,
                 raise_errors: bool = True, groups: list[list[str]] | None = None,
-                parallel: int = 4, accept: Callable[[dict[str, int]], None] | None = None) -> tuple[str, DataFrame]:
+                parallel: int = 4, accept: Callable[[dict[str, int]], None] | None = None,
+                measures: Callable[[str, DataFrame], dict[str, Column]] | None = None) -> tuple[str, DataFrame]:
     """Run one load: for every table build its DataFrame, write it (S2) and time
     it; then publish the run (S3) and append the audit rows (S4).
 
@@ -258,23 +275,28 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
     an observation on the write itself, no extra scan.  On an error the audit
     rows are written first, then the error is raised again; nothing of the
     failed run is published.  ``accept`` sees the rows of every table before the
-    run is published and raises an error to refuse it.
+    run is published and raises an error to refuse it.  ``measures`` gives the
+    aggregates to take of a table (by its name and the rows about to be written): they ride on
+    the same observation, in the stage that writes, and are stored with the run, where
+    ``measured`` finds them.
     """
     from concurrent.futures import ThreadPoolExecutor
 
     run_id = run_id or new_run_id()
     groups = groups or [list(steps)]
     audit: list[tuple] = []
+    taken: list[tuple] = []
     batch_start = _dt.datetime.now()
     t0 = time.perf_counter()
     error: BaseException | None = None
     for group in groups:
         workers = max(1, min(parallel, len(group)))
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            done = list(pool.map(lambda t: _write_one(spark, layers, layer, run_id, t, steps[t]),
+            done = list(pool.map(lambda t: _write_one(spark, layers, layer, run_id, t, steps[t], measures),
                                  group))
-        for row, exc in done:
+        for row, exc, found in done:
             audit.append(row)
+            taken += found
             if exc is not None and error is None:
                 error = exc
         if error is not None:
@@ -294,6 +316,8 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
         if raise_errors:
             raise error
         return run_id, audit_df
+    if taken:
+        spark.createDataFrame(taken, MEASURES_SCHEMA).coalesce(1).write.parquet(layers.run_path(layer, run_id, MEASURES))
     publish(spark, layers, layer, run_id)
     return run_id, audit_df
 

@@ -121,3 +121,38 @@ def test_checks_scan_each_table_once_for_all_row_filters(spark, qs):
         scans = {c.scan for c in measured}
         plan = executed(Q.run_checks(spark, measured))
         assert len(measured) > 12 and plan.count("FileScan parquet") == len(scans) <= 7
+
+
+def test_row_checks_come_from_the_load_without_a_scan(spark, qs):
+    """The counts taken on the load's write equal those of a scan, and reading them scans no table of a layer."""
+    from layerstar.operators import quality as Q
+    from layerstar.plans.checks import checks_for
+    from layerstar.plans.warehouse import warehouse_for
+    wh = warehouse_for(spark, SF_SMALL)
+    for layer in ("bronze", "silver", "gold"):
+        rows = [c for c in checks_for(wh, layer) if c.measure is not None]
+        taken = Q.run_checks(spark, rows, measured=wh.measured())
+        plan = executed(taken)
+        assert set(re.findall(r"ReadSchema: (\S+)", plan)) <= {"struct<scan:string,check:string,found:bigint>"}
+        assert plan.count("FileScan parquet") == (2 if rows else 0)
+        assert sorted(taken.collect()) == sorted(Q.run_checks(spark, rows).collect())
+        assert len({(c.scan, c.name) for c in rows}) == len(rows) and (len(rows) > 12 or layer == "gold")
+        # a check that the load did not measure is scanned, and so is one with sample rows
+        some = wh.measured().where("check not like 'Q3%'")
+        assert sorted(Q.run_checks(spark, rows, measured=some).collect()) == sorted(taken.collect())
+        shown = Q.run_checks(spark, rows, samples=True, measured=wh.measured())
+        assert sorted(shown.drop("sample").collect()) == sorted(taken.collect())
+
+
+def test_a_load_stores_what_it_measures_with_its_run(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from layerstar.sources.io import Layers, load_tables, measured
+    layers = Layers(str(tmp_path))
+    steps = {"a": lambda: spark.range(10), "b": lambda: spark.range(0)}
+    asked = lambda table, df: {"big": F.count_if(F.col("id") > 6), "most": F.max("id")}
+    run, _ = load_tables(spark, layers, "bronze", steps, measures=asked)
+    assert {(r.scan, r.check): r.found for r in measured(spark, layers, "bronze", run).collect()} == {
+        ("bronze.a", "big"): 3, ("bronze.a", "most"): 9, ("bronze.b", "big"): 0, ("bronze.b", "most"): None}
+    run, _ = load_tables(spark, layers, "bronze", steps)
+    assert measured(spark, layers, "bronze") is None
