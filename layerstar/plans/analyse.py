@@ -1,6 +1,9 @@
 """Trends, cumulative and performance analysis, part-to-whole and
 segmentation over the star schema.
 
+``f`` is the fact or, for all but distinct counts, its roll-up (by product and month for A1-A7, by
+customer for A9); A1 and A2 over a roll-up take the distinct customers from the bitmaps of its months.
+
 Windows here run over aggregated rows only: at most one row per year or per
 calendar month (A2-A4, unpartitioned but bounded), or per (product, year) and
 partitioned by product (A5, A6).  The grand total of A7 is a one-row aggregate
@@ -17,34 +20,43 @@ from layerstar.functions.fmt import month_abbr
 from layerstar.functions.num import MONEY_SUM, PLACES, money_sum, ratio
 from layerstar.functions.text import folded
 from layerstar.operators.rows import group_text, with_grand_total
+from layerstar.plans.rollup import month_of, order_span, price_parts, with_distinct_keys
 
 # Trend marks.
 UP, DOWN, FLAT = "\U0001F7E2", "\U0001F534", "\U0001F7E1"
 
 
-def sales_by_year(f: DataFrame) -> DataFrame:
+def _with_customers(f: DataFrame, by: list, key: str, period, customer_bits: DataFrame | None) -> DataFrame:
+    """Sums and distinct customers per group ``by``; ``period`` gives the group ``key`` of a date."""
+    sums = {"total_sales": money_sum("sales_amount"), "total_quantity": F.sum("quantity").cast("bigint")}
+    if customer_bits is None:
+        sums["total_customers"] = F.countDistinct("customer_key")
+    g = f.groupBy(*by).agg(*[c.alias(n) for n, c in sums.items()])
+    if customer_bits is None:
+        return g
+    return with_distinct_keys(g, key, customer_bits, period("order_month"), "total_customers")
+
+
+def sales_by_year(f: DataFrame, customer_bits: DataFrame | None = None) -> DataFrame:
     """A1"""
-    return f.groupBy(F.year("order_date").alias("order_year")).agg(
-        money_sum("sales_amount").alias("total_sales"),
-        F.countDistinct("customer_key").alias("total_customers"),
-        F.sum("quantity").cast("bigint").alias("total_quantity")).orderBy("order_year")
+    g = _with_customers(f, [F.year(month_of(f)).alias("order_year")], "order_year", F.year, customer_bits)
+    return g.select("order_year", "total_sales", "total_customers", "total_quantity").orderBy("order_year")
 
 
-def sales_by_month(f: DataFrame) -> DataFrame:
+def sales_by_month(f: DataFrame, customer_bits: DataFrame | None = None) -> DataFrame:
     """A2: calendar months with all years pooled, ranked by sales."""
-    g = f.groupBy(F.month("order_date").alias("m"), month_abbr("order_date").alias("order_month")) \
-         .agg(money_sum("sales_amount").alias("total_sales"),
-              F.countDistinct("customer_key").alias("total_customers"),
-              F.sum("quantity").cast("bigint").alias("total_quantity"))
+    day = month_of(f)
+    g = _with_customers(f, [F.month(day).alias("m"), month_abbr(day).alias("order_month")], "m", F.month,
+                        customer_bits)
     w = Window.orderBy(F.col("total_sales").desc_nulls_last(), F.col("m").asc_nulls_first())
     return g.select("order_month", "total_sales", "total_customers", "total_quantity",
                     F.row_number().over(w).alias("sales_rank"), "m").orderBy("m").drop("m")
 
 
 def _by_year(f: DataFrame) -> DataFrame:
-    return f.groupBy(F.year("order_date").alias("order_year")).agg(
-        money_sum("sales_amount").alias("total_sales"),
-        F.sum("price").alias("__ps"), F.count("price").alias("__pn"))
+    price, prices = price_parts(f)
+    return f.groupBy(F.year(month_of(f)).alias("order_year")).agg(
+        money_sum("sales_amount").alias("total_sales"), price.alias("__ps"), prices.alias("__pn"))
 
 
 def running_sales(f: DataFrame) -> DataFrame:
@@ -69,7 +81,7 @@ def cumulative_price(f: DataFrame) -> DataFrame:
 def _product_years(f: DataFrame, p: DataFrame) -> DataFrame:
     """Sales per (product name, year), SUM(ISNULL(sales, 0)); pre-aggregated on
     (product key, year) before the dimension join."""
-    pre = f.groupBy("product_key", F.year("order_date").alias("order_year")) \
+    pre = f.groupBy("product_key", F.year(month_of(f)).alias("order_year")) \
            .agg(F.sum(F.coalesce("sales_amount", F.lit(0))).alias("__s"))
     d = p.select(F.col("product_key").alias("__pk"), "product_name")
     j = pre.join(d, pre["product_key"] == d["__pk"], "left")
@@ -142,7 +154,7 @@ def customer_segment(lifespan, sales, months: int = 12, spend: float = 5000) ->
 def customers_by_segment(f: DataFrame, months: int = 12, spend: float = 5000) -> DataFrame:
     """Customers per segment by history length and total spend."""
     per = f.groupBy("customer_key").agg(
-        month_diff(F.min("order_date"), F.max("order_date")).alias("lifespan"),
+        month_diff(*order_span(f)).alias("lifespan"),
         F.sum("sales_amount").alias("spend"))
     return per.groupBy(customer_segment("lifespan", "spend", months, spend)
                        .alias("customer_segment")) \

@@ -59,6 +59,22 @@ def _fcp(wh):
     return wh.gold("fact_sales"), wh.gold("dim_customers"), wh.gold("dim_products")
 
 
+def _products(wh):
+    """What sums by product and month read: the roll-up, or the fact of a run that has none."""
+    r = wh.rollups()
+    return wh.gold("fact_sales") if r is None else r.by_product
+
+
+def _customers(wh):
+    r = wh.rollups()
+    return wh.gold("fact_sales") if r is None else r.by_customer
+
+
+def _bits(wh, which):
+    r = wh.rollups()
+    return None if r is None else r.customer_bits if which == "customer" else r.product_bits
+
+
 # ---------------------------------------------------------------- S
 @query("S8")
 def s8(wh):
@@ -304,18 +320,18 @@ def e8(wh):
 @query("E9")
 def e9(wh):
     f, c, p = _fcp(wh)
-    return E.product_counts(f, p)
+    return E.product_counts(f, p, _bits(wh, "product"))
 
 
 @query("E10")
 def e10(wh):
     f, c, p = _fcp(wh)
-    return E.customer_counts(f, c)
+    return E.customer_counts(f, c, _bits(wh, "customer"))
 
 
 @query("E11")
 def e11(wh):
-    return E.key_metrics(*_fcp(wh))
+    return E.key_metrics(*_fcp(wh), wh.rollups())
 
 
 @query("E12")
@@ -340,71 +356,63 @@ def e15(wh):
 
 @query("E16")
 def e16(wh):
-    f, c, p = _fcp(wh)
-    return E.revenue_by_category(f, p)
+    return E.revenue_by_category(_products(wh), wh.gold("dim_products"))
 
 
 @query("E17")
 def e17(wh):
-    f, c, p = _fcp(wh)
-    return E.revenue_by_customer(f, c)
+    return E.revenue_by_customer(_customers(wh), wh.gold("dim_customers"))
 
 
 @query("E18")
 def e18(wh):
-    f, c, p = _fcp(wh)
-    return E.items_by_country(f, c)
+    return E.items_by_country(_customers(wh), wh.gold("dim_customers"))
 
 
 @query("E19")
 def e19(wh):
-    f, c, p = _fcp(wh)
-    return E.top_products(f, p, 5)
+    return E.top_products(_products(wh), wh.gold("dim_products"), 5)
 
 
 @query("E20")
 def e20(wh):
-    f, c, p = _fcp(wh)
-    return E.bottom_products(f, p, 5)
+    return E.bottom_products(_products(wh), wh.gold("dim_products"), 5)
 
 
 # ---------------------------------------------------------------- A
 @query("A1")
 def a1(wh):
-    return A.sales_by_year(wh.gold("fact_sales"))
+    return A.sales_by_year(_products(wh), _bits(wh, "customer"))
 
 
 @query("A2")
 def a2(wh):
-    return A.sales_by_month(wh.gold("fact_sales"))
+    return A.sales_by_month(_products(wh), _bits(wh, "customer"))
 
 
 @query("A3")
 def a3(wh):
-    return A.running_sales(wh.gold("fact_sales"))
+    return A.running_sales(_products(wh))
 
 
 @query("A4")
 def a4(wh):
-    return A.cumulative_price(wh.gold("fact_sales"))
+    return A.cumulative_price(_products(wh))
 
 
 @query("A5")
 def a5(wh):
-    f, c, p = _fcp(wh)
-    return A.product_yoy(f, p)
+    return A.product_yoy(_products(wh), wh.gold("dim_products"))
 
 
 @query("A6")
 def a6(wh):
-    f, c, p = _fcp(wh)
-    return A.product_vs_average(f, p)
+    return A.product_vs_average(_products(wh), wh.gold("dim_products"))
 
 
 @query("A7")
 def a7(wh):
-    f, c, p = _fcp(wh)
-    return A.category_share(f, p)
+    return A.category_share(_products(wh), wh.gold("dim_products"))
 
 
 @query("A8")
@@ -414,7 +422,7 @@ def a8(wh):
 
 @query("A9")
 def a9(wh):
-    return A.customers_by_segment(wh.gold("fact_sales"), CUSTOMER_MONTHS, CUSTOMER_SPEND)
+    return A.customers_by_segment(_customers(wh), CUSTOMER_MONTHS, CUSTOMER_SPEND)
 
 
 # ---------------------------------------------------------------- R
@@ -428,7 +436,9 @@ def r1(wh):
 @query("R2")
 def r2(wh):
     f, c, p = _fcp(wh)
-    return R.report_products(f, p, AS_OF, PRODUCT_HIGH, PRODUCT_MID, keys_from_dim=True)
+    r = wh.rollups()
+    return R.report_products(f, p, AS_OF, PRODUCT_HIGH, PRODUCT_MID, keys_from_dim=True,
+                             by_product=r and r.by_product)
 
 
 # ---------------------------------------------------------------- Q checks

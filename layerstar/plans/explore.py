@@ -6,21 +6,23 @@ broken by the group), a distributed sort over the small aggregated result.
 Text groups (country, category, name, ...) are equal under the warehouse's
 collation (M4); of the spellings of a group the least is shown.
 
-``f``, ``c``, ``p`` are fact_sales, dim_customers, dim_products.  Amounts stay
+``f``, ``c``, ``p`` are fact_sales, dim_customers, dim_products.  Sums, means and extremes give the same
+over a roll-up in place of the fact (by product: E5-E7, E16, E19, E20; by customer: E3, E17, E18).  Amounts stay
 numbers (decimal sums, means rounded to 4 places); ``fmt.money`` etc. turn them
 into the display text as a last step (E11 does so, as its result is a sheet).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from layerstar.functions import fmt
 from layerstar.functions.dates import as_date_lit, month_diff, year_diff
-from layerstar.functions.num import mean, money_sum, ratio
+from layerstar.functions.num import money_sum, ratio
 from layerstar.functions.text import full_name
 from layerstar.operators.rows import group_text
+from layerstar.plans.rollup import Rollups, distinct_keys, order_span, price_parts
 
 
 def distinct_countries(c: DataFrame) -> DataFrame:
@@ -35,7 +37,8 @@ def distinct_categories(p: DataFrame) -> DataFrame:
 
 def order_date_range(f: DataFrame) -> DataFrame:
     """First and last order, and the range in years and months (boundaries)."""
-    a = f.agg(F.min("order_date").alias("first_order"), F.max("order_date").alias("last_order"))
+    first, last = order_span(f)
+    a = f.agg(first.alias("first_order"), last.alias("last_order"))
     return a.select("first_order", "last_order",
                     year_diff("first_order", "last_order").alias("order_range_years"),
                     month_diff("first_order", "last_order").alias("order_range_months"))
@@ -66,7 +69,7 @@ def total_quantity(f: DataFrame) -> DataFrame:
 
 def average_price(f: DataFrame) -> DataFrame:
     """E7"""
-    return f.agg(mean("price").alias("avg_price"))
+    return f.agg(ratio(*price_parts(f)).alias("avg_price"))
 
 
 def order_counts(f: DataFrame) -> DataFrame:
@@ -75,33 +78,41 @@ def order_counts(f: DataFrame) -> DataFrame:
                  F.countDistinct("order_number").alias("distinct_total_orders"))
 
 
-def product_counts(f: DataFrame, p: DataFrame) -> DataFrame:
+def _keys_in(f: DataFrame, key: str, bits: DataFrame | None) -> Column:
+    """Distinct keys of the fact, from the bitmaps of its keys where they are given."""
+    return (f.agg(F.countDistinct(key)) if bits is None else distinct_keys(bits)).scalar()
+
+
+def product_counts(f: DataFrame, p: DataFrame, product_bits: DataFrame | None = None) -> DataFrame:
     """Products in the dimension and products sold (one row)."""
-    sold = f.agg(F.countDistinct("product_key")).scalar()
+    sold = _keys_in(f, "product_key", product_bits)
     return p.agg(F.count("product_key").alias("total_products")) \
             .withColumn("sold_products", sold)
 
 
-def customer_counts(f: DataFrame, c: DataFrame) -> DataFrame:
+def customer_counts(f: DataFrame, c: DataFrame, customer_bits: DataFrame | None = None) -> DataFrame:
     """Customers in the dimension and customers with orders (one row)."""
-    with_orders = f.agg(F.countDistinct("customer_key")).scalar()
+    with_orders = _keys_in(f, "customer_key", customer_bits)
     return c.agg(F.count("customer_key").alias("total_customers")) \
             .withColumn("customers_with_orders", with_orders)
 
 
-def key_metrics(f: DataFrame, c: DataFrame, p: DataFrame) -> DataFrame:
+def key_metrics(f: DataFrame, c: DataFrame, p: DataFrame, rollups: Rollups | None = None) -> DataFrame:
     """Eight measures as (measure_name, measure_value) rows.
 
     One aggregate for the sums, and each distinct count as a scalar subquery
     over its own column: together in one aggregate the counts would expand
-    every fact row once per counted column.  ``stack`` turns the single row
-    into eight."""
+    every fact row once per counted column.  With ``rollups`` only the order
+    numbers come from the fact.  ``stack`` turns the single row into eight."""
     def distinct(c):
         return f.select(c).where(F.col(c).isNotNull()).distinct().agg(F.count(F.lit(1))).scalar()
-    fa = f.agg(money_sum("sales_amount").alias("ts"), mean("price", 2).alias("ap"),
-               F.sum("quantity").alias("tq"))
-    fa = fa.withColumns({"to": distinct("order_number"), "ps": distinct("product_key"),
-                         "cw": distinct("customer_key")})
+    sums = rollups.by_product if rollups else f
+    price, prices = price_parts(sums)
+    fa = sums.agg(money_sum("sales_amount").alias("ts"), ratio(price, prices, 2).alias("ap"),
+                  F.sum("quantity").alias("tq"))
+    keys = {"ps": ("product_key", rollups and rollups.product_bits), "cw": ("customer_key", rollups and rollups.customer_bits)}
+    fa = fa.withColumns({"to": distinct("order_number"),
+                         **{n: distinct(k) if bits is None else distinct_keys(bits).scalar() for n, (k, bits) in keys.items()}})
     row = fa.select(
         fmt.money("ts").alias("v1"), fmt.money("ap").alias("v2"), fmt.n0("tq").alias("v3"),
         fmt.n0("to").alias("v4"),

@@ -15,9 +15,11 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from layerstar.plans import gold as G
+from layerstar.plans.rollup import ROLLUPS, Rollups, rollup_steps
 from layerstar.plans.silver import silver_steps
 from layerstar.sources.extracts import EXTRACTS, build_extracts
-from layerstar.sources.io import Layers, load_tables, measured, new_run_id, read_csv, split_csv, write_csv
+from layerstar.sources.io import (Layers, load_tables, measured, new_run_id, published_runs, read_csv, split_csv,
+                                  write_csv)
 from layerstar.sources.schemas import BRONZE
 
 # Fixed parameters for the driver tables: the day that stands for
@@ -35,6 +37,7 @@ class Warehouse:
     runs: dict[str, str] = field(default_factory=dict)
     as_of: _dt.date = AS_OF
     audits: list[DataFrame] = field(default_factory=list)
+    _rollups: dict[str, Rollups] = field(default_factory=dict, repr=False)
 
     def _t(self, layer: str, table: str) -> DataFrame:
         return self.layers.table(self.spark, layer, table, self.runs.get(layer))
@@ -67,6 +70,20 @@ class Warehouse:
             out = one if out is None else out if one is None else out.unionByName(one)
         return out
 
+    @property
+    def rollup_layers(self) -> Layers:
+        """Where roll-ups are loaded, with a log and an audit of their own."""
+        return Layers(f"{self.layers.root}/rollups")
+
+    def rollups(self) -> Rollups | None:
+        """The roll-ups of the gold run that is read; None if that run has none (yet)."""
+        run = self.runs.get("gold") or self.layers.current_run(self.spark, "gold")
+        if run not in self._rollups:                   # a published run never changes
+            if run not in published_runs(self.spark, self.rollup_layers, "gold"):
+                return None
+            self._rollups[run] = Rollups(*[self.rollup_layers.table(self.spark, "gold", t, run) for t in ROLLUPS])
+        return self._rollups[run]
+
     def layer(self, layer: str) -> dict[str, DataFrame]:
         names = GOLD_TABLES if layer == "gold" else EXTRACTS
         return {n: self._t(layer, n) for n in names}
@@ -152,6 +169,16 @@ def load_gold(wh: Warehouse) -> str:
     return run_id
 
 
+def load_rollups(wh: Warehouse) -> str:
+    """The roll-ups of the current gold run, from its stored fact, under the same run id.
+
+    A load of its own, after gold is published: readers see gold at once and take the fact until the
+    roll-ups are there, and roll-ups of an older gold run are never read beside a newer fact."""
+    run_id = wh.runs.get("gold") or wh.layers.current_run(wh.spark, "gold")
+    load_tables(wh.spark, wh.rollup_layers, "gold", rollup_steps(lambda: wh.gold("fact_sales")), run_id=run_id)
+    return run_id
+
+
 def build_warehouse(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF,
                     now: _dt.datetime | None = LOAD_TIME, layers: Layers | None = None) -> Warehouse:
     """Run the whole refresh over the driver tables in ``sf_dir``."""
@@ -163,6 +190,7 @@ def build_warehouse(spark: SparkSession, sf_dir: str, as_of: _dt.date = AS_OF,
     load_bronze(wh)
     load_silver(wh, now)
     load_gold(wh)
+    load_rollups(wh)
     return wh
 
 

@@ -192,6 +192,12 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def published_runs(spark: SparkSession, layers: Layers, layer: str) -> list[str]:
+    """The published runs of a layer, oldest first."""
+    log = layers.log_path(layer)
+    return [_pointed(spark, log, n) for n in _pointers(spark, log)]
+
+
 def old_runs(spark: SparkSession, layers: Layers, layer: str, keep: int = 2,
              log_layer: str | None = None) -> list[str]:
     """Published runs of a layer that are older than its ``keep`` newest ones and
@@ -202,8 +208,7 @@ def old_runs(spark: SparkSession, layers: Layers, layer: str, keep: int = 2,
     never listed: it may be a load that has yet to finish."""
     if keep < 1:
         raise ValueError("the newest published run is always kept")
-    log = layers.log_path(log_layer or layer)
-    published = [_pointed(spark, log, n) for n in reversed(_pointers(spark, log))]
+    published = published_runs(spark, layers, log_layer or layer)[::-1]
     fs, runs = _file_system(spark, f"{layers.root}/{layer}/runs")
     there = {f.getPath().getName() for f in fs.listStatus(runs)} if fs.exists(runs) else set()
     return [r for r in reversed(published[keep:]) if r in there]
