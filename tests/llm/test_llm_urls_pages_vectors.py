@@ -168,6 +168,65 @@ def test_a_paragraph_stays_however_dense_the_rest_is():
 def test_long_and_broken_pages_end():
     for piece in ("<b>", "<a \"", "<!--", "</p>", "<p><div>", "<nav>", "&amp;", "< ", "<a b='c>"):
         html_text.main_text(piece * 50_000)
+    for piece in ("<a \"'", "<a ''", "<a '' ", "\"'\"", "<form><header>", "<dialog open>", "<a b=\"<i>\" c='"):
+        html_text.main_text(piece * 20_000)
+
+
+def test_quoted_values_hold_markup():
+    a, b = ARTICLE[:2]
+    inner = f"""<p data-x='a>b' title="<i>1 > 0</i>">{a}</p><p class="x" data-json='{{"k": "</p>"}}'>{b} <b title=">">x</b></p>"""
+    assert html_text.main_text(page(f"<article>{inner}</article>")) == f"{a}\n{b} x"
+    assert html_text.main_text(page(f"<article><p data-id='menu' data-class='ad'>{a}</article>")) == a
+
+
+@pytest.mark.parametrize("start, end", [("<form id='aspnetForm' action='./'>", "</form>"), ("<dialog open>", "</dialog>"),
+                                        ("<header>", "</header>"), ("<form><div><header>", "</header></div></form>")])
+def test_a_wrapper_round_the_article_is_no_reason_to_drop_it(start, end):
+    a, b, c, d, *_ = ARTICLE
+    inner = f"<h1>T</h1><p>{a}</p><form><label>Mail</label><input></form><p>{b}</p>"
+    head = "<form class='search'><p>Find</p></form>"
+    for block in (f"<article>{inner}</article>", f"<main>{inner}</main>", f"<div>{inner}</div>"):
+        assert html_text.main_text(page(f"{start}{head}{block}{end}")) == "\n".join(["T", a, b]), block
+    # elsewhere such an element is no part of the article, however much it says beside one
+    assert html_text.main_text(page(f"<article><p>{a}</p></article>", f"{start}<p>{b[:40]}</p>{end}")) == a
+    assert html_text.main_text(page(f"<article><p>{a}</p></article>", f"<aside><article>{b}</article></aside>")) == a
+    assert html_text.main_text(page(f"<div><p>{a}</p></div>", f"<dialog><p>{a} {b} {c} {d}</p></dialog>")) == a
+
+
+def test_teasers_and_comments_beside_the_article():
+    a, b, c, d, e, f = ARTICLE
+    body = f"<article><h1>T</h1><p>{a} {b} {c}</p><p>End.</p></article>"
+    teaser = "<article><h3><a href='/2'>Another story to read</a></h3><p>It begins so.</p></article>"
+    whole = "\n".join(["T", f"{a} {b} {c}", "End."])
+    assert html_text.main_text(page(body, teaser, teaser * 3)) == whole
+    assert html_text.main_text(page(body, "", "<article><p>A short last part.</p></article>")) == whole + "\nA short last part."
+    assert html_text.main_text(page(teaser)) == "Another story to read\nIt begins so."
+    for name in ("commentlist", "user-feedback"):
+        inside = body.replace("</article>", f"<ol class='{name}'><li>{e}</li></ol></article>")
+        assert html_text.main_text(page(inside)) == whole
+
+
+def test_words_apart_from_where_text_surges():
+    a, b, c, d, *_ = ARTICLE
+    gap = "<nav><ul><li>x<li>y<li>z</ul></nav>"
+    body = f"<div class='a'><p>{a} {b}</p><p>{c}</p><hr>{gap}<p>A last word of the author, with some more of them, long enough.</p></div>"
+    last = "A last word of the author, with some more of them, long enough."
+    note = "<div class='z'><p>All views are those of their authors, and nobody is liable for any of them.</p></div><nav>y</nav>"
+    text = "\n".join([f"{a} {b}", c, last])
+    assert html_text.main_text(page(body, "", gap + note)) == text
+    assert html_text.main_text(page(note)) == "All views are those of their authors, and nobody is liable for any of them."
+
+
+def test_deep_nesting_takes_linear_memory():
+    import tracemalloc
+    peaks = []
+    for n in (5_000, 20_000):
+        tracemalloc.start()
+        text = html_text.main_text("".join(f"<article><p>{i}</p>" for i in range(n)))
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert text == "\n".join(map(str, range(n)))
+    assert peaks[1] < 6 * peaks[0] and peaks[1] < 60 << 20
 
 
 def test_extract(spark):
