@@ -18,7 +18,7 @@ from layerstar.plans import gold as G
 from layerstar.plans.rollup import ROLLUPS, Rollups, rollup_steps
 from layerstar.plans.silver import silver_steps
 from layerstar.sources.extracts import EXTRACTS, build_extracts
-from layerstar.sources.io import (Layers, load_tables, measured, new_run_id, published_runs, read_csv, split_csv,
+from layerstar.sources.io import (FileLayout, Layers, load_tables, measured, new_run_id, published_runs, read_csv, split_csv,
                                   write_csv)
 from layerstar.sources.schemas import BRONZE
 
@@ -27,6 +27,9 @@ from layerstar.sources.schemas import BRONZE
 AS_OF = _dt.date(2001, 9, 1)
 LOAD_TIME = _dt.datetime(2001, 9, 1, 0, 0, 0)
 
+#: Sales lie by date, those of a date by product and customer; NULL dates come first, in row groups of their own.
+FACT_LAYOUT = FileLayout(("order_date", "product_key", "customer_key", "order_number"),
+                         ("product_key", "customer_key", "order_number"))
 GOLD_TABLES = ["dim_customers", "dim_products", "fact_sales"]
 
 
@@ -163,7 +166,8 @@ def load_gold(wh: Warehouse) -> str:
             lay.table(sp, "gold", "dim_products", run_id)),
     }
     run_id, audit = load_tables(sp, lay, "gold", steps, run_id=run_id,
-                                groups=[["dim_customers", "dim_products"], ["fact_sales"]])
+                                groups=[["dim_customers", "dim_products"], ["fact_sales"]],
+                                layouts={"fact_sales": FACT_LAYOUT})
     wh.audits.append(audit)
     wh.runs["gold"] = run_id
     return run_id

@@ -77,9 +77,31 @@ def write_csv(df: DataFrame, path: str) -> None:
        .option("emptyValue", "").csv(path))
 
 
-def write_full(df: DataFrame, path: str) -> None:
+@dataclass(frozen=True)
+class FileLayout:
+    """How a table's rows lie in its files, so that readers skip row groups.
+
+    ``range_by``: files hold ranges of these columns and are sorted by them, so the least and greatest
+    value of a row group are close.  Later columns split the rows of a hot first value over files.
+    ``bloom``: columns with a Bloom filter per row group, sized by their distinct values, for lookups of
+    one key; a row group that holds a column by dictionary is skipped by the dictionary instead."""
+
+    range_by: tuple[str, ...]
+    bloom: tuple[str, ...] = ()
+
+    def arrange(self, df: DataFrame) -> DataFrame:
+        return df.repartitionByRange(*self.range_by).sortWithinPartitions(*self.range_by)
+
+    def options(self) -> dict[str, str]:
+        if not self.bloom:
+            return {}
+        return {"parquet.bloom.filter.adaptive.enabled": "true",
+                **{f"parquet.bloom.filter.enabled#{c}": "true" for c in self.bloom}}
+
+
+def write_full(df: DataFrame, path: str, **options: str) -> None:
     """Full refresh of one table (replace all rows)."""
-    df.write.mode("overwrite").parquet(path)
+    df.write.mode("overwrite").options(**options).parquet(path)
 
 
 @dataclass(frozen=True)
@@ -235,15 +257,17 @@ def new_run_id() -> str:
     return _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%dT%H%M%S") + "-" + uuid.uuid4().hex[:8]
 
 
-def _write_one(spark, layers, layer, run_id, table, build, measures):
+def _write_one(spark, layers, layer, run_id, table, build, measures, layout):
     started, s0 = _dt.datetime.now(), time.perf_counter()
     try:
         obs = Observation(f"rows_{layer}_{table}_{uuid.uuid4().hex[:6]}")
         df = build()
+        if layout:                  # before the observation: ranging looks at its input twice
+            df = layout.arrange(df)
         asked = measures(table, df) if measures else {}
         cells = [m.cast("long").alias(f"m{i}") for i, m in enumerate(asked.values())]
         df = df.observe(obs, F.count(F.lit(1)).alias("rows"), *cells)
-        write_full(df, layers.run_path(layer, run_id, table))
+        write_full(df, layers.run_path(layer, run_id, table), **(layout.options() if layout else {}))
         got = obs.get
         taken = [(f"{layer}.{table}", name, got[f"m{i}"]) for i, name in enumerate(asked)]
         return (run_id, layer, table, int(got.get("rows", 0)), started, _dt.datetime.now(),
@@ -269,7 +293,8 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
                 steps: Mapping[str, Callable[[], DataFrame]], run_id: str | None = None,
                 raise_errors: bool = True, groups: list[list[str]] | None = None,
                 parallel: int = 4, accept: Callable[[dict[str, int]], None] | None = None,
-                measures: Callable[[str, DataFrame], dict[str, Column]] | None = None) -> tuple[str, DataFrame]:
+                measures: Callable[[str, DataFrame], dict[str, Column]] | None = None,
+                layouts: Mapping[str, FileLayout] | None = None) -> tuple[str, DataFrame]:
     """Run one load: for every table build its DataFrame, write it (S2) and time
     it; then publish the run (S3) and append the audit rows (S4).
 
@@ -283,7 +308,7 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
     run is published and raises an error to refuse it.  ``measures`` gives the
     aggregates to take of a table (by its name and the rows about to be written): they ride on
     the same observation, in the stage that writes, and are stored with the run, where
-    ``measured`` finds them.
+    ``measured`` finds them.  ``layouts`` gives the file layout of tables that have one.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -297,7 +322,8 @@ def load_tables(spark: SparkSession, layers: Layers, layer: str,
     for group in groups:
         workers = max(1, min(parallel, len(group)))
         with ThreadPoolExecutor(max_workers=workers) as pool:
-            done = list(pool.map(lambda t: _write_one(spark, layers, layer, run_id, t, steps[t], measures),
+            done = list(pool.map(lambda t: _write_one(spark, layers, layer, run_id, t, steps[t], measures,
+                                                          (layouts or {}).get(t)),
                                  group))
         for row, exc, found in done:
             audit.append(row)
