@@ -1,10 +1,12 @@
 """Sides of a join that grow with the data are never collected by the driver, however small their files."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 
 from layerstar.operators.rows import derive_end_date
+from layerstar.plans import catalog
 from layerstar.plans import gold as G
 from layerstar.sources.extracts import crm_sales_details
 
@@ -68,3 +70,8 @@ def test_refresh_joins_orders_keys_and_dates_without_a_broadcast(spark, stored):
     dim = stored("dim", [(11, 1), (12, None)], "customer_key long, customer_id long")
     fact = G.fact_sales(sales, dim, products(stored)).select("order_number", "product_key", "customer_key")
     assert rows_without_broadcast(fact) == [("SO1", 1, 11), ("SO2", 2, None), ("SO3", None, None), ("SO4", None, 11)]
+
+
+def test_fan_out_of_the_customer_joins(stored):
+    c = customers(stored)
+    assert rows_without_broadcast(catalog.q23(SimpleNamespace(silver=c.get))) == [(2, 2)]
