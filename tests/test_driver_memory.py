@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 
+from layerstar.operators import quality as Q
 from layerstar.operators.rows import derive_end_date
 from layerstar.plans import catalog
 from layerstar.plans import gold as G
@@ -75,3 +76,8 @@ def test_refresh_joins_orders_keys_and_dates_without_a_broadcast(spark, stored):
 def test_fan_out_of_the_customer_joins(stored):
     c = customers(stored)
     assert rows_without_broadcast(catalog.q23(SimpleNamespace(silver=c.get))) == [(2, 2)]
+
+
+def test_orphans(stored):
+    c = customers(stored)
+    assert rows_without_broadcast(Q.orphans(c["erp_loc_a101"], "cid", c["erp_cust_az12"], "cid")) == [("A9", "Chad"), (None, "Oman")]
