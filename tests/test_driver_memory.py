@@ -7,6 +7,7 @@ import pytest
 
 from layerstar.operators import quality as Q
 from layerstar.operators.rows import derive_end_date
+from layerstar.plans import analyse as A
 from layerstar.plans import catalog
 from layerstar.plans import gold as G
 from layerstar.sources.extracts import crm_sales_details
@@ -45,6 +46,13 @@ def products(stored):
                   "product_key long, product_number string, product_name string, category string, subcategory string, cost int")
 
 
+def facts(stored):
+    return stored("facts", [("SO1", 1, 1, DAY, 10, 1), ("SO1", 2, 1, DAY, 20, 2), ("SO2", 1, None, dt.date(2001, 2, 1), 30, 3),
+                            ("SO3", None, 2, DAY, 5, 1), ("SO4", 9, 2, DAY, None, 1), ("SO5", 1, 1, None, 7, 1)],
+                  "order_number string, product_key long, customer_key long, order_date date, amount int, quantity int") \
+        .selectExpr("* except (amount)", "cast(amount as decimal(18,2)) as sales_amount", "cast(1 as decimal(18,2)) as price")
+
+
 def test_refresh_joins_orders_keys_and_dates_without_a_broadcast(spark, stored):
     lines = stored("lines", [(1, 7, 1, 2.0, 10.0, dt.datetime(2000, 1, 5)), (1, 8, 2, 1.0, 5.0, dt.datetime(2000, 1, 6)),
                              (2, 7, 1, 1.0, 4.0, dt.datetime(2000, 1, 7))],
@@ -81,3 +89,9 @@ def test_fan_out_of_the_customer_joins(stored):
 def test_orphans(stored):
     c = customers(stored)
     assert rows_without_broadcast(Q.orphans(c["erp_loc_a101"], "cid", c["erp_cust_az12"], "cid")) == [("A9", "Chad"), (None, "Oman")]
+
+
+def test_products_by_year(stored):
+    years = A.product_yoy(facts(stored), products(stored)).selectExpr("order_year", "product", "int(sales)", "int(prev_sales)")
+    want = [(2000, "Bike", 30, 7), (2000, None, 5, None), (2001, "Bike", 30, 30), (None, "Bike", 7, None)]
+    assert rows_without_broadcast(years) == sorted(want, key=str)
