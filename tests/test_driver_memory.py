@@ -10,6 +10,7 @@ from layerstar.operators.rows import derive_end_date
 from layerstar.plans import analyse as A
 from layerstar.plans import catalog
 from layerstar.plans import gold as G
+from layerstar.plans import reports as R
 from layerstar.sources.extracts import crm_sales_details
 
 DAY = dt.date(2000, 1, 1)
@@ -95,3 +96,10 @@ def test_products_by_year(stored):
     years = A.product_yoy(facts(stored), products(stored)).selectExpr("order_year", "product", "int(sales)", "int(prev_sales)")
     want = [(2000, "Bike", 30, 7), (2000, None, 5, None), (2001, "Bike", 30, 30), (None, "Bike", 7, None)]
     assert rows_without_broadcast(years) == sorted(want, key=str)
+
+
+def test_product_report(stored):
+    rep = R.report_products(facts(stored), products(stored), DAY, keys_from_dim=True)
+    got = {r.product_key: (r.product_name, r.total_orders, r.total_customers) for r in rep.collect()}
+    assert got == {1: ("Bike", 2, 1), 2: ("bike ", 1, 1), None: (None, 1, 1), 9: (None, 1, 1)}
+    rows_without_broadcast(rep)
